@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from registry import enrich  # noqa: F401
+from registry import enrich, marts  # noqa: F401

@@ -26,6 +26,12 @@ def size_class(amount):
     return ladder([(amount < F.lit(limit), label) for limit, label in SIZE_CLASSES], TOP_SIZE_CLASS)
 
 
+def quantity_tier(quantity):
+    (single, single_label), (few, few_label) = QUANTITY_TIERS
+    return ladder([(quantity == F.lit(single), single_label), (quantity <= F.lit(few), few_label)],
+                  TOP_QUANTITY_TIER)
+
+
 def enriched_orders(orders: DataFrame) -> DataFrame:
     """Calendar parts, discount amounts, discount tier and size class of each order."""
     ts, amount, pct = F.col("order_date"), F.col("total_amount"), F.col("discount_percent")
@@ -60,8 +66,7 @@ def enriched_order_items(items: DataFrame, flag_categories: Mapping[str, str] =
         F.round(F.col("unit_price") - unit, 2).cast("decimal(12,2)").alias("unit_price_variance"),
         *[F.coalesce(F.col("product_category") == F.lit(label), F.lit(False)).alias(flag)
           for flag, label in flag_categories.items()],
-        ladder([(F.col("quantity") == 1, "Single"), (F.col("quantity") <= 3, "Few")], "Bulk")
-        .alias("quantity_tier"),
+        quantity_tier(F.col("quantity")).alias("quantity_tier"),
     )
 
 

@@ -30,6 +30,7 @@ def local_session(app: str = "tillwise", cores: int | str = "*", shuffle_partiti
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
