@@ -87,10 +87,10 @@ ENTITY_SQL = {
                      ['Open','In Progress','Resolved','Closed'][(event_id + event_id // 4) % 4 + 1] AS status
               FROM events WHERE event_type = 'error')""",
     "qlog": """
-        SELECT event_id AS query_id, ts::TIMESTAMP AS start_time, event_type AS source, value AS execution_time,
+        SELECT event_id AS query_id, ts::TIMESTAMP AS start_time, event_type AS source, value::DECIMAL(12,2) AS execution_time,
                CASE WHEN event_type = 'error' THEN 'FAIL' ELSE 'SUCCESS' END AS execution_status,
                event_id % 97 + 1 AS partitions_scanned, 100::BIGINT AS partitions_total,
-               (event_id % 13)::DOUBLE AS queued_time
+               (event_id % 13)::DECIMAL(12,2) AS queued_time
         FROM events""",
     "chg": """
         SELECT *, 1 AS commit_seq, 'INSERT' AS op, TIMESTAMP '2001-08-01' AS committed_at FROM ord

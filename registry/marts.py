@@ -350,7 +350,7 @@ def _(t):
     SELECT *, CASE WHEN customer_health_score < 50 THEN 'critical' WHEN customer_health_score < 80 THEN 'at_risk' ELSE 'healthy' END AS health_status
     FROM (SELECT s.* REPLACE ({_text('first_ticket_date last_ticket_date')}), o.total_orders,
                  o.lifetime_revenue::DOUBLE AS lifetime_revenue, o.avg_order_value,
-                 CASE WHEN total_tickets > 0 THEN round(resolved_tickets::DOUBLE / total_tickets * 100, 1) END AS resolution_rate_pct,
+                 CASE WHEN total_tickets > 0 THEN ((2000 * resolved_tickets + total_tickets) // (2 * total_tickets))::DOUBLE / 10 END AS resolution_rate_pct,
                  CASE WHEN total_tickets > 0 AND lifetime_revenue > 0 THEN
                       (((2 * (lifetime_revenue * 100)::BIGINT + total_tickets) // (2 * total_tickets))::DECIMAL(18,0)
                        * 0.01::DECIMAL(3,2))::DOUBLE END AS revenue_per_ticket,

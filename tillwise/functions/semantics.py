@@ -139,3 +139,9 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     w = Window.partitionBy(*keys).orderBy(*order)
     out = df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= F.lit(n))
     return out if rank else out.drop(name)
+
+
+def rounded_ratio(num: Column, den: Column, digits: int) -> Column:
+    """Quotient of exact numbers, rounded half away from zero on the exact value."""
+    exact = F.try_divide(num.cast("decimal(24,2)"), den.cast("decimal(18,0)"))
+    return F.round(exact, digits).cast(f"decimal(24,{digits})")

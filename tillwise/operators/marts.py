@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tillwise.functions.ranking import number_rows
 from tillwise.functions.semantics import (
     at_least, at_most, day_lit, days_between, first_per_key, ladder, mean, month_steps, ratio,
-    strict_greatest, strict_least)
+    rounded_ratio, strict_greatest, strict_least)
 
 # Thresholds, scores and labels of the customer value model.
 HIGH_VALUE = 17500
@@ -318,9 +318,8 @@ def support_analytics(support: DataFrame, orders: DataFrame) -> DataFrame:
         "customer_id", "customer_name", "customer_segment", "total_tickets", "resolved_tickets",
         "open_tickets", "high_priority_tickets", "support_tier", "first_ticket_date", "last_ticket_date",
         "total_orders", "lifetime_revenue", "avg_order_value",
-        F.when(tickets > 0, F.round(ratio(solved, tickets) * F.lit(100), 1)).alias("resolution_rate_pct"),
-        F.when((revenue > 0) & (tickets > 0), F.round(F.try_divide(revenue, tickets), 2).cast("decimal(20,2)"))
-        .alias("revenue_per_ticket"),
+        F.when(tickets > 0, rounded_ratio(solved * 100, tickets, 1)).alias("resolution_rate_pct"),
+        F.when((revenue > 0) & (tickets > 0), rounded_ratio(revenue, tickets, 2)).alias("revenue_per_ticket"),
         F.when(F.coalesce("total_orders", F.lit(0)) == 0, F.lit(0.0)).otherwise(clamped)
         .alias("customer_health_score"),
     ).withColumn("health_status", at_least(

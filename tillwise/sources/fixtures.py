@@ -201,11 +201,11 @@ class Tables:
             F.col("event_id").alias("query_id"),
             F.col("ts").cast("timestamp").alias("start_time"),
             F.col("event_type").alias("source"),
-            F.col("value").alias("execution_time"),
+            F.col("value").cast("decimal(12,2)").alias("execution_time"),
             F.when(F.col("event_type") == "error", "FAIL").otherwise("SUCCESS").alias("execution_status"),
             (F.col("event_id") % 97 + 1).alias("partitions_scanned"),
             F.lit(100).cast("bigint").alias("partitions_total"),
-            (F.col("event_id") % 13).cast("double").alias("queued_time"),
+            (F.col("event_id") % 13).cast("decimal(12,2)").alias("queued_time"),
         )
 
     @cached_property
