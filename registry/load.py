@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from registry import enrich, marts, reports, semantic  # noqa: F401
+from registry import enrich, marts, reports, semantic, state  # noqa: F401
