@@ -131,6 +131,11 @@ def with_entities(sql: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
+def oracles() -> dict[str, str]:
+    """All oracle statements, complete with the relations they read."""
+    return {name: with_entities(sql) for name, sql in ORACLES.items()}
+
+
 def present(df: DataFrame) -> DataFrame:
     """Plain, engine-neutral types for comparison."""
     out = []
@@ -160,7 +165,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = with_entities(sql)
+            ORACLES[name] = sql
         return fn
 
     return register

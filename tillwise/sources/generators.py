@@ -1,0 +1,203 @@
+"""Synthetic customers, orders, items, reviews and tickets as distributed Spark jobs.
+
+Every choice is a hash of (seed, row id, purpose), so rows do not depend on how they
+are partitioned and a retried task writes the same rows again.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillwise import schemas
+from tillwise.functions.ranking import dense_position
+from tillwise.functions.semantics import day_lit, ladder
+
+# Names, places and mixes the generators draw from.
+FIRST_NAMES = ["John", "Sarah", "Michael", "Emily", "David", "Jessica", "Chris", "Ashley", "Matt", "Amanda",
+               "Ryan", "Lauren", "Kevin", "Nicole", "Brian", "Rachel", "Tyler", "Megan", "Josh", "Katie"]
+LAST_NAMES = ["Smith", "Johnson", "Williams", "Brown", "Jones", "Garcia", "Miller", "Davis", "Rodriguez", "Martinez",
+              "Hernandez", "Lopez", "Gonzalez", "Wilson", "Anderson", "Thomas", "Taylor", "Moore", "Jackson", "Martin"]
+STREETS = ["Main St", "Oak Ave", "Maple Dr", "Cedar Ln", "Pine Rd", "Elm St", "Washington Blvd", "Lake View Dr",
+           "Mountain Way", "Summit Trail"]
+CITIES = ["Denver", "Salt Lake City", "Boulder", "Aspen", "Park City", "Jackson", "Telluride", "Steamboat Springs",
+          "Vail", "Breckenridge", "Mammoth Lakes", "Tahoe City", "Whistler", "Banff", "Portland"]
+STATES = ["CO", "UT", "WY", "CA", "WA", "OR", "MT", "ID", "NV", "BC"]
+SEGMENTS = ["Premium", "Standard", "Basic"]
+PRODUCTS = ["Powder Skis", "All-Mountain Skis", "Freestyle Snowboard", "Freeride Snowboard", "Ski Boots",
+            "Snowboard Boots", "Ski Poles", "Ski Goggles", "Snowboard Bindings", "Ski Helmet"]
+CATEGORIES = ["Skis", "Skis", "Snowboards", "Snowboards", "Boots", "Boots", "Accessories", "Accessories",
+              "Accessories", "Accessories"]
+FIRST_PRODUCT_ID = 1001
+STATUS_MIX = [(0.65, "Completed"), (0.80, "Shipped"), (0.90, "Processing"), (0.97, "Pending")]
+LAST_STATUS = "Cancelled"
+# Per segment: amount range, chance of a discount, discount range, items per order,
+# quantity range, unit price range.
+PROFILE = {
+    "Premium": ((500, 3000), 0.1, (5, 10), (3, 8), (2, 5), (150, 500)),
+    "Standard": ((100, 800), 0.4, (5, 20), (2, 5), (1, 3), (50, 250)),
+    "Basic": ((20, 300), 0.5, (10, 30), (1, 3), (1, 2), (10, 100)),
+}
+SHIPPING = (5, 50)
+REVIEWS_PER_PRODUCT = (30, 50)
+REVIEW_MIX = [(0.65, (4, 5)), (0.80, (1, 2))]
+TICKET_CATEGORIES = ["Shipping", "Product Quality", "Billing", "Returns", "General Inquiry", "Account Issues",
+                     "Order Status", "Technical Support"]
+TICKET_MOODS = [(0.4, ["Low", "Low", "Medium"], ["Closed"]),
+                (0.6, ["High", "Urgent", "Medium"], ["Resolved", "Closed", "Closed", "Resolved"]),
+                (1.0, ["Low", "Medium", "Medium", "High"], ["Open", "In Progress", "Resolved", "Closed"])]
+
+
+class Dice:
+    """Reproducible draws for a row id."""
+
+    def __init__(self, seed: int, *ids: Column | str):
+        self.seed, self.ids = seed, ids
+
+    def bits(self, purpose: str) -> Column:
+        return F.xxhash64(F.lit(self.seed), F.lit(purpose), *self.ids)
+
+    def unit(self, purpose: str) -> Column:
+        """Uniform in [0, 1)."""
+        return F.pmod(self.bits(purpose), F.lit(2**40)).cast("double") / F.lit(float(2**40))
+
+    def whole(self, purpose: str, low, high) -> Column:
+        """Uniform whole number, both ends included."""
+        lo, hi = (x if isinstance(x, Column) else F.lit(x) for x in (low, high))
+        return (lo + F.pmod(self.bits(purpose), hi - lo + F.lit(1))).cast("int")
+
+    def money(self, purpose: str, low, high) -> Column:
+        lo, hi = (x if isinstance(x, Column) else F.lit(x) for x in (low, high))
+        return F.round((lo + (hi - lo) * self.unit(purpose)).cast("decimal(14,6)"), 2)
+
+    def pick(self, purpose: str, labels: Sequence[str]) -> Column:
+        return F.element_at(F.array(*[F.lit(x) for x in labels]), self.whole(purpose, 1, len(labels)))
+
+    def guid(self, purpose: str) -> Column:
+        h = F.md5(F.concat_ws(":", F.lit(str(self.seed)), F.lit(purpose), *self.ids))
+        cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
+        return F.concat_ws("-", *[F.substring(h, a, n) for a, n in cuts])
+
+
+def generate_rows(spark: SparkSession, n: int) -> DataFrame:
+    return spark.range(n)
+
+
+def _by_segment(index: int, part: int | None = None) -> Column:
+    def of(s):
+        value = PROFILE[s][index]
+        return value if part is None else value[part]
+
+    return ladder([(F.col("customer_segment") == s, of(s)) for s in ("Premium", "Standard")], of("Basic"))
+
+
+def generate_customers(existing: DataFrame, n: int, seed: int, as_of: str) -> DataFrame:
+    """``n`` new customers whose ids continue after the highest existing one."""
+    start = F.coalesce(existing.agg(F.max("customer_id")).scalar(), F.lit(0)) + F.lit(1)
+    d = Dice(seed, "customer_id")
+    rows = existing.sparkSession.range(n).select((F.col("id") + start).alias("customer_id"))
+    df = rows.select(
+        "customer_id",
+        d.pick("first", FIRST_NAMES).alias("first_name"),
+        d.pick("last", LAST_NAMES).alias("last_name"),
+        F.concat(F.lit("customer"), F.col("customer_id").cast("string"), F.lit("@email.com")).alias("email"),
+        F.concat_ws("-", F.lit("555"), F.lpad(d.whole("area", 100, 999).cast("string"), 3, "0"),
+                    F.lpad(d.whole("line", 1000, 9999).cast("string"), 4, "0")).alias("phone"),
+        F.concat_ws(" ", d.whole("number", 100, 9999).cast("string"), d.pick("street", STREETS)).alias("address"),
+        d.pick("city", CITIES).alias("city"),
+        d.pick("state", STATES).alias("state"),
+        F.lpad(d.whole("zip", 10000, 99999).cast("string"), 5, "0").alias("zip_code"),
+        F.date_sub(day_lit(as_of), d.whole("signup", 1, 1825)).alias("registration_date"),
+        d.pick("segment", SEGMENTS).alias("customer_segment"))
+    return schemas.conform(df, schemas.CUSTOMERS)
+
+
+def generate_orders(customers: DataFrame, n: int, seed: int, as_of: str) -> DataFrame:
+    """``n`` orders of uniformly drawn customers, with amounts and discounts by segment."""
+    people = customers.agg(F.count("*")).scalar()
+    seats = dense_position(customers.select("customer_id", "customer_segment"), "customer_id", "__seat")
+    d = Dice(seed, "id")
+    drawn = customers.sparkSession.range(n).withColumn("__seat", F.pmod(d.bits("customer"), people))
+    o = drawn.join(seats, "__seat")
+    ago = F.make_interval(days=d.whole("days", 1, 365), hours=d.whole("hours", 0, 23),
+                          mins=d.whole("minutes", 0, 59), secs=d.whole("seconds", 0, 59))
+    roll = d.unit("status")
+    discounted = d.unit("discounted") < _by_segment(1)
+    df = o.select(
+        d.guid("order").alias("order_id"), "customer_id",
+        (day_lit(as_of).cast("timestamp") - ago).alias("order_date"),
+        ladder([(roll < F.lit(p), s) for p, s in STATUS_MIX], LAST_STATUS).alias("order_status"),
+        d.money("amount", _by_segment(0, 0), _by_segment(0, 1)).alias("total_amount"),
+        F.when(discounted, d.whole("discount", _by_segment(2, 0), _by_segment(2, 1))).otherwise(0)
+        .alias("discount_percent"),
+        d.money("shipping", *SHIPPING).alias("shipping_cost"))
+    return schemas.conform(df, schemas.ORDERS)
+
+
+def generate_items(orders: DataFrame, customers: DataFrame, seed: int) -> DataFrame:
+    """Items of each order: how many, which product, quantity and price by segment."""
+    per = Dice(seed, "order_id")
+    d = Dice(seed, "order_id", "line")
+    lines = orders.select("order_id", "customer_id").join(
+        customers.select("customer_id", "customer_segment"), "customer_id").withColumn(
+        "line", F.explode(F.sequence(F.lit(1), per.whole("items", _by_segment(3, 0), _by_segment(3, 1)))))
+    lines = lines.withColumn("product", d.whole("product", 1, len(PRODUCTS)))
+    price = d.money("price", _by_segment(5, 0), _by_segment(5, 1))
+    quantity = d.whole("quantity", _by_segment(4, 0), _by_segment(4, 1))
+
+    def label(labels):
+        return F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("product"))
+
+    df = lines.select(
+        d.guid("item").alias("order_item_id"), "order_id",
+        (F.col("product") + F.lit(FIRST_PRODUCT_ID - 1)).alias("product_id"),
+        label(PRODUCTS).alias("product_name"), label(CATEGORIES).alias("product_category"),
+        quantity.alias("quantity"), price.alias("unit_price"), F.round(price * quantity, 2).alias("line_total"))
+    return schemas.conform(df, schemas.ORDER_ITEMS)
+
+
+def generate_reviews(catalog: DataFrame, customers: DataFrame, seed: int, as_of: str) -> DataFrame:
+    """30 to 50 reviews per product; the drawn mood decides the rating."""
+    people = customers.agg(F.count("*")).scalar()
+    seats = dense_position(customers.select("customer_id"), "customer_id", "__seat")
+    per = Dice(seed, "product_id")
+    d = Dice(seed, "product_id", "n")
+    rows = catalog.select("product_id", "product_name").withColumn(
+        "n", F.explode(F.sequence(F.lit(1), per.whole("reviews", *REVIEWS_PER_PRODUCT))))
+    roll = d.unit("mood")
+    (good, good_range), (bad, bad_range) = REVIEW_MIX
+    rating = F.when(roll < good, d.whole("stars", *good_range)).when(
+        roll < bad, d.whole("stars", *bad_range)).otherwise(3)
+    mood = F.when(rating >= 4, "Great").when(rating <= 2, "Disappointing").otherwise("Decent")
+    df = rows.withColumn("__seat", F.pmod(d.bits("customer"), people)).join(seats, "__seat").select(
+        (F.col("product_id") * 100 + F.col("n")).alias("review_id"), "product_id", "customer_id",
+        F.date_sub(day_lit(as_of), d.whole("days", 0, 30)).alias("review_date"),
+        rating.alias("rating"), mood.alias("review_title"),
+        F.concat_ws(" ", mood, F.col("product_name")).alias("review_text"),
+        (d.unit("verified") < 0.75).alias("verified_purchase"))
+    return schemas.conform(df, schemas.PRODUCT_REVIEWS)
+
+
+def generate_tickets(customers: DataFrame, n: int, seed: int, as_of: str) -> DataFrame:
+    """``n`` tickets; the drawn mood decides priority and status."""
+    people = customers.agg(F.count("*")).scalar()
+    seats = dense_position(customers.select("customer_id"), "customer_id", "__seat")
+    d = Dice(seed, "id")
+    roll = d.unit("mood")
+    ago = F.make_interval(days=d.whole("days", 0, 30), hours=d.whole("hours", 0, 23), mins=d.whole("minutes", 0, 59))
+    category = d.pick("category", TICKET_CATEGORIES)
+    status = ladder([(roll < F.lit(p), d.pick(f"status{p}", s)) for p, _, s in TICKET_MOODS], "Open")
+    df = customers.sparkSession.range(n).withColumn("__seat", F.pmod(d.bits("customer"), people)).join(
+        seats, "__seat").select(
+        (F.col("id") + 1).alias("ticket_id"), "customer_id",
+        (day_lit(as_of).cast("timestamp") - ago).alias("ticket_date"),
+        category.alias("category"),
+        ladder([(roll < F.lit(p), d.pick(f"priority{p}", labels)) for p, labels, _ in TICKET_MOODS], "Low")
+        .alias("priority"),
+        F.concat(category, F.lit(" request")).alias("subject"),
+        F.concat(F.lit("Customer contacted us about "), F.lower(category)).alias("description"),
+        F.when(status.isin("Resolved", "Closed"), "Handled").alias("resolution"),
+        status.alias("status"))
+    return schemas.conform(df, schemas.SUPPORT_TICKETS)
