@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from registry import enrich, marts, reports, semantic, sources, state  # noqa: F401
+from registry import enrich, learning, marts, reports, semantic, sources, state  # noqa: F401
