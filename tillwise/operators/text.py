@@ -54,7 +54,7 @@ def words(text: Column | str) -> Column:
 
 def sentences(text: Column | str) -> Column:
     t = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.transform(F.split(t, SENTENCE_BREAK), F.trim), lambda s: F.length(s) > 0)
+    return F.filter(F.transform(F.split(t, SENTENCE_BREAK), lambda s: F.trim(s)), lambda s: F.length(s) > 0)
 
 
 def _holds(part: str, vocabulary: Sequence[str]):
