@@ -257,27 +257,28 @@ def _(t):
        SELECT a.vec_id AS id_a, b.vec_id AS id_b, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s
        FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id) ORDER BY round(s, 12) DESC, id_a, id_b LIMIT 10""")
 def _(t):
-    return similarity.pairwise_topk(t.raw("embeddings"), "vec_id", "embedding", 10, block_rows=256).withColumn(
+    return similarity.pairwise_topk(t.raw("embeddings"), "vec_id", "embedding", 10, block_rows=256,
+                                    scratch=scratch_dir(t.spark, "pairs")).withColumn(
         "similarity", F.round("similarity", 6))
 
 
 # --- text --------------------------------------------------------------------------------------------
 
 def _labelled(t, label):
-    return t.raw("documents").select("doc_id", "text").join(t.raw("labels").select("doc_id", label), "doc_id")
+    return t.documents.select("doc_id", "text").join(t.raw("labels").select("doc_id", label), "doc_id")
 
 
 @query("text_filter")
 def _(t):
     """Reviews a model trained on the toxic label picks out."""
     model = text.train_text_filter(_labelled(t, "toxic"), "text", "toxic", iterations=10)
-    return text.text_filter(t.raw("documents").select("doc_id", "lang", "text"), model).select("doc_id", "lang")
+    return text.text_filter(t.documents.select("doc_id", "lang", "text"), model).select("doc_id", "lang")
 
 
 @query("text_classify")
 def _(t):
     """Language of every document, from a model trained on the language column."""
-    docs = t.raw("documents").select("doc_id", "lang", "text")
+    docs = t.documents.select("doc_id", "lang", "text")
     model = text.train_text_classes(docs, "text", "lang", iterations=10)
     return text.text_classify(docs, model, "predicted").select("doc_id", "lang", "predicted")
 
@@ -292,7 +293,7 @@ def _(t):
 
 @query("embed_documents")
 def _(t):
-    return text.embed(t.raw("documents").select("doc_id", "text"), "text", 64).select(
+    return text.embed(t.documents.select("doc_id", "text"), "text", 64).select(
         "doc_id", F.size("embedding").alias("dim"),
         F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")), 3).alias("norm"))
 
@@ -333,7 +334,7 @@ def _verdict(p, n):
        CASE WHEN q_any = 0 THEN 'unknown' ELSE {_verdict('q_p', 'q_n')} END AS quality_sentiment,
        CASE WHEN c_any = 0 THEN 'unknown' ELSE {_verdict('c_p', 'c_n')} END AS price_sentiment FROM moods""")
 def _(t):
-    return text.sentiment(t.raw("documents"), "doc_id", "text", LEXICON, ASPECTS)
+    return text.sentiment(t.documents, "doc_id", "text", LEXICON, ASPECTS)
 
 
 SHARED_SQL["post"] = """
@@ -351,24 +352,22 @@ SHARED_SQL["bm"] = """
 
 @query("search_documents", "SELECT doc_id, lang, source, score FROM documents JOIN bm USING (doc_id) ORDER BY score DESC, doc_id LIMIT 20")
 def _(t):
-    index = text.SearchIndex.build(t.raw("documents"), "doc_id", "text")
-    return index.search("Only worthless thing", ["lang", "source"], 20)
+    path = scratch_dir(t.spark, "index")
+    text.SearchIndex.build(t.documents, "doc_id", "text").write(path)
+    return text.SearchIndex.read(t.documents, "doc_id", path).search("Only worthless thing", ["lang", "source"], 20)
 
 
 @query("search_filtered", """SELECT doc_id, lang, score FROM documents JOIN bm USING (doc_id) WHERE lang = 'en' AND n_chars > 500
        ORDER BY score DESC, doc_id LIMIT 20""")
 def _(t):
-    """The stored index answers the same query under an attribute filter."""
-    path = scratch_dir(t.spark, "index")
-    docs = t.raw("documents")
-    text.SearchIndex.build(docs, "doc_id", "text").write(path)
-    return text.SearchIndex.read(docs, "doc_id", path).search(
+    """An index that was not stored answers the same query under an attribute filter."""
+    return text.SearchIndex.build(t.documents, "doc_id", "text").search(
         "only worthless thing", ["lang"], 20, (F.col("lang") == "en") & (F.col("n_chars") > 500))
 
 
 @query("search_index_terms", "SELECT term, COUNT(*) AS docs, SUM(tf)::BIGINT AS uses FROM post GROUP BY 1")
 def _(t):
-    return text.SearchIndex.build(t.raw("documents"), "doc_id", "text").postings.groupBy("term").agg(
+    return text.SearchIndex.build(t.documents, "doc_id", "text").postings.groupBy("term").agg(
         F.count("*").alias("docs"), F.sum("tf").alias("uses"))
 
 
@@ -387,7 +386,7 @@ def _(t):
 @query("extract_amounts_dates", f"""SELECT doc_id, len(regexp_extract_all(text, '{text.AMOUNT}')) AS n_amounts,
        len(regexp_extract_all(text, '{text.DATE}')) AS n_dates FROM documents""")
 def _(t):
-    return text.extract_amounts_dates(t.raw("documents"), "doc_id", "text").drop("records")
+    return text.extract_amounts_dates(t.documents, "doc_id", "text").drop("records")
 
 
 @query("extract_sentences", """
@@ -397,14 +396,14 @@ def _(t):
           FROM (SELECT doc_id, unnest(string_split_regex(text, '[.!?\n]+')) AS sentence,
                        generate_subscripts(string_split_regex(text, '[.!?\n]+'), 1) AS n FROM documents)) GROUP BY 1""")
 def _(t):
-    return text.extract_sentences(t.raw("documents"), "doc_id", "text",
+    return text.extract_sentences(t.documents, "doc_id", "text",
                                   {"pros": ["only", "thing"], "cons": ["worthless", "stupid"]})
 
 
 @query("redact_pii", f"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '{text.EMAIL}', '[EMAIL]', 'g'),
        '{text.CARD}', '[CARD]', 'g'), '{text.PHONE}', '[PHONE]', 'g') AS text FROM documents""")
 def _(t):
-    return t.raw("documents").select("doc_id", text.redact_pii("text").alias("text"))
+    return t.documents.select("doc_id", text.redact_pii("text").alias("text"))
 
 
 @query("eval_dataset", "SELECT props AS input_query, COUNT(*) AS rows, (props->>'k')::BIGINT AS k FROM events GROUP BY props")

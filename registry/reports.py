@@ -100,7 +100,7 @@ def _(t):
 
 @query("match_ilike", "SELECT doc_id FROM documents WHERE text ILIKE '%THE%'")
 def _(t):
-    return sv.match(t.raw("documents"), "text", "%THE%", ignore_case=True).select("doc_id")
+    return sv.match(t.documents, "text", "%THE%", ignore_case=True).select("doc_id")
 
 
 @query("prefiltered_reviews", """SELECT review_id FROM rev WHERE review_text IS NOT NULL AND length(review_text) > 10
@@ -375,7 +375,7 @@ def _(t):
 @query("score_summary", """SELECT lang AS metric, SUM(n_chars)::DOUBLE / COUNT(*) AS avg_score, MIN(n_chars) AS min_score,
        MAX(n_chars) AS max_score, COUNT(n_chars) AS evaluations FROM documents GROUP BY 1""")
 def _(t):
-    return rp.score_summary(t.raw("documents"), "lang", "n_chars").withColumnRenamed("lang", "metric")
+    return rp.score_summary(t.documents, "lang", "n_chars").withColumnRenamed("lang", "metric")
 
 
 # --- workload log ---------------------------------------------------------------------------

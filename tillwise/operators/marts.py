@@ -129,6 +129,11 @@ def customer_segmentation(clv: DataFrame) -> DataFrame:
     )
 
 
+def _baskets(items: DataFrame) -> DataFrame:
+    """Distinct (order, product); one shuffle serves every use in a plan."""
+    return items.select("order_id", "product_id", "product_name", "product_category").distinct()
+
+
 def product_pairs(items: DataFrame) -> DataFrame:
     """Pairs of differently named products in one order, and in how many orders they meet.
 
@@ -137,7 +142,7 @@ def product_pairs(items: DataFrame) -> DataFrame:
     read one shuffle by order; the join feeds a map-side count, and AQE splits an order
     that is far larger than the rest.
     """
-    lines = items.select("order_id", "product_id", "product_name", "product_category").distinct()
+    lines = _baskets(items)
 
     def side(s):
         return lines.select("order_id", *[
@@ -154,8 +159,9 @@ def product_affinity(items: DataFrame, min_lift: float = 1.0,
                      strengths: Sequence[tuple] = STRENGTHS,
                      priorities: Sequence[tuple] = PAIR_PRIORITIES) -> DataFrame:
     """Confidence both ways, lift, support, strength and priority of product pairs."""
-    totals = items.groupBy("product_name").agg(F.count_distinct("order_id").alias("n"))
-    all_orders = items.agg(F.count_distinct("order_id")).scalar()
+    lines = _baskets(items)
+    totals = lines.groupBy("product_name").agg(F.count_distinct("order_id").alias("n"))
+    all_orders = lines.agg(F.count_distinct("order_id")).scalar()
     pairs = F.col("times_bought_together")
     a, b = F.col("product_a_total_orders"), F.col("product_b_total_orders")
     scored = (

@@ -53,6 +53,11 @@ def _purchases(orders: DataFrame, items: DataFrame) -> DataFrame:
     return orders.select("order_id", "customer_id", "order_date").join(items, "order_id")
 
 
+def _bought(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Distinct (customer, product); one shuffle serves every use in a plan."""
+    return _purchases(orders, items).select("customer_id", "product_id").distinct()
+
+
 def customer_history(orders: DataFrame, items: DataFrame, as_of: date | str) -> DataFrame:
     """Orders, spend, products and recency per customer that bought something."""
     lines = _purchases(orders, items)
@@ -62,7 +67,7 @@ def customer_history(orders: DataFrame, items: DataFrame, as_of: date | str) ->
     per_customer = spent.groupBy("customer_id").agg(
         F.count("order_id").alias("total_past_orders"), F.sum("s").alias("total_spent"),
         ratio(F.sum("s"), F.sum("n")).alias("avg_item_spend"), F.max("d").alias("last_order_date"))
-    products = lines.groupBy("customer_id", "product_id").agg(F.count("*").alias("k")).groupBy("customer_id").agg(
+    products = _bought(orders, items).groupBy("customer_id").agg(
         F.count("product_id").alias("unique_products_bought"))
     return per_customer.join(products, "customer_id").withColumn(
         "days_since_last_order", days_between("last_order_date", day_lit(as_of)))
@@ -70,8 +75,7 @@ def customer_history(orders: DataFrame, items: DataFrame, as_of: date | str) ->
 
 def purchased_products(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Ordered list of the distinct products of each customer, as text."""
-    distinct = _purchases(orders, items).select("customer_id", "product_id").distinct()
-    return distinct.groupBy("customer_id").agg(
+    return _bought(orders, items).groupBy("customer_id").agg(
         F.array_join(F.array_sort(F.collect_list("product_id")).cast("array<string>"), ",").alias("purchased_products"))
 
 
@@ -84,19 +88,16 @@ def customer_products(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def product_popularity(items: DataFrame) -> DataFrame:
     """Orders, price, volume and price spread per product."""
-    per_order = items.groupBy("product_id").agg(F.count_distinct("order_id").alias("times_ordered"))
-    price = items.groupBy("product_id").agg(
-        ratio(F.sum("unit_price"), F.count("unit_price")).alias("avg_price"),
-        F.sum("quantity").alias("total_quantity_sold"), _stddev("unit_price").alias("price_variance"))
-    return per_order.join(price, "product_id")
-
-
-def _stddev(column: str):
-    """Sample standard deviation from exact sums, 0 for a single value."""
-    v = F.col(column).cast("decimal(12,2)")
-    n, s, q = F.count(v), F.sum(v), F.sum(v * v)
-    variance = F.try_divide((q * n - s * s).cast("double"), (n * (n - 1)).cast("double"))
-    return F.coalesce(F.sqrt(F.greatest(variance, F.lit(0.0))), F.lit(0.0))
+    price = F.col("unit_price").cast("decimal(12,2)")
+    per_order = items.groupBy("product_id", "order_id").agg(
+        F.sum("quantity").alias("q"), F.count(price).alias("n"), F.sum(price).alias("s"), F.sum(price * price).alias("ss"))
+    n, s, ss = F.sum("n"), F.sum("s"), F.sum("ss")
+    # Sample variance from exact sums; NULL for a single price, which counts as no spread.
+    variance = F.try_divide((ss * n - s * s).cast("double"), (n * (n - F.lit(1))).cast("double"))
+    return per_order.groupBy("product_id").agg(
+        F.count("order_id").alias("times_ordered"), ratio(s, n).alias("avg_price"),
+        F.sum("q").alias("total_quantity_sold"),
+        F.coalesce(F.sqrt(F.greatest(variance, F.lit(0.0))), F.lit(0.0)).alias("price_variance"))
 
 
 def _features(pairs: DataFrame, history: DataFrame, popularity: DataFrame, label: int) -> DataFrame:
@@ -117,7 +118,7 @@ def negative_examples(history: DataFrame, popularity: DataFrame, bought: DataFra
 def recommendation_training_set(orders: DataFrame, items: DataFrame, as_of: date | str) -> DataFrame:
     """Bought pairs and never-bought pairs with the same features."""
     history, popularity = customer_history(orders, items, as_of), product_popularity(items)
-    bought = customer_products(orders, items).select("customer_id", "product_id")
+    bought = _bought(orders, items)
     return _features(bought, history, popularity, 1).unionByName(negative_examples(history, popularity, bought))
 
 

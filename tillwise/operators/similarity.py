@@ -6,9 +6,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwise.session import cut_lineage
+
 BLOCK_ROWS = 2048
 _SLACK = 1e-9  # a bound may round below the value it bounds
 
@@ -29,7 +33,8 @@ def similarity_topk(df: DataFrame, key: str, vec: str, query: Sequence[float], k
         F.desc_nulls_last("similarity"), F.asc(key)).limit(k)
 
 
-def pairwise_topk(df: DataFrame, key: str, vec: str, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def pairwise_topk(df: DataFrame, key: str, vec: str, k: int, block_rows: int = BLOCK_ROWS,
+                  scratch: str | None = None) -> DataFrame:
     """The ``k`` most similar pairs, exactly.
 
     Vectors are cut into blocks of about ``block_rows`` by direction (sign pattern of a
@@ -38,6 +43,9 @@ def pairwise_topk(df: DataFrame, key: str, vec: str, k: int, block_rows: int = B
     is only visited when centre distance and radii allow a better one (triangle
     inequality on unit vectors). A visit multiplies two bounded matrices in one task and
     returns at most ``k`` pairs, so no list of all pairs ever exists.
+
+    Intermediate blocks are checkpointed in the cluster's shared folder; ``scratch`` is
+    used where the cluster names none.
     """
     length = F.sqrt(_dot(F.col(vec), F.col(vec)))
     unit = df.filter(length > 0).select(
@@ -54,12 +62,14 @@ def pairwise_topk(df: DataFrame, key: str, vec: str, k: int, block_rows: int = B
     block = marked.join(sizes, "cell").select(
         "id", "v", (F.col("before") + F.pmod(F.xxhash64("id"), F.col("parts"))).alias("block"))
 
+    # Read many times below, so it is computed once and its lineage cut.
+    block = cut_lineage(df.sparkSession, block, scratch)
+
     # One row per block: mean direction and the largest distance from it.
-    centres = block.select("block", F.posexplode("v").alias("i", "x")).groupBy("block", "i").agg(
-        F.avg("x").alias("m")).groupBy("block").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("centre"))
-    meta = block.join(centres, "block").groupBy("block", "centre").agg(
-        F.max(_distance(F.col("v"), F.col("centre"))).alias("radius"))
+    centres = block.groupBy("block").agg(
+        vector_to_array(Summarizer.mean(array_to_vector("v"))).alias("centre"))
+    meta = cut_lineage(df.sparkSession, block.join(centres, "block").groupBy("block", "centre").agg(
+        F.max(_distance(F.col("v"), F.col("centre"))).alias("radius")), scratch)
 
     def best(pairs: DataFrame) -> DataFrame:
         left = pairs.join(block.withColumnRenamed("block", "a"), "a").withColumn("side", F.lit(0))
@@ -70,7 +80,7 @@ def pairwise_topk(df: DataFrame, key: str, vec: str, k: int, block_rows: int = B
 
     inside = best(meta.select(F.col("block").alias("a"), F.col("block").alias("b")))
     order = [F.desc("similarity"), F.asc("id_a"), F.asc("id_b")]
-    first = inside.orderBy(*order).limit(k)
+    first = cut_lineage(df.sparkSession, inside.orderBy(*order).limit(k), scratch)
     floor = first.agg(F.when(F.count("*") == k, F.min("similarity")).otherwise(F.lit(-1.0))).scalar()
     # Blocks, not rows, are paired here: one row per ``block_rows`` vectors.
     a = meta.select(F.col("block").alias("a"), F.col("centre").alias("ca"), F.col("radius").alias("ra"))

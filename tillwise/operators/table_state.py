@@ -68,13 +68,13 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     rows = df.groupBy(*df.columns).agg(F.count("*").alias("copies"))
     named = set(keys)
     tie = [F.col(c).desc_nulls_last() for c in df.columns if c not in named]
-    winners = first_per_key(rows, keys, [*order, *tie]).select(*df.columns, F.lit(1).alias("kept"))
-    same = reduce(lambda a, b: a & b, [F.col(f"r.{c}").eqNullSafe(F.col(f"w.{c}")) for c in df.columns])
-    joined = rows.alias("r").join(winners.alias("w"), same, "left")
-    return joined.select(
-        *[F.col(f"r.{c}").alias(c) for c in df.columns],
-        (F.col("copies") - F.coalesce("w.kept", F.lit(0))).alias("extra_copies"),
-    ).filter(F.col("extra_copies") > 0)
+    payload = F.struct(*df.columns)
+    winners = first_per_key(rows, keys, [*order, *tie]).select(
+        *[F.col(k).alias(f"__k_{k}") for k in keys], payload.alias("__kept"))
+    same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    kept = payload.eqNullSafe(F.col("__kept")).cast("int")
+    return rows.join(winners, same_key).withColumn("extra_copies", F.col("copies") - kept).filter(
+        F.col("extra_copies") > 0).select(*df.columns, "extra_copies")
 
 
 def _classify(target: DataFrame, source: DataFrame, key: str, tracked: Sequence[str] | None,

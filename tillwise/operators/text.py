@@ -171,34 +171,41 @@ def reviews_with_sentiment(reviews: DataFrame, satisfied: PipelineModel, lexicon
 # --- search ----------------------------------------------------------------------------------
 
 class SearchIndex:
-    """Inverted index of (term, document, count) with BM25 ranking."""
+    """Inverted index of (term, document, count) with BM25 ranking.
 
-    def __init__(self, postings: DataFrame, documents: DataFrame, key: str):
-        self.postings, self.documents, self.key = postings, documents, key
+    ``lengths`` holds the number of words per document. Store the index with
+    :meth:`write` when it answers more than one query: a stored index is read by term,
+    one that is not stored tokenises the texts again for every query.
+    """
+
+    def __init__(self, postings: DataFrame, lengths: DataFrame, documents: DataFrame, key: str):
+        self.postings, self.lengths, self.documents, self.key = postings, lengths, documents, key
 
     @classmethod
     def build(cls, df: DataFrame, key: str, text: Sequence[str] | str) -> SearchIndex:
         """Index one or several text columns; all other columns can be filtered and returned."""
         columns = [text] if isinstance(text, str) else list(text)
-        all_text = F.concat_ws(" ", *columns)
-        marked = df.withColumn("__words", words(all_text))
-        postings = marked.select(key, F.size("__words").alias("length"), F.explode("__words").alias("term")).groupBy(
+        tokens = df.select(key, words(F.concat_ws(" ", *columns)).alias("__words"))
+        postings = tokens.select(key, F.size("__words").alias("length"), F.explode("__words").alias("term")).groupBy(
             "term", key, "length").agg(F.count("*").alias("tf"))
-        return cls(postings, df, key)
+        return cls(postings, tokens.select(key, F.size("__words").alias("length")), df, key)
 
     def write(self, path: str) -> None:
         """Store the postings ordered by term: a query then reads a few row groups."""
-        self.postings.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(path)
+        self.postings.repartitionByRange("term", self.key).sortWithinPartitions("term", self.key).write.mode(
+            "overwrite").parquet(f"{path}/postings")
+        self.lengths.write.mode("overwrite").parquet(f"{path}/lengths")
 
     @classmethod
     def read(cls, df: DataFrame, key: str, path: str) -> SearchIndex:
-        return cls(df.sparkSession.read.parquet(path), df, key)
+        spark = df.sparkSession
+        return cls(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths"), df, key)
 
     def search(self, q: str, columns: Sequence[str], limit: int = 5, where: Column | None = None) -> DataFrame:
         """Best documents for a query, with the chosen columns and the score."""
         terms = sorted({w for w in _query_words(q)})
-        stats = self.documents.agg(F.count("*")).scalar()
-        lengths = self.postings.agg(ratio(F.sum("tf"), F.count_distinct(self.key))).scalar()
+        stats = self.lengths.agg(F.count("*")).scalar()
+        lengths = self.lengths.agg(ratio(F.sum("length"), F.count_if(F.col("length") > 0))).scalar()
         hits = self.postings.filter(F.col("term").isin(*terms))
         found = hits.groupBy("term").agg(F.count("*").alias("df"))
         n, df, tf = stats, F.col("df"), F.col("tf")

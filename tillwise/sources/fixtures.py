@@ -44,6 +44,19 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def _dealt(self, name: str) -> DataFrame:
+        """A table, dealt out to all cores when its files are too few to keep them busy.
+
+        One file with one row group is read by one task, which then does all the work up
+        to the next shuffle. From a gigabyte or so on there are splits enough and the
+        table is read as it lies.
+        """
+        df = self.raw(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        split = 128 * 1024 * 1024
+        return df.repartition(cores) if 4 * 1024 * 1024 < size < cores * split else df
+
     @cached_property
     def customers(self) -> DataFrame:
         k = F.col("c_custkey")
@@ -83,13 +96,6 @@ class Tables:
         )
         return schemas.conform(df, schemas.ORDERS)
 
-    @cached_property
-    def _part_names(self) -> DataFrame:
-        """Each part with the id of the catalogue product of the same name."""
-        part = self.raw("part")
-        first = part.groupBy("p_name").agg(F.min("p_partkey").alias("product_id"))
-        return part.select("p_partkey", "p_name").join(first, "p_name")
-
     @cached_property
     def product_catalog(self) -> DataFrame:
         part = self.raw("part")
@@ -111,18 +117,19 @@ class Tables:
     def _items(self, key) -> DataFrame:
         cents = _cents("l_extendedprice")
         qty = F.col("l_quantity").cast("int")
-        products = self._part_names.join(
-            self.product_catalog.select("product_id", "product_category"), "product_id")
+        # Joined one after the other: each small side then has a size Spark knows, while
+        # the estimate for part joined to catalogue would be the product of both.
+        names = self.raw("part").select("p_partkey", "p_name")
+        products = self.product_catalog.select("product_id", "product_category", "product_name")
         df = (
-            self.raw("lineitem")
+            self._dealt("lineitem")
             .withColumns({"__cents": cents, "__qty": qty})
-            .join(products, F.col("l_partkey") == F.col("p_partkey"))
+            .join(names, F.col("l_partkey") == F.col("p_partkey"))
+            .join(products, F.col("p_name") == F.col("product_name"))
             .select(
                 key.alias("order_item_id"),
                 F.col("l_orderkey").cast("string").alias("order_id"),
-                "product_id",
-                F.col("p_name").alias("product_name"),
-                "product_category",
+                "product_id", "product_name", "product_category",
                 F.col("__qty").alias("quantity"),
                 # Half-up on whole numbers: cents / 100 / quantity.
                 (F.expr("(2 * __cents + 100 * __qty) div (200 * __qty)").cast("decimal(14,0)")
@@ -157,7 +164,7 @@ class Tables:
     @cached_property
     def product_reviews(self) -> DataFrame:
         products = dense_position(self.product_catalog.select("product_id"), "product_id", "__pos")
-        docs = self.raw("documents")
+        docs = self.documents
         n_products = self.product_catalog.agg(F.count("*")).scalar()
         n_customers = self.raw("customer").agg(F.count("*")).scalar()
         df = (
@@ -176,6 +183,10 @@ class Tables:
         )
         return schemas.conform(df, schemas.PRODUCT_REVIEWS)
 
+    @cached_property
+    def documents(self) -> DataFrame:
+        return self._dealt("documents")
+
     @cached_property
     def support_tickets(self) -> DataFrame:
         e = F.col("event_id")
