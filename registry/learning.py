@@ -84,7 +84,7 @@ def _(t):
        WHERE (c.customer_id, p.product_id) NOT IN (SELECT (customer_id, product_id) FROM ord JOIN item USING (order_id))""")
 def _(t):
     bought = ml.customer_products(t.orders, t.order_items)
-    return combinations_not_in(t.customers, "customer_id", t.product_catalog, "product_id", bought, block=16)
+    return combinations_not_in(t.customers.select("customer_id"), "customer_id", t.product_catalog, "product_id", bought, block=16)
 
 
 @query("encode_ids", """SELECT customer_id, product_id, customer_id % 10000 AS customer_id_encoded, product_id % 10000 AS product_id_encoded

@@ -4,6 +4,8 @@ from registry.base import SHARED_SQL, query
 from registry.enrich import _num
 from tillwise.operators import marts as op
 from tillwise.operators import staging as stg
+from tillwise.session import cut_lineage
+from tillwise.sources.files import scratch_dir
 from tillwise.sources.fixtures import AS_OF
 
 TODAY = f"DATE '{AS_OF}'"
@@ -315,7 +317,9 @@ def _(t):
                  ROW_NUMBER() OVER (ORDER BY units_sold DESC, product_id) AS volume_rank,
                  PERCENT_RANK() OVER (ORDER BY total_revenue) AS pr FROM ipm)""")
 def _(t):
-    return op.product_performance(product_metrics(t))
+    # Ranked from a stored copy: the ranks read the metrics more than once.
+    metrics = cut_lineage(t.spark, product_metrics(t), scratch_dir(t.spark, "metrics"))
+    return op.product_performance(metrics)
 
 
 @query("monthly_cohorts", """

@@ -100,8 +100,8 @@ def product_popularity(items: DataFrame) -> DataFrame:
         F.coalesce(F.sqrt(F.greatest(variance, F.lit(0.0))), F.lit(0.0)).alias("price_variance"))
 
 
-def _features(pairs: DataFrame, history: DataFrame, popularity: DataFrame, label: int) -> DataFrame:
-    return pairs.join(history, "customer_id").join(popularity, "product_id").select(
+def _features(pairs: DataFrame, popularity: DataFrame, label: int) -> DataFrame:
+    return pairs.join(popularity, "product_id").select(
         "customer_id", "product_id", "total_past_orders", F.col("total_spent").cast("double").alias("total_spent"),
         "avg_item_spend", "unique_products_bought", "days_since_last_order",
         F.col("times_ordered").alias("product_popularity"), F.col("avg_price").alias("product_price"),
@@ -111,15 +111,14 @@ def _features(pairs: DataFrame, history: DataFrame, popularity: DataFrame, label
 
 def negative_examples(history: DataFrame, popularity: DataFrame, bought: DataFrame) -> DataFrame:
     """All customer x product pairs that were never bought, with features."""
-    return _features(combinations_not_in(history, "customer_id", popularity, "product_id", bought),
-                     history, popularity, 0)
+    return _features(combinations_not_in(history, "customer_id", popularity, "product_id", bought), popularity, 0)
 
 
 def recommendation_training_set(orders: DataFrame, items: DataFrame, as_of: date | str) -> DataFrame:
     """Bought pairs and never-bought pairs with the same features."""
     history, popularity = customer_history(orders, items, as_of), product_popularity(items)
     bought = _bought(orders, items)
-    return _features(bought, history, popularity, 1).unionByName(negative_examples(history, popularity, bought))
+    return _features(bought.join(history, "customer_id"), popularity, 1).unionByName(negative_examples(history, popularity, bought))
 
 
 def encode_ids(df: DataFrame, columns: Sequence[str], modulus: int = ID_MODULUS) -> DataFrame:
@@ -281,9 +280,8 @@ def candidate_matrix(targets: DataFrame, orders: DataFrame, items: DataFrame, ca
         F.coalesce("total_quantity_sold", zero).alias("product_volume"),
         F.coalesce("price_variance", F.lit(0.0)).alias("product_price_variance"))
     bought = lines.filter(F.col("product_id").isNotNull()).select("customer_id", "product_id").distinct()
-    open_pairs = combinations_not_in(targets, "customer_id", products, "product_id", bought)
-    joined = open_pairs.join(targets.select("customer_id", "segment"), "customer_id").join(
-        per_customer, "customer_id").join(products, "product_id")
+    known = targets.select("customer_id", "segment").join(per_customer, "customer_id")
+    joined = combinations_not_in(known, "customer_id", catalog, "product_id", bought).join(products, "product_id")
     return encode_ids(joined, ["customer_id", "product_id"])
 
 

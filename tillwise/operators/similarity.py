@@ -51,7 +51,9 @@ def pairwise_topk(df: DataFrame, key: str, vec: str, k: int, block_rows: int = B
     unit = df.filter(length > 0).select(
         F.col(key).cast("long").alias("id"),
         F.transform(F.col(vec), lambda x: x.cast("double") / length).alias("v"))
-    cell = F.aggregate(F.slice("v", 1, 6), F.lit(0), lambda s, x: s * 2 + F.when(x > 0, 1).otherwise(0))
+    # As many direction bits as give cells of about one block.
+    bits = min(6, max(0, (df.count() // block_rows).bit_length() - 1))
+    cell = F.aggregate(F.slice("v", 1, bits), F.lit(0), lambda s, x: s * 2 + F.when(x > 0, 1).otherwise(0))
     marked = unit.withColumn("cell", cell)
     # At most 64 cells, so their block numbers are handed out in one short list.
     run = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)

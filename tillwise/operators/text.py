@@ -194,7 +194,9 @@ class SearchIndex:
         """Store the postings ordered by term: a query then reads a few row groups."""
         self.postings.repartitionByRange("term", self.key).sortWithinPartitions("term", self.key).write.mode(
             "overwrite").parquet(f"{path}/postings")
-        self.lengths.write.mode("overwrite").parquet(f"{path}/lengths")
+        stored = self.postings.sparkSession.read.parquet(f"{path}/postings")
+        lengths = stored.groupBy(self.key).agg(F.max("length").alias("length"))
+        lengths.write.mode("overwrite").parquet(f"{path}/lengths")
 
     @classmethod
     def read(cls, df: DataFrame, key: str, path: str) -> SearchIndex:
@@ -204,7 +206,7 @@ class SearchIndex:
     def search(self, q: str, columns: Sequence[str], limit: int = 5, where: Column | None = None) -> DataFrame:
         """Best documents for a query, with the chosen columns and the score."""
         terms = sorted({w for w in _query_words(q)})
-        stats = self.lengths.agg(F.count("*")).scalar()
+        stats = self.documents.agg(F.count("*")).scalar()
         lengths = self.lengths.agg(ratio(F.sum("length"), F.count_if(F.col("length") > 0))).scalar()
         hits = self.postings.filter(F.col("term").isin(*terms))
         found = hits.groupBy("term").agg(F.count("*").alias("df"))
