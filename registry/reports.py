@@ -425,3 +425,16 @@ def _(t):
           FROM qlog GROUP BY 1)""")
 def _(t):
     return rp.latency_summary(t.query_log)
+
+
+@query("refresh_stats", """SELECT event_type AS name, CASE WHEN value >= 5 THEN 'FULL' ELSE 'INCREMENTAL' END AS refresh_action,
+       COUNT(*) AS refreshes, SUM(event_id % 60)::DOUBLE / COUNT(*) AS avg_seconds, SUM(event_id % 11)::BIGINT AS rows_inserted,
+       SUM(event_id % 5)::BIGINT AS rows_deleted FROM events GROUP BY 1, 2""")
+def _(t):
+    """Events read as a refresh log."""
+    e = F.col("event_id")
+    start = F.date_trunc("second", F.col("ts").cast("timestamp"))
+    return rp.refresh_stats(t.raw("events").select(
+        F.col("event_type").alias("name"), F.when(F.col("value") >= 5, "FULL").otherwise("INCREMENTAL").alias("refresh_action"),
+        start.alias("refresh_start_time"), (start + F.make_interval(secs=e % 60)).alias("refresh_end_time"),
+        (e % 11).alias("inserted"), (e % 5).alias("deleted")))

@@ -6,7 +6,7 @@ from registry.base import query
 from registry.enrich import DAILY_MONEY, FLAGS, _num
 from registry.marts import clv
 from tillwise import schemas
-from tillwise.operators import enrich
+from tillwise.operators import enrich, table_state
 from tillwise.plans.refresh import Layer, Refresher
 from tillwise.sources import external, files
 from tillwise.sources import generators as gen
@@ -87,6 +87,33 @@ def _(t):
     return files.materialize(t.customers, "customers_view").groupBy("customer_segment").agg(F.count("*").alias("n"))
 
 
+@query("profile_columns")
+def _(t):
+    """Columns and types of every entity."""
+    out = None
+    for name, df in t.all().items():
+        part = files.profile_columns(df, name)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("list_documents")
+def _(t):
+    """Table files of the data folder."""
+    return files.list_documents(t.spark, t.sf_dir, "*.parquet").select("file_name", "length")
+
+
+@query("merge_report", """SELECT COUNT(*) FILTER (NOT known) AS inserted, COUNT(*) FILTER (known) AS updated, COUNT(*) AS records_merged,
+       true AS timed FROM (SELECT order_id IN (SELECT order_id FROM ord WHERE order_date < DATE '2001-01-01') AS known FROM stage_one)""")
+def _(t):
+    """Counts and duration of an upsert that was written."""
+    result = table_state.merge_upsert(t.orders.filter("order_date < DATE '2001-01-01'"), t.orders_staging, "order_id",
+                                      [F.desc("order_date")])
+    report = table_state.write_merge(result, _scratch(t, "merged"))
+    row = (report["inserted"], report["updated"], report["records_merged"], report["duration_ms"] >= 0)
+    return files.values(t.spark, [row], "inserted bigint, updated bigint, records_merged bigint, timed boolean")
+
+
 @query("sample_n", "SELECT 100 AS rows, 100 AS different, 0 AS outside")
 def _(t):
     """Properties of an exact sample; which rows are drawn depends on the hash."""

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwise.functions.semantics import days_before, first_per_key, strict_least
+from tillwise.sources.files import write_version
 
 ACTION = "__action"
 
@@ -47,6 +48,16 @@ class MergeResult:
             n("keep").alias("unchanged"), n("insert", "update").alias("records_merged"))
 
 
+def write_merge(result: MergeResult, root: str) -> dict:
+    """Write the new table state as the next version and report counts and duration."""
+    start = datetime.now(timezone.utc)
+    path = write_version(result.table, root)
+    counts = result.counts().first().asDict()
+    end = datetime.now(timezone.utc)
+    return {**counts, "path": path, "start_time": start, "end_time": end,
+            "duration_ms": int((end - start).total_seconds() * 1000)}
+
+
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """First row per key by ``order``; all other columns break ties, so the result is fixed."""
     named = set(keys)
@@ -224,11 +235,11 @@ def truncate(df: DataFrame) -> DataFrame:
 # --- reconcile -----------------------------------------------------------------------------
 
 def orphan_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
-    return orders.join(items.select("order_id"), "order_id", "left_anti")
+    return orders.join(items.select("order_id"), "order_id", "left_anti").select(*orders.columns)
 
 
 def orphan_items(items: DataFrame, orders: DataFrame) -> DataFrame:
-    return items.join(orders.select("order_id"), "order_id", "left_anti")
+    return items.join(orders.select("order_id"), "order_id", "left_anti").select(*items.columns)
 
 
 @dataclass(frozen=True)
@@ -245,8 +256,8 @@ def reconcile(orders: DataFrame, items: DataFrame) -> Reconciled:
     time finds nothing.
     """
     unique = dedupe_latest(orders, ["order_id"], [F.asc("order_date")])
-    good_orders = unique.join(items.select("order_id"), "order_id", "left_semi")
-    good_items = items.join(unique.select("order_id"), "order_id", "left_semi")
+    good_orders = unique.join(items.select("order_id"), "order_id", "left_semi").select(*orders.columns)
+    good_items = items.join(unique.select("order_id"), "order_id", "left_semi").select(*items.columns)
 
     def n(df):
         return df.agg(F.count("*")).scalar()
