@@ -28,6 +28,18 @@ def test_merge_upsert(target, source, rows):
     assert rows(again.table) == rows(result.table)
 
 
+def test_small_merge_does_not_shuffle_the_target(spark, tables, folder):
+    tables.orders.unionByName(tables.orders.withColumn("order_id", F.concat("order_id", F.lit("x")))).write.parquet(f"{folder}/big")
+    tables.orders.limit(5).withColumn("order_status", F.lit("Changed")).unionByName(
+        tables.orders.limit(1).withColumn("order_id", F.lit("new"))).write.parquet(f"{folder}/few")
+    big = spark.read.parquet(f"{folder}/big")
+    result = ts.merge_upsert(big, spark.read.parquet(f"{folder}/few"), "order_id")
+    assert "FullOuter" not in result.classified._jdf.queryExecution().optimizedPlan().toString()
+    counts = result.counts().first()
+    assert (counts["inserted"], counts["updated"], counts["unchanged"]) == (1, 5, big.count() - 5)
+    assert result.table.filter("order_status = 'Changed'").count() == 5
+
+
 def test_merge_changed_sees_null_transitions(target, source):
     counts = ts.merge_changed(target, source, "id", ["name"]).counts().first()
     assert (counts["updated"], counts["inserted"], counts["unchanged"]) == (1, 1, 2)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwise.functions.semantics import days_before, first_per_key, strict_least
+from tillwise.session import broadcast_limit, estimated_bytes
 from tillwise.sources.files import write_version
 
 ACTION = "__action"
@@ -88,38 +89,55 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
         F.col("extra_copies") > 0).select(*df.columns, "extra_copies")
 
 
-def _classify(target: DataFrame, source: DataFrame, key: str, tracked: Sequence[str] | None,
-              update: Sequence[str] | None, delete_missing: bool) -> DataFrame:
-    """Full outer join of target and source by key; one shuffle per side."""
-    columns = target.columns
-    t = target.select(F.col(key).alias("__tk"), F.struct(*columns).alias("__t"))
+def _sides(target: DataFrame, source: DataFrame, key: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Target and source as (key, struct) with the source cast to the target's types."""
+    present = [c for c in target.columns if c in source.columns]
+    t = target.select(F.col(key).alias("__tk"), F.struct(*target.columns).alias("__t"))
     s = source.select(F.col(key).alias("__sk"), F.struct(*[
-        F.col(c).cast(target.schema[c].dataType).alias(c) for c in columns if c in source.columns]).alias("__s"))
-    joined = t.join(s, F.col("__tk") == F.col("__sk"), "full_outer")
-    has_t, has_s = F.col("__tk").isNotNull(), F.col("__sk").isNotNull()
-    present = [c for c in columns if c in source.columns]
-    compared = present if tracked is None else tracked
-    differs = reduce(lambda a, b: a | b, [
-        ~F.col(f"__t.{c}").eqNullSafe(F.col(f"__s.{c}")) for c in compared]) if tracked is not None else F.lit(True)
-    action = (
-        F.when(has_t & has_s, F.when(differs, "update").otherwise("keep"))
-        .when(has_s, "insert")
-        .otherwise("delete" if delete_missing else "keep")
-    )
-    changed = set(present if update is None else update)
-    marked = joined.withColumn(ACTION, action)
+        F.col(c).cast(target.schema[c].dataType).alias(c) for c in present]).alias("__s"))
+    return t, s, present
+
+
+def _merged(joined: DataFrame, target: DataFrame, action: Column, present: Sequence[str],
+            changed: Sequence[str]) -> DataFrame:
+    """Final columns of joined (target, source) rows under an action."""
     out = []
-    for c in columns:
-        old = F.col(f"__t.{c}")
-        new = F.col(f"__s.{c}") if c in present else F.lit(None)
-        if c in changed or c == key:
-            value = F.when(F.col(ACTION).isin("insert", "update"), new).otherwise(old)
-        else:
-            value = F.when(F.col(ACTION) == "insert", new).otherwise(old)
-        out.append(value.cast(target.schema[c].dataType).alias(c))
+    marked = joined.withColumn(ACTION, action)
+    for f in target.schema:
+        old = F.col(f"__t.{f.name}")
+        new = F.col(f"__s.{f.name}") if f.name in present else F.lit(None)
+        replaced = ["insert", "update"] if f.name in changed else ["insert"]
+        out.append(F.when(F.col(ACTION).isin(*replaced), new).otherwise(old).cast(f.dataType).alias(f.name))
     return marked.select(*out, ACTION)
 
 
+def _merge(target: DataFrame, source: DataFrame, key: str, tracked: Sequence[str] | None,
+           update: Sequence[str] | None, delete_missing: bool = False) -> DataFrame:
+    """Classified rows of an upsert.
+
+    A source small enough to broadcast, and small against the target, is joined from the
+    target's side, so a merge of few rows into a very large table neither shuffles nor
+    sorts that table. Otherwise one full outer join by key shuffles each side once.
+    """
+    t, s, present = _sides(target, source, key)
+    changed = present if update is None else update
+    differs = F.lit(True) if tracked is None else reduce(lambda a, b: a | b, [
+        ~F.col(f"__t.{c}").eqNullSafe(F.col(f"__s.{c}")) for c in tracked])
+    same_key = F.col("__tk") == F.col("__sk")
+    has_t, has_s = F.col("__tk").isNotNull(), F.col("__sk").isNotNull()
+    size = estimated_bytes(source)
+    few = size <= broadcast_limit(target.sparkSession) and size * 4 <= estimated_bytes(target)
+    if few and not delete_missing:
+        action = F.when(has_s & differs, "update").otherwise("keep")
+        old = _merged(t.join(s, same_key, "left"), target, action, present, changed)
+        known = t.select("__tk").join(s.select("__sk"), same_key, "left_semi")
+        fresh = s.join(known, same_key, "left_anti").withColumn("__t", F.lit(None).cast(t.schema["__t"].dataType))
+        return old.unionByName(_merged(fresh, target, F.lit("insert"), present, changed))
+    action = F.when(has_t & has_s, F.when(differs, "update").otherwise("keep")).when(has_s, "insert").otherwise(
+        "delete" if delete_missing else "keep")
+    return _merged(t.join(s, same_key, "full_outer"), target, action, present, changed)
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, key: str, order: Sequence[Column] = (),
                  update: Sequence[str] | None = None) -> MergeResult:
     """Update matching rows, insert the rest; the source is deduplicated first.
@@ -127,7 +145,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str, order: Sequence
     Rows without a key cannot match; they are kept in the target and left out of the source.
     """
     clean = dedupe_latest(source.filter(F.col(key).isNotNull()), [key], order)
-    return MergeResult(_classify(target, clean, key, None, update, False))
+    return MergeResult(_merge(target, clean, key, None, update))
 
 
 def merge_changed(target: DataFrame, source: DataFrame, key: str, tracked: Sequence[str]) -> MergeResult:
@@ -136,13 +154,13 @@ def merge_changed(target: DataFrame, source: DataFrame, key: str, tracked: Seque
     The comparison is null-safe, so a change from or to NULL is seen.
     """
     clean = dedupe_any(source.filter(F.col(key).isNotNull()), [key])
-    return MergeResult(_classify(target, clean, key, tracked, None, False))
+    return MergeResult(_merge(target, clean, key, tracked, None))
 
 
 def mirror_sync(target: DataFrame, source: DataFrame, key: str) -> MergeResult:
     """Make the target equal the source: upsert all, delete what the source lost."""
     clean = dedupe_any(source.filter(F.col(key).isNotNull()), [key])
-    return MergeResult(_classify(target.filter(F.col(key).isNotNull()), clean, key, None, None, True))
+    return MergeResult(_merge(target.filter(F.col(key).isNotNull()), clean, key, None, None, True))
 
 
 def missing_in_source(target: DataFrame, source: DataFrame, key: str) -> DataFrame:

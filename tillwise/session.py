@@ -56,3 +56,13 @@ def cut_lineage(spark: SparkSession, df, fallback_dir: str | None = None):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def estimated_bytes(df) -> int:
+    """Size Catalyst expects of a plan; no job is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """Largest size Spark would broadcast on its own."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())

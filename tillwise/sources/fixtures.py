@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillwise import schemas
 from tillwise.functions.ranking import dense_position
+from tillwise.session import estimated_bytes
 
 AS_OF = "2001-08-02"
 
@@ -53,7 +54,7 @@ class Tables:
         """
         df = self.raw(name)
         cores = self.spark.sparkContext.defaultParallelism
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        size = estimated_bytes(df)
         split = 128 * 1024 * 1024
         return df.repartition(cores) if 4 * 1024 * 1024 < size < cores * split else df
 
