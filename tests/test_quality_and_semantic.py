@@ -62,6 +62,16 @@ def test_schema_tests(seeded):
                    ("quantity", "not_null"): 1, ("quantity", "accepted_values"): 2}
 
 
+def test_consistency_finds_a_stale_row(tables):
+    from tillwise.operators.serving import customer_order_analytics
+
+    serving = customer_order_analytics(tables.customers, tables.orders)
+    first = serving.agg(F.min("customer_id")).first()[0]
+    stale = serving.withColumn("total_orders", F.col("total_orders") + F.when(F.col("customer_id") == first, 1).otherwise(0))
+    row = quality.consistency_summary(quality.consistency_check(stale, tables.customers, tables.orders)).first()
+    assert row["customers"] - row["consistent"] == 1
+
+
 def test_semantic_names_and_grain(tables):
     model = order_model(tables.customers, tables.orders, tables.order_items)
     assert model.query(["aov"], ["segment"]).columns == ["customer_segment", "average_order_value"]

@@ -120,6 +120,12 @@ def test_check_constraints(spark):
         rules.add("amount", "true")
 
 
+def test_length_rules(spark):
+    df = spark.createDataFrame([("ab",), ("abc",), (None,)], "name string")
+    good, bad = ts.check_constraints(df, ts.CheckRules(ts.length_rules({"name": 2})))
+    assert good.count() == 2 and bad.first()["violated"] == ["name_length"]
+
+
 def test_evolve_schema(spark):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     more = T.StructType([*df.schema.fields, T.StructField("c", T.StringType())])

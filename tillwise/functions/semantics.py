@@ -79,14 +79,6 @@ def mean(value: Column | str) -> Column:
     return ratio(F.sum(v), F.count(v))
 
 
-def mean_if(cond: Column, value: Column | str) -> Column:
-    return mean(F.when(cond, col(value)))
-
-
-def sum_if(cond: Column, value: Column | str) -> Column:
-    return F.sum(F.when(cond, col(value)))
-
-
 def distinct_if(cond: Column, value: Column | str) -> Column:
     return F.count_distinct(F.when(cond, col(value)))
 
@@ -112,16 +104,6 @@ def at_most(value: Column, steps: Sequence[tuple[float, object]], default: objec
 
 # --- ordering --------------------------------------------------------------
 
-def asc(c: Column | str) -> Column:
-    """Ascending, NULL counted as the largest value."""
-    return col(c).asc_nulls_last()
-
-
-def desc(c: Column | str) -> Column:
-    """Descending, NULL counted as the largest value."""
-    return col(c).desc_nulls_first()
-
-
 def rank_of(value: Column | str, order: Sequence[object]) -> Column:
     """Position of a value in a fixed list, for sorting labels by meaning."""
     v = col(value)
