@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillwise.llm import minhash, mixing, packing, secrets, sharding, simhash
+from tillwise.llm import minhash, mixing, packing, secrets, sharding, simhash, toxicity
 from tillwise.llm.common import table
 
 
@@ -19,6 +19,7 @@ QUERIES = {
     "op2_minhash": _over("documents", minhash.op2),
     "op4_mixing": _over("documents", mixing.op4),
     "op5_packing": _over("documents", packing.op5),
+    "op8_toxicity": toxicity.op8,
     "op9_secrets": _over("documents", secrets.op9),
     "op10_sharding": _over("documents", sharding.op10),
 }
