@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillwise.llm import minhash, mixing, packing, secrets, sharding, simhash, toxicity
+from tillwise.llm import minhash, mixing, neighbours, packing, secrets, sharding, simhash, toxicity
 from tillwise.llm.common import table
 
 
@@ -17,6 +17,7 @@ def _over(name, fn):
 QUERIES = {
     "op1_simhash": _over("documents", simhash.op1),
     "op2_minhash": _over("documents", minhash.op2),
+    "op3_neighbours": _over("embeddings", neighbours.op3),
     "op4_mixing": _over("documents", mixing.op4),
     "op5_packing": _over("documents", packing.op5),
     "op8_toxicity": toxicity.op8,
