@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillwise.llm import htmltext, minhash, mixing, neighbours, packing, secrets, sharding, simhash, toxicity
+from tillwise.llm import htmltext, minhash, mixing, mixlm, neighbours, packing, secrets, sharding, simhash, toxicity
 from tillwise.llm.common import table
 
 
@@ -21,6 +21,7 @@ QUERIES = {
     "op4_mixing": _over("documents", mixing.op4),
     "op5_packing": _over("documents", packing.op5),
     "op6_htmltext": _over("pages", htmltext.op6),
+    "op7_mixlm": _over("documents", mixlm.op7),
     "op8_toxicity": toxicity.op8,
     "op9_secrets": _over("documents", secrets.op9),
     "op10_sharding": _over("documents", sharding.op10),
