@@ -2,13 +2,15 @@
 
 A token (a word, or a text's end) is coded as a path of bits: the bits of its hash, as far
 as these tell the known words apart. At each branch several predictors, each with the counts
-of its own context, give a probability; the contexts are nothing, the group of the
-last frequent word (found from which of these follow each other, much like a
-language), and that group with whether a sentence has just ended. Their logits are added with
+of its own context, give a probability; the contexts are nothing, the group that the
+last few frequent words speak for (groups are found from which of these words stand near
+each other, and are much like languages), and that group with how the last word ended: plainly, with a full stop, or with
+another sign. Their logits are added with
 weights chosen by how much the contexts have seen, learned online over all training tokens
 while each token's own count is left out, and the sum is refined by an adaptive map.
 A word never seen is spelled: its bytes' bits are mixed alike from hashed contexts of one
-to three bytes, counted over the words seen once.
+to six bytes, counted over the known words. Half of the probability of unseen words goes to
+their spellings, half evenly to as many words as Chao's estimate expects unseen.
 
 Counts of words grow with the corpus and stay distributed: words are dealt by their hash,
 and each part codes its own words. A bounded number of frequent words is scored where the
@@ -31,17 +33,20 @@ from tillwise.llm.common import stage, text_or_empty
 from tillwise.llm.toxicity import held_out
 
 END = b""
-#: Frequent words whose groups are contexts, and groups.
-LEADS, GROUPS = 62, 8
-#: Classes of context: group of the last frequent word (or none yet), twice for a sentence's start.
-CLASSES = 2 * (GROUPS + 1)
+#: Frequent words that tell the group, how many of the last ones do, and groups.
+LEADS, REACH, GROUPS = 62, 6, 8
+#: Classes of context: group of the last frequent words (or none yet) times how the last word ended.
+ENDS = 3
+CLASSES = ENDS * (GROUPS + 1)
 #: Words scored without a join, at most.
 FREQUENT = 1 << 17
 #: Parts the words are dealt to, by the top bits of their hash.
 PART_BITS = 12
 #: Words a task remembers.
 CACHE = 250_000
-SLOTS = (1 << 16, 1 << 18, 1 << 18)
+#: Bytes of the spelling contexts, and the slots their counts are hashed to.
+ORDERS = (1, 2, 3, 4, 6)
+SLOTS = (1 << 16, 1 << 18, 1 << 19, 1 << 19, 1 << 19)
 LN10 = np.log(10.0)
 
 
@@ -50,11 +55,18 @@ def digest(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word, 42)
 
 
+def ending(word: bytes) -> int:
+    """0: a letter, digit or comma; 1: a full stop; 2: another sign."""
+    last = word[-1:]
+    return 1 if last == b"." else 0 if last >= b"\x80" or last.isalnum() or last == b"," else 2
+
+
 class Words(dict):
     """Numbers of the words met, with what is known of each."""
 
-    def __init__(self, groups: dict[bytes, int], frequent: dict[bytes, int]):
-        self.groups, self.frequent = groups, frequent
+    def __init__(self, leads: dict[bytes, int], speak: np.ndarray, frequent: dict[bytes, int]):
+        """``speak``: for each lead, the logarithm of its share in each group."""
+        self.leads, self.speak, self.frequent = leads, speak, frequent
         self.clear()
 
     def clear(self) -> None:
@@ -80,18 +92,25 @@ class Words(dict):
         ids = np.fromiter(map(self.__getitem__, flat), np.int64, len(flat))
         fresh = self.words[len(self.facts):]
         if fresh:
-            rows = [(self.groups.get(w, -1), bool(w) and w[-1:] in b".!?", digest(w) - (1 << 63), self.frequent.get(w, -1))
+            rows = [(self.leads.get(w, -1), ending(w), digest(w) - (1 << 63), self.frequent.get(w, -1))
                     for w in fresh]
             self.facts = np.concatenate([self.facts, np.array(rows, np.int64)])
         sizes = np.array(sizes, np.int64)
         start = np.repeat(np.cumsum(sizes) - sizes, sizes)
         at = np.arange(len(ids))
-        lead = np.maximum.accumulate(np.where(self.facts[ids, 0] >= 0, at, -1))
-        before = np.concatenate([[-1], lead[:-1]])
-        group = np.where(before >= start, self.facts[ids[before], 0], GROUPS)
+        lead = np.flatnonzero(self.facts[ids, 0] >= 0)
+        group = np.full(len(ids), GROUPS)
+        if len(lead):
+            sums = np.concatenate([np.zeros((1, GROUPS)), np.cumsum(self.speak[self.facts[ids[lead], 0]], axis=0)])
+            here = np.arange(len(lead))
+            since = np.maximum(here + 1 - REACH, np.searchsorted(lead, start[lead]))
+            best = (sums[here + 1] - sums[since]).argmax(axis=1)
+            last = np.searchsorted(lead, at) - 1  # the last lead before each token
+            some = (last >= 0) & (lead[np.maximum(last, 0)] >= start)
+            group[some] = best[last[some]]
         ended = np.concatenate([[1], self.facts[ids[:-1], 1]])
         ended[at == start] = 1
-        return np.repeat(np.arange(len(texts)), sizes), ids, 2 * group + ended
+        return np.repeat(np.arange(len(texts)), sizes), ids, ENDS * group + ended
 
     def hashes(self, ids: np.ndarray) -> np.ndarray:
         """Signed hashes of words by number."""
@@ -110,8 +129,9 @@ class Mixer:
         self.hits = np.zeros(self.BINS)
 
     def copy(self) -> Mixer:
+        """The same weights to go on from; what the map has seen fades to a prior."""
         new = Mixer(1, (0.0,))
-        new.w, new.hits = self.w.copy(), self.hits.copy()
+        new.w, new.hits = self.w.copy(), self.hits * min(1.0, 500 / max(1.0, self.hits.sum()))
         return new
 
     def logit(self, gate: np.ndarray, s: np.ndarray) -> np.ndarray:
@@ -125,7 +145,7 @@ class Mixer:
             for j in range(x.shape[1]):
                 up = np.bincount(g, m * (1 - p) * x[:, j], len(self.w))
                 down = np.bincount(g, m * p * (1 - p) * x[:, j] ** 2, len(self.w))
-                self.w[:, j] += 0.2 * up / (down + 4.0)
+                self.w[:, j] += 0.2 * up / (down + 50.0)
         np.clip(self.w, -0.5, 2.0, out=self.w)
 
     def watch(self, z: np.ndarray, n: np.ndarray) -> None:
@@ -157,7 +177,7 @@ class Tree:
         self.hashes, self.first = hashes, first_bit
         zero = np.zeros((1, counts.shape[1]))
         by_class = np.concatenate([zero, np.cumsum(counts, axis=0)])
-        by_group = by_class[:, 0::2] + by_class[:, 1::2]
+        by_group = by_class.reshape(len(by_class), -1, ENDS).sum(axis=2)
         self.sums = (by_class, by_group, by_class.sum(axis=1, keepdims=True))
 
     def branches(self):
@@ -182,7 +202,7 @@ class Tree:
                 continue
             w, off = word[rows], less[rows]
             logits, seen = [], []
-            for sums, col in zip(self.sums, (klass[rows], klass[rows] // 2, np.zeros(len(rows), int))):
+            for sums, col in zip(self.sums, (klass[rows], klass[rows] // ENDS, np.zeros(len(rows), int))):
                 node = sums[high[w], col] - sums[low[w], col] - off
                 side = sums[to_high[w], col] - sums[to_low[w], col] - off
                 logits.append(np.log((side + 0.1) / (node - side + 0.1)))
@@ -208,17 +228,18 @@ class Tree:
 # -- spelling ---------------------------------------------------------------------------
 
 def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word number, bit, slots of the three contexts) of every bit of the words and their ends."""
+    """(word number, bit, slots of the contexts) of every bit of the words and their ends."""
     raw = np.frombuffer(b" ".join(words) + b" ", np.uint8).astype(np.int64)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 1
     word = np.repeat(np.arange(len(words)), size)
     place = np.arange(len(raw)) - np.repeat(np.cumsum(size) - size, size)
     context, before = [], np.zeros(len(raw), np.int64)
-    for back in (1, 2, 3):
+    for back in range(1, max(ORDERS) + 1):
         prior = np.zeros(len(raw), np.int64)
         prior[back:] = raw[:-back]
         before = before | np.where(place >= back, prior, 0) << (8 * (back - 1))
-        context.append(before)
+        if back in ORDERS:
+            context.append(before)
     bit, slots = [], []
     for j in range(8):
         node = (1 << j) | (raw >> (8 - j))
@@ -248,7 +269,8 @@ class Speller:
         own = self.counts[slots, bit[:, None]] - less
         other = self.counts[slots, 1 - bit[:, None]]
         s = np.clip(np.log((own + 0.2) / (other + 0.2)), -12, 12)
-        return _gate(own[:, 2] + other[:, 2], own[:, 1] + other[:, 1]), s
+        seen = own + other
+        return _gate(seen[:, 4], seen[:, 2]), s
 
     def learn(self, mixer: Mixer, words: list[bytes]) -> None:
         """From words that the counts hold once each."""
@@ -288,16 +310,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _follow(leads: dict[bytes, int]):
-    """(lead * LEADS + next lead, n) of the texts to learn from."""
+    """(lead * LEADS + one of the REACH next leads, n) of the texts to learn from."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(LEADS * LEADS, np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 line = [leads[w] for w in text.lower().split() if w in leads]
-                if len(line) > 1:
-                    a = np.array(line)
-                    total += np.bincount(a[:-1] * LEADS + a[1:], minlength=len(total))
+                a = np.array(line, dtype=np.int64)
+                for lag in range(1, min(REACH, len(a) - 1) + 1):
+                    total += np.bincount(a[:-lag] * LEADS + a[lag:], minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "n"])
 
@@ -305,24 +327,32 @@ def _follow(leads: dict[bytes, int]):
 
 
 def grouped(follow: np.ndarray) -> np.ndarray:
-    """Group of each lead: those that are followed by, and follow, the same ones."""
+    """For each lead, the logarithm of its share in each group.
+
+    Leads that stand near the same ones form a group; a group's shares are those of all
+    leads near its own, so words of several languages speak for each as they should.
+    """
     both = follow + follow.T + 0.0
     rows = np.sqrt(both / np.maximum(both.sum(axis=1, keepdims=True), 1))
     centres = rows[:1]
-    for _ in range(min(GROUPS, len(rows)) - 1):  # the farthest from those chosen, one after the other
-        far = ((rows[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1).argmax()
+    often = both.sum(axis=1)
+    for _ in range(min(GROUPS, len(rows)) - 1):  # the farthest from those chosen, weighed by how often it stands
+        far = (((rows[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1) * often).argmax()
         centres = np.concatenate([centres, rows[far:far + 1]])
     for _ in range(20):
         group = ((rows[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
-        centres = np.array([rows[group == g].mean(axis=0) if (group == g).any() else centres[g] for g in range(len(centres))])
-    return group
+        centres = np.array([np.average(rows[group == g], axis=0, weights=often[group == g] + 1e-9)
+                            if (group == g).any() else centres[g] for g in range(len(centres))])
+    share = np.array([both[group == g].sum(axis=0) if (group == g).any() else np.zeros(len(rows)) for g in range(GROUPS)])
+    share = (share + 0.5) / (share + 0.5).sum(axis=1, keepdims=True)
+    return np.log(share).T
 
 
-def _pairs(groups: dict[bytes, int]):
+def _pairs(leads: dict[bytes, int], speak: np.ndarray):
     """(word, class, n) of all texts; n counts only texts to learn from."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(groups, {})
+        words = Words(leads, speak, {})
         for batch in batches:
             learn = np.array(batch.column(1).to_pylist(), dtype=float)
             text, ids, klass = words.read(batch.column(0).to_pylist())
@@ -343,7 +373,7 @@ def _spell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         nonlocal total
         if held:
             _, bit, slots = spelled(held)
-            for j in range(3):
+            for j in range(len(SLOTS)):
                 total += np.bincount(2 * slots[:, j] + bit, minlength=len(total))
             held.clear()
 
@@ -380,17 +410,19 @@ def _code(shared):
         out[mine] = tree.log_p(mixer, word[mine], klass[mine]) + s["parts"][part, klass[mine]] + np.log1p(-s["fresh"])
         first = np.zeros(len(names), np.int64)
         first[at[::-1]] = np.arange(len(words))[::-1]  # a row of each word
-        speller, smix = Speller(s["spell"]), Mixer(32, (0.2, 0.4, 0.5))
+        speller, smix = Speller(s["spell"]), Mixer(32, (0.1, 0.1, 0.3, 0.4, 0.4))
         speller.learn(smix, [words[first[i]] for i in np.flatnonzero(count == 1)])
         fresh = np.flatnonzero(count == 0)
         cost = np.zeros(len(names))
         cost[fresh] = speller.log_p(smix, [words[first[i]] for i in fresh])
         theirs = word < 0
-        out[theirs] = cost[at[theirs]] + np.log(s["fresh"])
+        fair = out + 0.0
+        fair[theirs] = cost[at[theirs]] + np.log(s["fresh"])
+        out[theirs] = np.logaddexp(cost[at[theirs]], -np.log(s["unseen"])) + np.log(s["fresh"] / 2)
         total = count[at]
         return pa.table({
             "word": table["word"], "h": pa.array(names[at].view(np.int64)), "klass": table["klass"],
-            "c": pa.array(total.astype(np.int64)), "lp": pa.array(out / LN10),
+            "c": pa.array(total.astype(np.int64)), "lp": pa.array(out / LN10), "code": pa.array(fair / LN10),
             "base": pa.array(np.log10((total + 1) / s["base"]))})
 
     return run
@@ -402,7 +434,7 @@ def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = shared.value
         frequent = {w: i for i, w in enumerate(s["words"])}
-        words = Words(s["groups"], frequent)
+        words = Words(s["leads"], s["speak"], frequent)
         lp, base = s["lp"], s["base"]
         rid = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -430,7 +462,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     """Scores of all texts, learning from those outside the held-out fold of the ids.
 
     Returns id, held_out, n_tokens, n_known, train_tokens, base_score, score (both
-    log10) and bits_per_byte. A null or empty text is its end alone. Repeated rows each
+    log10) and bits_per_byte (of a code that spells every unseen word). A null or empty text is its end alone. Repeated rows each
     get their own row and each count as training text; null ids are learned from; other
     columns are ignored; an empty table gives an empty result.
     """
@@ -440,8 +472,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
                        text_or_empty(text_col).cast("binary").alias("text"))
     train = rows.filter(~F.col("held_out")).select("text")
     counts = stage(train.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    tokens, kinds, once = counts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.count(F.when(F.col("n") == 1, 1))).first()
+    tokens, kinds, once, twice = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.count(F.when(F.col("n") == 1, 1)),
+        F.count(F.when(F.col("n") == 2, 1))).first()
 
     top = counts.filter(F.length("word") > 0).orderBy(F.desc("n"), "word").limit(LEADS).collect()
     leads = {bytes(r["word"]): i for i, r in enumerate(top)}
@@ -449,13 +482,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     pairs = train.mapInArrow(_follow(leads), "pair long, n long").groupBy("pair").agg(F.sum("n"))
     for pair, n in pairs.collect():  # LEADS ** 2 rows at most
         follow[pair] = n
-    of = grouped(follow.reshape(LEADS, LEADS))
-    groups = {w: int(of[i]) for w, i in leads.items()}
+    speak = grouped(follow.reshape(LEADS, LEADS))
 
     part = F.shiftrightunsigned(F.xxhash64("word"), 64 - PART_BITS).cast("int")
     seen = stage(
         rows.select("text", (~F.col("held_out")).cast("double").alias("learn"))
-        .mapInArrow(_pairs(groups), "word binary, klass short, n long")
+        .mapInArrow(_pairs(leads, speak), "word binary, klass short, n long")
         .groupBy("word", "klass").agg(F.sum("n").alias("n")).withColumn("part", part))
 
     # The first bits of all codes: a table of fixed size.
@@ -472,15 +504,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
         parts[used] = tree.log_p(mixer, word, klass).reshape(len(used), CLASSES)
 
     spell = np.zeros(2 * sum(SLOTS), np.float32)
-    slots = (counts.filter(F.col("n") == 1).select("word").mapInArrow(_spell_counts, "slot long, n long")
+    slots = (counts.select("word").mapInArrow(_spell_counts, "slot long, n long")
              .groupBy("slot").agg(F.sum("n").alias("n")).toPandas())  # 2 * sum(SLOTS) rows at most
     spell[slots["slot"].to_numpy()] = slots["n"].to_numpy()
 
     base = float(tokens + kinds + 1)
     shared = sc.broadcast({"mixer": mixer, "parts": parts, "spell": spell, "base": base,
-                           "fresh": (once + 0.5) / (tokens + 1.0)})
+                           "fresh": (once + 0.5) / (tokens + 1.0),
+                           "unseen": max(1.0, once * (once - 1) / (2.0 * (twice + 1)))})
     coded = stage(seen.groupBy("part").applyInArrow(
-        _code(shared), "word binary, h long, klass short, c long, lp double, base double"))
+        _code(shared), "word binary, h long, klass short, c long, lp double, code double, base double"))
 
     # The least count that leaves at most FREQUENT words above it; one row per distinct count.
     sizes = counts.groupBy("n").count().orderBy(F.desc("n")).limit(FREQUENT).collect()
@@ -498,7 +531,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     at = names.indices.to_numpy()
     lp[at, table["klass"].to_numpy()] = table["lp"].to_numpy()
     count[at] = table["c"].to_numpy()
-    local = sc.broadcast({"words": names.dictionary.to_pylist(), "groups": groups, "lp": lp,
+    local = sc.broadcast({"words": names.dictionary.to_pylist(), "leads": leads, "speak": speak, "lp": lp,
                           "base": np.log10((count + 1) / base)})
     kind = docs.schema[id_col].dataType.simpleString()
     read = stage(rows.mapInArrow(_score(local), (
@@ -507,17 +540,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     rest = (
         read.select("rid", F.explode(F.arrays_zip("hs", "ks")).alias("x"))
         .select("rid", F.col("x.hs").alias("h"), F.col("x.ks").alias("klass"))
-        .join(coded.filter(F.col("c") < F.lit(least)).select("h", "klass", "c", F.col("lp").alias("l"), F.col("base").alias("b")),
+        .join(coded.filter(F.col("c") < F.lit(least)).select(
+            "h", "klass", "c", F.col("lp").alias("l"), F.col("code").alias("f"), F.col("base").alias("b")),
               ["h", "klass"])
-        .groupBy("rid").agg(F.sum("l").alias("l"), F.sum("b").alias("b"),
+        .groupBy("rid").agg(F.sum("l").alias("l"), F.sum("f").alias("f"), F.sum("b").alias("b"),
                             F.sum((F.col("c") > 0).cast("long")).alias("k"))
     )
-    total = F.col("lp") + F.coalesce("l", F.lit(0.0))
+    total, code = (F.col("lp") + F.coalesce(c, F.lit(0.0)) for c in ("l", "f"))
     return read.drop("hs", "ks").join(rest, "rid", "left").select(
         "id", "held_out", "n_tokens", (F.col("known") + F.coalesce("k", F.lit(0))).alias("n_known"),
         F.lit(int(tokens)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("b", F.lit(0.0))).alias("base_score"), total.alias("score"),
-        (-total / F.lit(float(np.log10(2.0))) / F.greatest(F.col("n_bytes"), F.lit(1))).alias("bits_per_byte"))
+        (-code / F.lit(float(np.log10(2.0))) / F.greatest(F.col("n_bytes"), F.lit(1))).alias("bits_per_byte"))
 
 
 def op7(docs: DataFrame) -> DataFrame:
