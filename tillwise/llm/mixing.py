@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import WORD, running, stage, text_or_empty
+from tillwise.llm.common import GAP, WORD, running, stage, text_or_empty
 
 #: Words per block of a large source, and blocks a small source has at least.
 BLOCK = 512
@@ -174,6 +174,31 @@ def _block_of(pos: Column) -> Column:
     return F.when(_block_start(up) > pos, up - F.lit(1)).otherwise(up)
 
 
+def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             source_col: str = "source") -> DataFrame:
+    """The mix itself: each document as many times over as it is taken, with all its columns.
+
+    A part of a document that remains is its first words, with the white space between them.
+    Rows with equal id and text are taken together.
+    """
+    mark = F.xxhash64(F.col(id_col), F.col(text_col), F.lit("mix"))
+    taken = mix(docs, id_col, text_col, source_col).groupBy("h", "key").agg(
+        F.sum("taken").alias("__taken"), F.first("size").alias("__size"), F.count("*").alias("__n")).filter(
+        "__taken > 0").withColumnsRenamed({"h": "__h", "key": "__key"})
+    taken = stage(taken)
+    rows = docs.withColumn("__h", mark).withColumn("__key", source_key(source_col))
+    several = rows.join(taken.filter("__n > 1"), ["__h", "__key"]).dropDuplicates(["__h", "__key"])
+    rows = rows.join(taken.filter("__n = 1"), ["__h", "__key"]).unionByName(several)
+    whole = F.floor(F.col("__taken") / F.col("__size")).cast("int")
+    rest = (F.col("__taken") % F.col("__size")).cast("int")
+    words = F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>"))
+    rows = rows.withColumn("__words", F.explode(F.concat(F.array_repeat(F.col("__size").cast("int"), whole), words)))
+    pieces = F.regexp_extract_all(F.col(text_col), F.lit(GAP.replace("+", "*") + WORD), F.lit(0))
+    part = F.array_join(F.slice(pieces, F.lit(1), F.col("__words")), "")
+    return rows.withColumn(text_col, F.when(F.col("__words") < F.col("__size"), part).otherwise(F.col(text_col))).drop(
+        "__h", "__key", "__taken", "__size", "__n", "__words")
+
+
 def op4(docs: DataFrame) -> DataFrame:
     """The registered report."""
     return mix(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")

@@ -156,31 +156,32 @@ def rejected_below(p: DataFrame, share: float) -> float:
     return t
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """id, the columns in ``keep``, ``base`` (fixed patterns) and ``added`` (random tokens) of each row.
+def scan(docs: DataFrame, text_col: str = "text", drop_text: bool = True) -> DataFrame:
+    """Add ``__base`` (fixed patterns) and ``__added`` (random tokens) to each row.
 
     Spans are (start, stop, kind) in code points, by start, then kind; kind is a position
     in ``KINDS``. A null or empty text has no spans. Repeated rows each get their own
-    row; null ids are kept; an empty table gives an empty result.
+    row; all other columns are kept; an empty table gives an empty result.
     """
-    rows = docs.select(F.col(id_col).alias("id"), *keep, text_or_empty(text_col).alias("__text"))
+    rows = docs.withColumn("__text", text_or_empty(text_col))
     base = F.concat(spans("__text", ASSIGN, 0, group=2, least=12), spans("__text", ACCESS, 1), spans("__text", HEX, 2))
-    found = rows.withColumn("base", F.array_sort(base)).withColumn("__loose", spans("__text", LOOSE, 3))
+    found = rows.withColumn("__base", F.array_sort(base)).withColumn("__loose", spans("__text", LOOSE, 3))
     free = F.filter("__loose", lambda x: ~F.exists(
-        "base", lambda y: (y["start"] < x["stop"]) & (x["start"] < y["stop"])))
+        "__base", lambda y: (y["start"] < x["stop"]) & (x["start"] < y["stop"])))
     found = found.withColumn("__free", free)
     tokens = F.transform("__free", lambda x: F.struct(
         x["start"].alias("start"), x["stop"].alias("stop"),
         F.substring(F.col("__text"), x["start"] + F.lit(1), x["stop"] - x["start"]).alias("token")))
-    found = stage(found.withColumn("tested", battery(tokens)).select("id", *keep, "base", "tested"))
+    found = found.withColumn("__tested", battery(tokens)).drop("__text", "__loose", "__free")
+    found = stage(found.drop(text_col) if drop_text else found)
 
-    each = found.select(F.explode("tested").alias("x")).select("x.n", "x.p")
+    each = found.select(F.explode("__tested").alias("x")).select("x.n", "x.p")
     mean = each.agg(F.avg("n")).first()[0] or 1.0
     weighted = each.select((F.col("p") * F.lit(mean) / F.col("n")).alias("p"))
     t = rejected_below(weighted, FALSE_SHARE)
-    random = F.filter("tested", lambda x: x["p"] * F.lit(mean) / x["n"] > F.lit(t))
-    return found.select("id", *keep, "base", F.transform(random, lambda x: F.struct(
-        x["start"].alias("start"), x["stop"].alias("stop"), F.lit(3).alias("kind"))).alias("added"))
+    random = F.filter("__tested", lambda x: x["p"] * F.lit(mean) / x["n"] > F.lit(t))
+    return found.withColumn("__added", F.transform(random, lambda x: F.struct(
+        x["start"].alias("start"), x["stop"].alias("stop"), F.lit(3).alias("kind")))).drop("__tested")
 
 
 def _listed(spans_of: Column) -> Column:
@@ -192,12 +193,19 @@ def _listed(spans_of: Column) -> Column:
 def op9(docs: DataFrame) -> DataFrame:
     """The registered report."""
     def count(kind: int) -> Column:
-        return F.size(F.filter("base", lambda x: x["kind"] == F.lit(kind))).cast("long")
+        return F.size(F.filter("__base", lambda x: x["kind"] == F.lit(kind))).cast("long")
 
-    return scan(docs).select(
-        F.col("id").alias("doc_id"), count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
-        F.sha2(_listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
-        _listed(F.array_sort(F.concat("base", "added"))).alias("spans"))
+    return scan(docs.select("doc_id", "text")).select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(_listed(F.col("__base")).cast("binary"), 256).alias("base_sha256"),
+        _listed(F.array_sort(F.concat("__base", "__added"))).alias("spans"))
+
+
+def mask_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
+    """All documents, with each secret in the text replaced by ``mark``."""
+    found = scan(docs, text_col, drop_text=False)
+    found = found.withColumn("__spans", F.array_sort(F.concat("__base", "__added")))
+    return found.withColumn(text_col, mask(text_col, "__spans", mark)).drop("__base", "__added", "__spans")
 
 
 def mask(text: str, spans_of: str, mark: str = "[secret]") -> Column:

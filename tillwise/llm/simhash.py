@@ -271,6 +271,16 @@ def near_links(codes: DataFrame, distance: int = 4, bucket: int = BUCKET) -> Dat
         fixed = [m & ((1 << 64) - 1) for m in hot]
 
 
+def grouped(docs: DataFrame, width: int, distance: int, bucket: int, id_col: str, text_col: str):
+    """(id, fp) of every row, and (fp, root) of every fingerprint linked to others or not."""
+    prints = stage(fingerprints(docs, width, id_col, text_col))
+    codes = stage(prints.select("fp").distinct())
+    roots = components(near_links(codes, distance, bucket))
+    rooted = codes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn(
+        "root", F.coalesce("root", "fp"))
+    return prints, stage(rooted)
+
+
 def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, bucket: int = BUCKET,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp, component) per row; component is the smallest id reachable by links.
@@ -279,16 +289,35 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, bucket:
     null id get their component's smallest id, null if it has none. Repeated rows each
     get their own row; other columns are ignored; an empty table gives an empty result.
     """
-    prints = stage(fingerprints(docs, width, id_col, text_col))
-    codes = stage(prints.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = components(near_links(codes, distance, bucket))
-    rooted = codes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
-    named = stage(rooted.groupBy("root").agg(F.min("least").alias("component")))
+    prints, rooted = grouped(docs, width, distance, bucket, id_col, text_col)
+    least = prints.groupBy("fp").agg(F.min("id").alias("least"))
+    named = stage(least.join(rooted, "fp").groupBy("root").agg(F.min("least").alias("component")))
     by_code = rooted.join(named, "root").select("fp", "component")
     return prints.join(by_code, "fp").select("id", "fp", "component")
 
 
+def drop_near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, bucket: int = BUCKET,
+                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each group, with all its columns: the smallest id, a null id last.
+
+    Ids that occur with several texts are told apart by a hash of the text; of rows with
+    equal id and text, one stays.
+    """
+    mark = F.xxhash64(id_col, text_col)
+    prints, rooted = grouped(docs.withColumn("__key", F.struct(F.col(id_col).alias("id"), mark.alias("h"))),
+                             width, distance, bucket, "__key", text_col)
+    first = F.struct(F.col("id.id").isNull().alias("z"), F.col("id.id").alias("id"), F.col("id.h").alias("h"))
+    per_code = prints.groupBy("fp").agg(F.min(first).alias("first"))
+    kept = per_code.join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.h").alias("__h"))
+    copies = prints.groupBy(F.col("id.h").alias("__h")).agg(F.count("*").alias("__n"))
+    kept = stage(kept.join(copies, "__h"))
+    rows = docs.withColumn("__h", mark)
+    single = rows.join(kept.filter("__n = 1").select("__h"), "__h", "left_semi")
+    several = rows.join(kept.filter("__n > 1").select("__h"), "__h", "left_semi").dropDuplicates(["__h"])
+    return single.unionByName(several).drop("__h")
+
+
 def op1(docs: DataFrame) -> DataFrame:
     """The registered report: shingles of four words, links at four bits or fewer."""
     return near_duplicates(docs).select(

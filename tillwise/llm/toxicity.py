@@ -31,7 +31,7 @@ DISCOUNT = 0.75
 CACHE = 300_000
 #: Parts of the labelled rows for the crosswise fit.
 PARTS = 3
-NAMES = ("mean", "most", "top", "length")
+NAMES = ("__mean", "__most", "__top", "__length")
 _BITS = 12
 _START, _END = 1, 2
 
@@ -128,8 +128,10 @@ def held_out(id_col: str, folds: int, fold: int) -> Column:
     return F.coalesce(crc % F.lit(folds) == F.lit(fold), F.lit(False))
 
 
-def _words(text: bytes) -> list[bytes]:
-    return text.lower().split()
+def _words(text: bytes | str | None) -> list[bytes]:
+    if isinstance(text, str):
+        text = text.encode()
+    return text.lower().split() if text else []
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,11 +151,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     names=["part", "key", "toxic", "ordinary"])
 
 
-def _features(model) -> callable:
+def _features(model, text: str, drop: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, known = model.value, {}
         for batch in batches:
-            texts = [_words(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+            texts = [_words(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
             fresh = list({w for words in texts for w in words if w not in known})
             if len(known) + len(fresh) > CACHE:
                 known.clear()
@@ -167,18 +169,18 @@ def _features(model) -> callable:
                     d = np.fromiter(map(known.__getitem__, words), np.float64, len(words))
                     top = np.sort(d if len(d) <= 3 else np.partition(d, len(d) - 3)[-3:])
                     out[i] = d.mean(), top[-1], top.mean(), np.log1p(len(d))
-            rest = [c for c, f in zip(batch.columns, batch.schema) if f.name != "text"]
-            names = [f.name for f in batch.schema if f.name != "text"]
+            names = [n for n in batch.schema.names if not (drop and n == text)]
+            rest = [batch.column(batch.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays(
                 [*rest, *(pa.array(out[:, j].copy()) for j in range(len(NAMES)))], names=[*names, *NAMES])
 
     return run
 
 
-def features(rows: DataFrame, model) -> DataFrame:
-    """Replace the binary column ``text`` by what the curve reads; ``model`` is a broadcast Model."""
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(_features(model), ", ".join([kinds, *(f"{n} double" for n in NAMES)]))
+def features(rows: DataFrame, model, text: str = "text", drop: bool = True) -> DataFrame:
+    """Add what the curve reads, and drop the column ``text`` if told; ``model`` is a broadcast Model."""
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if not (drop and f.name == text)]
+    return rows.mapInArrow(_features(model, text, drop), ", ".join([*kinds, *(f"{n} double" for n in NAMES)]))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
@@ -240,14 +242,28 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model(None), logistic(x, y)
 
 
-def score(rows: DataFrame, model, weights: np.ndarray) -> DataFrame:
-    """Replace the binary column ``text`` by ``score``, 0 to 1."""
+def score(rows: DataFrame, model, weights: np.ndarray, text: str = "text", drop: bool = True,
+          out: str = "score") -> DataFrame:
+    """Add the score, 0 to 1, and drop the column ``text`` if told."""
     if model is None:
-        return rows.drop("text").withColumn("score", F.lit(0.5))
+        return (rows.drop(text) if drop else rows).withColumn(out, F.lit(0.5))
     z = F.lit(float(weights[0]))
     for name, w in zip(NAMES, weights[1:]):
         z = z + F.lit(float(w)) * F.col(name)
-    return features(rows, model).withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).drop(*NAMES)
+    return features(rows, model, text, drop).withColumn(out, F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).drop(*NAMES)
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               threshold: float = 0.5) -> DataFrame:
+    """Documents scored below ``threshold``, with all their columns.
+
+    Without labels of both kinds nothing can be told, and every document stays.
+    """
+    model, weights = fit(docs, labels, id_col, text_col)
+    if model is None:
+        return docs
+    scored = score(docs, model, weights, text=text_col, drop=False, out="__score")
+    return scored.filter(F.col("__score") < F.lit(threshold)).drop("__score")
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
