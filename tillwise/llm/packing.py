@@ -11,11 +11,13 @@ and take the places of the plan by rank.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,23 +26,57 @@ from tillwise.llm.common import running, stage, text_or_empty
 WINDOW = 2048
 END_ID = 1
 #: Words whose ids a task remembers.
-CACHE = 300_000
+CACHE = 500_000
 
 
-class _WordIds(dict):
-    """Ids of a word as little-endian 32-bit bytes, tokenized when first met.
+#: How the tokenizer cuts a lower-case text before its merges (fixed values of the vocabulary).
+PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Below this code point no mark combines with a letter, and lower case is letter by letter.
+PLAIN = regex.compile(r"[\x00-\u012f\u0131-\u024f]*")
 
-    The tokenizer's pieces never cross white space, so a text's ids are its words' ids.
-    """
+
+class _PartIds(dict):
+    """Ids of a part of a word as little-endian 32-bit bytes, tokenized when first met."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # The merges read bytes as characters: printable ones as themselves, others from 256 on.
+        own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+        rest = [b for b in range(256) if b not in own]
+        self.characters = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def __missing__(self, part: str) -> bytes:
+        read = "".join(map(self.characters.__getitem__, part.encode()))
+        ids = np.array([t.id for t in self.tokenizer.model.tokenize(read)], dtype="<u4").tobytes()
+        if len(self) >= CACHE:
+            self.clear()
+        if len(part) <= 64:
+            self[part] = ids
+        return ids
+
+
+class _WordIds(dict):
+    """Ids of a word given as UTF-8.
+
+    The tokenizer's parts never cross white space, so a text's ids are its words' ids,
+    and a plain word's ids are its parts' ids.
+    """
+
+    def __init__(self, path: str):
+        self.parts = _PartIds(path)
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+        text = word.decode()
+        if PLAIN.fullmatch(text):
+            ids = b"".join(map(self.parts.__getitem__, PARTS.findall(text.lower())))
+        else:
+            ids = self.parts.whole(text)
         if len(self) >= CACHE:
             self.clear()
         if len(word) <= 64:
@@ -48,13 +84,19 @@ class _WordIds(dict):
         return ids
 
 
+@functools.cache
+def _word_ids(path: str) -> _WordIds:
+    """One per Python worker, which keeps it from task to task."""
+    return _WordIds(path)
+
+
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of each document: id, start, length, crc of the ids and the document's tokens."""
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _WordIds(tokenizer)
+        ids = _word_ids(tokenizer)
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             names = batch.column(0).to_pylist()
