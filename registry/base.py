@@ -74,7 +74,7 @@ ENTITY_SQL = {
     "rev": """
         SELECT doc_id AS review_id, p.product_id, doc_id % (SELECT COUNT(*) FROM customer) AS customer_id,
                DATE '2001-07-03' + (doc_id % 30)::INT AS review_date, (doc_id % 5 + 1)::INT AS rating,
-               substring(text, 1, 40) AS review_title, text AS review_text, doc_id % 4 <> 3 AS verified_purchase
+               split_part(text, chr(10), 1) AS review_title, text AS review_text, doc_id % 4 <> 3 AS verified_purchase
         FROM documents JOIN (SELECT product_id, ROW_NUMBER() OVER (ORDER BY product_id) - 1 AS pos FROM cat) p
           ON p.pos = doc_id % (SELECT COUNT(*) FROM cat)""",
     "tick": """

@@ -1,5 +1,6 @@
 """Feature, model, recommendation, similarity and text queries."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from registry.base import SHARED_SQL, query
@@ -14,7 +15,7 @@ from tillwise.sources.fixtures import AS_OF
 
 TODAY = f"DATE '{AS_OF}'"
 CHURN_AFTER = 120  # days; balances the classes of the test tables
-TREES, DEPTH = 10, 4
+TREES, DEPTH = 100, 6
 
 
 # --- features ------------------------------------------------------------------------------
@@ -71,20 +72,37 @@ _FEATURES = """h.customer_id, p.product_id, h.total_past_orders, h.total_spent,
        p.total_quantity_sold AS product_volume, round(p.price_variance, 6) AS product_price_variance"""
 
 
+def draw(*parts, below):
+    """SQL of ml.drawn."""
+    return f"(('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8))::BIGINT % {below})"
+
+
+SHARED_SQL["bght"] = "SELECT DISTINCT customer_id, product_id FROM ord JOIN item USING (order_id)"
+
+SHARED_SQL["examples"] = f"""
+    SELECT customer_id, product_id, 1 AS purchased FROM bght
+    UNION ALL
+    SELECT customer_id, product_id, 0 FROM (
+        SELECT DISTINCT b.customer_id, s.product_id
+        FROM (SELECT customer_id, {draw("customer_id", "product_id", "k", below="(SELECT COUNT(*) FROM popu)")} AS place
+              FROM bght, range(1, 5) g(k)) b
+        JOIN (SELECT product_id, ROW_NUMBER() OVER (ORDER BY product_id) - 1 AS place FROM popu) s USING (place))
+    WHERE (customer_id, product_id) NOT IN (SELECT (customer_id, product_id) FROM bght)"""
+
+
 @query("recommendation_training_set", f"""
-    SELECT {_FEATURES}, (b.customer_id IS NOT NULL)::INT AS purchased
-    FROM hist h CROSS JOIN popu p LEFT JOIN (SELECT DISTINCT customer_id, product_id FROM ord JOIN item USING (order_id)) b
-      ON b.customer_id = h.customer_id AND b.product_id = p.product_id""")
+    SELECT {_FEATURES}, x.purchased FROM examples x JOIN hist h USING (customer_id) JOIN popu p ON p.product_id = x.product_id""")
 def _(t):
     return ml.recommendation_training_set(t.orders, t.order_items, AS_OF).withColumn(
         "product_price_variance", F.round("product_price_variance", 6))
 
 
-@query("unbought_pairs", """SELECT c.customer_id, p.product_id FROM cust c CROSS JOIN cat p
+@query("unbought_pairs", """SELECT c.customer_id, p.product_id FROM targets c CROSS JOIN cat p
        WHERE (c.customer_id, p.product_id) NOT IN (SELECT (customer_id, product_id) FROM ord JOIN item USING (order_id))""")
 def _(t):
+    """Products that the target customers have not bought."""
     bought = ml.customer_products(t.orders, t.order_items)
-    return combinations_not_in(t.customers.select("customer_id"), "customer_id", t.product_catalog, "product_id", bought, block=16)
+    return combinations_not_in(_targets(t).select("customer_id"), "customer_id", t.product_catalog, "product_id", bought, block=16)
 
 
 @query("encode_ids", """SELECT customer_id, product_id, customer_id % 10000 AS customer_id_encoded, product_id % 10000 AS product_id_encoded
@@ -178,66 +196,134 @@ def _(t):
     return recommendation_counts(_again(t))
 
 
-# --- models: fitted on whole tables, so the rows are checked and not their values ------------------
+# --- models: what must hold for any fitted model, over the rows kept back for testing ------------------
+
+SHARED_SQL["churn"] = f"""
+    SELECT customer_id, (date_diff('day', last_order_date::DATE, {TODAY}) > {CHURN_AFTER})::INT AS is_churned FROM coa"""
+SHARED_SQL["churn_test"] = f"SELECT * FROM churn WHERE {draw('42', 'is_churned', 'customer_id', below='10000')} >= 8000"
+SHARED_SQL["buy_test"] = f"""
+    SELECT * FROM examples WHERE {draw("42", "purchased", "customer_id || '|' || product_id", below="10000")} >= 8000"""
+
+_FITTED = {}
+
+
+def _once(t, kind, fit):
+    """Several queries look at the same fitted model."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, kind)
+    if key not in _FITTED:
+        _FITTED[key] = fit()
+    return _FITTED[key]
+
 
 def _churn(t):
-    return ml.train_churn(ml.churn_features(coa(t), AS_OF, CHURN_AFTER), TREES, DEPTH)
+    features = ml.churn_features(coa(t), AS_OF, CHURN_AFTER)
+    model, test = _once(t, "churn", lambda: ml.train_churn(features, TREES, DEPTH))
+    return model, test
 
 
-@query("churn_evaluation")
+def _valid(label):
+    return (F.col("score").between(0, 1) & (F.col("predicted") == (F.col("score") >= 0.5).cast("int"))).alias(label)
+
+
+def _share(c):
+    return F.coalesce(F.col(c), F.lit(0.0)).between(0, 1)
+
+
+@query("churn_evaluation", "SELECT COUNT(*) AS rows, true AS in_range, true AS better_than_chance, true AS recalls_churned FROM churn_test")
 def _(t):
+    """Report over the held-out rows: shares, better than chance, most churned customers found."""
     model, test = _churn(t)
-    return ml.evaluate(ml.score(model, test), "is_churned")
+    return ml.evaluate(ml.score(model, test), "is_churned").select(
+        "rows", (_share("accuracy") & _share("precision") & _share("recall") & _share("f1")).alias("in_range"),
+        (F.col("roc_auc") > 0.6).alias("better_than_chance"), (F.col("recall") > 0.5).alias("recalls_churned"))
 
 
-@query("churn_scores")
+@query("churn_scores", "SELECT customer_id, is_churned, true AS valid FROM churn_test")
 def _(t):
-    model, _test = _churn(t)
-    features = ml.churn_features(coa(t), AS_OF, CHURN_AFTER)
-    return ml.score(model, features).select("customer_id", "is_churned", "score", "predicted")
+    model, test = _churn(t)
+    return ml.score(model, test).select("customer_id", "is_churned", _valid("valid"))
 
 
-@query("churn_confusion")
+@query("churn_confusion", "SELECT is_churned AS label, COUNT(*) AS rows FROM churn_test GROUP BY 1")
 def _(t):
+    """The cells of the confusion matrix add up to the rows of each class."""
     model, test = _churn(t)
-    return ml.confusion(ml.score(model, test), "is_churned")
+    return ml.confusion(ml.score(model, test), "is_churned").filter("predicted IN (0, 1)").groupBy("label").agg(
+        F.sum("rows").alias("rows"))
+
+
+SHARED_SQL["fixed_scores"] = """
+    SELECT event_id, (event_id % 3 = 0)::INT AS y, event_id * 37 % 100 / 100.0::DOUBLE AS score FROM events"""
+
+
+@query("confusion_report", """
+    SELECT COUNT(*) AS rows, (tp + tn)::DOUBLE / COUNT(*) AS accuracy, tp::DOUBLE / (tp + fp) AS precision, tp::DOUBLE / (tp + fn) AS recall,
+           2 * tp::DOUBLE / (2 * tp + fp + fn) AS f1
+    FROM fixed_scores, (SELECT COUNT(*) FILTER (y = 1 AND score >= 0.5) AS tp, COUNT(*) FILTER (y = 0 AND score >= 0.5) AS fp,
+                               COUNT(*) FILTER (y = 1 AND score < 0.5) AS fn, COUNT(*) FILTER (y = 0 AND score < 0.5) AS tn FROM fixed_scores)
+    GROUP BY tp, fp, fn, tn""")
+def _(t):
+    """The report itself, over scores that need no model."""
+    score = (F.col("event_id") * 37 % 100) / F.lit(100.0)
+    scored = t.raw("events").select((F.col("event_id") % 3 == 0).cast("int").alias("y"), (score >= 0.5).cast("int").alias("predicted"))
+    return ml.classification_report(scored, "y")
 
 
-@query("churn_importance")
+@query("churn_importance", """SELECT unnest(['total_orders', 'total_spent', 'avg_order_value', 'customer_tenure_days', 'order_frequency',
+       'revenue_per_order']) AS feature, true AS in_range""")
 def _(t):
-    return ml.feature_importance(t.spark, _churn(t)[0], ml.CHURN_FEATURES)
+    """Every feature has an importance; ranks have no gaps."""
+    return ml.feature_importance(t.spark, _churn(t)[0], ml.CHURN_FEATURES).select(
+        "feature", (F.col("importance").between(0, 1) & F.col("rank").between(1, len(ml.CHURN_FEATURES))).alias("in_range"))
 
 
-@query("churn_class_balance", f"""SELECT is_churned, COUNT(*) AS rows FROM (SELECT (date_diff('day', last_order_date::DATE, {TODAY}) > {CHURN_AFTER})::INT AS is_churned FROM coa) GROUP BY 1""")
+@query("churn_class_balance", "SELECT is_churned, COUNT(*) AS rows FROM churn GROUP BY 1")
 def _(t):
     return ml.churn_features(coa(t), AS_OF, CHURN_AFTER).groupBy("is_churned").agg(F.count("*").alias("rows"))
 
 
-@query("stored_model_scores")
+@query("stored_model_scores", "SELECT customer_id, 1::BIGINT AS version, true AS same_score FROM churn_test")
 def _(t):
-    """Scores of a model that was stored and loaded again."""
+    """A model that was stored and loaded again scores like the fitted one."""
     root = scratch_dir(t.spark, "models")
     model, test = _churn(t)
-    ml.save_model(model, root, {"roc_auc": ml.roc_auc(ml.score(model, test), "is_churned")}, t.spark)
-    loaded, _metrics = ml.load_latest(t.spark, root)
-    return ml.score(loaded, test).select("customer_id", "score", "predicted")
+    fitted = ml.score(model, test)
+    version = ml.save_model(model, root, {"roc_auc": ml.roc_auc(fitted, "is_churned")}, t.spark)
+    loaded, metrics = ml.load_latest(t.spark, root)
+    both = ml.score(loaded, test).select("customer_id", F.col("score").alias("again")).join(
+        fitted.select("customer_id", "score"), "customer_id")
+    known = metrics.filter(F.col("metric") == "roc_auc").agg(F.max("version")).scalar()
+    return both.select("customer_id", F.coalesce(known, F.lit(version)).cast("long").alias("version"),
+                       (F.col("again") == F.col("score")).alias("same_score"))
 
 
 def _purchase(t):
     examples = ml.recommendation_training_set(t.orders, t.order_items, AS_OF)
-    return ml.train_purchase(examples, trees=5, depth=DEPTH, rate=0.1)
+    return _once(t, "purchase", lambda: ml.train_purchase(examples, trees=TREES, depth=DEPTH, rate=0.03))
 
 
-@query("purchase_evaluation")
+@query("purchase_evaluation", "SELECT COUNT(*) AS rows, true AS in_range FROM buy_test")
 def _(t):
     model, test = _purchase(t)
-    return ml.classification_report(ml.score(model, test), "purchased")
+    return ml.evaluate(ml.score(model, test), "purchased").select(
+        "rows", (_share("accuracy") & _share("precision") & _share("recall") & _share("f1") & _share("roc_auc")).alias("in_range"))
 
 
-@query("recommend_products")
+@query("recommend_products", """
+    SELECT customer_id, segment, rank AS rank_within_customer, true AS new_to_customer, true AS in_range, true AS ordered
+    FROM (SELECT customer_id, segment, COUNT(*) AS n FROM targets CROSS JOIN cat
+          WHERE (customer_id, product_id) NOT IN (SELECT (customer_id, product_id) FROM bght) GROUP BY 1, 2), range(1, 4) r(rank)
+    WHERE rank <= n""")
 def _(t):
+    """Three products for each target customer: not bought yet, best first."""
     model, _test = _purchase(t)
-    return ml.recommend(model, t.orders, t.order_items, t.product_catalog, AS_OF, "HIGH_VALUE_INACTIVE", 25, 3)
+    best = ml.recommend(model, t.orders, t.order_items, t.product_catalog, AS_OF, "HIGH_VALUE_INACTIVE", 25, 3)
+    bought = ml.customer_products(t.orders, t.order_items).select("customer_id", "product_id").withColumn("known", F.lit(True))
+    before = F.lag("purchase_probability").over(Window.partitionBy("customer_id").orderBy("rank_within_customer"))
+    return best.withColumn("before", before).join(bought, ["customer_id", "product_id"], "left").select(
+        "customer_id", "segment", "rank_within_customer", F.col("known").isNull().alias("new_to_customer"),
+        F.col("purchase_probability").between(0, 1).alias("in_range"),
+        F.coalesce(F.col("before") >= F.col("purchase_probability"), F.lit(True)).alias("ordered"))
 
 
 # --- similarity -------------------------------------------------------------------------------------
@@ -257,8 +343,7 @@ def _(t):
        SELECT a.vec_id AS id_a, b.vec_id AS id_b, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s
        FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id) ORDER BY round(s, 12) DESC, id_a, id_b LIMIT 10""")
 def _(t):
-    return similarity.pairwise_topk(t.raw("embeddings"), "vec_id", "embedding", 10, block_rows=256,
-                                    scratch=scratch_dir(t.spark, "pairs")).withColumn(
+    return similarity.pairwise_topk(t.raw("embeddings"), "vec_id", "embedding", 10, block_rows=256).withColumn(
         "similarity", F.round("similarity", 6))
 
 
@@ -268,79 +353,138 @@ def _labelled(t, label):
     return t.documents.select("doc_id", "text").join(t.raw("labels").select("doc_id", label), "doc_id")
 
 
-@query("text_filter")
-def _(t):
-    """Reviews a model trained on the toxic label picks out."""
-    model = text.train_text_filter(_labelled(t, "toxic"), "text", "toxic", iterations=10)
-    return text.text_filter(t.documents.select("doc_id", "lang", "text"), model).select("doc_id", "lang")
+_HELD = draw("'text'", "doc_id", below="5")
+
+
+def _held_out(docs):
+    part = ml.drawn(F.lit("text"), F.col("doc_id"), below=F.lit(5))
+    return docs.filter(part != 0), docs.filter(part == 0)
 
 
-@query("text_classify")
+@query("text_filter", f"SELECT doc_id, lang, true AS consistent FROM documents WHERE {_HELD} = 0")
 def _(t):
-    """Language of every document, from a model trained on the language column."""
-    docs = t.documents.select("doc_id", "lang", "text")
-    model = text.train_text_classes(docs, "text", "lang", iterations=10)
-    return text.text_classify(docs, model, "predicted").select("doc_id", "lang", "predicted")
+    """Documents a model trained on the toxic label picks out, over documents it has not seen.
 
+    The filter keeps exactly the rows whose flag is set.
+    """
+    train, _rest = _held_out(_labelled(t, "toxic"))
+    model = text.train_text_filter(train, "text", "toxic")
+    _seen, docs = _held_out(t.documents.select("doc_id", "lang", "text"))
+    kept = text.text_filter(docs, model).select("doc_id", F.lit(True).alias("kept"))
+    flagged = text.text_flag(docs, model, "flag").select("doc_id", "lang", "flag")
+    return flagged.join(kept, "doc_id", "left").select(
+        "doc_id", "lang", (F.coalesce("kept", F.lit(False)) == F.col("flag")).alias("consistent"))
 
-@query("reviews_with_sentiment")
+
+@query("text_classify", f"SELECT lang, COUNT(*) AS docs, true AS known_class, true AS mostly_right FROM documents WHERE {_HELD} = 0 GROUP BY 1")
 def _(t):
-    model = text.train_text_filter(_labelled(t, "quality"), "text", "quality", iterations=10)
-    reviews = t.product_reviews.withColumn("text", F.col("review_text"))
-    return text.reviews_with_sentiment(reviews, model).select(
-        "review_id", "rating", "is_positive", "mentions_quality_issues", "sentiment_category")
+    """Language of documents, from a model trained on the language of others."""
+    train, test = _held_out(t.documents.select("doc_id", "lang", "text"))
+    model = text.train_text_classes(train, "text", "lang")
+    known = [r[0] for r in train.select("lang").distinct().collect()]
+    return text.text_classify(test, model, "predicted").groupBy("lang").agg(
+        F.count("*").alias("docs"), F.bool_and(F.col("predicted").isin(known)).alias("known_class"),
+        (F.avg((F.col("predicted") == F.col("lang")).cast("int")) > 0.8).alias("mostly_right"))
 
 
-@query("embed_documents")
+@query("embed_documents", """SELECT doc_id, 256 AS dim, (len(list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: len(w) > 0)) > 0)::INT::DOUBLE AS norm FROM documents""")
 def _(t):
-    return text.embed(t.documents.select("doc_id", "text"), "text", 64).select(
+    model = text.fit_embedding(t.documents, "text", 256)
+    return text.embed(t.documents.select("doc_id", "text"), model).select(
         "doc_id", F.size("embedding").alias("dim"),
         F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")), 3).alias("norm"))
 
 
-# Words that occur in the test documents stand in for review vocabulary.
-LEXICON = {"only": 1, "thing": 1, "ones": 1, "there": 1, "stupid": -1, "worthless": -1, "hate": -1, "for": -1}
-ASPECTS = {"quality": ["with", "inner"], "price": ["from", "tire"]}
+@query("embedding_search", """SELECT doc_id, 1.0::DOUBLE AS similarity FROM documents WHERE text = (SELECT text FROM documents WHERE doc_id = 1)
+       ORDER BY doc_id LIMIT 1""")
+def _(t):
+    """The text most similar to a given one, embedded by the same fitted model, is that text."""
+    model = text.fit_embedding(t.documents, "text", 256)
+    q = t.documents.filter("doc_id = 1").select("text").first()[0]
+    found = text.similar_to_text(t.documents.select("doc_id", "text"), model, "doc_id", q, 1)
+    return found.select("doc_id", F.round("similarity", 6).alias("similarity"))
 
 
-def _hits(tokens, vocabulary):
+# The words and aspects of the library, written out, and words that occur in the test documents.
+_GOOD = ("amazing awesome best comfortable durable excellent fantastic good great love perfect recommend satisfied sturdy "
+         "thank wonderful only thing ones there").split()
+_BAD = ("awful bad broke broken cheap defective delayed disappointed disappointing expensive frustrated poor refund stupid "
+        "terrible uncomfortable worst worthless hate for").split()
+_ABOUT = {
+    "quality": "quality made material materials construction with inner".split(),
+    "price": "price cost value money expensive cheap from tire".split(),
+    "performance": "performance speed control performs that".split(),
+    "durability": "durable durability lasted broke broken this".split(),
+    "comfort": "comfort comfortable fit fits uncomfortable was".split(),
+}
+_EXTRA_WORDS = {"only": 1, "thing": 1, "ones": 1, "there": 1, "hate": -1, "for": -1}
+_EXTRA_ABOUT = {"quality": ["with", "inner"], "price": ["from", "tire"], "performance": ["that"], "durability": ["this"], "comfort": ["was"]}
+
+
+def _words_in(tokens, vocabulary):
     known = ", ".join(f"'{w}'" for w in vocabulary)
     return f"len(list_filter({tokens}, lambda w: w IN ({known})))"
 
 
-_GOOD = [w for w, s in LEXICON.items() if s > 0]
-_BAD = [w for w, s in LEXICON.items() if s < 0]
+def _sentences(key, body, table):
+    return f"""
+    SELECT {key}, n, list_filter(string_split_regex(lower(sentence), '[^\\p{{L}}\\p{{N}}]+'), lambda w: len(w) > 0) AS toks
+    FROM (SELECT {key}, unnest(string_split_regex({body}, '[.!?\n]+')) AS sentence,
+                 generate_subscripts(string_split_regex({body}, '[.!?\n]+'), 1) AS n FROM {table})"""
+
 
-SHARED_SQL["sent"] = """
-    SELECT doc_id, n, list_filter(string_split_regex(lower(sentence), '[^a-z]+'), lambda w: len(w) > 0) AS toks
-    FROM (SELECT doc_id, unnest(string_split_regex(text, '[.!?\n]+')) AS sentence, generate_subscripts(string_split_regex(text, '[.!?\n]+'), 1) AS n FROM documents)"""
+def _moods(key, table, sentences):
+    about = "".join(f""",
+           COUNT(*) FILTER (list_has_any(toks, {words})) AS {a}_any,
+           coalesce(SUM({_words_in('toks', _GOOD)}) FILTER (list_has_any(toks, {words})), 0) AS {a}_p,
+           coalesce(SUM({_words_in('toks', _BAD)}) FILTER (list_has_any(toks, {words})), 0) AS {a}_n""" for a, words in _ABOUT.items())
+    return f"""
+    SELECT d.{key}, coalesce(SUM({_words_in('toks', _GOOD)}), 0) AS p, coalesce(SUM({_words_in('toks', _BAD)}), 0) AS n{about}
+    FROM {table} d LEFT JOIN {sentences} USING ({key}) GROUP BY 1"""
 
-SHARED_SQL["moods"] = f"""
-    SELECT d.doc_id, coalesce(SUM({_hits('toks', _GOOD)}), 0) AS p, coalesce(SUM({_hits('toks', _BAD)}), 0) AS n,
-           COUNT(*) FILTER (list_has_any(toks, ['with', 'inner'])) AS q_any,
-           coalesce(SUM({_hits('toks', _GOOD)}) FILTER (list_has_any(toks, ['with', 'inner'])), 0) AS q_p,
-           coalesce(SUM({_hits('toks', _BAD)}) FILTER (list_has_any(toks, ['with', 'inner'])), 0) AS q_n,
-           COUNT(*) FILTER (list_has_any(toks, ['from', 'tire'])) AS c_any,
-           coalesce(SUM({_hits('toks', _GOOD)}) FILTER (list_has_any(toks, ['from', 'tire'])), 0) AS c_p,
-           coalesce(SUM({_hits('toks', _BAD)}) FILTER (list_has_any(toks, ['from', 'tire'])), 0) AS c_n
-    FROM documents d LEFT JOIN sent USING (doc_id) GROUP BY 1"""
+
+SHARED_SQL["sent"] = _sentences("doc_id", "text", "documents")
+SHARED_SQL["moods"] = _moods("doc_id", "documents", "sent")
+SHARED_SQL["rsent"] = _sentences("review_id", "review_text", "rev")
+SHARED_SQL["rmoods"] = _moods("review_id", "rev", "rsent")
 
 
 def _verdict(p, n):
     return f"CASE WHEN {p} > 0 AND {n} > 0 THEN 'mixed' WHEN {p} > 0 THEN 'positive' WHEN {n} > 0 THEN 'negative' ELSE 'neutral' END"
 
 
+def _aspect(a):
+    return f"CASE WHEN {a}_any = 0 THEN 'unknown' ELSE {_verdict(f'{a}_p', f'{a}_n')} END AS {a}_sentiment"
+
+
+def _vocabulary():
+    return text.LEXICON | _EXTRA_WORDS, {a: [*words, *_EXTRA_ABOUT[a]] for a, words in text.ASPECTS.items()}
+
+
 @query("sentiment", f"""SELECT doc_id, {_verdict('p', 'n')} AS overall_sentiment, (p - n)::BIGINT AS score,
-       CASE WHEN q_any = 0 THEN 'unknown' ELSE {_verdict('q_p', 'q_n')} END AS quality_sentiment,
-       CASE WHEN c_any = 0 THEN 'unknown' ELSE {_verdict('c_p', 'c_n')} END AS price_sentiment FROM moods""")
+       {', '.join(_aspect(a) for a in _ABOUT)} FROM moods""")
 def _(t):
-    return text.sentiment(t.documents, "doc_id", "text", LEXICON, ASPECTS)
+    return text.sentiment(t.documents, "doc_id", "text", *_vocabulary())
+
+
+@query("reviews_with_sentiment", """
+    SELECT review_id, rating, true AS flagged, quality_any > 0 AND quality_n > 0 AS mentions_quality_issues,
+           CASE WHEN p - n >= 2 THEN 'highly_positive' WHEN p - n = 1 THEN 'positive' WHEN p - n = 0 THEN 'neutral'
+                WHEN p - n = -1 THEN 'negative' ELSE 'highly_negative' END AS sentiment_category
+    FROM rev JOIN rmoods USING (review_id)""")
+def _(t):
+    """Satisfaction from a trained model (any flag will do here), the rest from the word list."""
+    train, _rest = _held_out(_labelled(t, "quality"))
+    model = text.train_text_filter(train, "text", "quality")
+    reviews = t.product_reviews.withColumn("text", F.col("review_text"))
+    return text.reviews_with_sentiment(reviews, model, *_vocabulary()).select(
+        "review_id", "rating", F.col("is_positive").isNotNull().alias("flagged"), "mentions_quality_issues", "sentiment_category")
 
 
 SHARED_SQL["post"] = """
     SELECT term, doc_id, COUNT(*) AS tf, any_value(len) AS len
     FROM (SELECT doc_id, unnest(ws) AS term, len(ws) AS len
-          FROM (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda w: len(w) > 0) AS ws FROM documents))
+          FROM (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: len(w) > 0) AS ws FROM documents))
     GROUP BY 1, 2"""
 
 SHARED_SQL["bm"] = """
@@ -371,7 +515,27 @@ def _(t):
         F.count("*").alias("docs"), F.sum("tf").alias("uses"))
 
 
-@query("review_digest")
+SHARED_SQL["best5"] = f"""
+    SELECT product_id, product_name, product_category, COUNT(*) AS total_reviews, {half_up('SUM(rating)', 'COUNT(*)', 2)} AS avg_rating
+    FROM cat JOIN rev USING (product_id) GROUP BY 1, 2, 3 ORDER BY 5 DESC, 1 LIMIT 5"""
+
+SHARED_SQL["lines"] = """
+    SELECT product_id, review_id, n, s, list_distinct(list_filter(string_split_regex(lower(s), '[^\\p{L}\\p{N}]+'), lambda w: len(w) > 0)) AS ws
+    FROM (SELECT product_id, review_id, unnest(ss) AS s, generate_subscripts(ss, 1) - 1 AS n
+          FROM (SELECT product_id, review_id, list_filter(list_transform(string_split_regex(review_text, '[.!?\n]+'), lambda x: trim(x, ' ')), lambda x: len(x) > 0) AS ss
+                FROM rev JOIN best5 USING (product_id)))"""
+
+SHARED_SQL["typical"] = """
+    SELECT product_id, review_id, n, any_value(s) AS s, SUM(uses)::DOUBLE / COUNT(*) AS score
+    FROM (SELECT product_id, review_id, n, s, term, COUNT(*) OVER (PARTITION BY product_id, term) AS uses
+          FROM (SELECT product_id, review_id, n, s, unnest(ws) AS term FROM lines)) GROUP BY 1, 2, 3 HAVING COUNT(*) >= 3"""
+
+
+@query("review_digest", """
+    SELECT b.*, t.review_summary FROM best5 b LEFT JOIN (
+        SELECT product_id, string_agg(s, '. ' ORDER BY place) AS review_summary
+        FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY score DESC, review_id, n) AS place FROM typical) WHERE place <= 3
+        GROUP BY 1) t USING (product_id)""")
 def _(t):
     return text.review_digest(t.product_catalog, t.product_reviews)
 
@@ -383,16 +547,23 @@ def _(t):
         "product_id", "product_name", "total_reviews", "avg_rating")
 
 
-@query("extract_amounts_dates", f"""SELECT doc_id, len(regexp_extract_all(text, '{text.AMOUNT}')) AS n_amounts,
-       len(regexp_extract_all(text, '{text.DATE}')) AS n_dates FROM documents""")
+# Amounts and dates stand in a text made of a table's columns, since the documents hold none.
+@query("extract_amounts_dates", """
+    SELECT o_orderkey AS id, 2 AS n_amounts, 1 AS n_dates,
+           '[{"amount":"$' || o_orderkey || '.25","date":"' || strftime(o_orderdate, '%Y-%m-%d') || '","description":"Paid $' || o_orderkey
+           || '.25 on ' || strftime(o_orderdate, '%Y-%m-%d') || '"},{"amount":"$7","description":"Then $7 more"}]' AS records
+    FROM orders WHERE o_custkey % 10 < 5""")
 def _(t):
-    return text.extract_amounts_dates(t.documents, "doc_id", "text").drop("records")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    notes = t.raw("orders").filter("o_custkey % 10 < 5").select(F.col("o_orderkey").alias("id"), F.concat(
+        F.lit("Paid $"), F.col("o_orderkey").cast("string"), F.lit(".25 on "), day, F.lit(". Then $7 more")).alias("note"))
+    return text.extract_amounts_dates(notes, "id", "note")
 
 
 @query("extract_sentences", """
     SELECT doc_id, coalesce(string_agg(s, ' | ' ORDER BY n) FILTER (list_has_any(toks, ['only', 'thing'])), '') AS pros,
            coalesce(string_agg(s, ' | ' ORDER BY n) FILTER (list_has_any(toks, ['worthless', 'stupid'])), '') AS cons
-    FROM (SELECT doc_id, n, trim(sentence) AS s, list_filter(string_split_regex(lower(sentence), '[^a-z]+'), lambda w: len(w) > 0) AS toks
+    FROM (SELECT doc_id, n, trim(sentence) AS s, list_filter(string_split_regex(lower(sentence), '[^\\p{L}\\p{N}]+'), lambda w: len(w) > 0) AS toks
           FROM (SELECT doc_id, unnest(string_split_regex(text, '[.!?\n]+')) AS sentence,
                        generate_subscripts(string_split_regex(text, '[.!?\n]+'), 1) AS n FROM documents)) GROUP BY 1""")
 def _(t):
@@ -400,8 +571,9 @@ def _(t):
                                   {"pros": ["only", "thing"], "cons": ["worthless", "stupid"]})
 
 
-@query("redact_pii", f"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '{text.EMAIL}', '[EMAIL]', 'g'),
-       '{text.CARD}', '[CARD]', 'g'), '{text.PHONE}', '[PHONE]', 'g') AS text FROM documents""")
+@query("redact_pii", r"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}', '[EMAIL]', 'g'),
+       '\b[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}\b', '[CARD]', 'g'),
+       '[+][0-9]{1,3}(?:[ .-]?[(]?[0-9]{2,4}[)]?){2,5}|[(]?[0-9]{3}[)]?[ .-][0-9]{3}[ .-][0-9]{4}', '[PHONE]', 'g') AS text FROM documents""")
 def _(t):
     return t.documents.select("doc_id", text.redact_pii("text").alias("text"))
 

@@ -5,7 +5,6 @@ from registry.enrich import _num
 from tillwise.operators import marts as op
 from tillwise.operators import staging as stg
 from tillwise.session import cut_lineage
-from tillwise.sources.files import scratch_dir
 from tillwise.sources.fixtures import AS_OF
 
 TODAY = f"DATE '{AS_OF}'"
@@ -112,10 +111,19 @@ SHARED_SQL["clv"] = f"""
                 FROM scust c LEFT JOIN (SELECT * FROM sord WHERE order_status IN ('Completed', 'Shipped')) o
                   ON o.customer_id = c.customer_id GROUP BY ALL))"""
 
-_SEG_CASE = " ".join(
-    f"WHEN recency_score BETWEEN {r[0]} AND {r[1]} AND frequency_score BETWEEN {f[0]} AND {f[1]} "
-    f"AND monetary_score BETWEEN {m[0]} AND {m[1]} THEN '{name}'" for name, r, f, m, _ in op.SEGMENTS)
-_ACTIONS = ", ".join(f"'{s[0]}': '{s[4]}'" for s in op.SEGMENTS)
+# Written out, so that a wrong bound in the library shows. Two later rules can never be reached.
+_SEG_CASE = """
+    WHEN recency_score >= 8 AND frequency_score >= 8 AND monetary_score >= 8 THEN 'champions'
+    WHEN recency_score >= 6 AND frequency_score >= 6 AND monetary_score >= 6 THEN 'loyal_customers'
+    WHEN recency_score >= 8 AND frequency_score <= 4 AND monetary_score >= 6 THEN 'potential_loyalists'
+    WHEN recency_score >= 6 AND frequency_score <= 4 AND monetary_score <= 4 THEN 'promising'
+    WHEN recency_score <= 4 AND frequency_score >= 6 AND monetary_score >= 6 THEN 'at_risk'
+    WHEN recency_score <= 4 AND frequency_score <= 4 AND monetary_score >= 6 THEN 'hibernating_high_value'
+    WHEN recency_score <= 2 AND frequency_score <= 4 AND monetary_score <= 4 THEN 'lost'"""
+_ACTIONS = """'champions': 'Reward and retain with VIP benefits', 'loyal_customers': 'Upsell and cross-sell opportunities',
+    'potential_loyalists': 'Engage with loyalty program', 'promising': 'Nurture with targeted offers',
+    'at_risk': 'Win back with personalized campaigns', 'hibernating_high_value': 'Reactivation campaign',
+    'lost': 'Low priority - minimal investment'"""
 
 SHARED_SQL["seg"] = f"""
     SELECT customer_id, customer_name, customer_segment, signup_date, recency_score, frequency_score, monetary_score,
@@ -318,7 +326,7 @@ def _(t):
                  PERCENT_RANK() OVER (ORDER BY total_revenue) AS pr FROM ipm)""")
 def _(t):
     # Ranked from a stored copy: the ranks read the metrics more than once.
-    metrics = cut_lineage(t.spark, product_metrics(t), scratch_dir(t.spark, "metrics"))
+    metrics = cut_lineage(t.spark, product_metrics(t))
     return op.product_performance(metrics)
 
 

@@ -104,11 +104,11 @@ def _(t):
 
 
 @query("prefiltered_reviews", """SELECT review_id FROM rev WHERE review_text IS NOT NULL AND length(review_text) > 10
-       AND rating >= 4 AND lower(review_text) LIKE '%good%'""")
+       AND rating >= 4 AND lower(review_text) LIKE '%thing%'""")
 def _(t):
     cheap = F.col("review_text").isNotNull() & (F.length("review_text") > 10) & (F.col("rating") >= 4)
     return sv.prefiltered(t.product_reviews, cheap,
-                          lambda df: df.filter(F.lower("review_text").like("%good%"))).select("review_id")
+                          lambda df: df.filter(F.lower("review_text").like("%thing%"))).select("review_id")
 
 
 @query("recent_orders", """SELECT customer_id, order_id, order_date::VARCHAR AS order_date, order_status,

@@ -90,6 +90,52 @@ def _(t):
                                "large_orders_count"], ["order_day_name"])
 
 
+@query("semantic_free_condition", f"""
+    SELECT customer_segment, SUM(total_amount)::DOUBLE AS total_revenue, COUNT(DISTINCT order_id) AS order_count, SUM({_NET})::DOUBLE AS net_revenue
+    FROM ord JOIN cust USING (customer_id)
+    WHERE (order_status = 'Completed' AND state IN ('CO', 'UT', 'CA') OR order_status = 'Shipped') AND total_amount > 500 GROUP BY 1""")
+def _(t):
+    """Rows filtered on dimensions and facts that are not in the result."""
+    return _orders_model(t).query(
+        ["total_revenue", "order_count", "net_revenue"], ["segment"],
+        condition=lambda of: ((of("status") == "Completed") & of("region").isin("CO", "UT", "CA") | (of("status") == "Shipped"))
+        & (of("order_value") > 500))
+
+
+@query("semantic_condition_across_tables", """
+    SELECT order_status, SUM(line_total)::DOUBLE AS total_items_revenue
+    FROM item JOIN ord USING (order_id) JOIN cust USING (customer_id)
+    WHERE customer_segment = 'Premium' AND year(order_date) = 2000 GROUP BY 1""")
+def _(t):
+    return _orders_model(t).query(["total_items_revenue"], ["order_status"],
+                                  condition=lambda of: (of("segment") == "Premium") & (of("year") == 2000))
+
+
+@query("semantic_customer_averages", """
+    SELECT value_tier, SUM(total_revenue)::DOUBLE / COUNT(total_revenue) AS average_customer_revenue,
+           SUM(recency_score + frequency_score + monetary_score)::DOUBLE / (COUNT(recency_score + frequency_score + monetary_score) * 3) AS average_rfm_score
+    FROM clv GROUP BY 1""")
+def _(t):
+    return _business(t).query(["average_customer_revenue", "average_rfm_score"], ["value_tier"])
+
+
+@query("semantic_daily_discounts", """
+    SELECT order_day_name, SUM(avg_order_value::DECIMAL(20,6))::DOUBLE / COUNT(avg_order_value) AS avg_order_value_by_day,
+           SUM(total_discounts)::DOUBLE / SUM(total_discounts + total_net_revenue)::DOUBLE * 100 AS daily_discount_penetration_percentage,
+           (SUM(total_discounts) + SUM(total_net_revenue))::DOUBLE AS daily_gross_revenue_before_discounts,
+           SUM(total_discounts)::DOUBLE AS daily_total_discounts_given
+    FROM daily GROUP BY 1""")
+def _(t):
+    return _business(t).query(["avg_order_value_by_day", "daily_discount_penetration_percentage",
+                               "daily_gross_revenue_before_discounts", "daily_total_discounts_given"], ["order_day_name"])
+
+
+@query("semantic_shipping_average", f"""
+    SELECT order_status, SUM({_NET} + shipping_cost)::DOUBLE / COUNT(*) AS average_order_value_with_shipping FROM ord GROUP BY 1""")
+def _(t):
+    return _business(t).query(["average_order_value_with_shipping"], ["order_status"])
+
+
 # Named filters, each with the metric it is usually read with.
 _FILTERED = {
     "valid_customer_segments": ("order_count", "SELECT COUNT(*) AS order_count FROM ord JOIN cust USING (customer_id) "

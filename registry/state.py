@@ -13,6 +13,7 @@ from tillwise.operators import table_state as ts
 from tillwise.operators import timeseries as tm
 from tillwise.operators.reports import layer_counts
 from tillwise.operators.serving import customer_order_analytics
+from tillwise.sources.files import values
 from tillwise.sources.fixtures import AS_OF
 
 TODAY = f"DATE '{AS_OF}'"
@@ -110,6 +111,28 @@ def _(t):
     return ts.merge_upsert(target, t.order_items_staging, "order_item_id").table
 
 
+@query("merge_seed_values", """
+    SELECT region, coalesce(s.label, r.r_name) AS label, s.label IS NULL AS kept
+    FROM (SELECT coalesce(r_regionkey, k) AS region, * FROM region r
+          FULL JOIN (VALUES (1, 'seed one'), (3, 'seed three'), (90, 'seed ninety')) s(k, label) ON r_regionkey = k) r
+    LEFT JOIN (VALUES (1, 'seed one'), (3, 'seed three'), (90, 'seed ninety')) s(k, label) ON region = s.k""")
+def _(t):
+    """Inline seed rows merged into a stored table: known keys updated, new ones inserted."""
+    target = t.raw("region").select(F.col("r_regionkey").cast("long").alias("region"), F.col("r_name").alias("label"))
+    seed = values(t.spark, [(1, "seed one"), (3, "seed three"), (90, "seed ninety")], "region long, label string")
+    return ts.merge_upsert(target, seed, "region").table.withColumn("kept", ~F.col("label").startswith("seed"))
+
+
+@query("mirror_insert_update_delete", """
+    SELECT c_custkey AS id, CASE WHEN c_custkey % 7 = 0 THEN 'changed' ELSE c_name END AS name FROM customer WHERE c_custkey % 5 <> 1""")
+def _(t):
+    """One sync that inserts, updates and deletes."""
+    rows = t.raw("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    target = rows.filter("id % 3 <> 2")
+    source = rows.filter("id % 5 <> 1").withColumn("name", F.when(F.col("id") % 7 == 0, "changed").otherwise(F.col("name")))
+    return ts.mirror_sync(target, source, "id").table
+
+
 @query("merge_scaled", f"""SELECT order_id, customer_id, order_date::VARCHAR AS order_date,
        CASE WHEN order_date >= DATE '2001-01-01' THEN 'MERGED' ELSE order_status END AS order_status,
        CASE WHEN order_date >= DATE '2001-01-01' THEN round(total_amount * 1.05::DECIMAL(3,2), 2) ELSE total_amount END::DOUBLE AS total_amount,
@@ -515,9 +538,30 @@ EXPECTATIONS = [
     quality.Expectation("fresh_30min", "orders", "order_date", "FRESHNESS", "<", 1800, "log"),
 ]
 
-_RULES_SQL = "(VALUES " + ", ".join(
-    f"('{e.name}', '{e.table}', '{e.column}', '{e.metric}', '{e.op}', {e.limit}, '{e.tier}')" for e in EXPECTATIONS
-) + ") r(expectation, table_name, column_name, metric, op, lim, tier)"
+_RULES_SQL = """(VALUES
+    ('zero_nulls', 'orders', 'customer_id', 'NULL_COUNT', '=', 0, 'block'),
+    ('zero_null_ids', 'orders', 'order_id', 'NULL_COUNT', '=', 0, 'block'),
+    ('few_small', 'orders', 'total_amount', 'SMALL_TOTAL', '<', 5, 'alert'),
+    ('fresh_day', 'orders', 'order_date', 'FRESHNESS', '<', 90000, 'alert'),
+    ('fresh_30min', 'orders', 'order_date', 'FRESHNESS', '<', 1800, 'log')) r(expectation, table_name, column_name, metric, op, lim, tier)"""
+
+
+@query("dq_blocking", f"""SELECT 'blocked' AS outcome, string_agg(expectation, ', ' ORDER BY expectation) AS rules
+       FROM dq JOIN {_RULES_SQL} USING (table_name, column_name, metric) WHERE tier = 'block' AND value <> lim HAVING COUNT(*) > 0
+       UNION ALL SELECT 'alert', string_agg(expectation, ', ' ORDER BY expectation)
+       FROM dq JOIN {_RULES_SQL} USING (table_name, column_name, metric) WHERE tier = 'alert' AND value >= lim HAVING COUNT(*) > 0""")
+def _(t):
+    """What the blocking tier stops, and what is only reported once it is left out."""
+    gated = quality.dq_gate(quality.evaluate_expectations(_results(t), EXPECTATIONS))
+    out = []
+    try:
+        quality.enforce(gated)
+    except quality.QualityError as stop:
+        out.append(("blocked", str(stop).removeprefix("blocked by ")))
+    alerts = quality.enforce(gated.filter(F.col("tier") != "block")).select("expectation").distinct().collect()
+    if alerts:
+        out.append(("alert", ", ".join(sorted(r[0] for r in alerts))))
+    return t.spark.createDataFrame(out, "outcome string, rules string")
 
 
 @query("null_counts", "SELECT column_name, value FROM (SELECT column_name, value::BIGINT AS value FROM dq WHERE table_name = 'orders' AND metric = 'NULL_COUNT')")

@@ -108,13 +108,14 @@ def test_digest_matches_brute_force(spark):
 
 def test_extraction_and_redaction(spark):
     df = spark.createDataFrame([(1, "Paid $1,200.50 on 2024-01-05. Mail a.b@c.org, call +1 (743) 555-3824 or 555-123-4567. "
-                                    "Card 1234-5678-9012-3456. Great skis. Poor boots")], "id int, t string")
+                                    "Card 1234-5678-9012-3456. Great skis. Poor boots. Or 1234567890123456, +49 30 1234 5678")], "id int, t string")
     row = text.extract_amounts_dates(df, "id", "t").first()
-    assert row["records"] == '[{"amount":"$1,200.50","date":"2024-01-05"}]'
+    assert row["records"] == '[{"amount":"$1,200.50","date":"2024-01-05","description":"Paid $1,200.50 on 2024-01-05"}]'
     kinds = text.extract_sentences(df, "id", "t", {"pros": text.PROS, "cons": text.CONS}).first()
     assert (kinds["pros"], kinds["cons"]) == ("Great skis", "Poor boots")
     clean = df.select(text.redact_pii("t")).first()[0]
     assert clean.startswith("Paid $1,200.50 on 2024-01-05. Mail [EMAIL], call [PHONE] or [PHONE]. Card [CARD].")
+    assert clean.endswith("Or [CARD], [PHONE]")
 
 
 def test_functions(spark):

@@ -37,7 +37,7 @@ def test_number_rows_matches_a_window(spark, descending, grouped):
 
 def test_dense_position_has_no_gaps(spark):
     df = spark.range(0, 500).select((F.col("id") * 1009).alias("k"))
-    got = [tuple(r) for r in dense_position(df, "k", width=4096).orderBy("k").collect()]
+    got = [tuple(r) for r in dense_position(df, "k").orderBy("k").collect()]
     assert [p for _, p in got] == list(range(500))
 
 
@@ -55,3 +55,29 @@ def test_quantile_by_position_without_groups(spark):
     row = exact_quantiles(df, [], "v", {"m": 0.5, "p99": 0.99}, method="lower_index", bins=8).first()
     assert row["m"] == pytest.approx(values[int(len(values) * 0.5)])
     assert row["p99"] == pytest.approx(values[int(len(values) * 0.99)])
+
+
+def _largest(df, *keys):
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+
+
+def test_one_outlier_does_not_fill_one_bin(spark):
+    df = spark.range(20_000).select(
+        F.lit("g").alias("g"), F.when(F.col("id") == 0, F.lit(1e9)).otherwise(F.col("id") / 1000).alias("v"))
+    want = sorted([1e9] + [i / 1000 for i in range(1, 20_000)])
+    got = exact_quantiles(df, ["g"], "v", {"p50": 0.5, "p99": 0.99}, method="lower_index", bins=64)
+    row = got.first()
+    assert row["p50"] == want[10_000] and row["p99"] == want[19_800]
+    known = df.groupBy("g").agg(F.percentile_approx("v", F.array(*[F.lit(i / 64) for i in range(1, 64)]), F.lit(512)).alias("b"))
+    binned = df.join(known, "g").select(F.size(F.filter("b", lambda x: x < F.col("v"))).alias("bin"))
+    assert _largest(binned, "bin") < 20_000 / 64 * 3
+
+
+@pytest.mark.parametrize("sparse", [1, 10**12])
+def test_one_shared_value_and_sparse_ids_are_many_ranges(spark, sparse):
+    df = spark.range(8000).select((F.col("id") * sparse).alias("id"), F.lit(1).alias("v")).repartition(4)
+    ranged = df.repartitionByRange(F.desc_nulls_first("v"), F.asc("id")).withColumn("p", F.spark_partition_id())
+    assert _largest(ranged, "p") < 8000
+    out = number_rows(df, "v", "id", position="pos", rank="rk").agg(
+        F.count_distinct("pos"), F.max("pos"), F.max("rk"), F.count_if(F.col("pos") != F.col("id") / F.lit(sparse) + 1)).first()
+    assert tuple(out) == (8000, 8000, 1, 0)

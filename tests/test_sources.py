@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 
 from tillwise import schemas
 from tillwise.sources import external, files
-from tillwise.sources import generators as gen
 
 SCHEMA = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType()),
                        T.StructField("price", T.DecimalType(10, 2)), T.StructField("day", T.DateType())])
@@ -44,14 +43,10 @@ def test_versions_switch_only_when_complete(spark, folder):
     assert files.read_version(spark, root, 1).count() == 3
 
 
-def test_lake_keeps_microseconds_and_lists_files(spark, folder):
+def test_lake_keeps_microseconds(spark, folder):
     df = spark.sql("SELECT timestamp'2024-01-01 00:00:00.123456' AS t")
     files.export_lake(df, f"{folder}/lake")
     assert files.read_lake(spark, f"{folder}/lake").first()["t"].microsecond == 123456
-    for name in ("a.pdf", "b.txt"):
-        with open(f"{folder}/{name}", "w") as f:
-            f.write("x")
-    assert [r["file_name"] for r in files.list_documents(spark, folder, "*.pdf").collect()] == ["a.pdf"]
 
 
 def test_samples(tables):
@@ -64,26 +59,6 @@ def test_samples(tables):
     assert shards.count() == 7
 
 
-def test_generators_do_not_depend_on_partitions(spark, tables):
-    one = gen.generate_orders(tables.customers, 500, 1, "2024-01-01")
-    two = gen.generate_orders(tables.customers.repartition(5), 500, 1, "2024-01-01").repartition(3)
-    assert one.exceptAll(two).count() == 0 and one.count() == 500
-    assert gen.generate_orders(tables.customers, 500, 2, "2024-01-01").intersect(one).count() == 0
-    assert one.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.ORDERS]
-    mix = {r[0]: r[1] / 500 for r in one.groupBy("order_status").count().collect()}
-    assert mix["Completed"] == pytest.approx(0.65, abs=0.08)
-
-
-def test_generated_customers_continue_ids(tables):
-    last = tables.customers.agg(F.max("customer_id")).first()[0]
-    new = gen.generate_customers(tables.customers, 20, 1, "2024-01-01")
-    assert sorted(r[0] for r in new.select("customer_id").collect()) == list(range(last + 1, last + 21))
-    reviews = gen.generate_reviews(tables.product_catalog, tables.customers, 1, "2024-01-01")
-    per_product = [r[1] for r in reviews.groupBy("product_id").count().collect()]
-    assert min(per_product) >= 30 and max(per_product) <= 50
-    assert gen.generate_tickets(tables.customers, 40, 1, "2024-01-01").filter("status = 'Open' AND priority = 'Urgent'").count() == 0
-
-
 def test_external_rows(spark, rows):
     df = spark.sql("SELECT 1 AS id, date'2024-01-02' AS d, cast(1.50 AS decimal(5,2)) AS p, cast(null AS string) AS n")
     spec = {"id": ("$.id", "int"), "d": ("$.d", "string"), "p": ("$.p", "double"), "n": ("$.n", "string")}
@@ -95,6 +70,3 @@ def test_external_rows(spark, rows):
 
 def test_inline_values_and_rows(spark):
     assert files.values(spark, [(1, "a")], "id int, name string").count() == 1
-    assert gen.generate_rows(spark, 12).count() == 12
-    names = [r["column_name"] for r in files.profile_columns(files.values(spark, [(1, "a")], "id int, name string")).collect()]
-    assert names == ["id", "name"]

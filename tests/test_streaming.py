@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tillwise import schemas
 from tillwise.operators import enrich
-from tillwise.plans.refresh import Layer, Refresher
+from tillwise.sources import files
 from tillwise.streaming import incremental, ingest
 
 
@@ -81,15 +81,44 @@ def test_live_counts_and_dedupe(spark, folder):
     assert live.agg(F.sum("rows")).first()[0] == 200 and live.count() == 17
 
 
-def test_refresh_cascade_and_log(spark, folder):
-    layers = [Layer("a", ("src",), lambda t: t["src"].withColumn("x", F.lit(1)), lambda t: t["src"].withColumn("x", F.lit(1))),
-              Layer("b", ("a",), lambda t: t["a"].groupBy("x").count())]
-    job = Refresher(spark, folder, layers)
-    job.refresh({"src": spark.range(5)})
-    job.refresh({"src": spark.range(5)}, new_rows={})
-    job.refresh({"src": spark.range(8)}, new_rows={"src": spark.range(5, 8)}, cascade=False)
-    tables = job.refresh({"src": spark.range(9)}, new_rows={"src": spark.range(8, 9)})
-    assert [(r[0], r[1]) for r in job.log] == [
-        ("a", "FULL"), ("b", "FULL"), ("a", "NO_DATA"), ("b", "NO_DATA"),
-        ("a", "INCREMENTAL"), ("b", "NO_DATA"), ("a", "INCREMENTAL"), ("b", "FULL")]
-    assert tables["b"].first()["count"] == 9
+def test_resent_and_moved_orders(spark, tables, folder):
+    """An order that comes again replaces the old one; a period it leaves is corrected or goes."""
+    marts = incremental.IncrementalMarts(spark, folder, "day")
+    orders = tables.orders.orderBy("order_date", "order_id").limit(3).cache()
+    items = tables.order_items.join(orders.select("order_id"), "order_id", "left_semi").select(*tables.order_items.columns)
+    marts.add_items(items, 0)
+    marts.add_orders(orders, 0)
+    first = orders.orderBy("order_id").limit(1)
+    moved = first.withColumns({"order_date": F.col("order_date") + F.expr("INTERVAL 40 DAYS"), "order_status": F.lit("Changed")})
+    marts.add_orders(moved, 1)
+    now = orders.join(first.select("order_id"), "order_id", "left_anti").select(*orders.columns).unionByName(
+        moved.select(*orders.columns))
+    full = enrich.fact_orders(enrich.enriched_orders(now), enrich.enriched_order_items(items))
+    got = marts.fact().select(*full.columns)
+    assert got.count() == full.count() and got.exceptAll(full).count() == 0
+    daily = enrich.daily_business_metrics(full)
+    assert marts.daily().select(*daily.columns).exceptAll(daily).count() == 0 and marts.daily().count() == daily.count()
+    one = items.limit(1).withColumn("quantity", F.lit(99))
+    marts.add_items(one, 1)
+    assert marts.fact().filter("quantity = 99").count() == 1 and marts.fact().count() == full.count()
+
+
+def test_items_without_orders_and_empty_batches(spark, tables, folder):
+    marts = incremental.IncrementalMarts(spark, folder, "day")
+    assert marts.fact().count() == 0 and marts.daily().count() == 0
+    marts.add_items(tables.order_items.limit(5), 0)
+    marts.add_orders(tables.orders.limit(0), 0)
+    assert marts.fact().count() == 0
+    other = tables.orders.filter("order_id = '-1'")
+    marts.add_orders(other, 1)
+    assert marts.daily().count() == 0
+
+
+def test_log_is_folded_once(spark, tables, folder):
+    orders = tables.orders.limit(50).cache()
+    root = f"{folder}/t"
+    orders.withColumn("epoch", F.lit(0)).write.partitionBy("epoch").parquet(f"{folder}/log")
+    args = (spark, root, f"{folder}/log", "order_id", "order_date", schemas.ORDERS)
+    assert incremental.merge_log(*args).count() == 50
+    assert incremental.merge_log(*args).count() == 50 and len(files._versions(spark, root)) == 1
+    assert incremental.merge_log(spark, f"{folder}/none", f"{folder}/nolog", "order_id", "order_date", schemas.ORDERS).count() == 0

@@ -13,17 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# 128 buckets per e-fold keep 0 and 0.01 apart and stay below 12,000 buckets
-# over the whole range of decimal(38,2).
-_STEPS = 128
-_TIE_WIDTH = 65536
-
-
-def value_bucket(value: Column) -> Column:
-    """Monotone bucket number of a numeric value on a logarithmic scale."""
-    v = value.cast("double")
-    step = F.floor(F.log1p(F.abs(v)) * F.lit(_STEPS)) + F.lit(1)
-    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v) * step).cast("long")
+from tillwise.session import cut_lineage
 
 
 def number_rows(df: DataFrame, value: str, tie: str, groups: Sequence[str] = (),
@@ -31,40 +21,27 @@ def number_rows(df: DataFrame, value: str, tie: str, groups: Sequence[str] = (),
                 size: str | None = None, descending: bool = True) -> DataFrame:
     """``row_number`` (and optionally ``rank`` and group size) by value, then ``tie``.
 
-    ``tie`` is a unique integer id and always ascends. NULL counts as the largest
-    value. Zero and NULL have a value bucket of their own, so these are cut further
-    by ranges of the id; other values are spread by the logarithmic scale.
+    ``tie`` is unique and always ascends. NULL counts as the largest value. Rows are dealt
+    to ranges of (groups, value, tie), whose bounds Spark draws from the data: a group, or one
+    value that many rows share, is as many ranges as it needs. The ranged rows are
+    written once, so that counts and positions see the same ranges.
     """
-    b, sub, n, before, total, first = "__b", "__sub", "__n", "__before", "__total", "__first"
-    flip = F.lit(-1) if descending else F.lit(1)
-    edge = F.lit(2**40)
-    raw = F.when(F.col(value).isNull(), edge).otherwise(value_bucket(F.col(value)))
-    one_value = F.col(value).isNull() | (F.col(value) == F.lit(0))
-    marked = df.withColumn(b, raw * flip).withColumn(
-        sub, F.when(one_value, F.floor(F.col(tie) / F.lit(_TIE_WIDTH))).otherwise(F.lit(0)).cast("long"))
-
-    per_bucket = marked.groupBy(*groups, b, sub).agg(F.count("*").alias(n))
-    run = Window.partitionBy(*groups).orderBy(b, sub)
-    whole = Window.partitionBy(*groups)
-    offsets = per_bucket.select(
-        *groups, b, sub,
-        (F.sum(n).over(run.rowsBetween(Window.unboundedPreceding, 0)) - F.col(n)).alias(before),
-        F.sum(n).over(whole).alias(total),
-    ).withColumn(first, F.min(before).over(Window.partitionBy(*groups, b)))
-    joined = _join_null_safe(marked, offsets, [*groups, b, sub])
-    order = F.col(value).desc_nulls_first() if descending else F.col(value).asc_nulls_last()
-    inside = Window.partitionBy(*groups, b, sub).orderBy(order, F.col(tie).asc())
-    out = joined.withColumn(position, F.row_number().over(inside) + F.col(before))
-    if rank:
-        # Values never straddle two value buckets, only the id ranges of one value do.
-        ties = Window.partitionBy(*groups, b, sub).orderBy(order)
-        out = out.withColumn(
-            rank,
-            F.when(one_value, F.col(first) + F.lit(1))
-            .otherwise(F.rank().over(ties) + F.col(before)))
+    part, n, before, first = "__part", "__n", "__before", "__first"
+    order = [F.col(value).desc_nulls_first() if descending else F.col(value).asc_nulls_last(), F.col(tie).asc()]
+    ranged = df.repartitionByRange(*[F.asc_nulls_first(g) for g in groups], *order).withColumn(part, F.spark_partition_id())
+    ranged = cut_lineage(df.sparkSession, ranged)
+    counts = ranged.groupBy(*groups, part).agg(F.count("*").alias(n))
+    run = Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, 0)
+    kept = [part, (F.sum(n).over(run) - F.col(n)).alias(before)]
     if size:
-        out = out.withColumnRenamed(total, size)
-    return out.drop(b, sub, before, total, first)
+        kept.append(F.sum(n).over(Window.partitionBy(*groups)).alias(size))
+    joined = _join_null_safe(ranged, counts.select(*groups, *kept), [*groups, part])
+    inside = Window.partitionBy(*groups, part).orderBy(*order)
+    out = joined.withColumn(position, F.row_number().over(inside) + F.col(before)).drop(before, part)
+    if rank:
+        ties = out.groupBy(*groups, value).agg(F.min(position).alias(first))
+        out = _join_null_safe(out, ties, [*groups, value]).withColumnRenamed(first, rank)
+    return out
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -77,23 +54,10 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     return left.join(r, cond).drop(*names.values())
 
 
-def dense_position(df: DataFrame, key: str, position: str = "position", width: int = 65536) -> DataFrame:
-    """0-based position of each row by a unique, non-negative integer key.
-
-    Rows are numbered inside ranges of ``width`` keys, so no task sorts more than
-    ``width`` rows; one row per range is ordered to get the offsets.
-    """
-    b, n, before = "__b", "__n", "__before"
-    marked = df.withColumn(b, F.floor(F.col(key) / F.lit(width)).cast("long"))
-    per_range = marked.groupBy(b).agg(F.count("*").alias(n))
-    run = Window.orderBy(b).rowsBetween(Window.unboundedPreceding, 0)
-    offsets = per_range.select(b, (F.sum(n).over(run) - F.col(n)).alias(before))
-    inside = Window.partitionBy(b).orderBy(key)
-    return (
-        marked.join(offsets, b)
-        .withColumn(position, F.row_number().over(inside) - F.lit(1) + F.col(before))
-        .drop(b, before)
-    )
+def dense_position(df: DataFrame, key: str, position: str = "position") -> DataFrame:
+    """0-based position of each row by a unique key of any type, however sparse its values."""
+    out = number_rows(df, key, key, position=position, descending=False)
+    return out.withColumn(position, F.col(position) - F.lit(1))
 
 
 def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float],
@@ -101,24 +65,27 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: dic
     """Exact quantiles per group without sorting a group in one task.
 
     1. equal values collapse to (value, count) before any wide step;
-    2. a histogram of ``bins`` equal-width bins per group locates, for every
-       wanted rank, the one bin it falls in;
+    2. up to ``bins`` approximate quantiles per group cut the values into bins of like
+       numbers of rows, wherever outliers lie, and locate for every wanted rank the
+       one bin it falls in;
     3. only the rows of those bins are ordered.
 
     ``method`` is ``linear`` (interpolated) or ``lower_index`` (the value at the
     0-based position ``floor(n * p)``).
     """
     g = list(groups)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count("*").alias("__c"))
-    bounds = counts.groupBy(*g).agg(
-        F.min(value).alias("__lo"), F.max(value).alias("__hi"), F.sum("__c").alias("__total"))
-    span = (F.col("__hi") - F.col("__lo")).cast("double")
-    binned = (
-        _with_bounds(counts, bounds, g)
-        .withColumn("__bin", F.when(span > 0, F.least(
-            F.floor((F.col(value) - F.col("__lo")).cast("double") / span * F.lit(bins)).cast("int"),
-            F.lit(bins - 1))).otherwise(F.lit(0)))
-    )
+    known = df.filter(F.col(value).isNotNull())
+    counts = known.groupBy(*g, value).agg(F.count("*").alias("__c"))
+    steps = max(1, bins.bit_length() - 1)
+    cuts = F.array(*[F.lit((i + 1) / (1 << steps)) for i in range((1 << steps) - 1)])
+    bounds = known.groupBy(*g).agg(
+        F.percentile_approx(value, cuts, F.lit(8 << steps)).alias("__bounds"), F.count("*").alias("__total"))
+
+    # How many bounds lie below the value, by halving.
+    halves = F.array(*[F.lit(1 << i) for i in reversed(range(steps))])
+    at = F.aggregate(halves, F.lit(0), lambda low, half: F.when(
+        F.get("__bounds", low + half - F.lit(1)) < F.col(value), low + half).otherwise(low))
+    binned = _with_bounds(counts, bounds, g).withColumn("__bin", at).drop("__bounds")
     hist = binned.groupBy(*g, "__bin").agg(F.sum("__c").alias("__bc"))
     run = Window.partitionBy(*g).orderBy("__bin").rowsBetween(Window.unboundedPreceding, 0)
     hist = (

@@ -10,7 +10,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.functions.ranking import dense_position
@@ -28,6 +28,8 @@ PURCHASE_FEATURES = ["customer_id_encoded", "product_id_encoded", "total_past_or
                      "product_volume", "product_price_variance"]
 IDLE_DAYS = 180
 ID_MODULUS = 10000
+# Labelled rows a model is fitted on, at most.
+MOST_LABELLED = 1_000_000
 
 
 # --- features ------------------------------------------------------------------------
@@ -109,16 +111,34 @@ def _features(pairs: DataFrame, popularity: DataFrame, label: int) -> DataFrame:
         F.col("price_variance").alias("product_price_variance"), F.lit(label).alias("purchased"))
 
 
-def negative_examples(history: DataFrame, popularity: DataFrame, bought: DataFrame) -> DataFrame:
-    """All customer x product pairs that were never bought, with features."""
-    return _features(combinations_not_in(history, "customer_id", popularity, "product_id", bought), popularity, 0)
+def drawn(*parts: Column, below: Column) -> Column:
+    """A number from 0 to below - 1 that any engine draws alike: the first digits of an MD5 sum."""
+    digits = F.substring(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]).cast("binary")), 1, 8)
+    return F.conv(digits, 16, 10).cast("long") % below
 
 
-def recommendation_training_set(orders: DataFrame, items: DataFrame, as_of: date | str) -> DataFrame:
-    """Bought pairs and never-bought pairs with the same features."""
+def negative_examples(history: DataFrame, popularity: DataFrame, bought: DataFrame, negatives: int = 4) -> DataFrame:
+    """Pairs that were never bought, with features: ``negatives`` draws for each bought pair.
+
+    A draw names a product by its place among the sold ones. Draws that hit a bought pair
+    or repeat another one are left out, so a customer who has bought all has no negatives.
+    """
+    places = label_encode(popularity.select("product_id"), "product_id").withColumnRenamed("product_id_encoded", "__place")
+    count = popularity.agg(F.count("*")).scalar()
+    draws = bought.select("customer_id", "product_id").withColumn(
+        "__draw", F.explode(F.sequence(F.lit(1), F.lit(negatives))))
+    place = drawn(F.col("customer_id"), F.col("product_id"), F.col("__draw"), below=count)
+    pairs = draws.select("customer_id", place.alias("__place")).distinct().join(places, "__place").drop("__place")
+    fresh = pairs.join(bought.select("customer_id", "product_id"), ["customer_id", "product_id"], "left_anti")
+    return _features(fresh.join(history, "customer_id"), popularity, 0)
+
+
+def recommendation_training_set(orders: DataFrame, items: DataFrame, as_of: date | str, negatives: int = 4) -> DataFrame:
+    """Bought pairs, and ``negatives`` times as many never-bought ones at most, with the same features."""
     history, popularity = customer_history(orders, items, as_of), product_popularity(items)
     bought = _bought(orders, items)
-    return _features(bought.join(history, "customer_id"), popularity, 1).unionByName(negative_examples(history, popularity, bought))
+    return _features(bought.join(history, "customer_id"), popularity, 1).unionByName(
+        negative_examples(history, popularity, bought, negatives))
 
 
 def encode_ids(df: DataFrame, columns: Sequence[str], modulus: int = ID_MODULUS) -> DataFrame:
@@ -134,8 +154,8 @@ def label_encode(df: DataFrame, column: str) -> DataFrame:
 # --- training and evaluation ----------------------------------------------------------------
 
 def stratified_split(df: DataFrame, label: str, key: str, share: float = 0.8, seed: int = 42):
-    """Train and test rows by a hash of label and key: the share holds within each class."""
-    part = F.pmod(F.xxhash64(F.lit(seed), F.col(label), F.col(key)), F.lit(10000))
+    """Train and test rows drawn by label and key: the share holds within each class."""
+    part = drawn(F.lit(seed), F.col(label), F.col(key), below=F.lit(10000))
     return df.filter(part < int(share * 10000)), df.filter(part >= int(share * 10000))
 
 
@@ -163,9 +183,16 @@ def train_boosted(train: DataFrame, features: Sequence[str], label: str, trees:
     return Pipeline(stages=[*stages, tree]).fit(data)
 
 
+def bounded(labelled: DataFrame, key: Sequence[str], most: int = MOST_LABELLED) -> DataFrame:
+    """At most ``most`` labelled rows to fit a model on, the same ones every time."""
+    return labelled.withColumn("__draw", drawn(*[F.col(k) for k in key], below=F.lit(2**32))).orderBy(
+        "__draw", *key).limit(most).drop("__draw")
+
+
 def train_churn(features: DataFrame, trees: int = 100, depth: int = 6, rate: float = 0.1) -> tuple[PipelineModel, DataFrame]:
     """Churn model and the rows kept back for testing."""
     train, test = stratified_split(features, "is_churned", "customer_id")
+    train = bounded(train, ["customer_id"])
     return train_boosted(train, CHURN_FEATURES, "is_churned", trees, depth, rate), test
 
 
@@ -173,8 +200,9 @@ def train_purchase(examples: DataFrame, trees: int = 100, depth: int = 10, rate:
                    subsample: float = 0.8) -> tuple[PipelineModel, DataFrame]:
     """Purchase model and the rows kept back for testing."""
     keyed = encode_ids(examples, ["customer_id", "product_id"]).withColumn(
-        "__key", F.xxhash64("customer_id", "product_id"))
+        "__key", F.concat_ws("|", F.col("customer_id").cast("string"), F.col("product_id").cast("string")))
     train, test = stratified_split(keyed, "purchased", "__key")
+    train = bounded(train, ["customer_id", "product_id"])
     model = train_boosted(train, PURCHASE_FEATURES, "purchased", trees, depth, rate, subsample, scale=False, weight=False)
     return model, test.drop("__key")
 

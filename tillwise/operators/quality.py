@@ -104,7 +104,8 @@ def dq_gate(evaluated: DataFrame) -> DataFrame:
 
 def enforce(gated: DataFrame) -> DataFrame:
     """Raise when a rule asks to block; return the rules that ask for an alert."""
-    blocked = gated.filter(F.col("action") == "block").select("expectation").limit(20).collect()
+    # One row per rule, and the rules come from the caller.
+    blocked = gated.filter(F.col("action") == "block").select("expectation").distinct().collect()
     if blocked:
         raise QualityError("blocked by " + ", ".join(sorted(r[0] for r in blocked)))
     return gated.filter(F.col("action") == "alert")

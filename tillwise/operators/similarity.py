@@ -33,8 +33,7 @@ def similarity_topk(df: DataFrame, key: str, vec: str, query: Sequence[float], k
         F.desc_nulls_last("similarity"), F.asc(key)).limit(k)
 
 
-def pairwise_topk(df: DataFrame, key: str, vec: str, k: int, block_rows: int = BLOCK_ROWS,
-                  scratch: str | None = None) -> DataFrame:
+def pairwise_topk(df: DataFrame, key: str, vec: str, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The ``k`` most similar pairs, exactly.
 
     Vectors are cut into blocks of about ``block_rows`` by direction (sign pattern of a
@@ -44,18 +43,17 @@ def pairwise_topk(df: DataFrame, key: str, vec: str, k: int, block_rows: int = B
     inequality on unit vectors). A visit multiplies two bounded matrices in one task and
     returns at most ``k`` pairs, so no list of all pairs ever exists.
 
-    Intermediate blocks are checkpointed in the cluster's shared folder; ``scratch`` is
-    used where the cluster names none.
+    Intermediate blocks are written tables in the cluster's shared folder.
     """
     length = F.sqrt(_dot(F.col(vec), F.col(vec)))
     unit = df.filter(length > 0).select(
         F.col(key).cast("long").alias("id"),
         F.transform(F.col(vec), lambda x: x.cast("double") / length).alias("v"))
     # As many direction bits as give cells of about one block.
-    bits = min(6, max(0, (df.count() // block_rows).bit_length() - 1))
+    bits = max(0, (df.count() // block_rows).bit_length() - 1)
     cell = F.aggregate(F.slice("v", 1, bits), F.lit(0), lambda s, x: s * 2 + F.when(x > 0, 1).otherwise(0))
     marked = unit.withColumn("cell", cell)
-    # At most 64 cells, so their block numbers are handed out in one short list.
+    # One row per cell, and a cell is a block or more.
     run = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
     sizes = marked.groupBy("cell").agg(
         F.ceil(F.count("*") / F.lit(block_rows)).cast("long").alias("parts")).withColumn(
@@ -65,13 +63,13 @@ def pairwise_topk(df: DataFrame, key: str, vec: str, k: int, block_rows: int = B
         "id", "v", (F.col("before") + F.pmod(F.xxhash64("id"), F.col("parts"))).alias("block"))
 
     # Read many times below, so it is computed once and its lineage cut.
-    block = cut_lineage(df.sparkSession, block, scratch)
+    block = cut_lineage(df.sparkSession, block)
 
     # One row per block: mean direction and the largest distance from it.
     centres = block.groupBy("block").agg(
         vector_to_array(Summarizer.mean(array_to_vector("v"))).alias("centre"))
     meta = cut_lineage(df.sparkSession, block.join(centres, "block").groupBy("block", "centre").agg(
-        F.max(_distance(F.col("v"), F.col("centre"))).alias("radius")), scratch)
+        F.max(_distance(F.col("v"), F.col("centre"))).alias("radius")))
 
     def best(pairs: DataFrame) -> DataFrame:
         left = pairs.join(block.withColumnRenamed("block", "a"), "a").withColumn("side", F.lit(0))
@@ -82,7 +80,7 @@ def pairwise_topk(df: DataFrame, key: str, vec: str, k: int, block_rows: int = B
 
     inside = best(meta.select(F.col("block").alias("a"), F.col("block").alias("b")))
     order = [F.desc("similarity"), F.asc("id_a"), F.asc("id_b")]
-    first = cut_lineage(df.sparkSession, inside.orderBy(*order).limit(k), scratch)
+    first = cut_lineage(df.sparkSession, inside.orderBy(*order).limit(k))
     floor = first.agg(F.when(F.count("*") == k, F.min("similarity")).otherwise(F.lit(-1.0))).scalar()
     # Blocks, not rows, are paired here: one row per ``block_rows`` vectors.
     a = meta.select(F.col("block").alias("a"), F.col("centre").alias("ca"), F.col("radius").alias("ra"))

@@ -13,10 +13,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, IndexToString, NGram, Normalizer, RegexTokenizer, SQLTransformer, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.functions.semantics import first_per_key, ladder, ratio, rounded_ratio
+from tillwise.operators.similarity import similarity_topk
 
 # Words, aspects, patterns and BM25 constants.
 LEXICON = {
@@ -35,13 +36,15 @@ ASPECTS = {
 }
 PROS = ["good", "great", "love", "excellent", "recommend", "perfect"]
 CONS = ["bad", "poor", "broke", "broken", "disappointed", "terrible"]
-WORD_BREAK = "[^a-z]+"
+WORD_BREAK = r"[^\p{L}\p{N}]+"
 SENTENCE_BREAK = "[.!?\n]+"
 AMOUNT = r"[$][0-9][0-9,]*(?:[.][0-9][0-9])?"
 DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}"
-CARD = r"[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}"
-PHONE = r"(?:[+][0-9]{1,3}[ .-])?[(]?[0-9]{3}[)]?[ .-][0-9]{3}[ .-][0-9]{4}"
+CARD = r"\b[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}\b"
+PHONE = r"[+][0-9]{1,3}(?:[ .-]?[(]?[0-9]{2,4}[)]?){2,5}|[(]?[0-9]{3}[)]?[ .-][0-9]{3}[ .-][0-9]{4}"
+# A full stop inside a number ends no sentence.
+STATEMENT_BREAK = r"[.!?]+\s+|\n+"
 BM25_K1 = 1.2
 BM25_B = 0.75
 
@@ -107,16 +110,30 @@ def text_classify(df: DataFrame, model: PipelineModel, name: str = "category") -
     return out.select(*df.columns, name)
 
 
-def embed(df: DataFrame, text: str, dim: int = 256, name: str = "embedding") -> DataFrame:
-    """Unit vector per text from hashed, weighted words."""
+def fit_embedding(df: DataFrame, text: str, dim: int = 256) -> PipelineModel:
+    """Word weights for unit vectors of texts; rows and search phrases are embedded by the same model."""
     stages = [
         RegexTokenizer(inputCol=text, outputCol="__words", pattern=WORD_BREAK, toLowercase=True),
         HashingTF(inputCol="__words", outputCol="__tf", numFeatures=dim),
         IDF(inputCol="__tf", outputCol="__idf"),
         Normalizer(inputCol="__idf", outputCol="__unit"),
     ]
-    out = Pipeline(stages=stages).fit(df).transform(df)
-    return out.withColumn(name, vector_to_array("__unit", "float32")).select(*df.columns, name)
+    return Pipeline(stages=stages).fit(df.select(text))
+
+
+def embed(df: DataFrame, model: PipelineModel, name: str = "embedding") -> DataFrame:
+    """Unit vector per text; store the result to search it often."""
+    return model.transform(df).withColumn(name, vector_to_array("__unit", "float32")).select(*df.columns, name)
+
+
+def similar_to_text(df: DataFrame, model: PipelineModel, key: str, phrase: str, k: int = 5,
+                    embedded: str | None = None) -> DataFrame:
+    """Rows most similar to a phrase; ``embedded`` names a stored embedding column."""
+    spark = df.sparkSession
+    column = model.stages[0].getInputCol()
+    q = embed(spark.createDataFrame([(phrase,)], f"`{column}` string"), model).first()["embedding"]
+    rows = df if embedded else embed(df, model)
+    return similarity_topk(rows, key, embedded or "embedding", q, k)
 
 
 # --- sentiment ---------------------------------------------------------------------------
@@ -205,7 +222,7 @@ class SearchIndex:
 
     def search(self, q: str, columns: Sequence[str], limit: int = 5, where: Column | None = None) -> DataFrame:
         """Best documents for a query, with the chosen columns and the score."""
-        terms = sorted({w for w in _query_words(q)})
+        terms = query_words(self.postings.sparkSession, q)
         stats = self.documents.agg(F.count("*")).scalar()
         lengths = self.lengths.agg(ratio(F.sum("length"), F.count_if(F.col("length") > 0))).scalar()
         hits = self.postings.filter(F.col("term").isin(*terms))
@@ -221,15 +238,9 @@ class SearchIndex:
         return best.orderBy(F.desc("score"), F.asc(self.key)).limit(limit)
 
 
-def _query_words(q: str) -> list[str]:
-    out, word = [], ""
-    for ch in q.lower() + " ":
-        if "a" <= ch <= "z":
-            word += ch
-        elif word:
-            out.append(word)
-            word = ""
-    return out
+def query_words(spark: SparkSession, q: str) -> list[str]:
+    """Distinct words of a phrase, cut like the words of a text."""
+    return sorted(spark.range(1).select(F.array_distinct(words(F.lit(q)))).first()[0])
 
 
 # --- digests and extraction ---------------------------------------------------------------------
@@ -261,14 +272,24 @@ def review_digest(catalog: DataFrame, reviews: DataFrame, k: int = 5, per_produc
 
 
 def extract_amounts_dates(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Amounts and dates of a text, in order, as a JSON array of records."""
-    found = df.select(
-        key,
-        F.regexp_extract_all(F.col(text), F.lit(f"({AMOUNT})"), F.lit(1)).alias("amount"),
-        F.regexp_extract_all(F.col(text), F.lit(f"({DATE})"), F.lit(1)).alias("date"))
-    return found.select(
-        key, F.size("amount").alias("n_amounts"), F.size("date").alias("n_dates"),
-        F.to_json(F.arrays_zip("amount", "date")).alias("records"))
+    """Amounts and dates of a text as a JSON array of records.
+
+    A record is an amount with the date named in the same sentence (the last one where
+    there are fewer dates than amounts, none where there is no date) and that sentence.
+    """
+    def found(part: Column, pattern: str) -> Column:
+        return F.regexp_extract_all(part, F.lit(f"({pattern})"), F.lit(1))
+
+    def records(part: Column) -> Column:
+        dates = found(part, DATE)
+        return F.transform(found(part, AMOUNT), lambda a, i: F.struct(
+            a.alias("amount"), F.get(dates, F.least(i, F.size(dates) - F.lit(1))).alias("date"),
+            F.trim(part).alias("description")))
+
+    t = F.col(text)
+    return df.select(
+        key, F.size(found(t, AMOUNT)).alias("n_amounts"), F.size(found(t, DATE)).alias("n_dates"),
+        F.to_json(F.flatten(F.transform(F.split(t, STATEMENT_BREAK), records))).alias("records"))
 
 
 def extract_sentences(df: DataFrame, key: str, text: str, cues: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -104,15 +104,33 @@ class SemanticModel:
         return df
 
     def query(self, metrics: Sequence[str], dimensions: Sequence[str] = (), where: Sequence[str] = (),
-              having: Column | None = None, order: Sequence[Column] = ()) -> DataFrame:
-        """Metrics by dimensions, under named filters, with optional having and order."""
+              having: Column | None = None, order: Sequence[Column] = (),
+              condition: Callable[[Callable[[str], Column]], Column] | None = None) -> DataFrame:
+        """Metrics by dimensions, under named filters, with optional having and order.
+
+        ``condition`` filters rows before they are aggregated, on any dimension or fact:
+        ``lambda of: (of("order_status") == "Completed") & (of("segment") != "Basic")``.
+        """
         dims = [self._find(self.dimensions, d) for d in dimensions]
         picked = [self.metric(m) for m in metrics]
         tests = [self.filters[w] for w in where]
+        used: list[Named] = []
+
+        def of(name: str) -> Column:
+            try:
+                n = self._find(self.dimensions, name)
+            except KeyError:
+                n = self._find(self.facts, name)
+            used.append(n)
+            return F.col(f"__{n.table}_{n.name}")
+
+        free = None if condition is None else condition(of)
         names = [d.name for d in dims]
         parts = []
         for table in dict.fromkeys(m.table for m in picked):
-            df = self._joined(table, [*dims, *tests])
+            df = self._joined(table, [*dims, *tests, *used])
+            if free is not None:
+                df = df.filter(free)
             for t in tests:
                 df = df.filter(F.col(f"__{t.table}_{t.name}"))
             parts.append(df.groupBy(*[F.col(f"__{d.table}_{d.name}").alias(d.name) for d in dims]).agg(
@@ -140,6 +158,8 @@ def _dim(table: str, *names: str, **synonyms: Sequence[str]) -> list[Named]:
     return plain + [Named(n, table, lambda n=n: F.col(n), tuple(s)) for n, s in synonyms.items()]
 
 
+# Names, synonyms and named filters of both models.
+
 def order_model(customers: DataFrame, orders: DataFrame, items: DataFrame) -> SemanticModel:
     """Orders, customers and items: revenue, counts and order value."""
     net = lambda: F.col("total_amount") * (F.lit(1) - F.col("discount_percent") / F.lit(100))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Runtime settings; every one may be overridden by the caller.
@@ -46,23 +50,26 @@ def shared_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
-def cut_lineage(spark: SparkSession, df, fallback_dir: str | None = None):
-    """Reliable checkpoint in the cluster's shared folder.
+def work_dir(spark: SparkSession) -> str:
+    """Folder for intermediate tables: the cluster's shared one.
 
-    ``fallback_dir`` is only used where the cluster names no folder, as in tests.
+    Only a session on a single machine, as in tests, gets a folder of its own where none is set.
     """
-    folder = shared_dir(spark) or fallback_dir
-    if folder is None:
+    folder = shared_dir(spark)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return _own_dir()
 
 
-def estimated_bytes(df) -> int:
-    """Size Catalyst expects of a plan; no job is run."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+@functools.cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="tillwise-")
 
 
-def broadcast_limit(spark: SparkSession) -> int:
-    """Largest size Spark would broadcast on its own."""
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+def cut_lineage(spark: SparkSession, df):
+    """A written table in the shared folder instead of the plan so far."""
+    path = f"{work_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

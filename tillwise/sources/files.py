@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -10,16 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.session import shared_dir
+from tillwise.session import work_dir
 
 # Texts read as NULL in delimited files.
 NULL_TOKENS = ("", "NULL", "None")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared folder; a local one only where none is set."""
-    base = shared_dir(spark) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder below the cluster's shared folder."""
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 # --- delimited text ------------------------------------------------------------------
@@ -111,26 +109,53 @@ def values(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | st
 
 # --- versions -----------------------------------------------------------------------------------
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Finished versions below ``root``, on any file system Spark can reach."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+def _path(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, name: str) -> bool:
+    """Whether a path is there, on any file system Spark can reach."""
+    fs, path = _path(spark, name)
+    return fs.exists(path)
+
+
+def remove(spark: SparkSession, name: str) -> None:
+    """Take a partition's folder away."""
+    fs, path = _path(spark, name)
+    fs.delete(path, True)
+
+
+def _versions(spark: SparkSession, root: str) -> list[tuple[int, int]]:
+    """(version, last batch folded in) of the finished versions below ``root``."""
+    fs, path = _path(spark, root)
     if not fs.exists(path):
         return []
     found = []
     for status in fs.listStatus(path):
         name = status.getPath().getName()
-        if name.startswith("version=") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-            found.append(int(name.split("=")[1]))
+        if name.startswith("version=") and exists(spark, f"{status.getPath()}/_SUCCESS"):
+            version, _, folded_to = name.split("=")[1].partition("-")
+            found.append((int(version), int(folded_to or -1)))
     return sorted(found)
 
 
-def write_version(df: DataFrame, root: str) -> str:
+def folded(spark: SparkSession, root: str) -> int:
+    """The last batch of a change log that the newest version holds, -1 if none."""
+    done = _versions(spark, root)
+    return done[-1][1] if done else -1
+
+
+def _folder(root: str, version: int, folded_to: int) -> str:
+    return f"{root}/version={version}" + (f"-{folded_to}" if folded_to >= 0 else "")
+
+
+def write_version(df: DataFrame, root: str, folded_to: int | None = None) -> str:
     """Write a table state next to the earlier ones; readers switch when it is complete."""
     spark = df.sparkSession
     done = _versions(spark, root)
-    path = f"{root}/version={done[-1] + 1 if done else 1}"
+    last, batch = done[-1] if done else (0, -1)
+    path = _folder(root, last + 1, batch if folded_to is None else folded_to)
     df.write.mode("overwrite").parquet(path)
     return path
 
@@ -138,28 +163,15 @@ def write_version(df: DataFrame, root: str) -> str:
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     """Newest complete table state, None before the first."""
     done = _versions(spark, root)
-    return spark.read.parquet(f"{root}/version={done[-1]}") if done else None
+    return spark.read.parquet(_folder(root, *done[-1])) if done else None
 
 
 def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{root}/version={version}")
-
-
-# --- profiles, inventories, samples ------------------------------------------------------------------
-
-def profile_columns(df: DataFrame, table: str = "") -> DataFrame:
-    """Column, type and nullability; read from the schema, without a job."""
-    rows = [(table, i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema)]
-    return df.sparkSession.createDataFrame(
-        rows, "table_name string, position int, column_name string, data_type string, nullable boolean")
-
+    batch = dict(_versions(spark, root))[version]
+    return spark.read.parquet(_folder(root, version, batch))
 
-def list_documents(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Files of a folder whose names match a pattern; contents are not read."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).option(
-        "recursiveFileLookup", True).load(path).select(
-        "path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", "modificationTime")
 
+# --- samples ------------------------------------------------------------------
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows, the same ones every time: the smallest hashes of a unique key."""

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tillwise import schemas
 from tillwise.functions.ranking import dense_position
-from tillwise.session import estimated_bytes
 
 AS_OF = "2001-08-02"
 
@@ -45,19 +44,6 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def _dealt(self, name: str) -> DataFrame:
-        """A table, dealt out to all cores when its files are too few to keep them busy.
-
-        One file with one row group is read by one task, which then does all the work up
-        to the next shuffle. From a gigabyte or so on there are splits enough and the
-        table is read as it lies.
-        """
-        df = self.raw(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        size = estimated_bytes(df)
-        split = 128 * 1024 * 1024
-        return df.repartition(cores) if 4 * 1024 * 1024 < size < cores * split else df
-
     @cached_property
     def customers(self) -> DataFrame:
         k = F.col("c_custkey")
@@ -123,7 +109,7 @@ class Tables:
         names = self.raw("part").select("p_partkey", "p_name")
         products = self.product_catalog.select("product_id", "product_category", "product_name")
         df = (
-            self._dealt("lineitem")
+            self.raw("lineitem")
             .withColumns({"__cents": cents, "__qty": qty})
             .join(names, F.col("l_partkey") == F.col("p_partkey"))
             .join(products, F.col("p_name") == F.col("product_name"))
@@ -177,7 +163,7 @@ class Tables:
                 (F.col("doc_id") % n_customers).alias("customer_id"),
                 F.date_add(F.lit("2001-07-03").cast("date"), (F.col("doc_id") % 30).cast("int")).alias("review_date"),
                 (F.col("doc_id") % 5 + 1).alias("rating"),
-                F.substring("text", 1, 40).alias("review_title"),
+                F.substring_index("text", "\n", 1).alias("review_title"),
                 F.col("text").alias("review_text"),
                 (F.col("doc_id") % 4 != 3).alias("verified_purchase"),
             )
@@ -186,7 +172,7 @@ class Tables:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return self._dealt("documents")
+        return self.raw("documents")
 
     @cached_property
     def support_tickets(self) -> DataFrame:

@@ -69,9 +69,10 @@ def upsert_log(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
         availableNow=True).foreachBatch(write).start()
 
 
-def latest_of_log(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current value per key of an upsert log."""
-    return first_per_key(spark.read.parquet(path), keys, [F.desc("epoch")]).drop("epoch")
+def latest_of_log(spark: SparkSession, path: str, keys: list[str], schema: T.StructType | str | None = None) -> DataFrame:
+    """Current value per key of an upsert log; with a ``schema``, also of one without any rows."""
+    log = spark.read if schema is None else spark.read.schema(schema).option("basePath", path)
+    return first_per_key(log.parquet(path), keys, [F.desc("epoch")]).drop("epoch")
 
 
 def enrich_stream(stream: DataFrame, customers: DataFrame) -> DataFrame:
