@@ -27,6 +27,8 @@ from tillwise.llm.common import text_or_empty
 #: Pages the network is trained on, at most, and pages assembled from their blocks.
 SAMPLE = 300
 ASSEMBLED = 900
+#: Characters of a block that an assembled page takes over, at most.
+TAKEN = 600
 PATH_DIM, WORD_DIM, MEASURES, HIDDEN = 32, 12, 6, 16
 WORD_SLOTS = 1024
 
@@ -37,6 +39,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 SILENT = frozenset("script style noscript template textarea title select option button svg math iframe object "
                    "canvas audio video head datalist".split())
 RAW = frozenset("script style textarea title noscript iframe template".split())
+#: Elements that do not end the block they stand in.
+WITHIN = INLINE | {"script", "style", "template", "noscript"}
 #: An element that opens closes these open ones first.
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
@@ -73,7 +77,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         nonlocal silent
         while len(stack) > n:
             name, _ = stack[-1]
-            if name not in INLINE:
+            if name not in WITHIN:
                 flush()
             stack.pop()
             silent -= name in SILENT
@@ -105,7 +109,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
             if name not in INLINE:
                 flush()
             continue
-        if name not in INLINE:
+        if name not in WITHIN:
             flush()
             close = CLOSED_BY.get(name, set()) | {"p"}
             for i in range(len(stack) - 1, -1, -1):
@@ -385,8 +389,8 @@ def train(pages: list[str], assembled: int = ASSEMBLED) -> Labeller:
     net, read = Labeller(), _Reader()
     cut = [b for b in map(blocks, pages) if b]
     marks = [labels(b) for b in cut]
-    good = [t for b, m in zip(cut, marks) for (_, t, _), k in zip(b, m) if k] or ["Some words of a page."]
-    bad = [t for b, m in zip(cut, marks) for (_, t, _), k in zip(b, m) if not k] or ["Notice."]
+    good = [t[:TAKEN] for b, m in zip(cut, marks) for (_, t, _), k in zip(b, m) if k] or ["Some words of a page."]
+    bad = [t[:TAKEN] for b, m in zip(cut, marks) for (_, t, _), k in zip(b, m) if not k] or ["Notice."]
     rng = np.random.default_rng(5)
     for _ in range(assembled):
         b = blocks(assemble(rng, good, bad))

@@ -82,6 +82,7 @@ class Model:
 
     def __init__(self, keys: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray):
         self.top = _Table(keys, toxic, ordinary)
+        keys, (toxic, ordinary) = self.top.keys, self.top.values
         self.context = _Table(keys >> _BITS, toxic, ordinary, toxic > 0, ordinary > 0)
         # Continuation counts: in how many grams one symbol longer a gram occurs.
         self.shared = []
