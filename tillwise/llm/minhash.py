@@ -48,7 +48,9 @@ def with_fingerprint(df: DataFrame, text: str, out: str, width: int = 5) -> Data
     df = df.withColumn("__at", F.transform(m, lambda h: bin_of(h).cast("int")))
     df = df.withColumn(full, F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: F.coalesce(
         F.get(m, (F.array_position("__at", i) - F.lit(1)).cast("int")), borrow(i))))
-    digits = F.transform(full, lambda h: F.lower(F.hex(h.bitwiseAND(F.lit((1 << DIGIT_BITS) - 1)))))
+    # Bits are taken after the bin's number is mixed in, so that bins that hold the same hash, as
+    # those of very short texts do, agree by chance each on its own.
+    digits = F.transform(full, lambda h, i: F.lower(F.hex(F.xxhash64(h, i).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1)))))
     return df.withColumn(out, F.when(F.size(m) > 0, F.array_join(digits, "")).otherwise(F.lit(""))).drop(
         w, s, m, "__at", full)
 
