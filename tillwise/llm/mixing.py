@@ -31,6 +31,12 @@ def source_key(source: str) -> Column:
     return F.when(F.col(source).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source)))
 
 
+def shuffle_hash(*parts: Column) -> Column:
+    """A 64-bit number that shuffles alike in any engine: the first digits of an MD5 sum."""
+    line = F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+    return F.shiftleft(F.conv(F.substring(F.md5(line.cast("binary")), 1, 15), 16, 10).cast("long"), 3)
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:
     """Target of each source (key, size): weights repeat in the order of the keys.
 
@@ -78,7 +84,7 @@ def schedule(sources: DataFrame) -> DataFrame:
     # In steps of 1/1024, so that sums are exact in any order and reruns agree.
     plan = plan.withColumn("want", F.ceil(F.col("target") * F.col("blocks") / F.col("size") * F.lit(1024.0)) / F.lit(1024.0))
     plan = plan.withColumn("quota", F.least(F.round("want"), F.lit(3) * F.col("blocks")).cast("long"))
-    plan = plan.withColumn("kh", F.xxhash64("key"))
+    plan = plan.withColumn("kh", shuffle_hash(F.col("key")))
     plan = stage(running(plan, [], "kh", ["key"], value="want", out="low"))
     whole = plan.agg(F.sum("want")).first()[0] or 0.0
     # A few slots more than needed, so that every source reaches its quota.
@@ -131,7 +137,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     rows = stage(docs.select(
         F.col(id_col).alias("id"), source_key(source_col).alias("key"),
-        word_count(text_col).alias("size"), F.xxhash64(F.col(id_col), F.col(text_col), F.lit("mix")).alias("h")))
+        word_count(text_col).alias("size"), shuffle_hash(F.col(id_col), F.col(text_col)).alias("h")))
     # Sizes per source: added up per range of the hash first by the partial aggregate.
     sources = stage(targets(rows.groupBy("key").agg(F.sum("size").alias("size"))))
     times = schedule(sources)
@@ -181,7 +187,7 @@ def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A part of a document that remains is its first words, with the white space between them.
     Rows with equal id and text are taken together.
     """
-    mark = F.xxhash64(F.col(id_col), F.col(text_col), F.lit("mix"))
+    mark = shuffle_hash(F.col(id_col), F.col(text_col))
     taken = mix(docs, id_col, text_col, source_col).groupBy("h", "key").agg(
         F.sum("taken").alias("__taken"), F.first("size").alias("__size"), F.count("*").alias("__n")).filter(
         "__taken > 0").withColumnsRenamed({"h": "__h", "key": "__key"})

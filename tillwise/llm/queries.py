@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillwise.llm import htmltext, minhash, mixing, mixlm, neighbours, packing, secrets, sharding, simhash, toxicity
+from tillwise.llm import htmltext, minhash, mixing, mixlm, neighbours, oracles, packing, secrets, sharding, simhash, toxicity
 from tillwise.llm.common import table
 
 
@@ -28,4 +28,4 @@ QUERIES = {
 }
 
 #: DuckDB SQL where it can express the whole result.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_mixing": oracles.MIXING, "op9_secrets": oracles.SECRETS}
