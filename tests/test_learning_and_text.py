@@ -22,7 +22,7 @@ def test_pairwise_matches_brute_force(spark, folder, block_rows):
     rng = np.random.default_rng(5)
     vectors = np.concatenate([rng.normal(0, 1, (60, 8)), rng.normal(3, 0.2, (60, 8)), np.zeros((1, 8))])
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id long, v array<double>")
-    got = [tuple(r) for r in similarity.pairwise_topk(df, "id", "v", 12, block_rows, folder).collect()]
+    got = [tuple(r) for r in similarity.pairwise_topk(df, "id", "v", 12, block_rows).collect()]
     unit = vectors[:-1] / np.linalg.norm(vectors[:-1], axis=1, keepdims=True)
     sims = unit @ unit.T
     want = sorted(((-sims[i, j], i, j) for i in range(120) for j in range(i + 1, 120)))[:12]
@@ -127,3 +127,28 @@ def test_functions(spark):
     skewed = spark.range(900).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("g"), F.col("id").cast("double").alias("v"))
     rows = {r["group"]: (r["rows"], r["total"]) for r in udf.partition_summaries(skewed, "g", "v", 8).collect()}
     assert rows == {"hot": (300, float(sum(range(0, 900, 3)))), "cold": (600, float(sum(i for i in range(900) if i % 3)))}
+
+
+def test_words_of_four_languages(spark):
+    texts = ["Grüße aus München", "très café naïve", "¿Dónde está el niño?", "東京 2024 ok"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    got = [r[0] for r in df.orderBy("id").select(text.words("t")).collect()]
+    assert got == [["grüße", "aus", "münchen"], ["très", "café", "naïve"], ["dónde", "está", "el", "niño"], ["東京", "2024", "ok"]]
+    index = text.SearchIndex.build(df, "id", "t")
+    assert [r["id"] for r in index.search("CAFÉ", ["t"]).collect()] == [1]
+    assert text.query_words(spark, "Très-café 東京") == sorted(["très", "café", "東京"])
+
+
+def test_rows_like_a_phrase(spark):
+    df = spark.createDataFrame([(1, "red ski boots"), (2, "blue ski poles"), (3, "warm hat")], "id int, t string")
+    model = text.fit_embedding(df, "t", 1 << 12)
+    assert [r["id"] for r in text.similar_to_text(df, model, "id", "warm red hat", 1).collect()] == [3]
+    stored = text.embed(df, model, "e")
+    assert [r["id"] for r in text.similar_to_text(stored, model, "id", "blue poles", 1, "e").collect()] == [2]
+
+
+def test_negatives_are_few_and_new(tables):
+    examples = ml.recommendation_training_set(tables.orders, tables.order_items, "2001-08-02", negatives=2)
+    n = {r["purchased"]: r["count"] for r in examples.groupBy("purchased").count().collect()}
+    assert n[0] <= 2 * n[1]
+    assert examples.groupBy("customer_id", "product_id").count().filter("count > 1").count() == 0

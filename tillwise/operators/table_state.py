@@ -112,13 +112,25 @@ def _merged(joined: DataFrame, target: DataFrame, action: Column, present: Seque
 
 def _merge(target: DataFrame, source: DataFrame, key: str, tracked: Sequence[str] | None,
            update: Sequence[str] | None, delete_missing: bool = False) -> DataFrame:
-    """Classified rows of an upsert: one full outer join, which shuffles each side once."""
+    """Classified rows of an upsert.
+
+    The source is looked up from the target's side, and its new keys are those the target
+    does not hold. Spark broadcasts a source of a few rows by itself, and a merge into a
+    very large table then neither shuffles nor sorts that table; for a large source the second
+    look at the target reads its key only. A mirror needs both sides whole: one full outer join.
+    """
     t, s, present = _sides(target, source, key)
     changed = present if update is None else update
     differs = F.lit(True) if tracked is None else reduce(lambda a, b: a | b, [
         ~F.col(f"__t.{c}").eqNullSafe(F.col(f"__s.{c}")) for c in tracked])
     same_key = F.col("__tk") == F.col("__sk")
     has_t, has_s = F.col("__tk").isNotNull(), F.col("__sk").isNotNull()
+    if not delete_missing:
+        action = F.when(has_s & differs, "update").otherwise("keep")
+        old = _merged(t.join(s, same_key, "left"), target, action, present, changed)
+        known = t.select("__tk").join(s.select("__sk"), same_key, "left_semi")
+        fresh = s.join(known, same_key, "left_anti").withColumn("__t", F.lit(None).cast(t.schema["__t"].dataType))
+        return old.unionByName(_merged(fresh, target, F.lit("insert"), present, changed))
     action = F.when(has_t & has_s, F.when(differs, "update").otherwise("keep")).when(has_s, "insert").otherwise(
         "delete" if delete_missing else "keep")
     return _merged(t.join(s, same_key, "full_outer"), target, action, present, changed)
