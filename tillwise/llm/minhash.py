@@ -93,10 +93,10 @@ def with_next(rows: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id and text with a non-null key (a, z, t): the id, whether it is null, a hash of the text."""
+    """The text with a non-null key (a, z, t): the id, whether it is null, a hash of the text."""
     text = text_or_empty(text_col)
     return docs.select(
-        F.col(id_col).alias("id"), F.coalesce(F.col(id_col), F.lit(0)).cast("long").alias("a"),
+        F.coalesce(F.col(id_col), F.lit(0)).cast("long").alias("a"),
         F.col(id_col).isNull().cast("int").alias("z"), F.xxhash64(text).alias("t"), text.alias("text"))
 
 
@@ -119,7 +119,7 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ahead = linked.select(
         F.col("next_a").alias("a"), F.col("next_z").alias("z"), F.col("next_t").alias("t"),
         F.struct(*key).alias("of"), third.alias("k"))
-    texts = rows.select("id", *key, "text")
+    texts = rows.select(*key, "text")  # the same in both joins, so that it is shuffled once
     heads = (
         texts.join(ahead, key)
         .select(F.col("of.a").alias("a"), F.col("of.z").alias("z"), F.col("of.t").alias("t"),
@@ -128,8 +128,9 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     own = linked.select(*key, "n", "fp", "next_fp")
     both = texts.join(own, key).join(heads, key)
+    own_id = F.when(F.col("z") == 0, F.col("a")).cast(docs.schema[id_col].dataType).alias("id")
     edited = both.select(
-        "id", "n", "fp", "next_fp",
+        own_id, "n", "fp", "next_fp",
         F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n") - third).cast("int")), F.col("head")).alias("edited"))
     edited = edited.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
     return with_fingerprint(edited, "edited", "edited_fp").select(
