@@ -505,7 +505,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
 
     spell = np.zeros(2 * sum(SLOTS), np.float32)
     slots = (counts.select("word").mapInArrow(_spell_counts, "slot long, n long")
-             .groupBy("slot").agg(F.sum("n").alias("n")).toPandas())  # 2 * sum(SLOTS) rows at most
+             .groupBy("slot").agg(F.sum("n").alias("n")).toArrow())  # 2 * sum(SLOTS) rows at most
     spell[slots["slot"].to_numpy()] = slots["n"].to_numpy()
 
     base = float(tokens + kinds + 1)

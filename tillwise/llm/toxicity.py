@@ -221,23 +221,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     counts = (
         rows.select("text", "toxic", "part").mapInArrow(_counted, "part long, key long, toxic double, ordinary double")
         .groupBy("part", "key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-        .toPandas()  # grams of a bounded number of texts
+        .toArrow()  # grams of a bounded number of texts
     )
+    part, key, toxic, ordinary = (counts[c].to_numpy() for c in ("part", "key", "toxic", "ordinary"))
 
     def model(without: int | None):
-        own = counts[counts["part"] != without].groupby("key", as_index=False).sum()
-        if not (own["toxic"].sum() > 0 and own["ordinary"].sum() > 0):
+        use = np.full(len(part), True) if without is None else part != without
+        if not (toxic[use].sum() > 0 and ordinary[use].sum() > 0):
             return None
-        return spark.sparkContext.broadcast(Model(*(own[c].to_numpy() for c in ("key", "toxic", "ordinary"))))
+        return spark.sparkContext.broadcast(Model(key[use], toxic[use], ordinary[use]))
 
     seen = []
-    for part in range(PARTS):
-        m = model(part)
+    for k in range(PARTS):
+        m = model(k)
         if m is not None:
-            seen.append(features(rows.filter(F.col("part") == F.lit(part)).select("text", "toxic"), m).toPandas())
+            seen.append(features(rows.filter(F.col("part") == F.lit(k)).select("text", "toxic"), m).toArrow())
             m.unpersist()
-    x = np.concatenate([s[list(NAMES)].to_numpy() for s in seen]) if seen else np.zeros((0, len(NAMES)))
-    y = np.concatenate([s["toxic"].to_numpy(dtype=float) for s in seen]) if seen else np.zeros(0)
+    x = np.concatenate([np.column_stack([s[n].to_numpy() for n in NAMES]) for s in seen]) if seen else np.zeros((0, len(NAMES)))
+    y = np.concatenate([s["toxic"].to_numpy().astype(float) for s in seen]) if seen else np.zeros(0)
     if not 0 < y.sum() < len(y):
         return None, np.zeros(len(NAMES) + 1)
     return model(None), logistic(x, y)
