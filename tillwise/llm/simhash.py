@@ -313,7 +313,8 @@ def drop_near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, buc
     copies = prints.groupBy(F.col("id.h").alias("__h")).agg(F.count("*").alias("__n"))
     kept = stage(kept.join(copies, "__h"))
     rows = docs.withColumn("__h", mark)
-    single = rows.join(kept.filter("__n = 1").select("__h"), "__h", "left_semi")
+    # Texts are shuffled once at any size: a list that is broadcast while it is small tells little of a large run.
+    single = rows.join(kept.filter("__n = 1").select("__h").hint("merge"), "__h", "left_semi")
     several = rows.join(kept.filter("__n > 1").select("__h"), "__h", "left_semi").dropDuplicates(["__h"])
     return single.unionByName(several).drop("__h")
 
