@@ -44,6 +44,8 @@ FREQUENT = 1 << 17
 PART_BITS = 12
 #: Words a task remembers.
 CACHE = 250_000
+#: (word, class) pairs of a part whose steps are kept in memory.
+KEPT = 100_000
 #: Bytes of the spelling contexts, and the slots their counts are hashed to.
 ORDERS = (1, 2, 3, 4, 6)
 SLOTS = (1 << 16, 1 << 18, 1 << 19, 1 << 19, 1 << 19)
@@ -213,9 +215,11 @@ class Tree:
         use = n > 0
         word, klass, n = word[use], klass[use], n[use]
         once = np.ones(len(n))
-        for rows, gate, s in self.steps(word, klass, once):
+        # The same steps are walked twice: kept where they are few, else made anew.
+        kept = list(self.steps(word, klass, once)) if len(n) <= KEPT else None
+        for rows, gate, s in kept or self.steps(word, klass, once):
             mixer.learn(gate, s, n[rows])
-        for rows, gate, s in self.steps(word, klass, once):
+        for rows, gate, s in kept or self.steps(word, klass, once):
             mixer.watch(mixer.logit(gate, s), n[rows])
 
     def log_p(self, mixer: Mixer, word: np.ndarray, klass: np.ndarray) -> np.ndarray:
