@@ -306,6 +306,14 @@ def drop_near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, buc
     mark = F.xxhash64(id_col, text_col)
     prints, rooted = grouped(docs.withColumn("__key", F.struct(F.col(id_col).alias("id"), mark.alias("h"))),
                              width, distance, bucket, "__key", text_col)
+    return keep_first(docs, mark, prints, rooted)
+
+
+def keep_first(docs: DataFrame, mark: Column, prints: DataFrame, rooted: DataFrame) -> DataFrame:
+    """Rows of ``docs`` with the first id of each root.
+
+    ``mark`` is a hash of id and text; ``prints`` has (id as a struct of id and h, fp), ``rooted`` (fp, root).
+    """
     first = F.struct(F.col("id.id").isNull().alias("z"), F.col("id.id").alias("id"), F.col("id.h").alias("h"))
     per_code = prints.groupBy("fp").agg(F.min(first).alias("first"))
     kept = per_code.join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first")).select(
