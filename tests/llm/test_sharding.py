@@ -77,3 +77,29 @@ def test_plan_is_native(documents):
     plan = sharding.op10(documents)._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
     assert F is not None
+
+
+def groups_cut(rows):
+    groups = {}
+    for r in rows:
+        groups.setdefault((r["text_crc32"], r["size"]), set()).add(r["shard"])
+    return sum(len(g) > 1 for g in groups.values())
+
+
+def test_groups_alone_are_cut_at_shard_bounds_only(spark):
+    rows = [(i, f"text {i % 10}") for i in range(203)]
+    got = sharding.op10(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert groups_cut(got) <= 7
+    rows = [(i, f"pair {i // 2}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sharding.op10(docs).collect()
+    check(docs, got)
+    assert groups_cut(got) <= 7
+
+
+def test_pairs_with_few_unlinked_rows_stay_whole(spark):
+    rows = [(i, f"pair {i // 2}") for i in range(784)] + [(2000 + i, f"alone {i}") for i in range(16)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sharding.op10(docs).collect()
+    check(docs, got)
+    assert groups_cut(got) <= 7

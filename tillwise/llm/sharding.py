@@ -1,7 +1,8 @@
 """Sharding by balanced label propagation.
 
-Documents with equal texts are linked. Every document starts in an arbitrary shard; in
-each round the members of a group move towards the shard where most of their
+Documents with equal texts are linked. Groups start one after the other along the shards, so
+that at most one group fewer than there are shards is cut beyond those too large for their
+share; in each round the members of a group move towards the shard where most of their
 neighbours are, as far as quotas allow, until nothing moves. A linked document that
 enters a shard changes places with an unlinked one, so the row counts of the shards
 never differ by more than one.
@@ -13,6 +14,8 @@ there are shards. Only DataFrame operations are used.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,13 +37,29 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ).withColumn("rh", F.xxhash64(F.col("id"), F.col("th"), F.lit("row")))
 
 
-def propagate(cells: DataFrame, quota: list[int], rounds: int) -> DataFrame:
+def dealt(groups: DataFrame, n_shards: int) -> DataFrame:
+    """Cells (gid, gh, shard, n) of groups laid end to end and cut into equal shares.
+
+    ``groups`` has gid, gh and members; shares differ by one row at most, the first being larger.
+    """
+    total = groups.agg(F.sum("members")).first()[0] or 0
+    share = [total // n_shards + (s < total % n_shards) for s in range(n_shards)]
+    pieces = F.array(*[F.struct(F.lit(s).alias("shard"), F.lit(sum(share[:s])).cast("long").alias("lo"),
+                                F.lit(sum(share[:s + 1])).cast("long").alias("hi")) for s in range(n_shards)])
+    laid = running(groups, [], "gid", ["gh"], value="members", out="ahead")
+    return laid.select("gid", "gh", "ahead", "members", F.inline(pieces)).select(
+        "gid", "gh", "shard",
+        (F.least("hi", F.col("ahead") + F.col("members")) - F.greatest("lo", "ahead")).cast("long").alias("n")).filter("n > 0")
+
+
+def propagate(cells: DataFrame, quota: list[int], rounds: int | None = None) -> DataFrame:
     """Move counts of linked rows between shards; ``cells`` has gid, gh, shard, n.
 
-    Returns the final cells. ``quota`` is the number of rows each shard holds.
+    Returns the final cells. ``quota`` is the number of rows each shard holds. Without
+    ``rounds`` it goes on until nothing moves; the sum of squared counts grows with each move.
     """
     n_shards = len(quota)
-    for _ in range(rounds):
+    for _ in itertools.count() if rounds is None else range(rounds):
         linked = dict(cells.groupBy("shard").agg(F.sum("n")).collect())  # one row per shard
         free = [quota[s] - linked.get(s, 0) for s in range(n_shards)]
         room = F.element_at(F.array(*[F.lit(int(x)).cast("long") for x in free]), F.col("shard") + F.lit(1))
@@ -77,7 +96,7 @@ def propagate(cells: DataFrame, quota: list[int], rounds: int) -> DataFrame:
     return cells
 
 
-def shard_documents(docs: DataFrame, n_shards: int = 8, rounds: int = 12,
+def shard_documents(docs: DataFrame, n_shards: int = 8, rounds: int | None = None,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Deal documents into shards of equal row counts, keeping equal texts together.
 
@@ -93,13 +112,8 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, rounds: int = 12,
     groups = rows.groupBy("gid", "gh").agg(F.count("*").alias("members"))
     linked = groups.filter("members > 1").select("gid", "gh")
 
-    # Members in an arbitrary order, dealt round: the start of the propagation.
     in_group = rows.join(linked, ["gid", "gh"])
-    spread = running(in_group, [], "rh", ["id", "crc"], out="pos")
-    start = stage(
-        spread.withColumn("shard", (F.col("pos") % F.lit(n_shards)).cast("int"))
-        .groupBy("gid", "gh", "shard").agg(F.count("*").alias("n")))
-    cells = propagate(start, quota, rounds)
+    cells = propagate(stage(dealt(groups.filter("members > 1"), n_shards)), quota, rounds)
 
     # Back to rows: members are ranked inside their group and cut at the cells' bounds.
     upto = Window.partitionBy("gid", "gh").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
