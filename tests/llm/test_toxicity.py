@@ -68,3 +68,21 @@ def test_without_labels_or_rows(documents, spark):
     assert model is None and toxicity.drop_toxic(documents, labels).count() == documents.count()
     rows = documents.limit(0).select("doc_id", F.col("text").cast("binary").alias("text"))
     assert toxicity.score(rows, model, weights).count() == 0
+
+
+def test_bounds_on_the_sample_do_not_shift_the_scores(spark, monkeypatch):
+    ordinary = [f"calm{i % 7} plain{i % 11} words{i % 13}" for i in range(400)]
+    mixed = [f"vile{i % 5} words{i % 13} plain{i % 11}" for i in range(200)]
+    rows = [(i, t) for i, t in enumerate(ordinary + mixed)]
+    marks = [(i, int(i >= 400 and i % 4 == 0)) for i, _ in rows]  # a quarter of the mixed ones
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+
+    def mean():
+        model, weights = toxicity.fit(docs, labels)
+        scored = toxicity.score(docs.filter("doc_id >= 400"), model, weights)
+        return scored.agg({"score": "avg"}).first()[0]
+
+    whole = mean()
+    monkeypatch.setattr(toxicity, "MOST_ORDINARY", 60)
+    assert abs(mean() - whole) < 0.12

@@ -184,14 +184,19 @@ def features(rows: DataFrame, model, text: str = "text", drop: bool = True) -> D
     return rows.mapInArrow(_features(model, text, drop), ", ".join([*kinds, *(f"{n} double" for n in NAMES)]))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
-    """Weights of a logistic curve (the first is the constant) by Newton's method."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50,
+             times: np.ndarray | None = None) -> np.ndarray:
+    """Weights of a logistic curve (the first is the constant) by Newton's method.
+
+    A row counts as often as ``times`` says, once without it.
+    """
+    times = np.ones(len(x)) if times is None else times
     x = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(h, x.T @ (y - p) - ridge * w)
+        h = (x * (times * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(h, x.T @ (times * (y - p)) - ridge * w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
@@ -204,7 +209,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     At most ``MOST_TOXIC`` and ``MOST_ORDINARY`` rows, those with the lowest hashes. Ids labelled
     more than once are toxic if any label says so; null labels count for nothing. Without
-    labels of both kinds the score is one half.
+    labels of both kinds the score is one half. In the logistic fit the rows of a class stand
+    for all its labels, so the bounds do not shift the scores.
     """
     spark = docs.sparkSession
     known = (
@@ -212,6 +218,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .filter(~held_out("id", folds, fold)).groupBy("id").agg(F.max("toxic").alias("toxic"))
         .withColumn("h", F.xxhash64("id", F.lit("toxicity")))
     )
+    # One aggregate over all labels: how many of a class each sampled row stands for.
+    total = dict(known.groupBy("toxic").agg(F.count("*")).collect())
+    stands = [max(1.0, total.get(k, 0) / n) for k, n in ((0, MOST_ORDINARY), (1, MOST_TOXIC))]
     picked = [known.filter(F.col("toxic") == F.lit(k)).orderBy("h", "id").limit(n)
               for k, n in ((1, MOST_TOXIC), (0, MOST_ORDINARY))]
     sample = F.broadcast(picked[0].unionByName(picked[1]))  # at most the two bounds
@@ -241,7 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     y = np.concatenate([s["toxic"].to_numpy().astype(float) for s in seen]) if seen else np.zeros(0)
     if not 0 < y.sum() < len(y):
         return None, np.zeros(len(NAMES) + 1)
-    return model(None), logistic(x, y)
+    return model(None), logistic(x, y, times=np.where(y > 0, stands[1], stands[0]))
 
 
 def score(rows: DataFrame, model, weights: np.ndarray, text: str = "text", drop: bool = True,
