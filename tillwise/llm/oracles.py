@@ -94,3 +94,18 @@ got AS (SELECT rid, SUM((least(hi, start + size) - greatest(lo, start)) * times)
         FROM laid JOIN cut ON laid.key = cut.key AND start < hi AND start + size > lo AND size > 0 GROUP BY rid)
 SELECT doc_id, size, source_size, coalesce(target, 0) AS target, coalesce(taken, 0)::BIGINT AS taken
 FROM laid JOIN tgt USING (key) LEFT JOIN got USING (rid)"""
+
+
+_ESCAPED = r"""replace(replace(replace({0}, '\', '\\'), '#', '\#'), '</', '<\/')"""
+
+CHAT = rf"""
+WITH said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+              UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+per AS (SELECT conv_id, COUNT(*) AS n_turns,
+               string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+               coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS learned,
+               SUM(length({_ESCAPED.format("text")}) + length('### : </turn>') + 1 + CASE WHEN role IN ('system', 'user', 'assistant')
+                   THEN length(role) ELSE 1 + length(replace({_ESCAPED.format("role")}, ':', '\:')) END) AS formatted_chars
+        FROM said GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
+       formatted_chars::BIGINT AS formatted_chars FROM per"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillwise.llm import htmltext, minhash, mixing, mixlm, neighbours, oracles, packing, secrets, sharding, simhash, toxicity
+from tillwise.llm import chat, htmltext, minhash, mixing, mixlm, neighbours, oracles, packing, secrets, sharding, simhash, toxicity
 from tillwise.llm.common import table
 
 
@@ -25,7 +25,9 @@ QUERIES = {
     "op8_toxicity": toxicity.op8,
     "op9_secrets": _over("documents", secrets.op9),
     "op10_sharding": _over("documents", sharding.op10),
+    "op11_chat": _over("conversations", chat.op11),
 }
 
 #: DuckDB SQL where it can express the whole result.
-ORACLES: dict[str, str] = {"op4_mixing": oracles.MIXING, "op9_secrets": oracles.SECRETS}
+ORACLES: dict[str, str] = {"op4_mixing": oracles.MIXING, "op9_secrets": oracles.SECRETS,
+                            "op11_chat": oracles.CHAT}
