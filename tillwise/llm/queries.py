@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillwise.llm import chat, htmltext, minhash, mixing, mixlm, neighbours, oracles, packing, secrets, sharding, simhash, toxicity
+from tillwise.llm import chat, htmltext, minhash, mixing, mixlm, neighbours, oracles, packing, secrets, sharding, simhash, spelling, toxicity
 from tillwise.llm.common import table
 
 
@@ -26,6 +26,7 @@ QUERIES = {
     "op9_secrets": _over("documents", secrets.op9),
     "op10_sharding": _over("documents", sharding.op10),
     "op11_chat": _over("conversations", chat.op11),
+    "op12_spelling": _over("documents", spelling.op12),
 }
 
 #: DuckDB SQL where it can express the whole result.
