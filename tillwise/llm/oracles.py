@@ -109,3 +109,20 @@ per AS (SELECT conv_id, COUNT(*) AS n_turns,
         FROM said GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
        formatted_chars::BIGINT AS formatted_chars FROM per"""
+
+
+_TERMS = (r"unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))")
+
+LEXICAL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+p AS (SELECT r, doc_id, term, COUNT(*) AS tf FROM (SELECT r, doc_id, {_TERMS} AS term FROM d) GROUP BY ALL),
+s AS (SELECT r, SUM(tf)::BIGINT AS n FROM p GROUP BY r), g AS (SELECT COUNT(*) AS docs, SUM(n)::BIGINT AS total FROM s),
+m AS (SELECT r, 100 - 25 + (25 * n * docs) // total AS m FROM s, g),
+w AS (SELECT term, floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, COUNT(*) AS df FROM p GROUP BY term), g),
+q AS (SELECT i, item_id, term, COUNT(*) AS times FROM (SELECT i, item_id, {_TERMS} AS term
+      FROM (SELECT row_number() OVER () AS i, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark))) GROUP BY ALL),
+sc AS (SELECT i, item_id, r, doc_id, SUM(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+       FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM sc WHERE score > 0) WHERE rank <= 20"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillwise.llm import chat, htmltext, minhash, mixing, mixlm, neighbours, oracles, packing, secrets, sharding, simhash, spelling, toxicity
+from tillwise.llm import chat, htmltext, lexical, minhash, mixing, mixlm, neighbours, oracles, packing, secrets, sharding, simhash, spelling, toxicity
 from tillwise.llm.common import table
 
 
@@ -27,8 +27,9 @@ QUERIES = {
     "op10_sharding": _over("documents", sharding.op10),
     "op11_chat": _over("conversations", chat.op11),
     "op12_spelling": _over("documents", spelling.op12),
+    "op13_lexical": lexical.op13,
 }
 
 #: DuckDB SQL where it can express the whole result.
 ORACLES: dict[str, str] = {"op4_mixing": oracles.MIXING, "op9_secrets": oracles.SECRETS,
-                            "op11_chat": oracles.CHAT}
+                            "op11_chat": oracles.CHAT, "op13_lexical": oracles.LEXICAL}
