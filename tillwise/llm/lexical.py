@@ -16,6 +16,7 @@ Lists an item needs are those that can lift a document over the threshold at all
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter
@@ -125,47 +126,51 @@ def _indexed(weights: np.ndarray, frequent: np.ndarray, block: int):
     """Posting lists of one segment's documents, in blocks with their summaries."""
     directions = np.random.default_rng(11).normal(size=(len(weights), 24)).astype(np.float32)
 
-    def run(rows: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches)
         seg = rows.column("seg")[0].as_py()
         uids = rows.column("uid").to_numpy()
         lists = rows.column("tids").combine_chunks()
         ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-        tids = lists.flatten().to_numpy().astype(np.int64)
-        cs = -(-rows.column("cs").combine_chunks().flatten().to_numpy() // STEP)
+        tids = lists.flatten().to_numpy()
+        cs = (-(-rows.column("cs").combine_chunks().flatten().to_numpy() // STEP)).astype(np.uint8)
         doc = np.repeat(np.arange(len(uids)), np.diff(ends))
         strength = (weights[tids] * cs).astype(np.float32)
         sketch = np.empty((len(uids), directions.shape[1]), np.float32)
         for d in range(sketch.shape[1]):
             sketch[:, d] = np.bincount(doc, strength * directions[tids, d], minlength=len(uids))
         sketch /= np.maximum(np.linalg.norm(sketch, axis=1, keepdims=True), 1e-9)
-        out = []
+        best = np.zeros(len(weights), np.uint8)  # of the block at hand, else 0
 
-        def keep(tid: int, members: np.ndarray) -> None:
+        def row(tid: int, members: np.ndarray) -> tuple:
             blocks = [members[c] for c in clusters(sketch[members], block)]
             coords, tops, spans = [], [], [0]
             for b in blocks:
                 at = np.concatenate([np.arange(ends[i], ends[i + 1]) for i in b])
-                found, place = np.unique(tids[at], return_inverse=True)
-                best = np.zeros(len(found), np.int64)
-                np.maximum.at(best, place, cs[at])
+                np.maximum.at(best, tids[at], cs[at])
+                found = np.flatnonzero(best)
                 coords.append(found)
-                tops.append(best)
+                tops.append(best[found])
                 spans.append(spans[-1] + len(found))
-            out.append((tid, _packed(uids[np.concatenate(blocks)], np.int64),
-                        _packed(np.cumsum([len(b) for b in blocks]), np.int32), _packed(np.concatenate(coords), np.int32),
-                        _packed(np.concatenate(tops), np.uint8), _packed(spans, np.int32)))
-
-        keep(CELLS, np.arange(len(uids)))
-        rare = np.flatnonzero(~frequent[tids])
-        order = rare[np.argsort(tids[rare], kind="stable")]
-        cuts = np.flatnonzero(np.diff(tids[order])) + 1
-        for part in np.split(order, cuts):
-            if len(part):
-                keep(int(tids[part[0]]), doc[part])
-        columns = [list(c) for c in zip(*out)]
-        return pa.table([pa.array([seg] * len(out), pa.int32()), pa.array(columns[0], pa.int32()),
-                         *[pa.array(c, pa.binary()) for c in columns[1:]]],
-                        names=["seg", "tid", "docs", "ends", "coords", "tops", "spans"])
+                best[found] = 0
+            return (tid, _packed(uids[np.concatenate(blocks)], np.int64),
+                    _packed(np.cumsum([len(b) for b in blocks]), np.int32), _packed(np.concatenate(coords), np.int32),
+                    _packed(np.concatenate(tops), np.uint8), _packed(spans, np.int32))
+
+        def lists_of() -> Iterator[tuple]:
+            yield row(CELLS, np.arange(len(uids)))
+            rare = np.flatnonzero(~frequent[tids])
+            order = rare[np.argsort(tids[rare], kind="stable")]
+            for part in np.split(order, np.flatnonzero(np.diff(tids[order])) + 1):
+                if len(part):
+                    yield row(int(tids[part[0]]), doc[part])
+
+        for part in itertools.batched(lists_of(), 256):
+            columns = list(zip(*part))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([seg] * len(part), pa.int32()), pa.array(columns[0], pa.int32()),
+                 *[pa.array(c, pa.binary()) for c in columns[1:]]],
+                names=["seg", "tid", "docs", "ends", "coords", "tops", "spans"])
 
     return run
 
