@@ -33,7 +33,7 @@ from tillwise.llm.common import prepare, running, stage, table, text_or_empty
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 TOP = 20
 #: Documents a segment and a block aim at; a list over the 16th part of all documents is frequent.
-SEGMENT, BLOCK, FREQUENT = 8192, 64, 16
+SEGMENT, BLOCK, FREQUENT = 8192, 128, 16
 #: Characters of items searched at once; blocks first scored for each item.
 ITEMS, FIRST = 1 << 21, 8
 #: Contributions go to 1,000,000; summaries keep them in steps, rounded up to a byte.
@@ -127,7 +127,7 @@ def _indexed(weights: np.ndarray, frequent: np.ndarray, block: int):
     directions = np.random.default_rng(11).normal(size=(len(weights), 24)).astype(np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(batches)
+        rows = pa.Table.from_batches(batches).combine_chunks()
         seg = rows.column("seg")[0].as_py()
         uids = rows.column("uid").to_numpy()
         lists = rows.column("tids").combine_chunks()
@@ -337,6 +337,8 @@ def rank(docs: DataFrame, items: DataFrame, k: int = TOP, item_col: str = "item_
     terms are no documents and no items find anything by them.
     """
     spark = docs.sparkSession
+    # A row of the index is a list of kilobytes: fewer of them are held at once.
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "256")
     out = None
     for part in _blocks(items, item_col, text_col):
         bags = [Counter(terms(text)) for _, text in part]
