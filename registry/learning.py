@@ -9,6 +9,7 @@ from tillwise.functions import udf
 from tillwise.operators import ml, similarity, text
 from tillwise.operators.pairs import combinations_not_in
 from tillwise.operators.reports import recommendation_counts
+from tillwise.operators.search_index import SegmentedIndex
 from tillwise.sources.external import project_variant
 from tillwise.sources.files import scratch_dir
 from tillwise.sources.fixtures import AS_OF
@@ -511,6 +512,39 @@ def _(t):
         "only worthless thing", ["lang"], 20, (F.col("lang") == "en") & (F.col("n_chars") > 500))
 
 
+SHARED_SQL["fresh_docs"] = """
+    SELECT doc_id, CASE WHEN doc_id % 7 = 1 THEN 'Worthless thing. ' || text ELSE text END AS text FROM documents WHERE doc_id % 11 <> 3
+    UNION ALL SELECT doc_id, 'only this thing' FROM documents WHERE doc_id % 22 = 3"""
+
+SHARED_SQL["fresh_words"] = """
+    SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: len(w) > 0) AS ws FROM fresh_docs"""
+
+SHARED_SQL["fresh_post"] = """
+    SELECT term, doc_id, len, COUNT(*) AS tf FROM (SELECT doc_id, len(ws) AS len, unnest(ws) AS term FROM fresh_words)
+    WHERE term IN ('worthless', 'only', 'thing') GROUP BY ALL"""
+
+
+@query("search_index_kept_fresh", """
+    SELECT doc_id, round(SUM(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / avglen))), 6) AS score
+    FROM (SELECT p.*, COUNT(*) OVER (PARTITION BY term) AS df, (SELECT COUNT(*) FROM fresh_docs)::DOUBLE AS n,
+                 (SELECT SUM(len(ws))::DOUBLE / COUNT(*) FROM fresh_words WHERE len(ws) > 0) AS avglen FROM fresh_post p)
+    GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 50""")
+def _(t):
+    """Nine tenths of the documents, then the rest, changed texts, deletions and some that return, batch by batch."""
+    index = SegmentedIndex(t.spark, scratch_dir(t.spark, "fresh"), "doc_id", "text")
+    docs, i = t.documents.select("doc_id", "text"), F.col("doc_id")
+
+    def batch(rows, op="UPSERT"):
+        index.apply(rows.withColumns({"seq": F.lit(0), "op": F.lit(op)}))
+
+    batch(docs.filter(i % 10 != 0))
+    batch(docs.filter(i % 10 == 0))
+    batch(docs.filter(i % 7 == 1).withColumn("text", F.concat(F.lit("Worthless thing. "), "text")))
+    batch(docs.filter(i % 11 == 3), "DELETE")
+    batch(docs.filter(i % 22 == 3).withColumn("text", F.lit("only this thing")))
+    return index.search("Only worthless thing", 50)[0]
+
+
 @query("search_index_terms", "SELECT term, COUNT(*) AS docs, SUM(tf)::BIGINT AS uses FROM post GROUP BY 1")
 def _(t):
     return text.SearchIndex.build(t.documents, "doc_id", "text").postings.groupBy("term").agg(
