@@ -57,6 +57,27 @@ def test_pairs_about_the_bound_and_a_common_passage(spark):
     assert len(got) == len(set(got)) and set(got) == kept(rows)
 
 
+def test_texts_of_one_passage_are_not_paired(spark):
+    """Texts that share a passage only: pairs to compare do not grow with the square of the texts."""
+    passage = " ".join(f"common{j}" for j in range(60))
+    rows = [(k, f"{passage} " + " ".join(f"own{k}x{j}" for j in range(40))) for k in range(80)]
+    texts = spark.createDataFrame([(k, t.encode()) for k, t in rows], "fp long, text binary")
+    alone = spark.createDataFrame([(k, k) for k, _ in rows], "fp long, root long")
+    assert nearcopies._prefix_pairs(texts, alone).count() == 0
+    near = spark.createDataFrame([(0, rows[0][1].encode()), (1, f"{rows[0][1]} tail".encode())], "fp long, text binary")
+    pairs = nearcopies._prefix_pairs(near, alone).collect()
+    assert [(r["a"], r["b"]) for r in pairs] == [(0, 1)]
+
+
+def test_odd_rows(spark, odd, empty):
+    out = nearcopies.drop_near_copies(odd)
+    assert out.columns == odd.columns and nearcopies.drop_near_copies(empty).count() == 0
+    texts = [(r["doc_id"], r["text"]) for r in out.collect()]
+    # No words at all (null, empty, white space) is one group; equal texts are one group.
+    assert sum(not (t or "").split() for _, t in texts) == 1
+    assert len([t for _, t in texts if t and t.startswith("same text")]) == 1
+
+
 def test_a_large_group_of_near_copies(spark):
     rng = np.random.default_rng(8)
     words = [f"w{j}" for j in range(120)]

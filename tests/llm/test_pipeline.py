@@ -1,7 +1,8 @@
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from tillwise.llm import mixing, packing, secrets, simhash, toxicity
+from tests.llm.test_nearcopies import kept
+from tillwise.llm import mixing, packing, secrets, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,8 +25,7 @@ def test_every_stage_takes_effect(spark, folder):
     assert clean.columns == docs.columns and ids == {r["doc_id"] for r in docs.collect()} - rejected
 
     single = apply("simhash", clean)
-    groups = simhash.near_duplicates(clean).collect()
-    assert sorted(r["doc_id"] for r in single.collect()) == sorted({r["component"] for r in groups})
+    assert sorted(r["doc_id"] for r in single.collect()) == sorted(kept((r["doc_id"], r["text"]) for r in clean.collect()))
     assert single.columns == docs.columns
 
     masked = apply("secrets", single)

@@ -6,8 +6,11 @@ pair is then compared exactly, or else its texts are linked already by compared
 Texts with equal sets of shingles are one node.
 
 Each band value's members are first compared with its smallest member, then with its
-largest; that links a large group of copies without multiplying it. Where a band value
-still holds several components, every pair across them is compared.
+largest; that links a large group of copies without multiplying it. Texts whose band
+values still hold several components are compared across them as a similarity of 0.8
+allows at all: two such texts share one of the rarest fifth of either one's shingles, and
+their numbers of shingles differ by a fifth at most. A passage that many texts share is no
+such shingle, unless it is most of the text.
 """
 
 from __future__ import annotations
@@ -133,12 +136,42 @@ def near_links(nodes: DataFrame, texts_of) -> DataFrame:
     left = mixed(links)
     if left.isEmpty():
         return links
-    parts = left.select("key", "root").distinct()
-    across = parts.join(parts.withColumnRenamed("root", "other"), "key").filter("root < other")
-    members = left.select("key", F.col("root").alias("other"), F.col("fp").alias("member"))
-    pairs = _pairs(left.select("key", "root", "fp").join(across, ["key", "root"]).join(members, ["key", "other"]),
-                   "fp", "member")
-    return links.unionByName(compare(stage(pairs.join(tried, ["a", "b"], "left_anti"))))
+    pairs = _prefix_pairs(texts, left)
+    pairs = stage(_pairs(pairs.join(tried, ["a", "b"], "left_anti"), "a", "b"))
+    return links.unionByName(compare(pairs))
+
+
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [shingles(t) for t in batch.column(1).to_pylist()]
+        ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+            pa.ListArray.from_arrays(pa.array(ends), _signed(np.concatenate([np.empty(0, np.uint64), *sets])))],
+            names=["fp", "n", "shingles"])
+
+
+def _prefix_pairs(texts: DataFrame, left: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the texts in ``left`` that may be similar and are not linked; ``left`` has fp and root.
+
+    Every pair at 0.8 or more is among them. Shingles go by how many of these texts hold
+    them, rarest first; a text's first fifth and one more stand for it.
+    """
+    roots = left.select("fp", "root").distinct()
+    rows = stage(texts.join(roots.select("fp"), "fp", "left_semi").select("fp", "text")
+                 .mapInArrow(_shingled, "fp long, n long, shingles array<long>"))
+    each = rows.select("fp", "n", F.explode("shingles").alias("shingle"))
+    rare = each.groupBy("shingle").agg(F.count("*").alias("held"))
+    first = F.floor(F.col("n") * (LEAST[1] - LEAST[0]) / LEAST[1]).cast("int") + 1
+    ranked = each.join(rare, "shingle").groupBy("fp", "n").agg(
+        F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("order"))
+    prefix = stage(ranked.select("fp", "n", F.explode(F.slice("order", F.lit(1), first)).alias("x"))
+                   .filter("x.held > 1").select("fp", "n", F.col("x.shingle").alias("shingle")).join(roots, "fp"))
+    a = prefix.select(F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"), "shingle")
+    b = prefix.select(F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), "shingle")
+    near = F.least("n_a", "n_b") * LEAST[1] >= F.greatest("n_a", "n_b") * LEAST[0]
+    return a.join(b, "shingle").filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & near).select(
+        "a", "b").distinct()
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
