@@ -180,13 +180,16 @@ def _prefix_pairs(texts: DataFrame, left: DataFrame) -> DataFrame:
     first = F.floor(F.col("n") * (LEAST[1] - LEAST[0]) / LEAST[1]).cast("int") + 1
     ranked = each.join(rare, "shingle").groupBy("fp", "n").agg(
         F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("order"))
-    prefix = stage(ranked.select("fp", "n", F.explode(F.slice("order", F.lit(1), first)).alias("x"))
-                   .filter("x.held > 1").select("fp", "n", F.col("x.shingle").alias("shingle")).join(roots, "fp"))
-    a = prefix.select(F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"), "shingle")
-    b = prefix.select(F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), "shingle")
+    prefix = stage(ranked.select("fp", "n", F.posexplode(F.slice("order", F.lit(1), first)).alias("at", "x"))
+                   .filter("x.held > 1").select("fp", "n", "at", F.col("x.shingle").alias("shingle")).join(roots, "fp"))
+    a, b = (prefix.select(F.col("fp").alias(s), "shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("n", "at", "root")])
+            for s in ("a", "b"))
     near = F.least("n_a", "n_b") * LEAST[1] >= F.greatest("n_a", "n_b") * LEAST[0]
-    return a.join(b, "shingle").filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & near).select(
-        "a", "b").distinct()
+    # Shingles the two must share; one of them comes before either has too few left.
+    both = F.ceil((F.col("n_a") + F.col("n_b")) * LEAST[0] / (LEAST[0] + LEAST[1]))
+    early = (F.col("at_a") <= F.col("n_a") - both) & (F.col("at_b") <= F.col("n_b") - both)
+    return a.join(b, "shingle").filter(
+        (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & near & early).select("a", "b").distinct()
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
