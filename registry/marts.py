@@ -302,6 +302,21 @@ def _(t):
     return op.product_pairs(t.order_items)
 
 
+@query("frequent_product_pairs", """
+    SELECT x.product_id AS product_a_id, x.product_name AS product_a_name, x.product_category AS product_a_category,
+           y.product_id AS product_b_id, y.product_name AS product_b_name, y.product_category AS product_b_category,
+           COUNT(DISTINCT x.order_id) AS times_bought_together
+    FROM item x JOIN item y ON x.order_id = y.order_id AND x.product_name < y.product_name GROUP BY ALL
+    HAVING COUNT(DISTINCT x.order_id) >= 2""")
+def _(t):
+    return op.supported_pairs(t.order_items, 2)
+
+
+@query("product_affinity_by_support", "SELECT * FROM aff WHERE pair_frequency >= 2")
+def _(t):
+    return op.product_affinity(s_items(t), support=2, strengths=STRENGTHS, priorities=PRIORITIES)
+
+
 @query("product_affinity", "SELECT * FROM aff")
 def _(t):
     return affinity(t)

@@ -13,6 +13,7 @@ from tillwise.functions.ranking import number_rows
 from tillwise.functions.semantics import (
     at_least, at_most, day_lit, days_between, first_per_key, ladder, mean, month_steps, ratio,
     rounded_ratio, strict_greatest, strict_least)
+from tillwise.operators.frequent_pairs import frequent_pairs
 
 # Thresholds, scores and labels of the customer value model.
 HIGH_VALUE = 17500
@@ -155,17 +156,36 @@ def product_pairs(items: DataFrame) -> DataFrame:
         F.count("*").alias("times_bought_together"))
 
 
-def product_affinity(items: DataFrame, min_lift: float = 1.0,
+def supported_pairs(items: DataFrame, support: int) -> DataFrame:
+    """:func:`product_pairs` of at least ``support`` common orders; pairs that meet less often are never emitted.
+
+    Products are told apart by name, as there, and each name has one id and category.
+    """
+    products = _baskets(items).select("product_id", "product_name", "product_category").distinct()
+
+    def side(s, on):
+        return products.select(*[F.col(c).alias(c.replace("product_", f"product_{s}_")) for c in products.columns]).withColumn(
+            on, F.col(f"product_{s}_name"))
+
+    pairs = frequent_pairs(items, support, "order_id", "product_name").withColumnRenamed("n", "times_bought_together")
+    named = pairs.join(side("a", "a"), "a").join(side("b", "b"), "b").drop("a", "b")
+    return named.select(*[c for c in named.columns if c != "times_bought_together"], "times_bought_together")
+
+
+def product_affinity(items: DataFrame, min_lift: float = 1.0, support: int = 1,
                      strengths: Sequence[tuple] = STRENGTHS,
                      priorities: Sequence[tuple] = PAIR_PRIORITIES) -> DataFrame:
-    """Confidence both ways, lift, support, strength and priority of product pairs."""
+    """Confidence both ways, lift, support, strength and priority of product pairs.
+
+    With ``support`` above 1, only pairs of that many common orders are made at all.
+    """
     lines = _baskets(items)
     totals = lines.groupBy("product_name").agg(F.count_distinct("order_id").alias("n"))
     all_orders = lines.agg(F.count_distinct("order_id")).scalar()
     pairs = F.col("times_bought_together")
     a, b = F.col("product_a_total_orders"), F.col("product_b_total_orders")
     scored = (
-        product_pairs(items)
+        (product_pairs(items) if support <= 1 else supported_pairs(items, support))
         .join(totals.select(F.col("product_name").alias("product_a_name"),
                             F.col("n").alias("product_a_total_orders")), "product_a_name")
         .join(totals.select(F.col("product_name").alias("product_b_name"),
