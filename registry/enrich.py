@@ -1,7 +1,11 @@
 """Enrichment, fact and aggregate queries."""
 
+from pyspark.sql import functions as F
+
 from registry.base import SHARED_SQL, query
+from tillwise.operators import additive as ad
 from tillwise.operators import enrich as op
+from tillwise.sources.files import scratch_dir
 
 SHARED_SQL["eord"] = """
     SELECT order_id, customer_id, order_date, order_status, order_date::DATE AS order_date_only,
@@ -165,3 +169,24 @@ def _(t):
 @query("entity_support_tickets", "SELECT * REPLACE (ticket_date::VARCHAR AS ticket_date) FROM tick")
 def _(t):
     return t.support_tickets
+
+
+def stored_days(t):
+    """Bitmaps of each day's customers by status, written and read again."""
+    path = scratch_dir(t.spark, "bitmaps")
+    orders = t.orders.select("customer_id", "order_status", F.to_date("order_date").alias("day"))
+    ad.distinct_bitmaps(orders, "day", "customer_id", ["order_status"]).write.mode("overwrite").parquet(path)
+    return t.spark.read.parquet(path)
+
+
+@query("monthly_customers_from_days", """
+    SELECT date_trunc('month', order_date)::DATE::VARCHAR AS month, COUNT(DISTINCT customer_id) AS customers FROM ord GROUP BY 1""")
+def _(t):
+    return ad.distinct_over(stored_days(t), F.trunc("day", "month"), "month").withColumnRenamed("ids", "customers")
+
+
+@query("weekly_customers_by_status_from_days", """
+    SELECT date_trunc('week', order_date)::DATE::VARCHAR AS week, order_status, COUNT(DISTINCT customer_id) AS customers
+    FROM ord GROUP BY 1, 2""")
+def _(t):
+    return ad.distinct_over(stored_days(t), F.trunc("day", "week"), "week", ["order_status"]).withColumnRenamed("ids", "customers")

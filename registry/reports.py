@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from registry.base import SHARED_SQL, query
 from registry.marts import affinity, clv, segments
 from tillwise.functions.semantics import rounded_ratio
+from tillwise.operators import additive as ad
 from tillwise.operators import reports as rp
 from tillwise.operators import serving as sv
+from tillwise.sources.files import scratch_dir
 from tillwise.sources.fixtures import AS_OF
 
 TODAY = f"DATE '{AS_OF}'"
@@ -391,6 +393,25 @@ def _(t):
     return rp.daily_performance_summary(t.query_log, LOG_DAY)
 
 
+@query("monthly_quantiles_from_days", """
+    SELECT date_trunc('month', start_time)::DATE::VARCHAR AS month, source, COUNT(*) AS n, true AS p50_within, true AS p95_within
+    FROM qlog GROUP BY 1, 2""")
+def _(t):
+    """Quantiles of months from stored daily sketches; their exact ranks among the raw rows are within the stated error."""
+    log = t.query_log.select("source", F.col("execution_time").cast("double").alias("ms"), F.to_date("start_time").alias("day"))
+    path = scratch_dir(t.spark, "sketches")
+    ad.quantile_sketches(log, F.col("day"), "ms", ["source"]).write.mode("overwrite").parquet(path)
+    found = ad.quantiles_over(t.spark.read.parquet(path), F.trunc("day", "month"), [0.5, 0.95], "month", ["source"])
+    rows = log.withColumn("month", F.trunc("day", "month")).join(found, ["month", "source"])
+
+    def within(q, r):
+        below, upto = F.count_if(F.col("ms") < F.col(q)), F.count_if(F.col("ms") <= F.col(q))
+        n = F.count("*")
+        return ((below <= (r + ad.RANK_ERROR) * n) & (upto >= (r - ad.RANK_ERROR) * n))
+
+    return rows.groupBy("month", "source", "n").agg(within("q50", 0.5).alias("p50_within"), within("q95", 0.95).alias("p95_within"))
+
+
 @query("hourly_profile", """SELECT date_trunc('hour', start_time)::TIMESTAMP::VARCHAR AS hour, source, COUNT(*) AS query_count,
        SUM(execution_time)::DOUBLE / COUNT(*) / 1000 AS avg_execution_seconds, MAX(execution_time)::DOUBLE AS peak_ms
        FROM qlog GROUP BY 1, 2""")
