@@ -10,6 +10,7 @@ from tillwise.operators import ml, similarity, text
 from tillwise.operators.pairs import combinations_not_in
 from tillwise.operators.reports import recommendation_counts
 from tillwise.operators.search_index import SegmentedIndex
+from tillwise.session import cut_lineage
 from tillwise.sources.external import project_variant
 from tillwise.sources.files import scratch_dir
 from tillwise.sources.fixtures import AS_OF
@@ -354,40 +355,51 @@ def _labelled(t, label):
     return t.documents.select("doc_id", "text").join(t.raw("labels").select("doc_id", label), "doc_id")
 
 
-_HELD = draw("'text'", "doc_id", below="5")
-
-
 def _held_out(docs):
     part = ml.drawn(F.lit("text"), F.col("doc_id"), below=F.lit(5))
     return docs.filter(part != 0), docs.filter(part == 0)
 
 
-@query("text_filter", f"SELECT doc_id, lang, true AS consistent FROM documents WHERE {_HELD} = 0")
+FOLDS = 3
+
+
+def _cross_fitted(labelled, docs, fit, apply):
+    """``apply`` over all documents, each fold by a model fitted on the labelled rows of the others."""
+    out = None
+    for fold in range(FOLDS):
+        part = F.pmod(F.xxhash64(F.lit("fold"), F.col("doc_id")), F.lit(FOLDS))
+        done = apply(docs.filter(part == fold), fit(labelled.filter(part != fold)))
+        out = done if out is None else out.unionByName(done)
+    return out
+
+
+@query("text_filter", """
+    SELECT doc_id, lang, toxic AS label, true AS told_apart FROM documents LEFT JOIN labels USING (doc_id)""")
 def _(t):
-    """Documents a model trained on the toxic label picks out, over documents it has not seen.
+    """Every document is scored by a model that has not seen it; labelled toxic ones are flagged more often than others.
 
-    The filter keeps exactly the rows whose flag is set.
+    With the 400 labels of the small tables that is all such a model can do: 16 % against 8 %.
     """
-    train, _rest = _held_out(_labelled(t, "toxic"))
-    model = text.train_text_filter(train, "text", "toxic")
-    _seen, docs = _held_out(t.documents.select("doc_id", "lang", "text"))
-    kept = text.text_filter(docs, model).select("doc_id", F.lit(True).alias("kept"))
-    flagged = text.text_flag(docs, model, "flag").select("doc_id", "lang", "flag")
-    return flagged.join(kept, "doc_id", "left").select(
-        "doc_id", "lang", (F.coalesce("kept", F.lit(False)) == F.col("flag")).alias("consistent"))
-
-
-@query("text_classify", f"SELECT lang, COUNT(*) AS docs, true AS known_class, true AS mostly_right FROM documents WHERE {_HELD} = 0 GROUP BY 1")
-def _(t):
-    """Language of documents, from a model trained on the language of others."""
-    train, test = _held_out(t.documents.select("doc_id", "lang", "text"))
-    model = text.train_text_classes(train, "text", "lang")
-    known = [r[0] for r in train.select("lang").distinct().collect()]
-    per = text.text_classify(test, model, "predicted").groupBy("lang").agg(
-        F.count("*").alias("docs"), F.bool_and(F.col("predicted").isin(known)).alias("known_class"),
+    flagged = _cross_fitted(_labelled(t, "toxic"), t.documents.select("doc_id", "lang", "text"),
+                            lambda rows: text.train_text_filter(rows, "text", "toxic"),
+                            lambda docs, model: text.text_flag(docs, model, "flag"))
+    rows = cut_lineage(t.spark, flagged.join(t.raw("labels").select("doc_id", "toxic"), "doc_id", "left").select(
+        "doc_id", "lang", F.col("toxic").alias("label"), "flag"))
+    hit = {label: rows.filter(F.col("label") == label).agg(F.avg(F.col("flag").cast("int"))).scalar() for label in (0, 1)}
+    return rows.select("doc_id", "lang", "label", (hit[1] > hit[0]).alias("told_apart"))
+
+
+@query("text_classify", "SELECT lang, COUNT(*) AS docs, true AS known_class, true AS mostly_right FROM documents GROUP BY 1")
+def _(t):
+    """Language of every document, from models trained on the language of others."""
+    docs = t.documents.select("doc_id", "lang", "text")
+    out = cut_lineage(t.spark, _cross_fitted(docs, docs, lambda rows: text.train_text_classes(rows, "text", "lang"),
+                                             lambda rows, model: text.text_classify(rows, model, "predicted")).drop("text"))
+    known = docs.select("lang").distinct().withColumnRenamed("lang", "predicted").withColumn("known", F.lit(True))
+    per = out.join(known, "predicted", "left").groupBy("lang").agg(
+        F.count("*").alias("docs"), F.bool_and(F.coalesce("known", F.lit(False))).alias("known_class"),
         F.count_if(F.col("predicted") == F.col("lang")).alias("right"))
-    right, docs = (per.agg(F.sum(c)).scalar() for c in ("right", "docs"))
-    return per.select("lang", "docs", "known_class", (right * F.lit(10) > docs * F.lit(7)).alias("mostly_right"))
+    return per.select("lang", "docs", "known_class", (F.col("right") * 10 > F.col("docs") * 7).alias("mostly_right"))
 
 
 @query("embed_documents", """SELECT doc_id, 256 AS dim, (len(list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: len(w) > 0)) > 0)::INT::DOUBLE AS norm FROM documents""")
@@ -588,10 +600,10 @@ def _(t):
     SELECT o_orderkey AS id, 2 AS n_amounts, 1 AS n_dates,
            '[{"amount":"$' || o_orderkey || '.25","date":"' || strftime(o_orderdate, '%Y-%m-%d') || '","description":"Paid $' || o_orderkey
            || '.25 on ' || strftime(o_orderdate, '%Y-%m-%d') || '"},{"amount":"$7","description":"Then $7 more"}]' AS records
-    FROM orders WHERE o_custkey % 10 < 5""")
+    FROM orders""")
 def _(t):
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    notes = t.raw("orders").filter("o_custkey % 10 < 5").select(F.col("o_orderkey").alias("id"), F.concat(
+    notes = t.raw("orders").select(F.col("o_orderkey").alias("id"), F.concat(
         F.lit("Paid $"), F.col("o_orderkey").cast("string"), F.lit(".25 on "), day, F.lit(". Then $7 more")).alias("note"))
     return text.extract_amounts_dates(notes, "id", "note")
 
