@@ -12,7 +12,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def check(docs, rows):
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     texts = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
     want = sorted((str(i), len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for i, ids in (
         (i, tok.encode(t, add_special_tokens=False).ids + [1]) for i, t in texts) if len(ids) <= 2048)
@@ -75,7 +74,6 @@ def test_plan_uses_every_piece_once():
 
 def test_words_are_tokenized_like_whole_texts():
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     words = packing._WordIds(PATH)
     rng = np.random.default_rng(8)
     letters = list("aB's TRE verm123é ÉßñŒſİıΣσς東́  \x1c\x85,.!?&%\n\t\x0b🙂ŉǅ")
@@ -85,6 +83,18 @@ def test_words_are_tokenized_like_whole_texts():
         assert got == tok.encode(text, add_special_tokens=False).ids
 
 
+def test_marks_inside_and_next_to_words():
+    tok = Tokenizer.from_file(PATH)
+    words = packing._WordIds(PATH)
+    rng = np.random.default_rng(9)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "word", "it's", "é東", " ", " \n", "7", "<|end", "oftext|>"]
+    for _ in range(2000):
+        text = "".join(rng.choice(bits, rng.integers(1, 9)))
+        got = np.frombuffer(b"".join(map(words.__getitem__, text.encode().split())), "<u4").tolist()
+        assert got == tok.encode(text, add_special_tokens=False).ids
+    assert tok.encode("a <|endoftext|> b", add_special_tokens=False).ids == [320, 49407, 321]
+
+
 def test_odd_rows(odd, empty):
     check(odd, packing.op5(odd).collect())
     assert packing.op5(empty).count() == 0

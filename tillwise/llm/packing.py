@@ -42,7 +42,8 @@ class _PartIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Marks such as an end of text are one id wherever they stand, as the tokenizer reads them by itself.
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # The merges read bytes as characters: printable ones as themselves, others from 256 on.
         own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
         rest = [b for b in range(256) if b not in own]
@@ -73,7 +74,7 @@ class _WordIds(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode()
-        if PLAIN.fullmatch(text):
+        if PLAIN.fullmatch(text) and not any(mark in text for mark in self.parts.marks):
             ids = b"".join(map(self.parts.__getitem__, PARTS.findall(text.lower())))
         else:
             ids = self.parts.whole(text)
