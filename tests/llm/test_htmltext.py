@@ -100,3 +100,12 @@ def test_odd_pages(spark):
     assert got.count() == 6 and {r["text"] for r in got.filter("page_id < 3").collect()} == {""}
     assert got.columns == ["page_id", "url", "text", "n_chars"]
     assert htmltext.op6(df.limit(0)).count() == 0
+
+
+def test_sample_holds_different_pages(spark):
+    rows = [("<p>the same page</p>",)] * 500 + [(f"<p>page {i}</p>",) for i in range(40)] + [("<p>" + "long " * 30_000,), ("",)]
+    df = spark.createDataFrame(rows, "html string").repartition(5)
+    every = htmltext.sampled(df, 1000)
+    assert sorted(every) == sorted({r[0] for r in rows if len(r[0]) <= htmltext.SAMPLE_CHARS})
+    assert htmltext.sampled(df, 7) == every[:7] == htmltext.sampled(df.coalesce(1), 7)
+    assert htmltext.sampled(df.limit(0)) == []

@@ -27,6 +27,8 @@ from tillwise.llm.common import text_or_empty
 #: Pages the network is trained on, at most, and pages assembled from their blocks.
 SAMPLE = 300
 ASSEMBLED = 900
+#: Code points of a page the network is trained on, at most; longer ones are labelled all the same.
+SAMPLE_CHARS = 100_000
 #: Characters of a block that an assembled page takes over, at most.
 TAKEN = 600
 PATH_DIM, WORD_DIM, MEASURES, HIDDEN = 32, 12, 6, 16
@@ -401,6 +403,18 @@ def train(pages: list[str], assembled: int = ASSEMBLED) -> Labeller:
     return net
 
 
+def sampled(pages: DataFrame, most: int = SAMPLE, chars: int = SAMPLE_CHARS) -> list[str]:
+    """At most ``most`` different pages of the column ``html``, of at most ``chars`` code points each.
+
+    Those of the smallest hashes are taken, so reruns agree and copies of a page count once.
+    The hashes are drawn from narrow rows; only pages drawn are sent, one of each.
+    """
+    drawn = pages.filter(F.char_length("html") <= F.lit(chars)).select(F.xxhash64("html").alias("h"), "html")
+    least = [r["h"] for r in drawn.select("h").distinct().orderBy("h").limit(most).collect()]
+    taken = drawn.filter(F.col("h").isin(least)).groupBy("h").agg(F.min("html").alias("html"))
+    return [r["html"] for r in sorted(taken.collect(), key=lambda r: r["h"])]
+
+
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """The columns in ``keep`` and ``text``, the main text of each page.
 
@@ -409,8 +423,7 @@ def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("
     """
     spark = pages.sparkSession
     source = pages.select(*keep, text_or_empty(html_col).alias("html"))
-    picked = source.select("html").orderBy(F.xxhash64("html")).limit(SAMPLE).collect()
-    net = spark.sparkContext.broadcast(train([r["html"] for r in picked]))
+    net = spark.sparkContext.broadcast(train(sampled(source.select("html"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read, labeller = _Reader(), net.value
