@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+import string
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -52,7 +53,8 @@ def brute_p(token, alphabet):
     v = np.array([alphabet.index(c) for c in token])
     n, size = len(v), len(alphabet)
     seen = np.bincount(v * 8 // size, minlength=8)
-    chi = ((seen - n / 8) ** 2 / (n / 8)).sum()
+    due = n * np.bincount(np.arange(size) * 8 // size) / size
+    chi = ((seen - due) ** 2 / due).sum()
     k = 2 / 63
     p1 = normal_tail(((chi / 7) ** (1 / 3) - (1 - k)) / math.sqrt(k))
     up = v * 2 >= size
@@ -68,22 +70,62 @@ def brute_p(token, alphabet):
     return math.exp(-s) * (1 + s + s * s / 2)
 
 
+#: Symbols of random tokens by encoding, and whether lower case is read.
+DRAWN = {
+    "HEX": ("0123456789ABCDEF", "hex"), "lower": (string.ascii_lowercase, "letters"), "UPPER": (string.ascii_uppercase, "letters"),
+    "base32": (string.ascii_lowercase + "234567", "base32"), "BASE32": (string.ascii_uppercase + "234567", "base32"),
+    "base36": (string.ascii_lowercase + string.digits, "base36"), "BASE36": (string.ascii_uppercase + string.digits, "base36"),
+    "mixed": (string.ascii_letters, "mixed"), "base58": (secrets.ALPHABETS["base58"], "base58"),
+    "base62": (string.ascii_letters + string.digits, "base64"), "base64": (string.ascii_letters + string.digits + "-_", "base64"),
+}
+
+
+def smallest(token):
+    """The smallest alphabet that holds a token, and the token as it is read."""
+    one = not (any(c.islower() for c in token) and any(c.isupper() for c in token))
+    for kind, alphabet in sorted(secrets.ALPHABETS.items(), key=lambda x: len(x[1])):
+        read = token.lower() if len(alphabet) <= 36 else token.replace("-", "+").replace("_", "/")
+        if set(read) <= set(alphabet) and (one or len(alphabet) > 36):
+            return kind, read, alphabet
+
+
 def test_battery_equals_brute_force(spark):
     rng = np.random.default_rng(6)
-    tokens = [("base64", "".join(rng.choice(list(secrets.ALPHABETS["base64"]), 40)) + "aB3") for _ in range(20)]
-    tokens += [("base32", "".join(rng.choice(list(secrets.ALPHABETS["base32"]), 50)) + "A2") for _ in range(20)]
-    tokens += [("hex", "A1" + "".join(rng.choice(list("0123456789ABCDEF"), 40))) for _ in range(10)]
+    tokens = [(k, "".join(rng.choice(list(letters), n))) for k, (letters, _) in DRAWN.items() for n in (20, 31, 44, 70)]
     df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(tokens)], "i int, t string")
     spans = F.array(F.struct(F.lit(0).alias("start"), F.length("t").alias("stop"), F.col("t").alias("token")))
     got = {r["i"]: r["p"][0]["p"] for r in df.select("i", secrets.battery(spans).alias("p")).collect()}
     for i, (kind, t) in enumerate(tokens):
-        want = brute_p(t.lower() if kind == "hex" else t, secrets.ALPHABETS[kind])
-        assert abs(got[i] - want) < 1e-4
+        found, read, alphabet = smallest(t)
+        assert found == DRAWN[kind][1] or len(t) < 70
+        assert abs(got[i] - brute_p(read, alphabet)) < 1e-4
+    assert [len(a) for a in secrets.ALPHABETS.values()] == [16, 26, 32, 36, 52, 58, 64]
+
+
+def test_every_encoding_is_found_and_words_are_not(spark):
+    """Random tokens among five times as many long words put together from syllables, the hardest ordinary ones."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for k, (letters, _) in DRAWN.items():
+        for n in (24, 32, 40):
+            rows += [(len(rows) + i, k, "a " + "".join(rng.choice(list(letters), n)) + " b") for i in range(80)]
+    parts = ("tion", "ment", "con", "inter", "national", "ver", "ungs", "heit", "re", "counter", "ist", "able", "ness", "pre", "super", "ly", "ing")
+    joins = ("", "", "", "_", "-", "/")
+    while len(rows) < 16_000:
+        word = joins[rng.integers(6)].join(rng.choice(parts, 10))[:int(rng.integers(20, 34))]
+        rows.append((len(rows), "word", "a " + (word.capitalize() if rng.random() < 0.2 else word) + " b"))
+    df = spark.createDataFrame(rows, "doc_id long, kind string, text string")
+    got = {r["doc_id"]: "random" in r["spans"] for r in secrets.op9(df).collect()}
+    found = {}
+    for i, k, _ in rows:
+        found.setdefault(k, []).append(got[i])
+    assert all(np.mean(v) >= 0.9 for k, v in found.items() if k != "word"), {k: np.mean(v) for k, v in found.items()}
+    assert np.mean(found["word"]) < 0.07, np.mean(found["word"])
 
 
 def test_random_tokens_are_added_and_ordered_ones_are_not(spark):
     rng = np.random.default_rng(9)
-    rows = [(i, "see " + "".join(rng.choice(list(secrets.ALPHABETS["base64"][:62]), 48)) + "aZ7 here") for i in range(60)]
+    rows = [(i, "see " + "".join(rng.choice(list(string.ascii_letters + string.digits), 48)) + "aZ7 here") for i in range(60)]
     rows += [(100 + i, "see GGGGHHHHIIIIJJJJgggghhhhiiiijjjj555566667777 here") for i in range(60)]
     got = {r["doc_id"]: r["spans"] for r in secrets.op9(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert sum(got[i].startswith("random:4:") for i in range(60)) >= 55

@@ -32,30 +32,32 @@ WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x FRO
 base AS ({_spans(0, _ASSIGN, 2, 12)} UNION ALL {_spans(1, "AKIA[A-Z0-9]{14,}", 0, 18)} UNION ALL {_spans(2, "[0-9a-f]{16,}", 0, 16)}),
 loose AS (SELECT * FROM ({_spans(3, "[A-Za-z0-9+/_-]{20,}", 0, 20)}) l WHERE NOT EXISTS (
     SELECT 1 FROM base b WHERE b.r = l.r AND b.start < l.start + l.size AND l.start < b.start + b.size)),
-typed AS (SELECT r, start, size, CASE WHEN letters = '0123456789abcdef' THEN lower(token)
-                 ELSE replace(replace(token, '-', '+'), '_', '/') END AS token, letters, length(letters) AS a
+fit AS (SELECT *, regexp_full_match(token, '[^a-z]+') OR regexp_full_match(token, '[^A-Z]+') AS one, lower(token) AS low FROM loose),
+typed AS (SELECT r, start, size, CASE WHEN length(letters) <= 36 THEN low ELSE translate(token, '-_', '+/') END AS token, letters, length(letters) AS a
           FROM (SELECT *, CASE
-                WHEN regexp_full_match(token, '[0-9a-f]+') AND regexp_matches(token, '[0-9]') AND regexp_matches(token, '[a-f]') THEN '0123456789abcdef'
-                WHEN regexp_full_match(token, '[0-9A-F]+') AND regexp_matches(token, '[0-9]') AND regexp_matches(token, '[A-F]') THEN '0123456789abcdef'
-                WHEN regexp_full_match(token, '[A-Z2-7]+') AND regexp_matches(token, '[2-7]') AND regexp_matches(token, '[A-Z]') THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'
-                WHEN regexp_matches(token, '[0-9]') AND regexp_matches(token, '[A-Z]') AND regexp_matches(token, '[a-z]')
-                THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/' END AS letters FROM loose) WHERE letters IS NOT NULL),
+                WHEN one AND regexp_full_match(low, '[0-9a-f]+') THEN '0123456789abcdef'
+                WHEN one AND regexp_full_match(low, '[a-z]+') THEN 'etaoinshrdlcumwfgypbvkjxqz'
+                WHEN one AND regexp_full_match(low, '[a-z2-7]+') THEN 'etaoinshrdlcumwfgypbvkjxqz234567'
+                WHEN one AND regexp_full_match(low, '[a-z0-9]+') THEN 'etaoinshrdlcumwfgypbvkjxqz0123456789'
+                WHEN regexp_full_match(low, '[a-z]+') THEN 'etaoinshrdlcumwfgypbvkjxqzETAOINSHRDLCUMWFGYPBVKJXQZ'
+                WHEN NOT regexp_matches(token, '[0OIl+/_-]') THEN 'etaoinshrdcumwfgypbvkjxqzETANSHRDLCUMWFGYPBVKJXQZ123456789'
+                ELSE 'etaoinshrdlcumwfgypbvkjxqzETAOINSHRDLCUMWFGYPBVKJXQZ0123456789+/' END AS letters FROM fit)),
 symbols AS (SELECT r, start, size, a, k, strpos(letters, token[k]) - 1 AS v FROM (SELECT *, unnest(range(1, length(token) + 1)) AS k FROM typed)),
 steps AS (SELECT *, lag(v) OVER w AS before, avg(v::DOUBLE) OVER (PARTITION BY r, start) AS mean, v * 8 // a AS bin
           FROM symbols WINDOW w AS (PARTITION BY r, start ORDER BY k)),
-facts AS (SELECT r, start, any_value(size) AS size, COUNT(*)::DOUBLE AS n, COUNT(*) FILTER (v * 2 >= a)::DOUBLE AS h,
+facts AS (SELECT r, start, any_value(size) AS size, any_value(a) AS a, COUNT(*)::DOUBLE AS n, COUNT(*) FILTER (v * 2 >= a)::DOUBLE AS h,
                  1.0 + COUNT(*) FILTER (before IS NOT NULL AND (v * 2 >= a) <> (before * 2 >= a)) AS runs,
                  SUM((v - mean) * (before - mean)) / nullif(SUM((v - mean) * (v - mean)), 0) AS serial FROM steps GROUP BY r, start),
-chis AS (SELECT r, start, SUM(power(coalesce(c, 0) - n / 8, 2) / (n / 8)) AS chi
-         FROM facts CROSS JOIN range(8) b(bin) LEFT JOIN (SELECT r, start, bin, COUNT(*) AS c FROM steps GROUP BY 1, 2, 3) USING (r, start, bin) GROUP BY 1, 2),
+chis AS (SELECT r, start, SUM(power(coalesce(c, 0) - n * part, 2) / (n * part)) AS chi
+         FROM (SELECT r, start, n, bin, (ceil((bin + 1) * a / 8.0::DOUBLE) - ceil(bin * a / 8.0::DOUBLE)) / a AS part FROM facts CROSS JOIN range(8) b(bin)) LEFT JOIN (SELECT r, start, bin, COUNT(*) AS c FROM steps GROUP BY 1, 2, 3) USING (r, start, bin) GROUP BY 1, 2),
 zs AS (SELECT r, start, size, n, (cbrt(chi / 7) - (1 - 2.0::DOUBLE / 63)) / sqrt(2.0::DOUBLE / 63) AS z1,
               abs(runs - (2 * h * (n - h) / n + 1)) / sqrt(nullif(greatest((2 * h * (n - h) / n) * (2 * h * (n - h) / n - 1) / (n - 1), 0), 0)) AS z2,
               abs((serial + 1 / n) * sqrt(n)) AS z3 FROM facts JOIN chis USING (r, start)),
 ps AS (SELECT r, start, size, n, CASE WHEN z1 >= 0 THEN {_tail("abs(z1)")} ELSE 1 - {_tail("abs(z1)")} END AS p1,
               coalesce(2 * {_tail("z2")}, 0) AS p2, coalesce(2 * {_tail("z3")}, 0) AS p3 FROM zs),
 half AS (SELECT r, start, size, n, -ln(greatest(least(p1, 1), 1e-300)) - ln(greatest(least(p2, 1), 1e-300)) - ln(greatest(least(p3, 1), 1e-300)) AS s FROM ps),
-judged AS (SELECT r, start, size, exp(-s) * (1 + s + s * s / 2) * (avg(n) OVER ()) / n AS p FROM half),
-ranked AS (SELECT *, p <= 0.01 * row_number() OVER (ORDER BY p) / COUNT(*) OVER () AS below FROM judged),
+judged AS (SELECT r, start, size, exp(-s) * (1 + s + s * s / 2) * n * n / power(avg(n) OVER (), 2) AS p FROM half),
+ranked AS (SELECT *, p <= 0.08 * row_number() OVER (ORDER BY p) / COUNT(*) OVER () AS below FROM judged),
 added AS (SELECT r, 3 AS kind, start, size FROM ranked WHERE p > coalesce((SELECT MAX(p) FROM ranked WHERE below), -1)),
 named AS (SELECT r, kind, start, ['assign', 'access', 'hex', 'random'][kind + 1] || ':' || start || ':' || (start + size) AS span
           FROM (SELECT r, kind, start, size FROM base UNION ALL SELECT * FROM added))

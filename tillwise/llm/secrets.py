@@ -1,12 +1,15 @@
 """Secret scans: fixed patterns, and a battery of randomness tests on other long tokens.
 
-A token that fits an encoding (hexadecimal, base 32 or base 64) is read as a sequence of
-symbol values. Under the hypothesis that it is random, three tests give a p-value each:
+A token is read as a sequence of symbol values of the smallest encoding that holds all its
+symbols: hexadecimal, letters, base 32 or 36 of one case, letters of both cases, base 58
+or 64. Under the hypothesis that it is random, three tests give a p-value each:
 chi-squared uniformity over eight equal parts of the alphabet, the number of runs above
-and below the middle, and the serial correlation of neighbours. Fisher's method combines
-them. Over all tokens of the corpus, the hypothesis is rejected with false-discovery
-control, p-values weighted by the token's length, since longer tokens are judged more
-surely; tokens for which it stands are secrets.
+and below the middle, and the serial correlation of neighbours. Letters stand in the order
+of how common they are, so ordinary words fill the first parts and leave the last ones
+empty. Fisher's method combines the tests. Over all tokens of the corpus, the hypothesis is
+rejected with false-discovery control, p-values weighted by the squared length: short
+tokens are words more often, and more evidence is wanted that they are none. Tokens for
+which the hypothesis stands are secrets. Below 20 code points the tests can't tell.
 
 Only DataFrame functions are used. Each text's spans stay arrays of its row.
 """
@@ -26,14 +29,31 @@ HEX = r"[0-9a-f]{16,}"
 #: Tokens the tests look at.
 LOOSE = r"[A-Za-z0-9+/_-]{20,}"
 KINDS = ("assign", "access", "hex", "random")
-#: Share of random tokens that may be taken for ordinary ones by error.
-FALSE_SHARE = 0.01
-#: Alphabets in the order of their symbols' values.
+#: Share of random tokens among those taken for ordinary ones, at most.
+FALSE_SHARE = 0.08
+#: Letters by how common they are in ordinary text (fixed values).
+COMMON = "etaoinshrdlcumwfgypbvkjxqz"
+DIGITS = "0123456789"
+#: Encodings, smallest first: symbols in the order of their values, and the tokens that fit.
 ALPHABETS = {
-    "hex": "0123456789abcdef",
-    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
-    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "hex": DIGITS + "abcdef",
+    "letters": COMMON,
+    "base32": COMMON + "234567",
+    "base36": COMMON + DIGITS,
+    "mixed": COMMON + COMMON.upper(),
+    "base58": "".join(c for c in COMMON + COMMON.upper() + DIGITS if c not in "0OIl"),
+    "base64": COMMON + COMMON.upper() + DIGITS + "+/",
 }
+FITS = {
+    "hex": "^([0-9a-f]+|[0-9A-F]+)$",
+    "letters": "^([a-z]+|[A-Z]+)$",
+    "base32": "^([a-z2-7]+|[A-Z2-7]+)$",
+    "base36": "^([a-z0-9]+|[A-Z0-9]+)$",
+    "mixed": "^[A-Za-z]+$",
+    "base58": "^[1-9A-HJ-NP-Za-km-z]+$",
+}
+#: Encodings of one case.
+ONE_CASE = ("hex", "letters", "base32", "base36")
 SPAN = "array<struct<start:int,stop:int,kind:int>>"
 
 
@@ -77,15 +97,17 @@ def battery(tokens: Column) -> Column:
     """Add ``p``, the combined p-value of randomness, to structs that have start, stop and token."""
     def typed(x: Column) -> Column:
         tok = x["token"]
-        kind = (F.when(tok.rlike("^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$"), F.lit("hex"))
-                .when(tok.rlike("^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$"), F.lit("hex"))
-                .when(tok.rlike("^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+$"), F.lit("base32"))
-                .when(tok.rlike("^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9+/_-]+$"), F.lit("base64")))
-        letters = F.lit(None).cast("string")
+        kind = F.lit("base64")
+        for name, pattern in reversed(FITS.items()):
+            kind = F.when(tok.rlike(pattern), F.lit(name)).otherwise(kind)
+        return F.struct(x["start"].alias("start"), x["stop"].alias("stop"), tok.alias("token"), kind.alias("kind"))
+
+    def read(x: Column) -> Column:
+        letters = F.lit(ALPHABETS["base64"])
         for name, alphabet in ALPHABETS.items():
-            letters = F.when(kind == name, F.lit(alphabet)).otherwise(letters)
-        read = F.when(kind == "hex", F.lower(tok)).otherwise(F.translate(tok, "-_", "+/"))
-        return F.struct(x["start"].alias("start"), x["stop"].alias("stop"), letters.alias("letters"), read.alias("read"))
+            letters = F.when(x["kind"] == name, F.lit(alphabet)).otherwise(letters)
+        symbols = F.when(x["kind"].isin(*ONE_CASE), F.lower(x["token"])).otherwise(F.translate(x["token"], "-_", "+/"))
+        return F.struct(x["start"].alias("start"), x["stop"].alias("stop"), letters.alias("letters"), symbols.alias("read"))
 
     def valued(x: Column) -> Column:
         size = F.char_length(x["letters"])
@@ -96,11 +118,15 @@ def battery(tokens: Column) -> Column:
 
     def measured(x: Column) -> Column:
         v, n = x["v"], x["n"]
-        expected = n / F.lit(8.0)
-        chi = F.aggregate(
-            F.transform(F.sequence(F.lit(0), F.lit(7)), lambda b: F.size(
-                F.filter(v, lambda e: F.floor(e * F.lit(8) / x["size"]) == b))),
-            F.lit(0.0), lambda s, o: s + (o - expected) * (o - expected) / expected)
+
+        def part(b: Column) -> Column:
+            """Squared deviation of a part from what its number of symbols leads to expect."""
+            seen = F.size(F.filter(v, lambda e: F.floor(e * F.lit(8) / x["size"]) == b))
+            symbols = F.ceil((b + F.lit(1)) * x["size"] / F.lit(8.0)) - F.ceil(b * x["size"] / F.lit(8.0))
+            expected = n * symbols / x["size"]
+            return (seen - expected) * (seen - expected) / expected
+
+        chi = F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(7)), part), F.lit(0.0), lambda s, o: s + o)
         up = F.transform(v, lambda e: (e * F.lit(2) >= x["size"]).cast("int"))
         pairs = F.sequence(F.lit(1), F.size(v) - F.lit(1))
         runs = F.aggregate(pairs, F.lit(1.0), lambda s, i: s + (
@@ -134,8 +160,8 @@ def battery(tokens: Column) -> Column:
         p = F.exp(-s) * (F.lit(1.0) + s + s * s / F.lit(2.0))
         return F.struct(x["start"].alias("start"), x["stop"].alias("stop"), x["n"].alias("n"), p.alias("p"))
 
-    out = F.filter(F.transform(tokens, typed), lambda x: x["letters"].isNotNull())
-    for step in (valued, measured, judged, combined):
+    out = tokens
+    for step in (typed, read, valued, measured, judged, combined):
         out = F.transform(out, step)
     return out
 
@@ -177,9 +203,11 @@ def scan(docs: DataFrame, text_col: str = "text", drop_text: bool = True) -> Dat
 
     each = found.select(F.explode("__tested").alias("x")).select("x.n", "x.p")
     mean = each.agg(F.avg("n")).first()[0] or 1.0
-    weighted = each.select((F.col("p") * F.lit(mean) / F.col("n")).alias("p"))
-    t = rejected_below(weighted, FALSE_SHARE)
-    random = F.filter("__tested", lambda x: x["p"] * F.lit(mean) / x["n"] > F.lit(t))
+    def weighted(p: Column, n: Column) -> Column:
+        return p * n * n / F.lit(mean * mean)
+
+    t = rejected_below(each.select(weighted(F.col("p"), F.col("n")).alias("p")), FALSE_SHARE)
+    random = F.filter("__tested", lambda x: weighted(x["p"], x["n"]) > F.lit(t))
     return found.withColumn("__added", F.transform(random, lambda x: F.struct(
         x["start"].alias("start"), x["stop"].alias("stop"), F.lit(3).alias("kind")))).drop("__tested")
 
