@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from registry.base import SHARED_SQL, query
 from registry.reports import coa, half_up
 from tillwise.functions import udf
-from tillwise.operators import ml, similarity, text
+from tillwise.operators import ml, opinion, similarity, text
 from tillwise.operators.pairs import combinations_not_in
 from tillwise.operators.reports import recommendation_counts
 from tillwise.operators.search_index import SegmentedIndex
@@ -496,6 +496,41 @@ def _(t):
         "review_id", "rating", F.col("is_positive").isNotNull().alias("flagged"), "mentions_quality_issues", "sentiment_category")
 
 
+_NEGATIONS = "['not', 'no', 'never', 'nor', 'cannot', 'without', 'don', 'doesn', 'didn', 'isn', 'wasn', 'nicht', 'kein', 'keine', 'pas', 'jamais']"
+
+# One row per use of a word; words up to three places after a negation are marked.
+SHARED_SQL["said"] = f"""
+    SELECT review_id, rating, review_id % 3 AS fold,
+           CASE WHEN list_has_any(toks[greatest(i - 3, 1):i - 1], {_NEGATIONS}) THEN 'not_' || toks[i] ELSE toks[i] END AS word
+    FROM (SELECT review_id, toks, unnest(range(1, len(toks) + 1)) AS i FROM rsent) JOIN rev USING (review_id)"""
+
+_ODDS = """ln(p + 1000.0::DOUBLE * n / tn) - ln(tp + 1000 - p - 1000.0::DOUBLE * n / tn)
+           - ln(q + 1000.0::DOUBLE * n / tn) + ln(tq + 1000 - q - 1000.0::DOUBLE * n / tn)"""
+_DEVIATION = "sqrt(1 / (p + 1000.0::DOUBLE * n / tn) + 1 / (q + 1000.0::DOUBLE * n / tn))"
+
+SHARED_SQL["said_odds"] = f"""
+    SELECT k, word, n, p, q, {_ODDS} AS log_odds, ({_ODDS}) / {_DEVIATION} AS z
+    FROM (SELECT *, SUM(n) OVER w AS tn, SUM(p) OVER w AS tp, SUM(q) OVER w AS tq
+          FROM (SELECT k, word, COUNT(*) AS n, COUNT(*) FILTER (rating >= 4) AS p, COUNT(*) FILTER (rating <= 2) AS q
+                FROM said JOIN (SELECT unnest([0, 1, 2, 9]) AS k) ON fold <> k GROUP BY 1, 2) WINDOW w AS (PARTITION BY k))"""
+
+
+@query("rating_words", """SELECT word, n AS uses, p AS positive, q AS negative, round(log_odds, 6) AS log_odds, round(z, 6) AS z
+       FROM said_odds WHERE k = 9""")
+def _(t):
+    """Weights of all words, learned from the ratings of all reviews."""
+    return opinion.word_log_odds(t.product_reviews).withColumns({c: F.round(c, 6) for c in ("log_odds", "z")})
+
+
+@query("review_opinions", """SELECT review_id, rating, coalesce(telling, 0) AS telling, coalesce(round(score, 6), 0) AS score
+       FROM rev LEFT JOIN (SELECT review_id, COUNT(*) AS telling, SUM(log_odds) / COUNT(*) AS score
+                           FROM said s JOIN said_odds o ON s.word = o.word AND s.fold = o.k WHERE abs(z) >= 1.96 GROUP BY 1) USING (review_id)""")
+def _(t):
+    """Every review, scored by words learned from the other two thirds."""
+    scored = opinion.opinion_scores(t.product_reviews, fold=F.pmod(F.col("review_id"), F.lit(3)))
+    return scored.withColumn("score", F.round("score", 6))
+
+
 SHARED_SQL["post"] = """
     SELECT term, doc_id, COUNT(*) AS tf, any_value(len) AS len
     FROM (SELECT doc_id, unnest(ws) AS term, len(ws) AS len
