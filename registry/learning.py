@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from registry.base import SHARED_SQL, query
 from registry.reports import coa, half_up
 from tillwise.functions import udf
-from tillwise.operators import ml, opinion, similarity, text
+from tillwise.operators import closest_pairs, ml, opinion, similarity, text
 from tillwise.operators.pairs import combinations_not_in
 from tillwise.operators.reports import recommendation_counts
 from tillwise.operators.search_index import SegmentedIndex
@@ -349,6 +349,15 @@ def _(t):
         "similarity", F.round("similarity", 6))
 
 
+@query("closest_pairs", """SELECT id_a, id_b, round(s, 6) AS similarity FROM (
+       SELECT a.vec_id AS id_a, b.vec_id AS id_b, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s
+       FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id) ORDER BY round(s, 12) DESC, id_a, id_b LIMIT 50""")
+def _(t):
+    """The same by a tree of pivots, whose pairs of nodes are left out from the top."""
+    return closest_pairs.closest_pairs(t.raw("embeddings"), "vec_id", "embedding", 50, leaf_rows=512).withColumn(
+        "similarity", F.round("similarity", 6))
+
+
 # --- text --------------------------------------------------------------------------------------------
 
 def _labelled(t, label):
