@@ -9,7 +9,7 @@ from tillwise import schemas
 from tillwise.operators import enrich, table_state
 from tillwise.sources import external, files
 from tillwise.sources.fixtures import AS_OF
-from tillwise.streaming import incremental, ingest
+from tillwise.streaming import incremental, ingest, stateful
 
 _ORD = f"order_date::VARCHAR AS order_date, {_num('total_amount discount_percent shipping_cost')}"
 
@@ -265,3 +265,35 @@ def _(t):
 def _(t):
     """Daily metrics kept by micro-batches equal the batch aggregate."""
     return _stream_marts(t).daily()
+
+
+def _stateful_marts(t):
+    """A third of the orders comes early with another status and day, then all items, then all orders."""
+    root = _scratch(t, "stateful")
+    early = t.orders.filter(F.crc32(F.col("order_id").cast("binary")) % 3 == 0).withColumns({
+        "order_status": F.lit("Pending"), "order_date": F.col("order_date") - F.expr("INTERVAL 400 DAYS")})
+    marts = stateful.StatefulMarts(t.spark, f"{root}/out")
+    for at, (orders, items) in enumerate(((early, t.order_items), (t.orders, t.order_items.limit(0)))):
+        streams = []
+        for name, df in (("orders", orders), ("items", items)):
+            arrived = df.withColumn("arrived", F.lit(at).cast("long"))
+            arrived.write.mode("append").parquet(f"{root}/in/{name}")
+            streams.append(t.spark.readStream.schema(arrived.schema).parquet(f"{root}/in/{name}"))
+        marts.run(*streams, f"{root}/cp")
+    return marts
+
+
+@query("stream_stateful_metrics", f"""
+    SELECT * REPLACE (order_date_only::VARCHAR AS order_date_only, {_num(DAILY_MONEY)}) FROM daily""")
+def _(t):
+    """Daily metrics over the fact that keyed state joins equal the batch aggregate."""
+    return enrich.daily_business_metrics(_stateful_marts(t).fact())
+
+
+@query("stream_stateful_sums", """
+    SELECT order_date::DATE::VARCHAR AS order_date_only, COUNT(*) AS total_orders, SUM(n) AS item_rows,
+           SUM(total_amount * n)::DOUBLE AS total_revenue, SUM(total)::DOUBLE AS items_total
+    FROM ord JOIN (SELECT order_id, COUNT(*) AS n, SUM(line_total) AS total FROM item GROUP BY 1) USING (order_id) GROUP BY 1""")
+def _(t):
+    """Orders and amounts of each day by adding the signs of the log: an order that moved leaves its first day."""
+    return _stateful_marts(t).daily_sums()
