@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from registry.base import SHARED_SQL, query
 from registry.reports import coa, half_up
 from tillwise.functions import udf
-from tillwise.operators import closest_pairs, ml, opinion, similarity, text
+from tillwise.operators import boosting, closest_pairs, ml, opinion, similarity, text
 from tillwise.operators.pairs import combinations_not_in
 from tillwise.operators.reports import recommendation_counts
 from tillwise.operators.search_index import SegmentedIndex
@@ -358,6 +358,32 @@ def _(t):
         "similarity", F.round("similarity", 6))
 
 
+_STUMP = ("total_amount", "discount_percent", "shipping_cost")
+_STUMP_EDGES = [[500.0, 1000.0, 1500.0, 2000.0, 2500.0, 3000.0, 4000.0], [5.0, 10.0, 15.0, 20.0, 25.0], [10.0, 20.0, 30.0, 40.0]]
+
+
+@query("boosted_first_split", """
+    WITH x AS (SELECT order_id, (order_status = 'Completed')::INT AS y, total_amount::DOUBLE AS total_amount,
+                      discount_percent::DOUBLE AS discount_percent, shipping_cost::DOUBLE AS shipping_cost FROM ord),
+    long AS (SELECT order_id, y, 0 AS f, total_amount AS v FROM x UNION ALL SELECT order_id, y, 1, discount_percent FROM x
+             UNION ALL SELECT order_id, y, 2, shipping_cost FROM x),
+    cuts AS (SELECT 0 AS f, unnest([500.0, 1000.0, 1500.0, 2000.0, 2500.0, 3000.0, 4000.0])::DOUBLE AS edge
+             UNION ALL SELECT 1, unnest([5.0, 10.0, 15.0, 20.0, 25.0])::DOUBLE
+             UNION ALL SELECT 2, unnest([10.0, 20.0, 30.0, 40.0])::DOUBLE),
+    sums AS (SELECT f, edge, SUM(0.5::DOUBLE - y) AS g, 0.25 * COUNT(*) AS h, SUM(0.5::DOUBLE - y) FILTER (v <= edge) AS gl,
+                    0.25 * COUNT(*) FILTER (v <= edge) AS hl FROM long JOIN cuts USING (f) GROUP BY f, edge),
+    best AS (SELECT *, (gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1)) / 2 AS gain FROM sums
+             WHERE hl >= 1 AND h - hl >= 1 ORDER BY round(gain, 9) DESC, f, edge LIMIT 1)
+    SELECT order_id, round(1 / (1 + exp(-CASE WHEN v <= edge THEN -gl / (hl + 1) ELSE -(g - gl) / (h - hl + 1) END)), 9) AS score,
+           round(gain, 6) AS gain FROM long JOIN best USING (f)""")
+def _(t):
+    """Scores of all orders by one split with second-order leaves, which SQL finds from the same sums."""
+    orders = t.orders.withColumn("done", (F.col("order_status") == "Completed").cast("int"))
+    model = boosting.fit(orders, _STUMP, "done", "order_id", boosting.Settings(trees=1, depth=1, rate=1.0), _STUMP_EDGES)
+    return model.score(orders).select(
+        "order_id", F.round("score", 9).alias("score"), F.round(F.lit(model.gains[0]), 6).alias("gain"))
+
+
 # --- text --------------------------------------------------------------------------------------------
 
 def _labelled(t, label):
