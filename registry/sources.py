@@ -1,5 +1,7 @@
 """Source, sink and streaming queries."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from registry.base import query
@@ -7,7 +9,7 @@ from registry.enrich import DAILY_MONEY, FLAGS, _num
 from registry.marts import clv
 from tillwise import schemas
 from tillwise.operators import enrich, table_state
-from tillwise.sources import external, files
+from tillwise.sources import external, files, layout
 from tillwise.sources.fixtures import AS_OF
 from tillwise.streaming import incremental, ingest, stateful
 
@@ -297,3 +299,18 @@ def _(t):
 def _(t):
     """Orders and amounts of each day by adding the signs of the log: an order that moved leaves its first day."""
     return _stateful_marts(t).daily_sums()
+
+
+@query("layout_lookups", """
+    SELECT 'day' AS looked_up, order_id, customer_id, order_date::VARCHAR AS order_date FROM ord
+    WHERE order_date BETWEEN TIMESTAMP '1998-03-02' AND TIMESTAMP '1998-03-20'
+    UNION ALL SELECT 'customer', order_id, customer_id, order_date::VARCHAR FROM ord WHERE customer_id BETWEEN 20 AND 40""")
+def _(t):
+    """All orders along a curve over customer and time, then looked up by either."""
+    path = _scratch(t, "layout")
+    layout.write_layout(t.orders, ["customer_id", "order_date"], path, 16)
+    own = ["order_id", "customer_id", "order_date"]
+    days = layout.read_between(t.spark, path, "order_date", datetime(1998, 3, 2), datetime(1998, 3, 20))
+    customers = layout.read_between(t.spark, path, "customer_id", 20, 40)
+    return days.select(F.lit("day").alias("looked_up"), *own).unionByName(
+        customers.select(F.lit("customer").alias("looked_up"), *own))
