@@ -41,6 +41,7 @@ def hilbert_index(places: Sequence[Column], bits: int) -> Column:
     def has(value, mask):
         return value.bitwiseAND(mask) != 0
 
+    zero = F.lit(0).cast("long")
     turns = F.array(*[F.struct(F.lit(q).cast("long").alias("q"), F.lit(i).alias("i")) for q in masks[:-1] for i in range(n)])
     axes = F.array(*[F.coalesce(p.cast("long"), F.lit(0).cast("long")) for p in places])
 
@@ -52,14 +53,24 @@ def hilbert_index(places: Sequence[Column], bits: int) -> Column:
 
     zero = F.lit(0).cast("long")
     turned = axes if bits == 1 else F.aggregate(turns, axes, turn)
-    gray = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda j: F.aggregate(
-        F.slice(turned, F.lit(1), j), zero, lambda s, v: s.bitwiseXOR(v)))
     each = F.array(*[F.lit(q).cast("long") for q in masks])
-    tail = F.aggregate(each, zero, lambda s, q: F.when(
-        has(F.element_at(gray, -1), q), s.bitwiseXOR(q - 1)).otherwise(s))
-    final = F.transform(gray, lambda v: v.bitwiseXOR(tail))
-    return F.aggregate(each, zero, lambda s, q: F.aggregate(
-        final, s, lambda d, v: d * 2 + F.when(has(v, q), 1).otherwise(0)))
+
+    def gray(x):
+        return F.transform(x, lambda _, j: F.aggregate(F.slice(x, F.lit(1), j + 1), zero, lambda s, v: s.bitwiseXOR(v)))
+
+    def tail(g):
+        return F.aggregate(each, zero, lambda s, q: F.when(has(F.element_at(g, -1), q), s.bitwiseXOR(q - 1)).otherwise(s))
+
+    def interleaved(x):
+        return F.aggregate(each, zero, lambda s, q: F.aggregate(x, s, lambda d, v: d * 2 + F.when(has(v, q), 1).otherwise(0)))
+
+    return _bound(turned, lambda x: _bound(gray(x), lambda g: _bound(tail(g), lambda t: _bound(
+        F.transform(g, lambda v: v.bitwiseXOR(t)), interleaved))))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def write_layout(df: DataFrame, cols: Sequence[str], path: str, files: int, bits: int = BITS) -> None:
