@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillwise.operators import timeseries as ts
 
@@ -66,3 +67,25 @@ def test_two_columns_and_daily_fill(sensors, spark):
         "order_date timestamp, total_amount int")
     days = ts.daily_orders_filled(orders, "2025-01-01", "2025-02-01").orderBy("order_day").collect()
     assert [(r["orders_filled"], r["is_generated"]) for r in days] == [(1, False), (0, True), (1, False)]
+
+
+@pytest.mark.parametrize("method", ["bfill", "linear"])
+def test_looking_ahead_walks_no_frame_anew_for_every_row(sensors, method):
+    """A frame open at its end takes time with the square of a chunk's rows."""
+    filled = ts.interpolate(sensors, "observed", ["sensor"], ["temperature"], method)
+    plan = filled._jdf.queryExecution().optimizedPlan().toString()
+    assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
+
+
+def test_rows_of_one_time_and_gaps_longer_than_a_chunk(spark):
+    """Known and unknown values at one time, and borders no chunk between which has a value."""
+    at = [datetime(2025, 1, d) for d in (1, 2, 2, 2, 3, 4, 9)]
+    df = spark.createDataFrame(list(zip("aaaaaaa", at, [None, 5.0, None, 3.0, None, None, 7.0])), "k string, t timestamp, v double")
+
+    def got(method):
+        out = ts.interpolate(df, "t", ["k"], ["v"], method, "x").orderBy("t", F.col("v").asc_nulls_first())
+        return [r["v_x"] for r in out.collect()]
+
+    assert got("ffill") == [None, None, 3.0, 5.0, 5.0, 5.0, 7.0]
+    assert got("bfill") == [3.0, 3.0, 3.0, 5.0, 7.0, 7.0, 7.0]
+    assert got("linear") == pytest.approx([None, None, 3.0, 5.0, 5 + 2 / 7, 5 + 4 / 7, 7.0])

@@ -66,9 +66,13 @@ def interpolate(df: DataFrame, ts: str, keys: Sequence[str], columns: Sequence[s
     keys = list(keys)
     size = F.lit(_micros(chunk))
     marked = df.withColumn("__chunk", F.floor(F.unix_micros(ts) / size).cast("long"))
-    order = [F.col(ts), *[F.col(c).asc_nulls_first() for c in columns]]
-    inside = Window.partitionBy(*keys, "__chunk").orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy("__chunk")
+    # Looking ahead is looking back in the reverse order: a frame that starts at the current row and
+    # is open at its end is walked anew for every row, one that is open at its start only once.
+    inside = Window.partitionBy(*keys, "__chunk").orderBy(F.col(ts).asc(), *[F.col(c).asc_nulls_first() for c in columns])
+    inside_back = Window.partitionBy(*keys, "__chunk").orderBy(
+        F.col(ts).desc(), *[F.col(c).desc_nulls_last() for c in columns])
+    across = Window.partitionBy(*keys).orderBy(F.col("__chunk").asc())
+    across_back = Window.partitionBy(*keys).orderBy(F.col("__chunk").desc())
     need_prev, need_next = method != "bfill", method != "ffill"
 
     def known(c):
@@ -78,18 +82,18 @@ def interpolate(df: DataFrame, ts: str, keys: Sequence[str], columns: Sequence[s
         *[F.max(known(c)).alias(f"__last_{c}") for c in columns if need_prev],
         *[F.min(known(c)).alias(f"__first_{c}") for c in columns if need_next])
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    after = across.rowsBetween(1, Window.unboundedFollowing)
+    after = across_back.rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(
         *keys, "__chunk",
         *[F.last(f"__last_{c}", True).over(before).alias(f"__in_{c}") for c in columns if need_prev],
-        *[F.first(f"__first_{c}", True).over(after).alias(f"__out_{c}") for c in columns if need_next])
+        *[F.last(f"__first_{c}", True).over(after).alias(f"__out_{c}") for c in columns if need_next])
     joined = marked.join(carried, [*keys, "__chunk"])
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    onward = inside.rowsBetween(0, Window.unboundedFollowing)
+    onward = inside_back.rowsBetween(Window.unboundedPreceding, 0)
     filled = {}
     for c in columns:
         prev = F.coalesce(F.last(known(c), True).over(upto), F.col(f"__in_{c}")) if need_prev else None
-        nxt = F.coalesce(F.first(known(c), True).over(onward), F.col(f"__out_{c}")) if need_next else None
+        nxt = F.coalesce(F.last(known(c), True).over(onward), F.col(f"__out_{c}")) if need_next else None
         if need_prev:
             joined = joined.withColumn(f"__p_{c}", prev)
         if need_next:
