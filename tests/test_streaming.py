@@ -1,8 +1,11 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from tillwise import schemas
 from tillwise.operators import enrich
+from tillwise.session import work_dir
 from tillwise.sources import files
 from tillwise.streaming import incremental, ingest
 
@@ -122,3 +125,21 @@ def test_log_is_folded_once(spark, tables, folder):
     assert incremental.merge_log(*args).count() == 50
     assert incremental.merge_log(*args).count() == 50 and len(files._versions(spark, root)) == 1
     assert incremental.merge_log(spark, f"{folder}/none", f"{folder}/nolog", "order_id", "order_date", schemas.ORDERS).count() == 0
+
+
+def test_micro_batches_leave_nothing_but_the_tables(spark, tables, folder):
+    """No copy of a batch or of a partition stays beside the tables, and orders without a date leave their period."""
+    before = set(os.listdir(work_dir(spark)))
+    marts = incremental.IncrementalMarts(spark, folder, "year")
+    orders = tables.orders.limit(20).cache()
+    items = tables.order_items.join(orders.select("order_id"), "order_id", "left_semi").select(*tables.order_items.columns)
+    for epoch, batch in enumerate((orders, orders.withColumn("order_date", F.lit(None).cast("timestamp")), orders)):
+        marts.add_orders(batch, epoch)
+        marts.add_items(items, epoch)
+        full = enrich.fact_orders(enrich.enriched_orders(batch), enrich.enriched_order_items(items))
+        got = marts.fact().select(*full.columns)
+        assert got.count() == full.count() and got.exceptAll(full).count() == 0
+    assert set(os.listdir(work_dir(spark))) == before
+    assert sorted(os.listdir(folder)) == ["daily_business_metrics", "enriched_items", "enriched_orders", "fact_orders"]
+    kept = spark.read.parquet(f"{folder}/enriched_orders")
+    assert kept.count() == 20
