@@ -1,9 +1,12 @@
+from datetime import datetime
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
 from tillwise import schemas
 from tillwise.operators import enrich
-from tillwise.streaming.stateful import StatefulMarts
+from tillwise.streaming.stateful import FEW, JoinByOrder, StatefulMarts
 
 
 @pytest.fixture
@@ -70,3 +73,64 @@ def test_equals_rebuild_whatever_the_order_of_arrival(spark, tables, feed):
 def test_nothing_arrived(spark, folder):
     marts = StatefulMarts(spark, folder)
     assert marts.fact().count() == 0 and marts.daily_sums().count() == 0
+
+
+class _Counted:
+    """A map that counts how often it is read or written."""
+
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.held[key] = value
+
+
+class _Handle:
+    def __init__(self):
+        self.own, self.items = _Counted(), _Counted()
+
+    def getMapState(self, name, key, schema, ttl=None):
+        return getattr(self, name)
+
+
+def _arrivals(numbers, arrived, total="1.00"):
+    return [{"order_id": "o", "arrived": arrived, "order": None, "item": dict(zip(
+        schemas.ORDER_ITEMS.names, (f"i{i}", "o", 1, "p", "c", 1, Decimal("1.00"), Decimal(total))))} for i in numbers]
+
+
+def test_state_of_a_small_order_is_read_and_written_once_a_batch():
+    handle, join = _Handle(), JoinByOrder()
+    join.init(handle)
+    got = list(join.handleInputRows((0,), iter(_arrivals(range(FEW), 0)), None))
+    assert len(got) == FEW and handle.own.calls == 2 and handle.items.calls == 0
+
+
+def test_order_that_grows_past_the_few(spark):
+    """Its items are then kept by id, one read and one write each; sums and versions go on."""
+    handle, join = _Handle(), JoinByOrder()
+    join.init(handle)
+    list(join.handleInputRows((0,), iter(_arrivals(range(FEW), 0)), None))
+    list(join.handleInputRows((0,), iter(_arrivals(range(FEW, FEW + 10), 1)), None))
+    assert len(handle.items.held) == FEW + 10 and handle.own.held[("o",)][-1] is None
+    calls = handle.items.calls
+    got = list(join.handleInputRows((0,), iter(_arrivals([3], 2, "5.00") + _arrivals([4], 0)), None))
+    assert handle.items.calls - calls == 3
+    assert [(r.sign, r.item.line_total) for r in got] == [(-1, Decimal("1.00")), (1, Decimal("5.00"))]
+    _order, n, summed, total, version, few = handle.own.held[("o",)]
+    assert (n, summed, total, version, few) == (FEW + 10, FEW + 10, Decimal(FEW + 14), FEW + 12, None)
+
+
+def test_large_order_equals_rebuild(spark, feed):
+    """An order of more items than the few, over three batches, one of which moves its items."""
+    orders = spark.createDataFrame(
+        [("o", 1, datetime(2001, 1, 1), "Pending", Decimal("9.00"), Decimal(0), Decimal(1))], schemas.ORDERS)
+    lines = [(f"i{i}", "o", 1, "p", "c", 1, Decimal("1.00"), Decimal(i)) for i in range(3 * FEW)]
+    parts = [spark.createDataFrame(lines[i * FEW - (i > 0):(i + 1) * FEW], schemas.ORDER_ITEMS) for i in range(3)]
+    for at, part in enumerate(parts):
+        marts = feed(orders, part, at)
+    agree(marts, orders, spark.createDataFrame(lines, schemas.ORDER_ITEMS))
