@@ -158,7 +158,8 @@ def _(t):
 # --- streaming ------------------------------------------------------------------------------------------
 
 def _as_json(df, path, parts=4):
-    df.repartition(parts).write.json(path)
+    """Files of the given number, or without one, of a size that does not grow with the table."""
+    (df.repartition(parts) if parts else df.hint("rebalance")).write.json(path)
 
 
 @query("stream_ingest_orders", f"SELECT * REPLACE ({_ORD}) FROM ord")
@@ -174,8 +175,8 @@ def _(t):
 @query("stream_orders_and_items", "SELECT 'orders' AS kind, COUNT(*) AS rows FROM ord UNION ALL SELECT 'items', COUNT(*) FROM item")
 def _(t):
     root = _scratch(t, "pair")
-    _as_json(t.orders, f"{root}/in/orders")
-    _as_json(t.order_items, f"{root}/in/items")
+    _as_json(t.orders, f"{root}/in/orders", None)
+    _as_json(t.order_items, f"{root}/in/items", None)
     ingest.ingest_orders_and_items(t.spark, f"{root}/in", f"{root}/out", f"{root}/cp", schemas.ORDERS, schemas.ORDER_ITEMS)
     count = [F.count("*").alias("rows")]
     return t.spark.read.parquet(f"{root}/out/orders").agg(*count).withColumn("kind", F.lit("orders")).unionByName(

@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from registry.sources import _as_json
 from tillwise import schemas
 from tillwise.operators import enrich
 from tillwise.session import work_dir
@@ -143,3 +144,17 @@ def test_micro_batches_leave_nothing_but_the_tables(spark, tables, folder):
     assert sorted(os.listdir(folder)) == ["daily_business_metrics", "enriched_items", "enriched_orders", "fact_orders"]
     kept = spark.read.parquet(f"{folder}/enriched_orders")
     assert kept.count() == 20
+
+
+def test_json_files_grow_in_number_and_not_in_size(spark, folder):
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    least = spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    try:
+        _as_json(spark.range(40000).select("id", F.md5(F.col("id").cast("string")).alias("x")), f"{folder}/in", None)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", least)
+    assert len([f for f in os.listdir(f"{folder}/in") if f.endswith(".json")]) > 4
+    assert spark.read.json(f"{folder}/in").select("id").distinct().count() == 40000
