@@ -134,12 +134,14 @@ def test_micro_batches_leave_nothing_but_the_tables(spark, tables, folder):
     marts = incremental.IncrementalMarts(spark, folder, "year")
     orders = tables.orders.limit(20).cache()
     items = tables.order_items.join(orders.select("order_id"), "order_id", "left_semi").select(*tables.order_items.columns)
-    for epoch, batch in enumerate((orders, orders.withColumn("order_date", F.lit(None).cast("timestamp")), orders)):
+    undated = orders.withColumn("order_date", F.lit(None).cast("timestamp"))
+    for epoch, (batch, now) in enumerate(((orders, orders), (undated, undated), (undated.limit(3), undated), (orders, orders))):
         marts.add_orders(batch, epoch)
         marts.add_items(items, epoch)
-        full = enrich.fact_orders(enrich.enriched_orders(batch), enrich.enriched_order_items(items))
-        got = marts.fact().select(*full.columns)
-        assert got.count() == full.count() and got.exceptAll(full).count() == 0
+        full = enrich.fact_orders(enrich.enriched_orders(now), enrich.enriched_order_items(items))
+        daily = enrich.daily_business_metrics(full)
+        for got, wanted in ((marts.fact(), full), (marts.daily(), daily)):
+            assert got.count() == wanted.count() and got.select(*wanted.columns).exceptAll(wanted).count() == 0
     assert set(os.listdir(work_dir(spark))) == before
     assert sorted(os.listdir(folder)) == ["daily_business_metrics", "enriched_items", "enriched_orders", "fact_orders"]
     kept = spark.read.parquet(f"{folder}/enriched_orders")
