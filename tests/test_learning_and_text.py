@@ -152,3 +152,23 @@ def test_negatives_are_few_and_new(tables):
     n = {r["purchased"]: r["count"] for r in examples.groupBy("purchased").count().collect()}
     assert n[0] <= 2 * n[1]
     assert examples.groupBy("customer_id", "product_id").count().filter("count > 1").count() == 0
+
+
+def test_bounded_rows_are_the_first_draws_and_stay_in_several_tasks(spark):
+    df = spark.range(0, 20000, 1, 6).select("id", (F.col("id") % 2).alias("y"))
+    draw = ml.drawn(F.col("id"), below=F.lit(2**32))
+    for most in (1, 37, 12345):
+        got = ml.bounded(df, ["id"], most)
+        assert {r[0] for r in got.select("id").collect()} == {
+            r[0] for r in df.orderBy(draw, "id").limit(most).select("id").collect()}
+        assert got.columns == df.columns
+    assert ml.bounded(df, ["id"], 12345).rdd.getNumPartitions() > 1
+    assert ml.bounded(df, ["id"], 20000).count() == 20000
+
+
+def test_models_are_fitted_on_rows_dealt_to_all_cores(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(ml, "train_boosted", lambda train, *a, **k: seen.append(train.rdd.getNumPartitions()))
+    rows = spark.range(500).select(F.col("id").alias("customer_id"), (F.col("id") % 2).cast("int").alias("is_churned"))
+    ml.train_churn(rows)
+    assert seen == [spark.sparkContext.defaultParallelism]
