@@ -1,7 +1,8 @@
 from collections import Counter
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillwise.operators import frequent_pairs as fp
@@ -44,3 +45,19 @@ def test_rare_pairs_are_never_emitted(spark):
     full[slots] = True
     assert fp.emitted(met, full).count() < 300 < 700 * 699 / 2
     assert sorted(map(tuple, fp.frequent_pairs(df, 2, "basket", "item").collect())) == brute(rows, 2)
+
+
+def test_pairs_of_many_baskets_are_made_together():
+    """Baskets of the same size give their pairs in one step, a slice of a batch included."""
+    items = [[int(i) for i in range(b, b + 2 + b % 3)] for b in range(900)]
+    others = [[b + 50, b + 60] if b % 5 == 0 else [] for b in range(900)]
+    batch = pa.RecordBatch.from_arrays([pa.array(items, pa.list_(pa.int64())), pa.array(others, pa.list_(pa.int64()))],
+                                       names=["items", "others"]).slice(100)
+    steps = list(fp._pairs(batch))
+    assert len(steps) <= 6
+    got = Counter((int(a), int(b)) for x, y in steps for a, b in zip(x, y))
+    want = Counter()
+    for x, y in list(zip(items, others))[100:]:
+        want.update((min(p), max(p)) for p in (product(x, y) if y else combinations(x, 2)))
+    assert got == want
+    assert list(fp._pairs(batch.slice(0, 0))) == []

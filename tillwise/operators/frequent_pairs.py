@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.session import cut_lineage
@@ -25,11 +25,14 @@ from tillwise.session import cut_lineage
 SLOTS = 1 << 20
 #: Items of a basket's part.
 PART = 256
+#: Pairs made at a time.
+STEP = 1 << 20
 
 
 def frequent_items(baskets: DataFrame, support: int, basket: str, item: str) -> tuple[DataFrame, DataFrame]:
     """Distinct (basket, id) of items in at least ``support`` baskets, and (id, item); nulls are left out."""
     lines = baskets.select(F.col(basket).alias("basket"), F.col(item).alias("item")).dropna().distinct()
+    lines = cut_lineage(baskets.sparkSession, lines)
     often = lines.groupBy("item").agg(F.count("*").alias("n")).filter(F.col("n") >= support)
     names = cut_lineage(baskets.sparkSession, often.select("item", F.monotonically_increasing_id().alias("id")))
     return lines.join(names, "item").select("basket", "id"), names
@@ -41,9 +44,10 @@ def meetings(lines: DataFrame, part: int = PART) -> DataFrame:
     A basket of k items gives about (k / part) squared halves of rows, and one where it
     fits into a part.
     """
-    sizes = lines.groupBy("basket").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
-    dealt = lines.join(sizes, "basket").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    parts = dealt.groupBy("basket", "part", "parts").agg(F.collect_list("id").alias("items"))
+    size = F.count("*").over(Window.partitionBy("basket"))  # counting and cutting share one shuffle
+    dealt = lines.withColumn("parts", F.ceil(size / part).cast("int")).withColumn(
+        "part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    parts = cut_lineage(lines.sparkSession, dealt.groupBy("basket", "part", "parts").agg(F.collect_list("id").alias("items")))
     a = parts.select("basket", F.col("part").alias("p"), "items").filter(F.col("parts") > 1)
     b = parts.select("basket", F.col("part").alias("q"), F.col("items").alias("others")).filter(F.col("parts") > 1)
     none = F.array().cast("array<long>").alias("others")
@@ -51,16 +55,28 @@ def meetings(lines: DataFrame, part: int = PART) -> DataFrame:
         a.join(b, "basket").filter("p < q").select("items", "others"))
 
 
+def _starts(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values of all lists, where each list starts, and its length."""
+    ends = lists.offsets.to_numpy()
+    return lists.values.to_numpy(), ends[:-1], np.diff(ends)
+
+
 def _pairs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (smaller, larger) of each row."""
-    for items, others in zip(batch.column(0), batch.column(1)):
-        x, y = items.values.to_numpy(), others.values.to_numpy()
-        if len(y):
-            a, b = np.repeat(x, len(y)), np.tile(y, len(x))
-        else:
-            i, j = np.triu_indices(len(x), 1)
-            a, b = x[i], x[j]
-        yield np.minimum(a, b), np.maximum(a, b)
+    """Pairs (smaller, larger) of all rows, rows of the same lengths together, about ``STEP`` pairs at a time."""
+    x, at_x, n_x = _starts(batch.column(0))
+    y, at_y, n_y = _starts(batch.column(1))
+    order = np.lexsort((n_y, n_x))
+    edges = np.flatnonzero((np.diff(n_x[order]) != 0) | (np.diff(n_y[order]) != 0)) + 1
+    for rows in np.split(order, edges) if len(order) else ():
+        k, m = int(n_x[rows[0]]), int(n_y[rows[0]])
+        i, j = (np.repeat(np.arange(k), m), np.tile(np.arange(m), k)) if m else np.triu_indices(k, 1)
+        if not len(i):
+            continue
+        step = max(1, STEP // len(i))
+        for some in (rows[s:s + step] for s in range(0, len(rows), step)):
+            a = x[at_x[some][:, None] + i].ravel()
+            b = (y[at_y[some][:, None] + j] if m else x[at_x[some][:, None] + j]).ravel()
+            yield np.minimum(a, b), np.maximum(a, b)
 
 
 def _slot(a: np.ndarray, b: np.ndarray, slots: int) -> np.ndarray:
@@ -86,15 +102,20 @@ def slot_counts(met: DataFrame, slots: int = SLOTS) -> DataFrame:
 
 
 def emitted(met: DataFrame, full: np.ndarray) -> DataFrame:
-    """(a, b, n): pairs in set slots, counted within a batch of rows."""
+    """(a, b, n): pairs in set slots, counted within a step of a batch."""
     slots = len(full)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(a[keep], b[keep]) for a, b in _pairs(batch) for keep in [full[_slot(a, b, slots)]]]
-            both = np.column_stack([np.concatenate([np.empty(0, np.int64), *(f[i] for f in found)]) for i in (0, 1)])
-            each, n = np.unique(both, axis=0, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(each[:, 0]), pa.array(each[:, 1]), pa.array(n)], names=["a", "b", "n"])
+            for a, b in _pairs(batch):
+                keep = full[_slot(a, b, slots)]
+                # Ids by their place among those of the step, so a pair is one number.
+                ids, place = np.unique(np.concatenate([a[keep], b[keep]]), return_inverse=True)
+                first, second = place.reshape(2, -1)
+                each, n = np.unique(first * len(ids) + second, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[each // max(1, len(ids))]), pa.array(ids[each % max(1, len(ids))]), pa.array(n)],
+                    names=["a", "b", "n"])
 
     return met.mapInArrow(run, "a long, b long, n long")
 

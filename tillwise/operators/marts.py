@@ -14,6 +14,7 @@ from tillwise.functions.semantics import (
     at_least, at_most, day_lit, days_between, first_per_key, ladder, mean, month_steps, ratio,
     rounded_ratio, strict_greatest, strict_least)
 from tillwise.operators.frequent_pairs import frequent_pairs
+from tillwise.session import cut_lineage
 
 # Thresholds, scores and labels of the customer value model.
 HIGH_VALUE = 17500
@@ -180,12 +181,14 @@ def product_affinity(items: DataFrame, min_lift: float = 1.0, support: int = 1,
     With ``support`` above 1, only pairs of that many common orders are made at all.
     """
     lines = _baskets(items)
+    if support > 1:  # read by the totals, the names and the pairs
+        lines = cut_lineage(items.sparkSession, lines)
     totals = lines.groupBy("product_name").agg(F.count_distinct("order_id").alias("n"))
     all_orders = lines.agg(F.count_distinct("order_id")).scalar()
     pairs = F.col("times_bought_together")
     a, b = F.col("product_a_total_orders"), F.col("product_b_total_orders")
     scored = (
-        (product_pairs(items) if support <= 1 else supported_pairs(items, support))
+        (product_pairs(items) if support <= 1 else supported_pairs(lines, support))
         .join(totals.select(F.col("product_name").alias("product_a_name"),
                             F.col("n").alias("product_a_total_orders")), "product_a_name")
         .join(totals.select(F.col("product_name").alias("product_b_name"),
