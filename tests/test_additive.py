@@ -26,6 +26,16 @@ def test_distinct_ids_from_days(spark, folder):
     assert ad.distinct_over(days.limit(0), F.month("day"), "m").count() == 0
 
 
+def test_days_with_few_ids_take_few_bytes(spark):
+    """Ids far apart, and the ends of their range: a bitmap is no larger than the id."""
+    ids = [(i * 40_000, i % 3) for i in range(-300, 300)] + [(2**63 - 1, 0), (-2**63, 0), (-1, 0), (-64, 0), (-65, 0)]
+    df = spark.createDataFrame(ids, "id long, d int").selectExpr("id", "date_add(DATE '2020-01-01', d) AS day")
+    days = ad.distinct_bitmaps(df, "day", "id")
+    assert dict(days.dtypes)["bitmap"] == "bigint" and days.count() == len(ids) - 1  # -1 and -64 share one
+    assert ad.distinct_over(days, F.lit(1)).first()["ids"] == len(ids)
+    assert "SortAggregate" not in days._jdf.queryExecution().toString()
+
+
 def test_quantiles_from_days_are_within_the_rank_error(spark):
     df = spark.range(200_000).select(F.expr("date_add(DATE '2020-01-01', cast(id % 60 AS int))").alias("day"),
                                      (F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 7).alias("v"))

@@ -21,15 +21,17 @@ RANK_ERROR = 0.01
 # --- distinct counts ------------------------------------------------------------------------
 
 def distinct_bitmaps(facts: DataFrame, day: str, ident: str, by: Sequence[str] = ()) -> DataFrame:
-    """(day, *by, block, bitmap): ids of a day in bitmaps of 32,768 consecutive ids each.
+    """(day, *by, block, bitmap): ids of a day in bitmaps of 64 consecutive ids each, a 64-bit number.
 
     ``ident`` is an integer id, negative ones included; a null day or id is left out. Only
-    a bitmap per (day, group, block) crosses the shuffle, however often an id occurs.
+    a bitmap per (day, group, block) crosses the shuffle, however often an id occurs. Blocks
+    are narrow since a day holds few of all ids: there are never more bitmaps than ids.
     """
     rows = facts.filter(F.col(ident).isNotNull() & F.col(day).isNotNull())
     number = F.col(ident).cast("long")
-    return rows.groupBy(F.col(day).alias("day"), *by, F.bitmap_bucket_number(number).alias("block")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bitmap"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(63).cast("int"))
+    return rows.groupBy(F.col(day).alias("day"), *by, F.shiftright(number, 6).alias("block")).agg(
+        F.bit_or(bit).alias("bitmap"))
 
 
 def distinct_over(bitmaps: DataFrame, period: Column, name: str = "period", by: Sequence[str] = ()) -> DataFrame:
@@ -37,8 +39,8 @@ def distinct_over(bitmaps: DataFrame, period: Column, name: str = "period", by:
 
     ``by`` may name fewer groups than the bitmaps are stored for: they are merged.
     """
-    merged = bitmaps.groupBy(period.alias(name), *by, "block").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
-    return merged.groupBy(name, *by).agg(F.sum(F.bitmap_count("bitmap")).alias("ids"))
+    merged = bitmaps.groupBy(period.alias(name), *by, "block").agg(F.bit_or("bitmap").alias("bitmap"))
+    return merged.groupBy(name, *by).agg(F.sum(F.bit_count("bitmap")).alias("ids"))
 
 
 # --- quantiles ------------------------------------------------------------------------------
