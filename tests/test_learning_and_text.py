@@ -154,6 +154,24 @@ def test_negatives_are_few_and_new(tables):
     assert examples.groupBy("customer_id", "product_id").count().filter("count > 1").count() == 0
 
 
+def test_examples_equal_brute_force_and_read_the_lines_once_more(tables):
+    examples = ml.recommendation_training_set(tables.orders, tables.order_items, "2001-08-02", negatives=3)
+    assert examples._jdf.queryExecution().optimizedPlan().toString().count("l_partkey") <= 6  # one scan, its filter and join
+    customer = {r["order_id"]: r["customer_id"] for r in tables.orders.collect()}
+    lines = [(customer[r["order_id"]], r["product_id"]) for r in tables.order_items.collect() if r["order_id"] in customer]
+    bought, products = set(lines), sorted({p for _, p in lines})
+    places = spark_draws(tables, bought, 3, len(products))
+    want = {(c, p, 1) for c, p in bought} | {(c, products[i], 0) for c, i in places if (c, products[i]) not in bought}
+    got = [tuple(r) for r in examples.select("customer_id", "product_id", "purchased").collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def spark_draws(tables, bought, negatives, below):
+    """(customer, place) of the draws of ``bought``."""
+    rows = tables.spark.createDataFrame([(c, p, k) for c, p in bought for k in range(1, negatives + 1)], "c long, p long, k long")
+    return {tuple(r) for r in rows.select("c", ml.drawn(F.col("c"), F.col("p"), F.col("k"), below=F.lit(below))).collect()}
+
+
 def test_bounded_rows_are_the_first_draws_and_stay_in_several_tasks(spark):
     df = spark.range(0, 20000, 1, 6).select("id", (F.col("id") % 2).alias("y"))
     draw = ml.drawn(F.col("id"), below=F.lit(2**32))

@@ -61,8 +61,11 @@ def _bought(orders: DataFrame, items: DataFrame) -> DataFrame:
     return _purchases(orders, items).select("customer_id", "product_id").distinct()
 
 
-def customer_history(orders: DataFrame, items: DataFrame, as_of: date | str) -> DataFrame:
-    """Orders, spend, products and recency per customer that bought something."""
+def customer_history(orders: DataFrame, items: DataFrame, as_of: date | str, bought: DataFrame | None = None) -> DataFrame:
+    """Orders, spend, products and recency per customer that bought something.
+
+    ``bought`` are the distinct (customer, product) where they are at hand.
+    """
     lines = _purchases(orders, items)
     # One row per (customer, order) and per (customer, product) keeps distinct counts plain.
     spent = lines.groupBy("customer_id", "order_id").agg(
@@ -70,7 +73,7 @@ def customer_history(orders: DataFrame, items: DataFrame, as_of: date | str) ->
     per_customer = spent.groupBy("customer_id").agg(
         F.count("order_id").alias("total_past_orders"), F.sum("s").alias("total_spent"),
         ratio(F.sum("s"), F.sum("n")).alias("avg_item_spend"), F.max("d").alias("last_order_date"))
-    products = _bought(orders, items).groupBy("customer_id").agg(
+    products = (_bought(orders, items) if bought is None else bought).groupBy("customer_id").agg(
         F.count("product_id").alias("unique_products_bought"))
     return per_customer.join(products, "customer_id").withColumn(
         "days_since_last_order", days_between("last_order_date", day_lit(as_of)))
@@ -103,13 +106,13 @@ def product_popularity(items: DataFrame) -> DataFrame:
         F.coalesce(F.sqrt(F.greatest(variance, F.lit(0.0))), F.lit(0.0)).alias("price_variance"))
 
 
-def _features(pairs: DataFrame, popularity: DataFrame, label: int) -> DataFrame:
+def _features(pairs: DataFrame, popularity: DataFrame) -> DataFrame:
     return pairs.join(popularity, "product_id").select(
         "customer_id", "product_id", "total_past_orders", F.col("total_spent").cast("double").alias("total_spent"),
         "avg_item_spend", "unique_products_bought", "days_since_last_order",
         F.col("times_ordered").alias("product_popularity"), F.col("avg_price").alias("product_price"),
         F.col("total_quantity_sold").alias("product_volume"),
-        F.col("price_variance").alias("product_price_variance"), F.lit(label).alias("purchased"))
+        F.col("price_variance").alias("product_price_variance"), "purchased")
 
 
 def drawn(*parts: Column, below: Column) -> Column:
@@ -118,28 +121,33 @@ def drawn(*parts: Column, below: Column) -> Column:
     return F.conv(digits, 16, 10).cast("long") % below
 
 
-def negative_examples(history: DataFrame, popularity: DataFrame, bought: DataFrame, negatives: int = 4) -> DataFrame:
-    """Pairs that were never bought, with features: ``negatives`` draws for each bought pair.
+def labelled_pairs(popularity: DataFrame, bought: DataFrame, negatives: int = 4) -> DataFrame:
+    """Bought pairs and pairs that were never bought, ``negatives`` draws for each bought pair: one row each, with ``purchased``.
 
     A draw names a product by its place among the sold ones. Draws that hit a bought pair
     or repeat another one are left out, so a customer who has bought all has no negatives.
+    Bought and drawn pairs are told apart while their copies are put together, in one shuffle.
     """
     places = label_encode(popularity.select("product_id"), "product_id").withColumnRenamed("product_id_encoded", "__place")
     count = popularity.agg(F.count("*")).scalar()
     draws = bought.select("customer_id", "product_id").withColumn(
         "__draw", F.explode(F.sequence(F.lit(1), F.lit(negatives))))
     place = drawn(F.col("customer_id"), F.col("product_id"), F.col("__draw"), below=count)
-    pairs = draws.select("customer_id", place.alias("__place")).distinct().join(places, "__place").drop("__place")
-    fresh = pairs.join(bought.select("customer_id", "product_id"), ["customer_id", "product_id"], "left_anti")
-    return _features(fresh.join(history, "customer_id"), popularity, 0)
+    pairs = draws.select("customer_id", place.alias("__place")).join(places, "__place")
+    return bought.select("customer_id", "product_id", F.lit(1).alias("purchased")).unionByName(
+        pairs.select("customer_id", "product_id", F.lit(0).alias("purchased"))).groupBy("customer_id", "product_id").agg(
+        F.max("purchased").alias("purchased"))
 
 
 def recommendation_training_set(orders: DataFrame, items: DataFrame, as_of: date | str, negatives: int = 4) -> DataFrame:
-    """Bought pairs, and ``negatives`` times as many never-bought ones at most, with the same features."""
-    history, popularity = customer_history(orders, items, as_of), product_popularity(items)
-    bought = _bought(orders, items)
-    return _features(bought.join(history, "customer_id"), popularity, 1).unionByName(
-        negative_examples(history, popularity, bought, negatives))
+    """Bought pairs, and ``negatives`` times as many never-bought ones at most, with the same features.
+
+    The bought pairs and the figures of products are written once, since several steps read them.
+    """
+    spark = items.sparkSession
+    bought, popularity = cut_lineage(spark, _bought(orders, items)), cut_lineage(spark, product_popularity(items))
+    history = customer_history(orders, items, as_of, bought)
+    return _features(labelled_pairs(popularity, bought, negatives).join(history, "customer_id"), popularity)
 
 
 def encode_ids(df: DataFrame, columns: Sequence[str], modulus: int = ID_MODULUS) -> DataFrame:
