@@ -30,6 +30,24 @@ def test_pairwise_matches_brute_force(spark, folder, block_rows):
     assert [s for *_, s in got] == pytest.approx([-s for s, *_ in want])
 
 
+def test_rows_go_to_a_tile_once_however_many_pairs_of_blocks(spark):
+    rng = np.random.default_rng(6)
+    m = rng.normal(size=(240, 4))
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    rows = spark.createDataFrame([(i, [float(x) for x in v], i % 60) for i, v in enumerate(m)], "id long, v array<double>, block long")
+    ends = rows.select("block").distinct()
+    pairs = ends.withColumnRenamed("block", "a").crossJoin(ends.withColumnRenamed("block", "b")).filter("a <= b")
+    tiles, shipped = similarity._tiles(pairs, rows, 5)
+    assert tiles.count() == 60 * 61 / 2 and shipped.count() <= 240 * 5  # by pairs they were 240 * 60
+    order = [F.desc("similarity"), F.asc("id_a"), F.asc("id_b")]
+    got = similarity.visit(pairs, rows, 30, 0.2).orderBy(*order).limit(30).collect()
+    sims = m @ m.T
+    want = sorted((-sims[i, j], i, j) for i in range(240) for j in range(i + 1, 240))[:30]
+    assert [(r["id_a"], r["id_b"]) for r in got] == [(i, j) for _, i, j in want]
+    none = similarity.visit(pairs, rows, 30, 1.5)
+    assert none.count() == 0 and similarity.visit(pairs.limit(0), rows.limit(0), 3).count() == 0
+
+
 def test_churn_model_round_trip(spark, tables, folder):
     from tillwise.operators.serving import customer_order_analytics
 

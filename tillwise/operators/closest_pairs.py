@@ -12,13 +12,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwise.operators.similarity import visit
 from tillwise.session import cut_lineage
 
 #: Children of a node.
@@ -28,7 +27,6 @@ FIRST_BATCH = 64
 #: Similarities count to this many places, so that equal vectors tie whatever the order of a sum.
 PLACES = 12
 _SLACK = 1e-9  # a bound may round below the value it bounds
-_PAIRS = "id_a long, id_b long, similarity double"
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -131,11 +129,11 @@ def search(df: DataFrame, key: str, vec: str, k: int, leaf_rows: int = 2048) ->
     spark = df.sparkSession
     # A node of nothing but copies of one vector must fit into a leaf.
     tree = build_tree(unit_rows(df, key, vec, k + 1), max(leaf_rows, 2 * (k + 1)))
-    rows = cut_lineage(spark, tree.rows)
+    rows = cut_lineage(spark, tree.rows.withColumnRenamed("node", "block"))
     nodes = cut_lineage(spark, tree.nodes)
     leaf = nodes.filter("leaf").select("node")
     done = PairSearch(visited=leaf.count())
-    best = _top(_visit(leaf.select(F.col("node").alias("a"), F.col("node").alias("b")), rows, k), k)
+    best = _top(visit(leaf.select(F.col("node").alias("a"), F.col("node").alias("b")), rows, k, places=PLACES), k)
     best = cut_lineage(spark, best)
     floor = _floor(best, k)
 
@@ -168,7 +166,7 @@ def search(df: DataFrame, key: str, vec: str, k: int, leaf_rows: int = 2048) ->
         edge = ready.agg(F.percentile_approx("bound", share, 10_000)).first()[0] if share else -2.0
         batch = cut_lineage(spark, ready.filter(F.col("bound") >= edge).select("a", "b"))
         done.batches.append(batch.count())
-        best = cut_lineage(spark, _top(best.unionByName(_visit(batch, rows, k)), k))
+        best = cut_lineage(spark, _top(best.unionByName(visit(batch, rows, k, floor, PLACES)), k))
         floor = _floor(best, k)
         ready = ready.filter(F.col("bound") < edge)
         size *= 4
@@ -185,34 +183,3 @@ def _floor(best: DataFrame, k: int) -> float:
     """The k-th best similarity so far; below all others while there are fewer pairs."""
     n, least = best.agg(F.count("*"), F.min("similarity")).first()
     return least if n >= k else -2.0
-
-
-def _visit(pairs: DataFrame, rows: DataFrame, k: int) -> DataFrame:
-    """Best ``k`` row pairs of each pair of leaves; a leaf with itself gives the pairs inside it."""
-    left = pairs.join(rows.withColumnRenamed("node", "a"), "a").withColumn("side", F.lit(0))
-    right = pairs.filter("a <> b").join(rows.withColumnRenamed("node", "b"), "b").withColumn("side", F.lit(1))
-    both = left.select("a", "b", "side", "id", "v").unionByName(right.select("a", "b", "side", "id", "v"))
-    return both.groupBy("a", "b").applyInPandas(lambda pdf: _best(pdf, k), _PAIRS)
-
-
-def _best(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
-    one, two = (pdf[pdf["side"] == s].sort_values("id") for s in (0, 1))
-    same = two.empty
-    two = one if same else two
-    ids_a, ids_b = one["id"].to_numpy(), two["id"].to_numpy()
-    m_a, m_b = np.stack(one["v"].to_numpy()), np.stack(two["v"].to_numpy())
-    out = pd.DataFrame({"id_a": ids_a[:0], "id_b": ids_a[:0], "similarity": np.zeros(0)})
-    for start in range(0, len(ids_a), 512):
-        sims = np.round(m_a[start:start + 512] @ m_b.T, PLACES)
-        if same:  # ids ascend, so the upper triangle has each pair once
-            sims[np.arange(sims.shape[0])[:, None] + start >= np.arange(sims.shape[1])] = -np.inf
-        flat = sims.ravel()
-        n = min(k, flat.size)
-        # Whatever ties with the n-th best stays, since ids decide between ties.
-        pick = np.flatnonzero((flat >= np.partition(flat, flat.size - n)[flat.size - n]) & np.isfinite(flat))
-        i, j = np.unravel_index(pick, sims.shape)
-        x, y = ids_a[start + i], ids_b[j]
-        found = pd.DataFrame({"id_a": np.minimum(x, y), "id_b": np.maximum(x, y), "similarity": flat[pick]})
-        out = pd.concat([out, found]).sort_values(
-            ["similarity", "id_a", "id_b"], ascending=[False, True, True]).head(k)
-    return out
