@@ -1,5 +1,7 @@
 import math
 
+from pyspark.sql import functions as F
+
 from tillwise.operators import opinion
 
 ROWS = [
@@ -46,3 +48,13 @@ def test_reviews_without_words_are_kept(spark):
     df = spark.createDataFrame(ROWS, "review_id long, review_text string, rating int")
     got = {r["review_id"]: (r["telling"], r["score"]) for r in opinion.opinion_scores(df, least=0.0).collect()}
     assert len(got) == 8 and got[6] == got[7] == (0, 0.0)
+
+
+def test_words_without_a_say_are_left_out_before_the_shuffle(spark):
+    """Every held value passes, the ends of the map included, and hardly any other."""
+    df = spark.range(40_000).select((F.col("id") % 3).cast("int").alias("fold"), F.concat(F.lit("w"), "id").alias("word"))
+    some = df.filter("substring(word, -1) = '7'")
+    passed = df.filter(opinion._may_hold(some, "fold", "word"))
+    assert passed.join(some, ["fold", "word"], "left_semi").count() == some.count() == 4000
+    assert passed.count() < 4200
+    assert df.filter(opinion._may_hold(some.limit(0), "fold", "word")).count() == 0

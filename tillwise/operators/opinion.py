@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.operators.text import sentences, words
+from tillwise.session import cut_lineage
 
 #: Ratings from GOOD on are good ones, up to BAD bad ones; others count for the prior only.
 GOOD, BAD = 4, 2
@@ -22,6 +23,8 @@ REACH = 3
 PRIOR = 1000.0
 #: Words with a smaller z-score have no say in a review's score.
 LEAST_Z = 1.96
+#: Bits of the map of words with a say.
+SLOTS = 1 << 22
 
 
 def negated(tokens: Column) -> Column:
@@ -68,6 +71,21 @@ def word_log_odds(reviews: DataFrame, text: str = "review_text", rating: str = "
     return _weighed(counts.withColumns({f"all_{c}": totals[c] for c in sides}), prior).select("word", "uses", "positive", "negative", "log_odds", "z")
 
 
+def _may_hold(rows: DataFrame, *columns: str) -> Column:
+    """Test that every row with the values of a row of ``rows`` passes, and few others while these are fewer than ``SLOTS``.
+
+    A bitmap of hashed slots, of bounded size, so words without a say go before any shuffle.
+    """
+    slot = F.pmod(F.xxhash64(*columns), F.lit(SLOTS))
+    place = F.shiftright(slot, 6)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
+    bits = rows.groupBy(place.alias("place")).agg(F.bit_or(bit).alias("bits"))
+    every = rows.sparkSession.range(SLOTS // 64).select(F.col("id").alias("place")).join(bits, "place", "left")
+    held = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("place", F.coalesce("bits", F.lit(0)).alias("bits")))),
+                                 lambda x: x["bits"])).scalar()
+    return F.get(held, place.cast("int")).bitwiseAND(bit) != 0
+
+
 def opinion_scores(reviews: DataFrame, key: str = "review_id", text: str = "review_text", rating: str = "rating",
                    folds: int = 3, fold: Column | None = None, prior: float = PRIOR, least: float = LEAST_Z) -> DataFrame:
     """Every review with the mean weight of its telling words, learned from the other folds.
@@ -87,7 +105,9 @@ def opinion_scores(reviews: DataFrame, key: str = "review_id", text: str = "revi
     others = own.select("word", "fold", *[(F.sum(c).over(over) - F.col(c)).alias(c) for c in sides]).filter("uses > 0")
     weights = _weighed(others.join(F.broadcast(totals), "fold"), prior).filter(F.abs("z") >= F.lit(least)).select(
         "fold", "word", "log_odds")
-    per = uses.groupBy(key, "fold", "word").agg(F.count("*").alias("n")).join(weights, ["fold", "word"])
+    weights = cut_lineage(reviews.sparkSession, weights)
+    telling = uses.filter(_may_hold(weights, "fold", "word"))
+    per = telling.groupBy(key, "fold", "word").agg(F.count("*").alias("n")).join(weights, ["fold", "word"])
     said = per.groupBy(key).agg(F.sum("n").alias("telling"), (F.sum(F.col("n") * F.col("log_odds")) / F.sum("n")).alias("score"))
     return rows.select(key, rating).join(said, key, "left").select(
         key, rating, F.coalesce("telling", F.lit(0)).alias("telling"), F.coalesce("score", F.lit(0.0)).alias("score"))
