@@ -87,6 +87,17 @@ def test_text_models_learn_the_labels(tables):
     assert text.text_filter(labelled, flag).count() == flagged.filter("hit").count()
 
 
+def test_terms_counted_once_give_the_same_models(tables):
+    docs = tables.documents.select("doc_id", "lang", "text")
+    counted = text.count_terms(docs, "text", dim=1 << 12)
+    assert counted.columns == ["doc_id", "lang", text.COUNTED]
+    model = text.train_text_classes(counted, "text", "lang", dim=1 << 12, iterations=5)
+    assert "RegexTokenizer" not in {type(s).__name__ for s in model.stages}
+    plain = text.train_text_classes(docs, "text", "lang", dim=1 << 12, iterations=5)
+    got, want = (text.text_classify(d, m, "got").select("doc_id", "got") for d, m in ((counted, model), (docs, plain)))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_sentiment_per_aspect(spark):
     df = spark.createDataFrame([
         (1, "Great quality. The price is bad!"), (2, "Good good. Terrible."), (3, "Nothing to say"), (4, None)],

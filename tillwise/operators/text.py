@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.semantics import first_per_key, ladder, ratio, rounded_ratio
 from tillwise.operators.similarity import similarity_topk
+from tillwise.session import cut_lineage
 
 # Words, aspects, patterns and BM25 constants.
 LEXICON = {
@@ -68,21 +69,36 @@ def _holds(part: str, vocabulary: Sequence[str]):
 
 # --- trained predicates and classes ---------------------------------------------------
 
-def _term_stages(text: str, dim: int) -> list:
-    """Hashed single words and word pairs, weighted by inverse document frequency."""
+#: Column of counted terms; rows that have it are not cut into terms again.
+COUNTED = "__tf"
+
+
+def _count_stages(text: str, dim: int) -> list:
+    """Hashed single words and word pairs, counted."""
     return [
         RegexTokenizer(inputCol=text, outputCol="__words", pattern="\\s+", toLowercase=True),
         NGram(n=2, inputCol="__words", outputCol="__pairs"),
         SQLTransformer(statement="SELECT *, concat(__words, __pairs) AS __terms FROM __THIS__"),
-        HashingTF(inputCol="__terms", outputCol="__tf", numFeatures=dim),
-        IDF(inputCol="__tf", outputCol="__features", minDocFreq=2),
+        HashingTF(inputCol="__terms", outputCol=COUNTED, numFeatures=dim),
     ]
 
 
+def count_terms(df: DataFrame, text: str, dim: int = 1 << 16) -> DataFrame:
+    """``df`` with a text's counted terms in its place, written once, for models of the same ``dim`` fitted and applied often."""
+    counted = PipelineModel(stages=_count_stages(text, dim)).transform(df)
+    return cut_lineage(df.sparkSession, counted.select(*[c for c in df.columns if c != text], COUNTED))
+
+
+def _term_stages(df: DataFrame, text: str, dim: int) -> list:
+    """Counted terms, weighted by inverse document frequency; counts at hand are taken as they are."""
+    counts = [] if COUNTED in df.columns else _count_stages(text, dim)
+    return [*counts, IDF(inputCol=COUNTED, outputCol="__features", minDocFreq=2)]
+
+
 def train_text_filter(labelled: DataFrame, text: str, label: str, dim: int = 1 << 16, iterations: int = 30) -> PipelineModel:
-    """Yes/no model for a predicate, from rows with a 0/1 label."""
+    """Yes/no model for a predicate, from rows with a 0/1 label; see :func:`count_terms`."""
     fit = LogisticRegression(featuresCol="__features", labelCol=label, maxIter=iterations, regParam=0.01)
-    return Pipeline(stages=[*_term_stages(text, dim), fit]).fit(labelled.withColumn(label, F.col(label).cast("double")))
+    return Pipeline(stages=[*_term_stages(labelled, text, dim), fit]).fit(labelled.withColumn(label, F.col(label).cast("double")))
 
 
 def text_flag(df: DataFrame, model: PipelineModel, name: str, threshold: float = 0.5) -> DataFrame:
@@ -97,10 +113,10 @@ def text_filter(df: DataFrame, model: PipelineModel, threshold: float = 0.5) ->
 
 
 def train_text_classes(labelled: DataFrame, text: str, label: str, dim: int = 1 << 16, iterations: int = 30) -> PipelineModel:
-    """Model for one of several categories."""
+    """Model for one of several categories; see :func:`count_terms`."""
     index = StringIndexer(inputCol=label, outputCol="__y", handleInvalid="error").fit(labelled)
     fit = LogisticRegression(featuresCol="__features", labelCol="__y", maxIter=iterations, regParam=0.01)
-    terms = Pipeline(stages=[*_term_stages(text, dim), fit]).fit(index.transform(labelled))
+    terms = Pipeline(stages=[*_term_stages(labelled, text, dim), fit]).fit(index.transform(labelled))
     back = IndexToString(inputCol="prediction", outputCol="__class", labels=index.labels)
     return PipelineModel(stages=[*terms.stages, back])
 
