@@ -119,7 +119,6 @@ def visit(pairs: DataFrame, rows: DataFrame, k: int, floor: float = -1.0, places
 
 def _best_pairs(own: pd.DataFrame, met: pd.DataFrame, k: int, floor: float, places: int | None) -> pd.DataFrame:
     """Top pairs of one tile; ids ascend within a pair."""
-    own = own.sort_values(["block", "id"], ignore_index=True)
     ids = own["id"].to_numpy()
     m = np.stack(own["v"].to_numpy()) if len(own) else np.empty((0, 0))
     blocks = {name: (ids[at], m[at]) for name, at in own.groupby("block").indices.items()}
