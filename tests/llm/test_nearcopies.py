@@ -84,3 +84,21 @@ def test_a_large_group_of_near_copies(spark):
     rows = [(k, edited(rng, words, 1 + k % 3)) for k in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r["doc_id"] for r in nearcopies.drop_near_copies(docs).collect()} == kept(rows)
+
+
+def test_a_large_group_about_a_centre_is_not_paired(spark, monkeypatch):
+    """Copies with up to four edits of one text: pairs of rare shingles do not grow with the square of the group."""
+    rng = np.random.default_rng(9)
+    words = [f"w{j}" for j in range(150)]
+    rows = [(k, edited(rng, words, k % 5)) for k in range(1, 200)] + [(200, " ".join(words))]
+    made, whole = [], nearcopies._prefix_pairs
+
+    def counted(texts, left):
+        out = whole(texts, left)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(nearcopies, "_prefix_pairs", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in nearcopies.drop_near_copies(docs).collect()} == kept(rows)
+    assert made and sum(made) < 3 * len(rows), made

@@ -9,11 +9,13 @@ then compared exactly, or else its texts are linked already by compared pairs.
 Texts with equal sets of shingles are one node.
 
 Each band value's members are first compared with its smallest member, then with its
-largest; that links a large group of copies without multiplying it. Texts whose band
-values still hold several components are compared across them as a similarity of 0.8
-allows at all: two such texts share one of the rarest fifth of either one's shingles, and
-their numbers of shingles differ by a fifth at most. A passage that many texts share is no
-such shingle, unless it is most of the text.
+largest, then, where it still holds several components, with its central member: the one
+whose shingles most of these texts hold, so that the others differ from it about half as
+much as from each other. That links a large group of copies without multiplying it. Texts
+of such band values are at last compared across components as a similarity of 0.8 allows
+at all: two of them share one of the rarest fifth of either one's shingles, and their
+numbers of shingles differ by a fifth at most. A passage that many texts share is no such
+shingle, unless it is most of the text.
 """
 
 from __future__ import annotations
@@ -131,10 +133,13 @@ def near_links(nodes: DataFrame, texts_of) -> DataFrame:
         both = pairs.hint("merge").join(left, "a").hint("merge").join(right, "b")
         return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(_compared, "a long, b long"))
 
+    def rooted_by(links: DataFrame, some: DataFrame) -> DataFrame:
+        roots = components(links).select(F.col("node").alias("fp"), "root")
+        return some.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
     def mixed(links: DataFrame) -> DataFrame:
         """Members, with their component, of band values that hold several components."""
-        roots = components(links).select(F.col("node").alias("fp"), "root")
-        rooted = rows.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+        rooted = rooted_by(links, rows)
         several = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r < s")
         return stage(rooted.join(several.select("key"), "key", "left_semi"))
 
@@ -151,7 +156,13 @@ def near_links(nodes: DataFrame, texts_of) -> DataFrame:
     left = mixed(links)
     if left.isEmpty():
         return links
-    pairs = _prefix_pairs(texts, left)
+    central = _common_share(texts, left)
+    centres = left.join(central, "fp").groupBy("key").agg(F.max_by(F.struct("fp", "root"), F.struct("share", "fp")).alias("c"))
+    pairs = left.join(centres, "key").filter("root <> c.root").select("fp", F.col("c.fp").alias("centre"))
+    pairs = stage(_pairs(pairs, "fp", "centre").join(tried, ["a", "b"], "left_anti"))
+    tried, links = tried.unionByName(pairs), links.unionByName(compare(pairs))
+    # Texts the centres have linked still take part, with those of other components.
+    pairs = _prefix_pairs(texts, stage(rooted_by(links, left.select("fp").distinct())))
     pairs = stage(_pairs(pairs.join(tried, ["a", "b"], "left_anti"), "a", "b"))
     return links.unionByName(compare(pairs))
 
@@ -166,6 +177,19 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["fp", "n", "shingles"])
 
 
+def _shingle_sets(texts: DataFrame, left: DataFrame) -> DataFrame:
+    """(fp, n, shingles) of the texts in ``left``."""
+    return (texts.join(left.select("fp").distinct(), "fp", "left_semi").select("fp", "text")
+            .mapInArrow(_shingled, "fp long, n long, shingles array<long>"))
+
+
+def _common_share(texts: DataFrame, left: DataFrame) -> DataFrame:
+    """(fp, share): by how many of the texts in ``left`` a shingle of the text is held, on average."""
+    each = stage(_shingle_sets(texts, left).select("fp", F.explode("shingles").alias("shingle")))
+    held = each.groupBy("shingle").agg(F.count("*").alias("held"))
+    return each.join(held, "shingle").groupBy("fp").agg((F.sum("held") / F.count("*")).alias("share"))
+
+
 def _prefix_pairs(texts: DataFrame, left: DataFrame) -> DataFrame:
     """Pairs (a, b) of the texts in ``left`` that may be similar and are not linked; ``left`` has fp and root.
 
@@ -173,8 +197,7 @@ def _prefix_pairs(texts: DataFrame, left: DataFrame) -> DataFrame:
     them, rarest first; a text's first fifth and one more stand for it.
     """
     roots = left.select("fp", "root").distinct()
-    rows = stage(texts.join(roots.select("fp"), "fp", "left_semi").select("fp", "text")
-                 .mapInArrow(_shingled, "fp long, n long, shingles array<long>"))
+    rows = stage(_shingle_sets(texts, roots))
     each = rows.select("fp", "n", F.explode("shingles").alias("shingle"))
     rare = each.groupBy("shingle").agg(F.count("*").alias("held"))
     first = F.floor(F.col("n") * (LEAST[1] - LEAST[0]) / LEAST[1]).cast("int") + 1
