@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tillwise.llm import mixlm
@@ -90,3 +91,27 @@ def test_odd_rows(odd, empty):
     near([tuple(r)[:6] for r in got], base_of(rows))
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
     assert mixlm.op7(empty).count() == 0
+
+
+def test_words_are_those_of_a_plain_split():
+    texts = [b"", b" A b.  a ", b"\x0b\x1c", b"  ", b"x\xc2\xa0Y \xc3\x84.\tq", b"the the, a"]
+    want = [t.lower().split() for t in texts]
+    words, size = mixlm.words_of(pa.array(texts, pa.binary()))
+    assert size.tolist() == [len(w) for w in want] and words.to_pylist() == [w for ws in want for w in ws]
+    leads = {b"the": 0, b"a": 1}
+    table = mixlm.Words(leads, np.log(np.full((2, mixlm.GROUPS), 1 / mixlm.GROUPS)), {b"q": 0})
+    text, ids, klass = table.read(pa.array(texts, pa.binary()))
+    tokens = [(i, w) for i, ws in enumerate(want) for w in [*ws, mixlm.END]]
+    assert list(zip(text.tolist(), table.words.take(pa.array(ids)).to_pylist())) == tokens
+    assert table.hashes()[ids].view(np.uint64).tolist() == [mixlm.digest(w) for _, w in tokens]
+    before = [1 if i == 0 or tokens[i - 1][0] != t else mixlm.ENDING[tokens[i - 1][1][-1]] for i, (t, _) in enumerate(tokens)]
+    assert (klass % mixlm.ENDS).tolist() == before
+
+
+def test_texts_are_read_in_large_batches():
+    """Small batches are read together: a word is looked up and sent on once, not once a batch."""
+    batches = [pa.RecordBatch.from_arrays([pa.array([b"same words in all"] * 4, pa.binary())], names=["text"])] * 50
+    out = list(mixlm._count(iter(batches)))
+    assert sum(len(b) for b in out) == 5
+    assert {w: n for b in out for w, n in zip(b[0].to_pylist(), b[1].to_pylist())} == {
+        b"same": 200, b"words": 200, b"in": 200, b"all": 200, mixlm.END: 200}

@@ -19,11 +19,11 @@ texts are read; all others by a join.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -42,8 +42,8 @@ CLASSES = ENDS * (GROUPS + 1)
 FREQUENT = 1 << 17
 #: Parts the words are dealt to, by the top bits of their hash.
 PART_BITS = 12
-#: Words a task remembers.
-CACHE = 250_000
+#: Bytes of texts a task reads together.
+HELD = 8 << 20
 #: (word, class) pairs of a part whose steps are kept in memory.
 KEPT = 100_000
 #: Bytes of the spelling contexts, and the slots their counts are hashed to.
@@ -57,66 +57,98 @@ def digest(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word, 42)
 
 
-def ending(word: bytes) -> int:
-    """0: a letter, digit or comma; 1: a full stop; 2: another sign."""
-    last = word[-1:]
-    return 1 if last == b"." else 0 if last >= b"\x80" or last.isalnum() or last == b"," else 2
+#: How a word ends by its last byte. 0: a letter, digit or comma; 1: a full stop; 2: another sign.
+ENDING = np.array([1 if b == ord(".") else 0 if b >= 128 or bytes([b]).isalnum() or b == ord(",") else 2
+                   for b in range(256)], np.int8)
 
 
-class Words(dict):
-    """Numbers of the words met, with what is known of each."""
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``HELD`` bytes, or as they come if larger."""
+    held, size = [], 0
 
-    def __init__(self, leads: dict[bytes, int], speak: np.ndarray, frequent: dict[bytes, int]):
-        """``speak``: for each lead, the logarithm of its share in each group."""
-        self.leads, self.speak, self.frequent = leads, speak, frequent
-        self.clear()
-
-    def clear(self) -> None:
-        super().clear()
-        self.words: list[bytes] = []
-        self.facts = np.zeros((0, 4), np.int64)
+    def out():
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+        held.clear()
 
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self.words)
-        self.words.append(word)
-        return n
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= HELD:
+            yield from out()
+            size = 0
+    if held:
+        yield from out()
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of UTF-8 texts in order, A-Z in lower case, and how many each text has."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    words, size = split.flatten(), pc.list_value_length(split).to_numpy().astype(np.int64)
+    some = pc.greater(pc.binary_length(words), 0)
+    if pc.any(pc.invert(some)).as_py():  # white space at either end leaves an empty one
+        text = np.repeat(np.arange(len(size)), size)[some.to_numpy(zero_copy_only=False)]
+        words, size = words.filter(some), np.bincount(text, minlength=len(size))
+    return words.view(pa.binary()), size
+
+
+def facts(words: pa.Array) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """How words end, and the places of their bytes."""
+    _, places, data = words.buffers()
+    at = np.frombuffer(places, np.int32, len(words) + 1, 4 * words.offset) if len(words) else np.zeros(1, np.int32)
+    raw = data.to_pybytes() if data else b""
+    last = np.frombuffer(raw + b" ", np.uint8)[at[1:] - 1]
+    return np.where(at[1:] > at[:-1], ENDING[last], ENDING[ord(" ")]), at, raw
+
+
+class Words:
+    """Numbers of the words of some texts, with what is known of each; leads and frequent words come first."""
 
-    def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def __init__(self, leads: dict[bytes, int], speak: np.ndarray, frequent: dict[bytes, int]):
+        """``speak``: for each lead, the logarithm of its share in each group."""
+        self.speak = speak
+        first = list(dict.fromkeys([END, *leads, *frequent]))
+        self.first = pa.array(first, pa.binary())
+        self.lead = np.array([leads.get(w, -1) for w in first])
+        self.frequent = np.array([frequent.get(w, -1) for w in first])
+        self.hashed = np.array([digest(w) for w in first], np.uint64)
+
+    def read(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text number, word number, class of context) of every token of the texts."""
-        if len(self.words) > CACHE:
-            self.clear()
-        flat, sizes = [], []
-        for t in texts:
-            words = t.lower().split()
-            words.append(END)
-            sizes.append(len(words))
-            flat += words
-        ids = np.fromiter(map(self.__getitem__, flat), np.int64, len(flat))
-        fresh = self.words[len(self.facts):]
-        if fresh:
-            rows = [(self.leads.get(w, -1), ending(w), digest(w) - (1 << 63), self.frequent.get(w, -1))
-                    for w in fresh]
-            self.facts = np.concatenate([self.facts, np.array(rows, np.int64)])
-        sizes = np.array(sizes, np.int64)
-        start = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        words, sizes = words_of(texts)
+        coded = pa.concat_arrays([self.first, words]).dictionary_encode()
+        self.words, self.facts = coded.dictionary, facts(coded.dictionary)
+        sizes = sizes + 1
+        ends = np.cumsum(sizes) - 1
+        ids = np.zeros(int(sizes.sum()), np.int64)  # ends are word 0
+        inside = np.ones(len(ids), bool)
+        inside[ends] = False
+        ids[inside] = coded.indices.to_numpy()[len(self.first):]
+        start = np.repeat(ends + 1 - sizes, sizes)
         at = np.arange(len(ids))
-        lead = np.flatnonzero(self.facts[ids, 0] >= 0)
+        here = np.flatnonzero(ids < len(self.first))
+        number = self.lead[ids[here]]
+        lead, number = here[number >= 0], number[number >= 0]
         group = np.full(len(ids), GROUPS)
         if len(lead):
-            sums = np.concatenate([np.zeros((1, GROUPS)), np.cumsum(self.speak[self.facts[ids[lead], 0]], axis=0)])
+            sums = np.concatenate([np.zeros((1, GROUPS)), np.cumsum(self.speak[number], axis=0)])
             here = np.arange(len(lead))
             since = np.maximum(here + 1 - REACH, np.searchsorted(lead, start[lead]))
             best = (sums[here + 1] - sums[since]).argmax(axis=1)
-            last = np.searchsorted(lead, at) - 1  # the last lead before each token
+            mark = np.zeros(len(ids), np.int64)
+            mark[lead] = 1
+            last = np.cumsum(mark) - mark - 1  # the last lead before each token
             some = (last >= 0) & (lead[np.maximum(last, 0)] >= start)
             group[some] = best[last[some]]
-        ended = np.concatenate([[1], self.facts[ids[:-1], 1]])
+        ended = np.concatenate([[1], self.facts[0][ids[:-1]]])
         ended[at == start] = 1
         return np.repeat(np.arange(len(texts)), sizes), ids, ENDS * group + ended
 
-    def hashes(self, ids: np.ndarray) -> np.ndarray:
-        """Signed hashes of words by number."""
-        return self.facts[ids, 2] ^ np.int64(-(1 << 63))
+    def hashes(self) -> np.ndarray:
+        """Signed hashes of the words by number."""
+        _, at, raw = self.facts
+        ends = at[len(self.first):].tolist()
+        rest = np.array([digest(raw[i:j]) for i, j in zip(ends, ends[1:])], np.uint64)
+        return np.concatenate([self.hashed, rest]).view(np.int64)
 
 
 # -- mixing -----------------------------------------------------------------------------
@@ -137,16 +169,22 @@ class Mixer:
         return new
 
     def logit(self, gate: np.ndarray, s: np.ndarray) -> np.ndarray:
-        return np.clip((self.w[gate] * s).sum(axis=1), -12, 12)
+        z = self.w[gate, 0] * s[:, 0]
+        for j in range(1, s.shape[1]):
+            z += self.w[gate, j] * s[:, j]
+        return np.clip(z, -12, 12)
 
     def learn(self, gate: np.ndarray, s: np.ndarray, n: np.ndarray, chunks: int = 4) -> None:
         """``s``: logits of what happened, one column per predictor; ``n``: how often."""
         for c in range(min(chunks, len(gate))):
             g, x, m = gate[c::chunks], s[c::chunks], n[c::chunks]
             p = 1 / (1 + np.exp(-self.logit(g, x)))
+            rest = m * (1 - p)
+            curve = rest * p
             for j in range(x.shape[1]):
-                up = np.bincount(g, m * (1 - p) * x[:, j], len(self.w))
-                down = np.bincount(g, m * p * (1 - p) * x[:, j] ** 2, len(self.w))
+                pull = rest * x[:, j]
+                up = np.bincount(g, pull, len(self.w))
+                down = np.bincount(g, curve * x[:, j] ** 2, len(self.w))
                 self.w[:, j] += 0.2 * up / (down + 50.0)
         np.clip(self.w, -0.5, 2.0, out=self.w)
 
@@ -166,9 +204,16 @@ class Mixer:
         return -np.logaddexp(0, -fine)
 
 
+def _fine(seen: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(np.maximum(seen, 0) + 1), 7).astype(np.int8)
+
+
+def _coarse(seen: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(np.maximum(seen, 0) + 1).astype(np.int8) // 2, 3)
+
+
 def _gate(own: np.ndarray, whole: np.ndarray) -> np.ndarray:
-    a = np.minimum(np.log2(own + 1).astype(int), 7)
-    return a * 4 + np.minimum(np.log2(whole + 1).astype(int) // 2, 3)
+    return _fine(own).astype(np.int64) * 4 + _coarse(whole)
 
 
 class Tree:
@@ -244,37 +289,42 @@ def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         before = before | np.where(place >= back, prior, 0) << (8 * (back - 1))
         if back in ORDERS:
             context.append(before)
-    bit, slots = [], []
-    for j in range(8):
-        node = (1 << j) | (raw >> (8 - j))
-        bit.append((raw >> (7 - j)) & 1)
-        row, base = [], 0
-        for k, (c, many) in enumerate(zip(context, SLOTS)):
-            key = c * 256 + node
-            if k:
-                key = _scatter(key, many)
-            row.append(base + key)
-            base += many
-        slots.append(np.column_stack(row))
-    return np.tile(word, 8), np.concatenate(bit), np.concatenate(slots)
+    step = np.arange(8)[:, None]
+    node = (1 << step) | (raw >> (8 - step))
+    bit = (raw >> (7 - step)) & 1
+    slots, base = np.empty((len(SLOTS), 8, len(raw)), np.int64), 0
+    for k, (c, many) in enumerate(zip(context, SLOTS)):
+        key = c * 256 + node
+        slots[k] = base + (_scatter(key, many) if k else key)
+        base += many
+    return np.tile(word, 8), bit.ravel(), slots.reshape(len(SLOTS), -1).T
 
 
 def _scatter(key: np.ndarray, many: int) -> np.ndarray:
-    mixed = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(64 - (many.bit_length() - 1))).astype(np.int64)
+    mixed = key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(64 - (many.bit_length() - 1))).view(np.int64)
 
 
 class Speller:
     def __init__(self, counts: np.ndarray):
         """``counts``: for every slot, how often its bit was 0 and 1."""
-        self.counts = counts.reshape(-1, 2)
+        own = counts.reshape(-1, 2)
+        seen = own.sum(axis=1)
+        # Logits of a bit and parts of the gate, by how much is taken off: nothing, or the word's own count.
+        self.logits = [self._logits(own, less) for less in (0, 1)]
+        self.gates = [(_fine(seen - less), _coarse(seen - less)) for less in (0, 1)]
+
+    @staticmethod
+    def _logits(own: np.ndarray, less: int) -> np.ndarray:
+        taken = np.maximum(own - less, 0)  # a bit never seen is not taken off
+        return np.clip(np.log((taken + 0.2) / (own[:, ::-1] + 0.2)), -12, 12).ravel()
 
     def _step(self, bit, slots, less):
-        own = self.counts[slots, bit[:, None]] - less
-        other = self.counts[slots, 1 - bit[:, None]]
-        s = np.clip(np.log((own + 0.2) / (other + 0.2)), -12, 12)
-        seen = own + other
-        return _gate(seen[:, 4], seen[:, 2]), s
+        s = np.empty((slots.shape[1], len(bit)))
+        for j in range(len(s)):
+            s[j] = self.logits[less][2 * slots[:, j] + bit]
+        fine, coarse = self.gates[less]
+        return fine[slots[:, 4]].astype(np.int64) * 4 + coarse[slots[:, 2]], s.T
 
     def learn(self, mixer: Mixer, words: list[bytes]) -> None:
         """From words that the counts hold once each."""
@@ -296,21 +346,13 @@ class Speller:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, n) of the texts to learn from."""
-    seen: Counter = Counter()
-
-    def out():
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
-
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            seen.update(text.lower().split())
-            seen[END] += 1
-        if len(seen) > CACHE:
-            yield out()
-            seen.clear()
-    if seen:
-        yield out()
+    ends = 0
+    for batch in gathered(batches):
+        ends += len(batch)
+        found = pc.value_counts(words_of(batch.column(0))[0])
+        yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["word", "n"])
+    if ends:
+        yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([ends], pa.int64())], names=["word", "n"])
 
 
 def _follow(leads: dict[bytes, int]):
@@ -318,12 +360,15 @@ def _follow(leads: dict[bytes, int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(LEADS * LEADS, np.int64)
+        known = pa.array(list(leads), pa.binary())
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                line = [leads[w] for w in text.lower().split() if w in leads]
-                a = np.array(line, dtype=np.int64)
-                for lag in range(1, min(REACH, len(a) - 1) + 1):
-                    total += np.bincount(a[:-lag] * LEADS + a[lag:], minlength=len(total))
+            words, size = words_of(batch.column(0))
+            number = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy().astype(np.int64)
+            lead = number >= 0
+            a, text = number[lead], np.repeat(np.arange(len(size)), size)[lead]
+            for lag in range(1, min(REACH, len(a) - 1) + 1):
+                both = text[:-lag] == text[lag:]
+                total += np.bincount((a[:-lag] * LEADS + a[lag:])[both], minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "n"])
 
@@ -357,14 +402,16 @@ def _pairs(leads: dict[bytes, int], speak: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(leads, speak, {})
-        for batch in batches:
-            learn = np.array(batch.column(1).to_pylist(), dtype=float)
-            text, ids, klass = words.read(batch.column(0).to_pylist())
-            pair, at = np.unique(ids * CLASSES + klass, return_inverse=True)
-            n = np.bincount(at, learn[text], len(pair)).astype(np.int64)
-            names = pa.array([words.words[i] for i in (pair // CLASSES).tolist()], pa.binary())
+        for batch in gathered(batches):
+            learn = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            text, ids, klass = words.read(batch.column(0))
+            tokens = np.sort(2 * (ids * CLASSES + klass) + learn[text])  # the last bit: learned from
+            pair = tokens >> 1
+            first = np.flatnonzero(np.diff(pair, prepend=-1))
+            n, pair = np.add.reduceat(tokens & 1, first), pair[first]
             yield pa.RecordBatch.from_arrays(
-                [names, pa.array((pair % CLASSES).astype(np.int16)), pa.array(n)], names=["word", "klass", "n"])
+                [words.words.take(pa.array(pair // CLASSES)), pa.array((pair % CLASSES).astype(np.int16)), pa.array(n)],
+                names=["word", "klass", "n"])
 
     return run
 
@@ -377,8 +424,10 @@ def _spell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         nonlocal total
         if held:
             _, bit, slots = spelled(held)
-            for j in range(len(SLOTS)):
-                total += np.bincount(2 * slots[:, j] + bit, minlength=len(total))
+            base = 0
+            for j, many in enumerate(SLOTS):
+                total[2 * base:2 * (base + many)] += np.bincount(2 * (slots[:, j] - base) + bit, minlength=2 * many)
+                base += many
             held.clear()
 
     for batch in batches:
@@ -414,7 +463,9 @@ def _code(shared):
         out[mine] = tree.log_p(mixer, word[mine], klass[mine]) + s["parts"][part, klass[mine]] + np.log1p(-s["fresh"])
         first = np.zeros(len(names), np.int64)
         first[at[::-1]] = np.arange(len(words))[::-1]  # a row of each word
-        speller, smix = Speller(s["spell"]), Mixer(32, (0.1, 0.1, 0.3, 0.4, 0.4))
+        if "speller" not in s:  # made once by a process, for all its parts
+            s["speller"] = Speller(s["spell"])
+        speller, smix = s["speller"], Mixer(32, (0.1, 0.1, 0.3, 0.4, 0.4))
         speller.learn(smix, [words[first[i]] for i in np.flatnonzero(count == 1)])
         fresh = np.flatnonzero(count == 0)
         cost = np.zeros(len(names))
@@ -441,21 +492,22 @@ def _score(shared):
         words = Words(s["leads"], s["speak"], frequent)
         lp, base = s["lp"], s["base"]
         rid = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            texts = batch.column(2).to_pylist()
-            m = len(texts)
-            text, ids, klass = words.read(texts)
-            f = words.facts[ids, 3]
+        for batch in gathered(batches):
+            m = len(batch)
+            text, ids, klass = words.read(batch.column(2))
+            f = np.full(len(ids), -1)
+            first = np.flatnonzero(ids < len(words.first))
+            f[first] = words.frequent[ids[first]]
             here, there = f >= 0, f < 0
             sums = [np.bincount(text[here], x, m) for x in (lp[f[here], klass[here]], base[f[here]])]
             known = np.bincount(text[here], minlength=m)
             offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(text[there], minlength=m))]).astype(np.int32))
             lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (
-                words.hashes(ids[there]), klass[there].astype(np.int16))]
+                words.hashes()[ids[there]], klass[there].astype(np.int16))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rid + np.arange(m)), batch.column(0), batch.column(1),
                  pa.array(np.bincount(text, minlength=m)), pa.array(known), pa.array(sums[0]), pa.array(sums[1]),
-                 pa.array(np.array([len(t) for t in texts], np.int64)), *lists],
+                 pc.binary_length(batch.column(2)).cast(pa.int64()), *lists],
                 names=["rid", "id", "held_out", "n_tokens", "known", "lp", "base", "n_bytes", "hs", "ks"])
             rid += m
 
