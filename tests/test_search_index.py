@@ -4,6 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from tillwise.operators import text
 from tillwise.operators.search_index import SegmentedIndex
 
 
@@ -80,3 +81,28 @@ def test_search_reads_postings_by_term(spark, folder):
     plan = index.hits(["17"], segments, segments)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PushedFilters: \[[^]]*(In|EqualTo)\(term", plan)
     assert index.hits(["17"], segments, segments).count() == 1
+
+
+def test_terms_are_counted_inside_the_row(spark):
+    rows = [(1, "b a b ä B"), (2, ""), (3, "one"), (4, " ".join(f"w{i % 7}" for i in range(100)))]
+    df = spark.createDataFrame(rows, "k long, t string").select("k", text.words("t").alias("w"))
+    got = {r["k"]: (r["length"], [tuple(x) for x in r["terms"]]) for r in text.term_counts(df, "w").collect()}
+    for k, t in rows:
+        words = re.findall(r"\w+", t.lower())
+        assert got[k] == (len(words), sorted(Counter(words).items()))
+
+
+def test_postings_are_made_without_a_hash_of_the_input(spark, folder, monkeypatch):
+    """No aggregation stands below the shuffle, and a range holds as many postings in a large index as in a small one."""
+    rows = [(i, " ".join(f"w{(i * j) % 50}" for j in range(30))) for i in range(100)] + [(3, "again w3")]
+    docs = spark.createDataFrame(rows, "k long, t string")
+    built = text.SearchIndex.build(docs, "k", "t")
+    plan = built.postings._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan.split("Exchange")[0] and "HashAggregate" not in plan.split("Exchange", 1)[1]
+    monkeypatch.setattr(text, "RANGE", 500)
+    built.write(folder)
+    n = built.postings.count()
+    stored = spark.read.parquet(f"{folder}/postings")
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, built.postings.collect()))
+    sizes = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) > n / 1000 and max(sizes) <= 1000

@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.functions.semantics import first_per_key
-from tillwise.operators.text import BM25_B, BM25_K1, query_words, words
-from tillwise.sources.files import read_current, remove, write_version
+from tillwise.operators.text import BM25_B, BM25_K1, by_term, exploded, postings_of, query_words, term_counts, words
+from tillwise.sources.files import cuts, read_current, remove, write_version
 
 #: Segments of a tier before they are merged.
 FAN = 4
@@ -73,12 +73,13 @@ class SegmentedIndex:
 
     # -- writing ---------------------------------------------------------------------------
 
-    def _write(self, number: int, documents: DataFrame, postings: DataFrame, buried: DataFrame) -> None:
+    def _write(self, number: int, documents: DataFrame, postings: DataFrame, buried: DataFrame, rows: int) -> None:
+        """Write a segment of ``rows`` postings at most."""
         path = f"{self.root}/segments/{number}"
         buried.write.mode("overwrite").parquet(f"{path}/buried")
         documents.repartitionByRange(self.key).sortWithinPartitions(self.key).write.mode("overwrite").parquet(
             f"{path}/documents")
-        postings.repartitionByRange("term", self.key).sortWithinPartitions("term", self.key).write.mode(
+        by_term(postings, self.key, rows).sortWithinPartitions("term", self.key).write.mode(
             "overwrite").option("parquet.block.size", str(8 << 20)).parquet(f"{path}/postings")
         stored = self.spark.read.parquet(f"{path}/postings")
         stored.groupBy("term").agg(F.max("tf").alias("max_tf"), F.min("length").alias("min_length")).repartitionByRange(
@@ -100,18 +101,20 @@ class SegmentedIndex:
         number, older = state["number"] + 1, state["segments"]
         last = first_per_key(changes.filter(F.col(self.key).isNotNull()), [self.key],
                              [F.desc(sequence), F.desc(op), F.desc(self.text)])
-        kept = last.filter(F.coalesce(F.col(op), F.lit("")) != "DELETE").select(
-            self.key, words(F.coalesce(F.col(self.text), F.lit(""))).alias("w"))
-        documents = kept.select(self.key, F.size("w").cast("long").alias("length"))
-        postings = kept.select(self.key, F.size("w").cast("long").alias("length"), F.explode("w").alias("term")).groupBy(
-            "term", self.key, "length").agg(F.count("*").alias("tf"))
-        gone = last.select(self.key, F.lit(0).cast("long").alias("in_seg"), F.lit(0).cast("long").alias("length")).limit(0)
-        if older:
-            low, high = last.agg(F.min(self.key), F.max(self.key)).first()
-            near = self._table("documents", older).filter(F.col(self.key).between(F.lit(low), F.lit(high)))
-            gone = self._live(near.join(last.select(self.key), self.key, "left_semi"), older).select(
-                self.key, F.col("seg").alias("in_seg"), "length")
-        self._write(number, documents, postings, gone)
+        gone_op = F.coalesce(F.col(op), F.lit("")) == "DELETE"
+        with cuts(self.spark) as cut:
+            # The batch's texts are shuffled and cut once; what follows reads the written table.
+            last = cut(term_counts(last.select(self.key, gone_op.alias("gone"), words(
+                F.when(gone_op, F.lit("")).otherwise(F.coalesce(F.col(self.text), F.lit("")))).alias("w")), "w"))
+            kept = last.filter(~F.col("gone"))
+            gone = last.select(self.key, F.lit(0).cast("long").alias("in_seg"), F.lit(0).cast("long").alias("length")).limit(0)
+            if older:
+                low, high = last.agg(F.min(self.key), F.max(self.key)).first()
+                near = self._table("documents", older).filter(F.col(self.key).between(F.lit(low), F.lit(high)))
+                gone = self._live(near.join(last.select(self.key), self.key, "left_semi"), older).select(
+                    self.key, F.col("seg").alias("in_seg"), "length")
+            self._write(number, kept.select(self.key, "length"), exploded(kept, self.key), gone,
+                        postings_of(kept))
         path = f"{self.root}/segments/{number}"
         added, taken = (self._sums(self.spark.read.parquet(f"{path}/{t}")) for t in ("documents", "buried"))
         sums = {c: state[c] + a - b for c, a, b in zip(("docs", "filled", "words"), added, taken)}
@@ -133,7 +136,7 @@ class SegmentedIndex:
             postings = self._live(self._table("postings", run), segments).drop("seg")
             # What these segments have buried in others stays buried; the rest is gone for good.
             buried = self._table("buried", run).drop("seg").filter(F.col("in_seg").isin([s["number"] for s in rest]))
-            self._write(number, documents, postings, buried)
+            self._write(number, documents, postings, buried, self._table("postings", run).count())
             merged = {"number": number, "tier": run[0]["tier"] + 1}
             self._commit(**{**state, "number": number, "segments": [*rest, merged]})
 

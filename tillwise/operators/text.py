@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tillwise.functions.semantics import first_per_key, ladder, ratio, rounded_ratio
 from tillwise.operators.similarity import similarity_topk
 from tillwise.session import cut_lineage
+from tillwise.sources.files import cuts
 
 # Words, aspects, patterns and BM25 constants.
 LEXICON = {
@@ -48,6 +49,8 @@ PHONE = r"[+][0-9]{1,3}(?:[ .-]?[(]?[0-9]{2,4}[)]?){2,5}|[(]?[0-9]{3}[)]?[ .-][0
 STATEMENT_BREAK = r"[.!?]+\s+|\n+"
 BM25_K1 = 1.2
 BM25_B = 0.75
+#: Postings of a written range; a task sorts one range, whatever the size of the whole.
+RANGE = 1 << 20
 
 
 def words(text: Column | str) -> Column:
@@ -203,6 +206,38 @@ def reviews_with_sentiment(reviews: DataFrame, satisfied: PipelineModel, lexicon
 
 # --- search ----------------------------------------------------------------------------------
 
+def term_counts(df: DataFrame, part: str) -> DataFrame:
+    """``df`` with a column ``part`` of words replaced by ``length`` and ``terms``, its distinct words with their counts.
+
+    Words are counted inside the row, so no aggregation holds the words of many documents.
+    """
+    n, s, at = F.size(part), F.col("__sorted"), F.col("__at")
+    others = [c for c in df.columns if c != part]
+    ordered = df.select(*others, n.cast("long").alias("length"), F.sort_array(part).alias("__sorted"))
+    none, size = F.array().cast("array<int>"), F.col("length").cast("int")
+    every = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(none)
+    runs = ordered.withColumn("__at", F.filter(every, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))))
+    ends = F.concat(F.slice(at, F.lit(2), F.greatest(F.size(at), F.lit(1))), F.when(size > 0, F.array(size)).otherwise(none))
+    return runs.select(*others, "length", F.zip_with(at, ends, lambda i, j: F.struct(
+        F.get(s, i).alias("term"), (j - i).cast("long").alias("tf"))).alias("terms"))
+
+
+def exploded(counted: DataFrame, key: str) -> DataFrame:
+    """(key, length, term, tf) of rows of :func:`term_counts`."""
+    return counted.filter(F.col("length") > 0).select(key, "length", F.explode("terms").alias("__t")).select(
+        key, "length", "__t.term", "__t.tf")
+
+
+def postings_of(counted: DataFrame) -> int:
+    """How many rows :func:`exploded` gives."""
+    return counted.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()[0]
+
+
+def by_term(postings: DataFrame, key: str, n: int) -> DataFrame:
+    """``n`` postings dealt to ranges of (term, key) of about ``RANGE`` each."""
+    return postings.repartitionByRange(max(1, -(-n // RANGE)), "term", key)
+
+
 class SearchIndex:
     """Inverted index of (term, document, count) with BM25 ranking.
 
@@ -211,25 +246,37 @@ class SearchIndex:
     one that is not stored tokenises the texts again for every query.
     """
 
-    def __init__(self, postings: DataFrame, lengths: DataFrame, documents: DataFrame, key: str):
-        self.postings, self.lengths, self.documents, self.key = postings, lengths, documents, key
+    def __init__(self, postings: DataFrame, lengths: DataFrame, documents: DataFrame, key: str,
+                 counted: DataFrame | None = None):
+        self.postings, self.lengths, self.documents, self.key, self.counted = postings, lengths, documents, key, counted
 
     @classmethod
     def build(cls, df: DataFrame, key: str, text: Sequence[str] | str) -> SearchIndex:
         """Index one or several text columns; all other columns can be filtered and returned."""
         columns = [text] if isinstance(text, str) else list(text)
         tokens = df.select(key, words(F.concat_ws(" ", *columns)).alias("__words"))
-        postings = tokens.select(key, F.size("__words").alias("length"), F.explode("__words").alias("term")).groupBy(
-            "term", key, "length").agg(F.count("*").alias("tf"))
-        return cls(postings, tokens.select(key, F.size("__words").alias("length")), df, key)
+        counted = term_counts(tokens, "__words").withColumn("length", F.col("length").cast("int"))
+        # Dealt out first: a document's terms are distinct, so nothing is gained by adding up before the shuffle.
+        postings = cls._added(exploded(counted, key).repartition("term", key), key)
+        return cls(postings, tokens.select(key, F.size("__words").alias("length")), df, key, counted)
+
+    @staticmethod
+    def _added(rows: DataFrame, key: str) -> DataFrame:
+        """Rows of one key and length are one document."""
+        return rows.groupBy("term", key, "length").agg(F.sum("tf").alias("tf"))
 
     def write(self, path: str) -> None:
-        """Store the postings ordered by term: a query then reads a few row groups."""
-        self.postings.repartitionByRange("term", self.key).sortWithinPartitions("term", self.key).write.mode(
-            "overwrite").parquet(f"{path}/postings")
-        stored = self.postings.sparkSession.read.parquet(f"{path}/postings")
-        lengths = stored.groupBy(self.key).agg(F.max("length").alias("length"))
-        lengths.write.mode("overwrite").parquet(f"{path}/lengths")
+        """Store the postings of a built index ordered by term: a query then reads a few row groups.
+
+        Texts are cut once: the ranges are drawn from a written table of counted terms.
+        """
+        with cuts(self.counted.sparkSession) as cut:
+            counted = cut(self.counted)
+            ranged = by_term(exploded(counted, self.key), self.key, postings_of(counted))
+            self._added(ranged, self.key).sortWithinPartitions("term", self.key).write.mode("overwrite").parquet(
+                f"{path}/postings")
+            counted.filter(F.col("length") > 0).groupBy(self.key).agg(F.max("length").alias("length")).write.mode(
+                "overwrite").parquet(f"{path}/lengths")
 
     @classmethod
     def read(cls, df: DataFrame, key: str, path: str) -> SearchIndex:
