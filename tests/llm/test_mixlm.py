@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -115,3 +116,39 @@ def test_texts_are_read_in_large_batches():
     assert sum(len(b) for b in out) == 5
     assert {w: n for b in out for w, n in zip(b[0].to_pylist(), b[1].to_pylist())} == {
         b"same": 200, b"words": 200, b"in": 200, b"all": 200, mixlm.END: 200}
+
+
+def leads_and_texts(n):
+    rng = np.random.default_rng(4)
+    leads = {f"l{i}".encode(): i for i in range(40)}
+    texts = [" ".join(f"l{i}" if i < 40 else f"w{i}" for i in rng.integers(0, 80, k)).encode()
+             for k in rng.integers(0, 900, n)]
+    return leads, np.log(rng.dirichlet(np.ones(mixlm.GROUPS), 40)), pa.array(texts, pa.binary())
+
+
+def test_groups_are_those_of_the_last_leads(monkeypatch):
+    leads, speak, texts = leads_and_texts(60)
+    want = []
+    for t in texts.to_pylist():
+        seen = []
+        for word in [*t.split(), mixlm.END]:
+            want.append(int(sum(speak[i] for i in seen[-mixlm.REACH:]).argmax()) if seen else mixlm.GROUPS)
+            seen += [leads[word]] if word in leads else []
+    for held in (mixlm.LEADS_HELD, 1, 7, 64):
+        monkeypatch.setattr(mixlm, "LEADS_HELD", held)
+        klass = mixlm.Words(leads, speak, {}).read(texts)[2]
+        assert (klass // mixlm.ENDS).tolist() == want
+
+
+def test_texts_are_read_in_little_memory():
+    """What a task holds for the tokens of a batch, of six bytes or so here: a few narrow values each."""
+    leads, speak, texts = leads_and_texts(4000)
+    words = mixlm.Words(leads, speak, {})
+    tracemalloc.start()
+    try:
+        tokens = len(words.read(texts)[1])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert tokens > 1_500_000 and peak < 45 * tokens, peak / tokens
+    assert mixlm.HELD <= 4 << 20

@@ -43,7 +43,9 @@ FREQUENT = 1 << 17
 #: Parts the words are dealt to, by the top bits of their hash.
 PART_BITS = 12
 #: Bytes of texts a task reads together.
-HELD = 8 << 20
+HELD = 4 << 20
+#: Leads whose sums are held together.
+LEADS_HELD = 1 << 15
 #: (word, class) pairs of a part whose steps are kept in memory.
 KEPT = 100_000
 #: Bytes of the spelling contexts, and the slots their counts are hashed to.
@@ -116,32 +118,52 @@ class Words:
         """(text number, word number, class of context) of every token of the texts."""
         words, sizes = words_of(texts)
         coded = pa.concat_arrays([self.first, words]).dictionary_encode()
+        del words
         self.words, self.facts = coded.dictionary, facts(coded.dictionary)
         sizes = sizes + 1
-        ends = np.cumsum(sizes) - 1
-        ids = np.zeros(int(sizes.sum()), np.int64)  # ends are word 0
+        starts = (np.cumsum(sizes) - sizes).astype(np.int32)
+        # Values of all tokens are kept narrow: a task holds several at once.
+        text = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+        ids = np.zeros(len(text), np.int32)  # ends are word 0
         inside = np.ones(len(ids), bool)
-        inside[ends] = False
+        inside[np.cumsum(sizes) - 1] = False
         ids[inside] = coded.indices.to_numpy()[len(self.first):]
-        start = np.repeat(ends + 1 - sizes, sizes)
-        at = np.arange(len(ids))
-        here = np.flatnonzero(ids < len(self.first))
-        number = self.lead[ids[here]]
-        lead, number = here[number >= 0], number[number >= 0]
-        group = np.full(len(ids), GROUPS)
+        del coded, inside
+        number = self.known(self.lead)[ids]
+        is_lead = number >= 0
+        lead, number = np.flatnonzero(is_lead).astype(np.int32), number[is_lead]
+        group = np.full(len(ids), GROUPS, np.int8)
         if len(lead):
-            sums = np.concatenate([np.zeros((1, GROUPS)), np.cumsum(self.speak[number], axis=0)])
-            here = np.arange(len(lead))
-            since = np.maximum(here + 1 - REACH, np.searchsorted(lead, start[lead]))
-            best = (sums[here + 1] - sums[since]).argmax(axis=1)
-            mark = np.zeros(len(ids), np.int64)
-            mark[lead] = 1
-            last = np.cumsum(mark) - mark - 1  # the last lead before each token
-            some = (last >= 0) & (lead[np.maximum(last, 0)] >= start)
+            best = self.groups(number, np.searchsorted(lead, starts)[text[lead]])
+            last = np.cumsum(is_lead, dtype=np.int32)
+            last -= is_lead
+            last -= 1  # the last lead before each token
+            some = last >= 0
+            some &= lead[np.maximum(last, 0)] >= starts[text]
             group[some] = best[last[some]]
-        ended = np.concatenate([[1], self.facts[0][ids[:-1]]])
-        ended[at == start] = 1
-        return np.repeat(np.arange(len(texts)), sizes), ids, ENDS * group + ended
+        ended = np.ones(len(ids), np.int8)
+        ended[1:] = self.facts[0][ids[:-1]]
+        ended[starts] = 1
+        return text, ids, ENDS * group + ended
+
+    def known(self, of_first: np.ndarray) -> np.ndarray:
+        """What is known of the first words, by number; -1 for the others."""
+        out = np.full(len(self.words), -1, np.int32)
+        out[:len(of_first)] = of_first
+        return out
+
+    def groups(self, number: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The group that each lead and those shortly before it, from the text's ``first`` on, speak for."""
+        best = np.empty(len(number), np.int8)
+        before = np.zeros((1, GROUPS))  # sums up to the last few leads
+        for at in range(0, len(number), LEADS_HELD):
+            here = np.arange(at, min(at + LEADS_HELD, len(number)))
+            since = np.maximum(here + 1 - REACH, first[here])
+            sums = np.concatenate([before[:-1], np.cumsum(np.concatenate([before[-1:], self.speak[number[here]]]), axis=0)])
+            base = at + 1 - len(before)  # the lead before which the first sum ends
+            best[here] = (sums[here + 1 - base] - sums[since - base]).argmax(axis=1)
+            before = sums[-REACH:]
+        return best
 
     def hashes(self) -> np.ndarray:
         """Signed hashes of the words by number."""
@@ -405,7 +427,13 @@ def _pairs(leads: dict[bytes, int], speak: np.ndarray):
         for batch in gathered(batches):
             learn = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             text, ids, klass = words.read(batch.column(0))
-            tokens = np.sort(2 * (ids * CLASSES + klass) + learn[text])  # the last bit: learned from
+            tokens = ids.astype(np.int64)
+            tokens *= CLASSES
+            tokens += klass
+            tokens *= 2
+            tokens += learn[text]  # the last bit: learned from
+            del text, ids, klass
+            tokens.sort()
             pair = tokens >> 1
             first = np.flatnonzero(np.diff(pair, prepend=-1))
             n, pair = np.add.reduceat(tokens & 1, first), pair[first]
@@ -495,12 +523,12 @@ def _score(shared):
         for batch in gathered(batches):
             m = len(batch)
             text, ids, klass = words.read(batch.column(2))
-            f = np.full(len(ids), -1)
-            first = np.flatnonzero(ids < len(words.first))
-            f[first] = words.frequent[ids[first]]
+            f = words.known(words.frequent)[ids]
             here, there = f >= 0, f < 0
-            sums = [np.bincount(text[here], x, m) for x in (lp[f[here], klass[here]], base[f[here]])]
-            known = np.bincount(text[here], minlength=m)
+            whose, f = text[here], f[here]
+            known = np.bincount(whose, minlength=m)
+            sums = [np.bincount(whose, lp[f, klass[here]], m), np.bincount(whose, base[f], m)]
+            del whose, f, here
             offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(text[there], minlength=m))]).astype(np.int32))
             lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (
                 words.hashes()[ids[there]], klass[there].astype(np.int16))]
