@@ -5,6 +5,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tillwise.llm import simhash
+from tillwise.llm import components as components_of
+from tillwise.llm.common import stage
 from tillwise.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -89,6 +91,21 @@ def test_components_of_a_long_path(spark):
     assert roots.count() == 301 and roots.agg(F.max("root")).first()[0] == 0
 
 
+def test_nodes_under_their_roots_need_no_round(spark, monkeypatch):
+    """A round only where a node does not hang under a root yet: none is made to see that nothing changes."""
+    made = []
+    monkeypatch.setattr(components_of, "stage", lambda df: made.append(1) or stage(df))
+
+    def rooted(edges):
+        made.clear()
+        return {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}, len(made)
+
+    want = {(1, 1), (5, 1), (6, 1), (2, 2), (9, 2)}
+    assert rooted([(1, 5), (6, 1), (9, 2), (1, 1), (2, 2)]) == (want, 1)
+    assert rooted([]) == (set(), 1)
+    assert rooted([(5, 6), (1, 5), (9, 2)]) == (want, 3)
+
+
 def test_odd_rows(odd, empty):
     got = simhash.op1(odd).collect()
     assert len(got) == odd.count()

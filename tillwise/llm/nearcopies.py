@@ -117,7 +117,7 @@ def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def near_links(nodes: DataFrame, texts_of) -> DataFrame:
-    """Links (a, b) of similar nodes that span the components; ``nodes`` has fp and bands.
+    """Links (a, b) that span the components of similar nodes; ``nodes`` has fp and bands.
 
     ``texts_of`` gives (fp, text) of the nodes in a table with the column fp.
     """
@@ -133,8 +133,12 @@ def near_links(nodes: DataFrame, texts_of) -> DataFrame:
         both = pairs.hint("merge").join(left, "a").hint("merge").join(right, "b")
         return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(_compared, "a long, b long"))
 
+    def grown(links: DataFrame) -> DataFrame:
+        """Links of every node to its root, so that what is linked is not followed anew."""
+        return components(links).select(F.col("node").alias("a"), F.col("root").alias("b"))
+
     def rooted_by(links: DataFrame, some: DataFrame) -> DataFrame:
-        roots = components(links).select(F.col("node").alias("fp"), "root")
+        roots = links.select(F.col("a").alias("fp"), F.col("b").alias("root"))
         return some.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
     def mixed(links: DataFrame) -> DataFrame:
@@ -144,7 +148,7 @@ def near_links(nodes: DataFrame, texts_of) -> DataFrame:
         return stage(rooted.join(several.select("key"), "key", "left_semi"))
 
     tried = stage(_pairs(rows, "fp", "low"))
-    links = compare(tried)
+    links = grown(compare(tried))
     left = mixed(links)
     if left.isEmpty():
         return links
@@ -152,7 +156,7 @@ def near_links(nodes: DataFrame, texts_of) -> DataFrame:
     tops = left.groupBy("key").agg(F.max_by("root", "fp").alias("top"))
     pairs = _pairs(left.join(tops, "key").filter("root <> top"), "fp", "high")
     pairs = stage(pairs.join(tried, ["a", "b"], "left_anti"))
-    tried, links = tried.unionByName(pairs), links.unionByName(compare(pairs))
+    tried, links = tried.unionByName(pairs), grown(links.unionByName(compare(pairs)))
     left = mixed(links)
     if left.isEmpty():
         return links
@@ -160,7 +164,7 @@ def near_links(nodes: DataFrame, texts_of) -> DataFrame:
     centres = left.join(central, "fp").groupBy("key").agg(F.max_by(F.struct("fp", "root"), F.struct("share", "fp")).alias("c"))
     pairs = left.join(centres, "key").filter("root <> c.root").select("fp", F.col("c.fp").alias("centre"))
     pairs = stage(_pairs(pairs, "fp", "centre").join(tried, ["a", "b"], "left_anti"))
-    tried, links = tried.unionByName(pairs), links.unionByName(compare(pairs))
+    tried, links = tried.unionByName(pairs), grown(links.unionByName(compare(pairs)))
     # Texts the centres have linked still take part, with those of other components.
     pairs = _prefix_pairs(texts, stage(rooted_by(links, left.select("fp").distinct())))
     pairs = stage(_pairs(pairs.join(tried, ["a", "b"], "left_anti"), "a", "b"))
