@@ -460,7 +460,7 @@ def _spell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
     for batch in batches:
         held += batch.column(0).to_pylist()
-        if len(held) > 20_000:
+        if len(held) > 8_000:
             add()
     add()
     at = np.flatnonzero(total)
