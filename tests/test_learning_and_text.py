@@ -219,3 +219,15 @@ def test_models_are_fitted_on_rows_dealt_to_all_cores(spark, monkeypatch):
     rows = spark.range(500).select(F.col("id").alias("customer_id"), (F.col("id") % 2).cast("int").alias("is_churned"))
     ml.train_churn(rows)
     assert seen == [spark.sparkContext.defaultParallelism]
+
+
+def test_churn_model_is_fitted_on_every_row(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(ml, "train_boosted", lambda train, *a, **k: seen.append(train))
+    monkeypatch.setattr(ml, "bounded", lambda df, key, most=10: df.limit(most))
+    monkeypatch.setattr(ml, "ROWS_A_TASK", 40, raising=False)
+    rows = spark.range(500).select(F.col("id").alias("customer_id"), (F.col("id") % 2).cast("int").alias("is_churned"))
+    _model, test = ml.train_churn(rows)
+    assert seen[0].count() + test.count() == 500 and seen[0].intersect(test).count() == 0
+    # Tasks hold a bounded number of rows.
+    assert seen[0].rdd.getNumPartitions() == -(-seen[0].count() // 40)

@@ -29,8 +29,8 @@ PURCHASE_FEATURES = ["customer_id_encoded", "product_id_encoded", "total_past_or
                      "product_volume", "product_price_variance"]
 IDLE_DAYS = 180
 ID_MODULUS = 10000
-# Labelled rows a model is fitted on, at most.
-MOST_LABELLED = 1_000_000
+# Rows of a task while a model is fitted, about.
+ROWS_A_TASK = 500_000
 
 
 # --- features ------------------------------------------------------------------------
@@ -192,8 +192,8 @@ def train_boosted(train: DataFrame, features: Sequence[str], label: str, trees:
     return Pipeline(stages=[*stages, tree]).fit(data)
 
 
-def bounded(labelled: DataFrame, key: Sequence[str], most: int = MOST_LABELLED) -> DataFrame:
-    """At most ``most`` labelled rows to fit a model on, the same ones every time.
+def bounded(labelled: DataFrame, key: Sequence[str], most: int) -> DataFrame:
+    """At most ``most`` labelled rows, the same ones every time; models are fitted on all rows and don't use it.
 
     Rows are counted by the first digits of their draw, so only those of one such group are put in
     order: a limit over all of them would leave the rows, and the fitting, in a single task.
@@ -211,16 +211,19 @@ def bounded(labelled: DataFrame, key: Sequence[str], most: int = MOST_LABELLED)
 
 
 def _spread(train: DataFrame) -> DataFrame:
-    """Rows computed once and dealt to all cores, since fitting passes over them for every level of a tree."""
+    """Rows computed once and dealt to all cores, since fitting passes over them for every level of a tree.
+
+    All of them are kept; their number sets the number of tasks, so a task holds about as many however large the table is.
+    """
     spark = train.sparkSession
-    return cut_lineage(spark, train).repartition(spark.sparkContext.defaultParallelism)
+    rows = cut_lineage(spark, train)
+    return rows.repartition(max(spark.sparkContext.defaultParallelism, -(-rows.count() // ROWS_A_TASK)))
 
 
 def train_churn(features: DataFrame, trees: int = 100, depth: int = 6, rate: float = 0.1) -> tuple[PipelineModel, DataFrame]:
     """Churn model and the rows kept back for testing."""
     train, test = stratified_split(features, "is_churned", "customer_id")
-    train = _spread(bounded(train, ["customer_id"]))
-    return train_boosted(train, CHURN_FEATURES, "is_churned", trees, depth, rate), test
+    return train_boosted(_spread(train), CHURN_FEATURES, "is_churned", trees, depth, rate), test
 
 
 def train_purchase(examples: DataFrame, trees: int = 100, depth: int = 10, rate: float = 0.03,
