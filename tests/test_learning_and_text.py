@@ -231,3 +231,14 @@ def test_churn_model_is_fitted_on_every_row(spark, monkeypatch):
     assert seen[0].count() + test.count() == 500 and seen[0].intersect(test).count() == 0
     # Tasks hold a bounded number of rows.
     assert seen[0].rdd.getNumPartitions() == -(-seen[0].count() // 40)
+
+
+def test_purchase_model_is_fitted_on_every_row(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(ml, "train_boosted", lambda train, *a, **k: seen.append(train))
+    monkeypatch.setattr(ml, "bounded", lambda df, key, most=10: df.limit(most))
+    pairs = spark.range(400).select(F.col("id").alias("customer_id"), (F.col("id") % 7).alias("product_id"),
+                                    (F.col("id") % 2).cast("int").alias("purchased"))
+    _model, test = ml.train_purchase(pairs)
+    ids = [r[0] for part in (seen[0], test) for r in part.select("customer_id").collect()]
+    assert sorted(ids) == list(range(400))
