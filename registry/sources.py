@@ -157,9 +157,18 @@ def _(t):
 
 # --- streaming ------------------------------------------------------------------------------------------
 
-def _as_json(df, path, parts=4):
-    """Files of the given number, or without one, of a size that does not grow with the table."""
-    (df.repartition(parts) if parts else df.hint("rebalance")).write.json(path)
+def _as_json(df, path, parts=4, compression="none"):
+    """Files of the given number, or without one, of a size that does not grow with the table.
+
+    These are cut where tasks write them, so rows are not shuffled for it.
+    """
+    if parts:
+        df.repartition(parts).write.json(path)
+        return
+    advised = df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    rows = max(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advised) // 64, 1)
+    with files.released(df.sparkSession):
+        df.write.option("maxRecordsPerFile", rows).option("compression", compression).json(path)
 
 
 @query("stream_ingest_orders", f"SELECT * REPLACE ({_ORD}) FROM ord")
@@ -175,8 +184,8 @@ def _(t):
 @query("stream_orders_and_items", "SELECT 'orders' AS kind, COUNT(*) AS rows FROM ord UNION ALL SELECT 'items', COUNT(*) FROM item")
 def _(t):
     root = _scratch(t, "pair")
-    _as_json(t.orders, f"{root}/in/orders", None)
-    _as_json(t.order_items, f"{root}/in/items", None)
+    _as_json(t.orders, f"{root}/in/orders", None, "gzip")
+    _as_json(t.order_items, f"{root}/in/items", None, "gzip")
     ingest.ingest_orders_and_items(t.spark, f"{root}/in", f"{root}/out", f"{root}/cp", schemas.ORDERS, schemas.ORDER_ITEMS)
     count = [F.count("*").alias("rows")]
     return t.spark.read.parquet(f"{root}/out/orders").agg(*count).withColumn("kind", F.lit("orders")).unionByName(

@@ -1,4 +1,5 @@
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,3 +161,35 @@ def test_json_files_grow_in_number_and_not_in_size(spark, folder):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", least)
     assert len([f for f in os.listdir(f"{folder}/in") if f.endswith(".json")]) > 4
     assert spark.read.json(f"{folder}/in").select("id").distinct().count() == 40000
+
+
+def test_ingest_of_a_pair_takes_little_disk(spark, folder, monkeypatch):
+    """JSON input is compressed, in files of a bounded number of rows, and no shuffle stays behind."""
+    from registry import sources
+    from registry.base import QUERIES
+
+    monkeypatch.setattr(sources, "_scratch", lambda t, name: folder)
+    got = {r["kind"]: r["rows"] for r in QUERIES["stream_orders_and_items"](spark, "/root/testdata/sf0.001").collect()}
+    size = {}
+    for name in ("orders", "items"):
+        there = [os.path.join(f"{folder}/in/{name}", f) for f in os.listdir(f"{folder}/in/{name}") if f.startswith("part-")]
+        size[name] = sum(map(os.path.getsize, there))
+        assert got[name] == spark.read.json(there).count() and size[name] / got[name] < 60
+
+
+def test_released_writes_leave_no_shuffle_files(spark, folder):
+    def shuffled():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return sum(blocks.apply(i).isShuffle() for i in range(blocks.size()))
+
+    before, known = spark.conf.get(files._CLEANUP, None), shuffled()
+    with files.released(spark):
+        spark.range(1000).repartition(5).write.parquet(f"{folder}/t")
+    for _ in range(50):  # files go in the background
+        if shuffled() <= known:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= known and spark.read.parquet(f"{folder}/t").count() == 1000
+    with pytest.raises(ValueError), files.released(spark):
+        raise ValueError
+    assert spark.conf.get(files._CLEANUP, None) == before

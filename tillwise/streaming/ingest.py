@@ -25,7 +25,7 @@ def append_stream(stream: DataFrame, sink: str, checkpoint: str, interval: str |
 
     With an ``interval`` it keeps running; otherwise it stops when the input is read.
     """
-    writer = stream.writeStream.format("parquet").outputMode("append").option(
+    writer = stream.writeStream.format("parquet").outputMode("append").option("compression", "zstd").option(
         "checkpointLocation", checkpoint).option("path", sink)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
