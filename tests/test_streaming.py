@@ -193,3 +193,21 @@ def test_released_writes_leave_no_shuffle_files(spark, folder):
     with pytest.raises(ValueError), files.released(spark):
         raise ValueError
     assert spark.conf.get(files._CLEANUP, None) == before
+
+
+def test_columns_that_can_be_made_are_not_shuffled(spark, tables, folder, monkeypatch):
+    seen, real = {}, incremental.replace_partitions
+
+    def spy(df, root, *rest):
+        seen.setdefault(os.path.basename(root), set()).update(df.columns)
+        return real(df, root, *rest)
+
+    monkeypatch.setattr(incremental, "replace_partitions", spy)
+    marts = incremental.IncrementalMarts(spark, folder, "year")
+    orders = tables.orders.limit(20).cache()
+    marts.add_orders(orders, 0)
+    marts.add_items(tables.order_items.join(orders.select("order_id"), "order_id", "left_semi"), 0)
+    made = {"order_day_name", "final_amount", "discount_tier", "quantity_tier", "actual_unit_price"}
+    for name in ("enriched_orders", "enriched_items", "fact_orders"):
+        assert not made & seen[name], name
+        assert made & set(spark.read.parquet(f"{folder}/{name}").columns)
